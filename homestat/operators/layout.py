@@ -1,0 +1,68 @@
+"""Sorted layout: the building block for skew-proof order statistics.
+
+`repartitionByRange` samples the sort keys and cuts the data into ranges of
+roughly equal size, so a group holding a third of all rows is spread over many
+partitions instead of landing in one task. Inside a partition the rows are sorted;
+`monotonically_increasing_id()` then carries (partition id << 33 | position) —
+the documented layout of that function — so every row knows where it sits
+without a second shuffle. Small per-partition summaries (one row per partition
+and group) turn local positions into group-wide ranks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+PID, POS = "_pid", "_pos"
+_LOW_BITS = (1 << 33) - 1
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join where NULL keys match each other (group keys, not entity keys)."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, on=cond, how=how).drop(*[f"_r_{k}" for k in keys])
+
+
+def sort_exprs(by: list[str], order: list) -> list[Column]:
+    """Ascending group keys followed by the caller's order expressions."""
+    return [F.col(b).asc() for b in by] + [o if isinstance(o, Column) else F.col(o).asc() for o in order]
+
+
+def sorted_layout(df: DataFrame, by: list[str], order: list, partitions: int | None = None) -> DataFrame:
+    """Range-partition on (by, order), sort inside partitions, add `_pid`, `_pos`."""
+    keys = sort_exprs(by, order)
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    mid = F.monotonically_increasing_id()
+    return (ranged.sortWithinPartitions(*keys)
+            .withColumn("_mid", mid)
+            .withColumn(PID, F.shiftright(F.col("_mid"), 33))
+            .withColumn(POS, F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
+            .drop("_mid"))
+
+
+def partition_offsets(layout: DataFrame, by: list[str]) -> DataFrame:
+    """Per (partition, group): first local position, row count, rows of the group
+    in earlier partitions (`_before`) and the group size (`_n`).
+
+    Size is at most #groups + #partitions; the window runs per group over at most
+    one row per partition, so it stays bounded however hot the group is.
+    """
+    summary = layout.groupBy(PID, *by).agg(F.min(POS).alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    w_all = Window.partitionBy(*by) if by else Window.partitionBy()
+    w_prev = w_all.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    return (summary
+            .withColumn("_before", F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)))
+            .withColumn("_n", F.sum("_cnt").over(w_all)))
+
+
+def ranked(df: DataFrame, by: list[str], order: list, out: str = "rank",
+           partitions: int | None = None) -> DataFrame:
+    """Dense 1..n numbering inside each group (`by` may be empty for a global one)."""
+    lay = sorted_layout(df, by, order, partitions)
+    offs = partition_offsets(lay, by).select(PID, *by, "_first", "_before")
+    joined = null_safe_join(lay, offs, [PID, *by])
+    return (joined.withColumn(out, (F.col("_before") + F.col(POS) - F.col("_first") + 1).cast("bigint"))
+            .drop(PID, POS, "_first", "_before"))
