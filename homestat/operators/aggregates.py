@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homestat.operators.layout import PID, POS, null_safe_join, partition_offsets, sorted_layout
+from homestat.operators.layout import PID, POS, partition_offsets, sorted_layout
 
 
 def _as_list(x) -> list:
@@ -52,7 +52,7 @@ def group_median(df: DataFrame, by, value: str, *, out: str = "median", count_ou
              .select(PID, (F.col("_first") + k - F.col("_before") - 1).alias(POS),
                      F.lit(tag).alias("_tag"), "_n"))
         targets = t if targets is None else targets.unionByName(t)
-    picked = null_safe_join(lay, targets, [PID, POS])
+    picked = lay.join(targets, on=[PID, POS], how="inner")
     res = picked.groupBy(*by).agg(
         F.max(F.when(F.col("_tag") == "lo", F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("_tag") == "hi", F.col("_v"))).alias("_hi"),

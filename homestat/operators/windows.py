@@ -15,28 +15,32 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, str) else list(x)
 
 
-def latest_n(df: DataFrame, by, order: str, n: int, *, newest_first: bool = True) -> DataFrame:
+def _orders(order, descending: bool = False) -> list[Column]:
+    cols = [F.col(o) for o in _as_list(order)]
+    return [c.desc_nulls_last() if descending else c.asc_nulls_last() for c in cols]
+
+
+def latest_n(df: DataFrame, by, order, n: int, *, newest_first: bool = True) -> DataFrame:
     """Newest `n` rows per group. `row_number() <= n` lets Spark insert a partial
     WindowGroupLimit before the shuffle, so each map task sends at most n rows per group."""
-    o = F.col(order).desc_nulls_last() if newest_first else F.col(order).asc_nulls_last()
-    w = Window.partitionBy(*_as_list(by)).orderBy(o)
+    w = Window.partitionBy(*_as_list(by)).orderBy(*_orders(order, newest_first))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def pct_change(df: DataFrame, by, order: str, value: str, out: str) -> DataFrame:
+def pct_change(df: DataFrame, by, order, value: str, out: str) -> DataFrame:
     """Change vs the previous row of the group, after carrying the last non-null value
     forward (so a gap repeats the last value). Division by zero gives NULL."""
-    w = Window.partitionBy(*_as_list(by)).orderBy(F.col(order).asc())
+    w = Window.partitionBy(*_as_list(by)).orderBy(*_orders(order))
     filled = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     df = df.withColumn("_filled", filled)
     prev = F.lag("_filled").over(w)
     return df.withColumn(out, F.try_divide(F.col("_filled"), prev) - F.lit(1.0)).drop("_filled")
 
 
-def direction(df: DataFrame, by, order: str, value: str, out: str = "direction",
+def direction(df: DataFrame, by, order, value: str, out: str = "direction",
               band: float = 0.001) -> DataFrame:
     """Up / down / flat vs the previous row with a ±`band` dead zone; first row flat."""
-    w = Window.partitionBy(*_as_list(by)).orderBy(F.col(order).asc())
+    w = Window.partitionBy(*_as_list(by)).orderBy(*_orders(order))
     return df.withColumn(out, L.trend_direction(F.col(value), F.lag(value).over(w), band))
 
 

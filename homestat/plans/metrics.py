@@ -210,7 +210,8 @@ def trailing_year_trend(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datet
     (zip, period) instead of two aggregations plus a join.
     """
     p = _zip_parcels(parcels.where(F.col("living") > 0), zip_pattern)
-    s = sales.withColumn("_period", period_of(sales, "sale_date", as_of)).where(F.col("_period").isNotNull())
+    s = trailing(sales, "sale_date", as_of, 730)  # pushed to the scan
+    s = s.withColumn("_period", period_of(s, "sale_date", as_of)).where(F.col("_period").isNotNull())
     m = join_on_account(s.select("account_key", "_period", "sale_price"), p)
     med = group_median(m, ["zip", "_period"], "sale_price", out="_med", count_out="_n",
                        strategy=median_strategy)

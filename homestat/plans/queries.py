@@ -57,3 +57,166 @@ FROM z
 def zip_price_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.trailing_year_trend(P.orders_sales(spark, sf_dir), P.customer_parcels(spark, sf_dir),
                                  as_of=P.AS_OF, zip_pattern=P.NUMERIC_ZIP, median_decimals=4)
+
+
+# ------------------------------------------------------------------ SQL helpers
+# Oracle spellings of the library's formatting / coercion rules.
+
+def sql_fixed(x: str, decimals: int, signed: bool = False) -> str:
+    n = f"CAST(floor(abs({x}) * {float(10 ** decimals)} + 0.5) AS BIGINT)"
+    if decimals:
+        scale = 10 ** decimals
+        body = f"(CAST({n} // {scale} AS VARCHAR) || '.' || lpad(CAST({n} % {scale} AS VARCHAR), {decimals}, '0'))"
+    else:
+        body = f"CAST({n} AS VARCHAR)"
+    sign = f"CASE WHEN {x} < 0 THEN '-' ELSE '{'+' if signed else ''}' END"
+    return f"CASE WHEN {x} IS NOT NULL THEN {sign} || {body} END"
+
+
+def sql_pct(x: str, decimals: int = 1, signed: bool = False) -> str:
+    return f"({sql_fixed(f'(({x}) * 100.0)', decimals, signed)} || '%')"
+
+
+def sql_fixed_mean(x: str, scale: int = 2) -> str:
+    units = f"CAST(round(({x}) * {float(10 ** scale)}) AS BIGINT)"
+    return (f"CASE WHEN count({units}) > 0 THEN CAST(sum({units}) AS DOUBLE) / "
+            f"(CAST(count({units}) AS DOUBLE) * {float(10 ** scale)}) END")
+
+
+def sql_number(x: str) -> str:
+    t = f"regexp_replace(CAST({x} AS VARCHAR), '^\\s+|\\s+$', '', 'g')"
+    return (f"CASE WHEN regexp_matches({t}, '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') "
+            f"THEN TRY_CAST({t} AS DOUBLE) END")
+
+
+def sql_zip5(x: str) -> str:
+    return f"substr(regexp_replace(CAST({x} AS VARCHAR), '^\\s+|\\s+$', '', 'g'), 1, 5)"
+
+
+BRAND_NO = "regexp_extract(p_brand, '([^#]*)$', 1)"
+UNIT_PRICE = "l_extendedprice / (l_quantity * 2.2::DOUBLE)"
+
+
+# ------------------------------------------------------------------ M5 + bulk filter
+
+def _flip_sales(spark, sf_dir):
+    return P.orders_sales(spark, sf_dir).where(F.col("sale_price") > F.lit(10000.0))
+
+
+SQL_ADDRESS = f"""
+SELECT c_custkey AS account_key, CAST(c_nationkey AS DOUBLE) AS beds, c_acctbal AS sqft,
+  regexp_replace(
+    concat_ws(' ', nullif(regexp_replace(replace(CAST(c_custkey AS VARCHAR), '.0', ''), '^\\s+|\\s+$', '', 'g'), ''),
+                   nullif(regexp_replace(c_name, '^\\s+|\\s+$', '', 'g'), ''),
+                   nullif(regexp_replace(c_mktsegment, '^\\s+|\\s+$', '', 'g'), ''))
+    || ', ' || concat_ws(' ', '{P.CITY}', nullif({sql_zip5('c_nationkey')}, '')),
+    '^[, ]+|[, ]+$', '', 'g') AS address
+FROM customer"""
+
+
+@register("resale_flips", f"""
+WITH s AS (SELECT o_custkey AS account, o_orderkey AS sale_id, o_orderdate AS sale_date, o_totalprice AS sale_price
+           FROM orders WHERE o_totalprice > 10000.0),
+bulk AS (SELECT sale_date, sale_price FROM s WHERE sale_date IS NOT NULL AND sale_price IS NOT NULL
+         GROUP BY sale_date, sale_price HAVING count(*) > 3),
+k AS (SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM bulk b WHERE b.sale_date = s.sale_date AND b.sale_price = s.sale_price)),
+pr AS (SELECT account, sale_date AS first_sale_date, sale_price AS first_sale_price,
+              lead(sale_date) OVER w AS second_sale_date, lead(sale_price) OVER w AS second_sale_price,
+              lead(sale_id) OVER w AS next_id
+       FROM k WINDOW w AS (PARTITION BY account ORDER BY sale_date ASC NULLS LAST, sale_id)),
+f AS (SELECT *, date_diff('day', first_sale_date, second_sale_date) AS days_held FROM pr WHERE next_id IS NOT NULL),
+a AS ({SQL_ADDRESS})
+SELECT f.account, first_sale_date, first_sale_price, second_sale_date, second_sale_price, days_held,
+       second_sale_price - first_sale_price AS markup,
+       (second_sale_price - first_sale_price) / first_sale_price AS markup_pct,
+       CASE WHEN second_sale_price > first_sale_price THEN 'PROFITABLE' ELSE 'LOSS' END AS outcome,
+       coalesce(a.address, 'Address unavailable') AS address, a.beds, a.sqft
+FROM f LEFT JOIN a ON a.account_key = f.account
+WHERE days_held BETWEEN 120 AND 365 AND first_sale_price > 0
+  AND (second_sale_price - first_sale_price) / first_sale_price >= -0.5
+  AND second_sale_date >= {RECENT_180}
+""")
+def resale_flips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.resale_flips(_flip_sales(spark, sf_dir), P.customer_parcels(spark, sf_dir),
+                          as_of=P.AS_OF, city=P.CITY)
+
+
+BULK_KEYS_SQL = """SELECT o_orderdate, o_orderpriority, count(*) AS n FROM orders
+  WHERE o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL
+  GROUP BY o_orderdate, o_orderpriority HAVING count(*) > 3"""
+
+
+@register("bulk_transfer_filter", f"""
+SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_totalprice FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM ({BULK_KEYS_SQL}) b
+                  WHERE b.o_orderdate = o.o_orderdate AND b.o_orderpriority = o.o_orderpriority)
+""")
+def bulk_transfer_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homestat.operators.relational import drop_bulk
+    o = P.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
+                                                "o_totalprice")
+    return drop_bulk(o, ["o_orderdate", "o_orderpriority"], threshold=3)
+
+
+@register("bulk_transfer_keys", BULK_KEYS_SQL)
+def bulk_transfer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homestat.operators.relational import bulk_keys
+    o = P.table(spark, sf_dir, "orders")
+    return bulk_keys(o, ["o_orderdate", "o_orderpriority"], threshold=3)
+
+
+# ------------------------------------------------------------------ M7, M8, M10
+
+def _meaning_sql(x: str) -> str:
+    return (f"CASE WHEN {x} < 0.95 THEN 'Selling below assessed — buyers getting value' "
+            f"WHEN {x} < 1.05 THEN 'Near assessed value — fair market' "
+            f"WHEN {x} < 1.20 THEN 'Selling above assessed — competitive zip' "
+            f"ELSE 'Well above assessed — high demand area' END")
+
+
+def _buyer_sql(x: str) -> str:
+    return (f"CASE WHEN {x} > 1.3 THEN 'Well above assessed' WHEN {x} > 1.1 THEN 'Above assessed' "
+            f"WHEN {x} >= 0.95 THEN 'Near assessed value' ELSE 'Below assessed' END")
+
+
+@register("assessment_ratio", f"""
+WITH p AS (SELECT p_partkey AS account_key, {sql_zip5(BRAND_NO)} AS zip, p_retailprice AS just FROM part),
+s AS (SELECT l_partkey AS account_key, {UNIT_PRICE} AS sale_price FROM lineitem WHERE l_shipdate >= {NOW_365}),
+m AS (SELECT zip, sale_price / just AS r FROM s JOIN p USING (account_key)
+      WHERE regexp_matches(zip, '^[0-9]+$') AND just > 0),
+g AS (SELECT zip, round(median(r), 9) AS median_ratio FROM m GROUP BY zip)
+SELECT zip, median_ratio, {_meaning_sql('median_ratio')} AS meaning FROM g
+""")
+def assessment_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.assessment_ratio(P.lineitem_sales(spark, sf_dir), P.part_parcels(spark, sf_dir), as_of=P.AS_OF,
+                              zip_pattern=P.NUMERIC_ZIP, median_decimals=9)
+
+
+@register("buyer_value_index", f"""
+WITH p AS (SELECT p_partkey AS account_key, {sql_zip5(BRAND_NO)} AS zip, p_retailprice AS just FROM part
+           WHERE p_size > 0 AND p_retailprice > 0),
+pz AS (SELECT * FROM p WHERE regexp_matches(zip, '^[0-9]+$')),
+av AS (SELECT zip, {sql_fixed_mean('just')} AS avg_assessed FROM pz GROUP BY zip),
+s AS (SELECT l_partkey AS account_key, {UNIT_PRICE} AS sale_price FROM lineitem WHERE l_shipdate >= {NOW_365}),
+g AS (SELECT zip, round(median(sale_price), 9) AS median_sale_price, count(sale_price) AS sales_volume
+      FROM s JOIN pz USING (account_key) GROUP BY zip HAVING count(sale_price) >= 20)
+SELECT zip, median_sale_price, sales_volume, avg_assessed, median_sale_price / avg_assessed AS value_ratio,
+       {_buyer_sql('median_sale_price / avg_assessed')} AS buyer_signal
+FROM g JOIN av USING (zip)
+""")
+def buyer_value_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.buyer_value_index(P.lineitem_sales(spark, sf_dir), P.part_parcels(spark, sf_dir), as_of=P.AS_OF,
+                               zip_pattern=P.NUMERIC_ZIP, scale=2, median_decimals=9)
+
+
+@register("investor_activity", f"""
+WITH p AS (SELECT c_custkey AS account_key, {sql_zip5('c_nationkey')} AS zip,
+                  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'X' END AS homestead FROM customer),
+s AS (SELECT o_custkey AS account_key FROM orders WHERE o_orderdate >= {NOW_365})
+SELECT zip, count(account_key) AS total_sales,
+       avg(CASE WHEN coalesce(trim(homestead) <> 'X', true) THEN 1.0 ELSE 0.0 END) AS investor_share
+FROM s JOIN p USING (account_key) WHERE regexp_matches(zip, '^[0-9]+$') GROUP BY zip
+""")
+def investor_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.investor_activity(P.orders_sales(spark, sf_dir), P.customer_parcels(spark, sf_dir), as_of=P.AS_OF,
+                               zip_pattern=P.NUMERIC_ZIP)
