@@ -66,3 +66,90 @@ def part_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("p_partkey").alias("account"), F.col("p_partkey").alias("account_key"),
                     F.substring_index(F.col("p_brand"), "#", -1).alias("zip"),
                     F.col("p_size").cast("double").alias("living"), F.col("p_retailprice").alias("just"))
+
+
+# ------------------------------------------------------------------ series
+
+def weekly_price_series(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
+    """(price_df, ratio_df) per week ending Sunday: median order price with its
+    change vs 52 weeks earlier, and the share of fulfilled orders."""
+    from homestat.operators.aggregates import group_median
+
+    o = table(spark, sf_dir, "orders").select(
+        F.lit(REGION).alias("region"),
+        F.date_add(F.to_date(F.date_trunc("week", F.col("o_orderdate"))), 6).alias("period_end"),
+        F.col("o_totalprice"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(1.0)).otherwise(F.lit(0.0)).alias("_fulfilled"))
+    med = group_median(o, ["region", "period_end"], "o_totalprice", out="median_price")
+    med = med.withColumn("median_price", F.round("median_price", median_decimals))
+    prev = med.select("region", F.date_add("period_end", 364).alias("period_end"),
+                      F.col("median_price").alias("_prev"))
+    price = med.join(prev, ["region", "period_end"], "left").select(
+        "region", "period_end", "median_price",
+        (F.try_divide(F.col("median_price"), F.col("_prev")) - F.lit(1.0)).alias("price_yoy"))
+    ratio = o.groupBy("region", "period_end").agg(F.avg("_fulfilled").alias("sale_to_list"))
+    return price, ratio
+
+
+def daily_event_series(spark: SparkSession, sf_dir: str, *, yoy_lag_days: int = 7):
+    """(supply, listings, sold) per day from one aggregation of `events`:
+    views = supply (with its change vs `yoy_lag_days` earlier), signups = new
+    listings, purchases = homes sold."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "signup", "purchase"))
+    daily = ev.groupBy(F.lit(REGION).alias("region"), F.to_date("ts").alias("period_end"), "event_type") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    pick = lambda t, name: daily.where(F.col("event_type") == t).select(
+        "region", "period_end", F.col("n").alias(name))
+    supply = pick("view", "supply")
+    prev = supply.select("region", F.date_add("period_end", yoy_lag_days).alias("period_end"),
+                         F.col("supply").alias("_prev"))
+    supply = supply.join(prev, ["region", "period_end"], "left").select(
+        "region", "period_end", "supply", (F.col("supply") - F.col("_prev")).alias("supply_yoy_abs"))
+    return supply, pick("signup", "new_listings"), pick("purchase", "homes_sold")
+
+
+def _month_end_text(c):
+    return F.date_format(F.last_day(c), "yyyy-MM-dd")
+
+
+def monthly_wide(long_df, value: str, ids=("region",)):
+    """Long (ids, month_text, value) -> one row per id with a column per month end."""
+    ids = list(ids)
+    return long_df.groupBy(*ids).pivot("_month").agg(F.first(value))
+
+
+def value_index_wide(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
+    """Monthly median order price as a wide index table (one column per month end)."""
+    from homestat.operators.aggregates import group_median
+
+    o = table(spark, sf_dir, "orders").select(F.lit(REGION).alias("region"),
+                                              _month_end_text(F.col("o_orderdate")).alias("_month"),
+                                              "o_totalprice")
+    med = group_median(o, ["region", "_month"], "o_totalprice", out="v")
+    return monthly_wide(med.withColumn("v", F.round("v", median_decimals)), "v")
+
+
+def rent_series_long(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
+    """Monthly 'rent': median line price / 12, long (region, month, value)."""
+    from homestat.operators.aggregates import group_median
+
+    li = table(spark, sf_dir, "lineitem").select(F.lit(REGION).alias("region"),
+                                                 _month_end_text(F.col("l_shipdate")).alias("_month"),
+                                                 "l_extendedprice")
+    med = group_median(li, ["region", "_month"], "l_extendedprice", out="v")
+    return med.select("region", "_month", (F.round("v", median_decimals) / F.lit(12.0)).alias("v"))
+
+
+def rent_index_wide(spark: SparkSession, sf_dir: str):
+    return monthly_wide(rent_series_long(spark, sf_dir), "v")
+
+
+def unit_value_by_zip(spark: SparkSession, sf_dir: str, *, median_decimals: int = 9):
+    """Monthly median unit price per brand number, long (zip, month, value)."""
+    from homestat.operators.aggregates import group_median
+
+    li = lineitem_sales(spark, sf_dir).select("account_key", F.last_day("sale_date").alias("month"), "sale_price")
+    parts = part_parcels(spark, sf_dir).select("account_key", "zip")
+    j = li.join(parts, "account_key")
+    med = group_median(j, ["zip", "month"], "sale_price", out="value")
+    return med.withColumn("value", F.round("value", median_decimals))

@@ -220,3 +220,119 @@ FROM s JOIN p USING (account_key) WHERE regexp_matches(zip, '^[0-9]+$') GROUP BY
 def investor_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.investor_activity(P.orders_sales(spark, sf_dir), P.customer_parcels(spark, sf_dir), as_of=P.AS_OF,
                                zip_pattern=P.NUMERIC_ZIP)
+
+
+# ------------------------------------------------------------------ M1, M2, M3, M4, M9
+
+def _signal_sql(ratio: str, delta: str) -> str:
+    label = (f"CASE WHEN {ratio} > 1.0 THEN 'SELLERS CONTROL' WHEN {ratio} < 0.97 THEN 'BUYERS LEVERAGE' "
+             f"ELSE 'NEUTRAL' END")
+    price = f"CASE WHEN {delta} IS NOT NULL THEN ', Price ' || CASE WHEN {delta} < 0 THEN 'DOWN' ELSE 'UP' END ELSE '' END"
+    return f"{label} || ' (Ratio: ' || coalesce({sql_pct(ratio, 1)}, 'nan%') || {price} || ')'"
+
+
+WEEKLY_SQL = """
+o AS (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) + 6 AS period_end, o_totalprice,
+             CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS f FROM orders),
+w AS (SELECT period_end, round(median(o_totalprice), 4) AS median_price, avg(f) AS sale_to_list
+      FROM o GROUP BY period_end),
+y AS (SELECT a.period_end, a.median_price, a.sale_to_list, a.median_price / b.median_price - 1.0 AS price_yoy
+      FROM w a LEFT JOIN w b ON b.period_end = a.period_end - 364)"""
+
+
+@register("price_pressure", f"""
+WITH {WEEKLY_SQL},
+l AS (SELECT * FROM y ORDER BY period_end DESC LIMIT 4),
+d AS (SELECT *, median_price / lag(median_price) OVER (ORDER BY period_end) - 1.0 AS price_delta FROM l)
+SELECT 'ALL' AS region, period_end AS week, median_price, sale_to_list, price_yoy, price_delta,
+       {_signal_sql('sale_to_list', 'price_delta')} AS signal
+FROM d
+""")
+def price_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price, ratio = P.weekly_price_series(spark, sf_dir)
+    return M.price_pressure(price, ratio)
+
+
+DAILY_SQL = """
+d AS (SELECT CAST(ts AS DATE) AS period_end, event_type, count(*) AS n FROM events
+      WHERE event_type IN ('view', 'signup', 'purchase') GROUP BY 1, 2),
+sup AS (SELECT period_end, n AS supply FROM d WHERE event_type = 'view'),
+sy AS (SELECT a.period_end, a.supply, a.supply - b.supply AS supply_yoy_abs
+       FROM sup a LEFT JOIN sup b ON b.period_end = a.period_end - 7),
+lis AS (SELECT period_end, n AS new_listings FROM d WHERE event_type = 'signup'),
+sol AS (SELECT period_end, n AS homes_sold FROM d WHERE event_type = 'purchase')"""
+
+
+@register("inventory_absorption", f"""
+WITH {DAILY_SQL},
+j AS (SELECT * FROM sy JOIN lis USING (period_end) JOIN sol USING (period_end) ORDER BY period_end DESC LIMIT 4)
+SELECT 'ALL' AS region, period_end AS week, CAST(supply AS DOUBLE) AS weeks_of_supply,
+       CAST(new_listings AS DOUBLE) AS new_listings, CAST(homes_sold AS DOUBLE) AS homes_sold,
+       CASE WHEN supply > 18 THEN 'Buyer''s Market — Lots of inventory to choose from'
+            WHEN supply < 8 THEN 'Seller''s Market — Limited homes available'
+            ELSE 'Balanced Market — Normal amount of inventory' END AS market_state,
+       CASE WHEN supply - supply_yoy_abs > 0 THEN supply_yoy_abs / (supply - supply_yoy_abs) END AS supply_yoy,
+       CAST(homes_sold AS DOUBLE) / CAST(new_listings AS DOUBLE) AS absorption_ratio
+FROM j
+""")
+def inventory_absorption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supply, listings, sold = P.daily_event_series(spark, sf_dir)
+    return M.inventory_absorption(supply, listings, sold)
+
+
+RENT_SQL = """r AS (SELECT last_day(l_shipdate) AS month, round(median(l_extendedprice), 4) / 12.0 AS rent
+      FROM lineitem GROUP BY 1)"""
+
+
+@register("trend_lines", f"""
+WITH v AS (SELECT last_day(o_orderdate) AS month, round(median(o_totalprice), 4) AS zhvi FROM orders GROUP BY 1),
+v6 AS (SELECT * FROM v ORDER BY month DESC LIMIT 6),
+{RENT_SQL},
+j AS (SELECT v6.month, zhvi, coalesce(r.rent, 0.0) AS zori FROM v6 LEFT JOIN r USING (month)),
+pj AS (SELECT {sql_fixed_mean('p_retailprice')} AS avg_just FROM part WHERE p_retailprice > 0 AND p_size > 0),
+f AS (SELECT month, zhvi, zori,
+             CASE WHEN zhvi > 0 THEN zori * 12 / zhvi ELSE 0.0 END AS flow_ratio,
+             CASE WHEN avg_just > 0 THEN (zhvi - avg_just) / avg_just ELSE 0.0 END AS appraisal_gap
+      FROM j, pj)
+SELECT 'ALL' AS region, month, zhvi, zori, flow_ratio, appraisal_gap,
+       CASE WHEN flow_ratio > lag(flow_ratio) OVER (ORDER BY month) * 1.001 THEN '↑ Expanding'
+            WHEN flow_ratio < lag(flow_ratio) OVER (ORDER BY month) * 0.999 THEN '↓ Compressing'
+            ELSE '→ Flat' END AS direction
+FROM f
+""")
+def trend_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.trend_lines(P.value_index_wide(spark, sf_dir), P.rent_index_wide(spark, sf_dir),
+                         P.part_parcels(spark, sf_dir), scale=2)
+
+
+@register("cash_flow_zones", f"""
+WITH {RENT_SQL},
+lr AS (SELECT rent FROM r WHERE month = (SELECT max(month) FROM r WHERE rent IS NOT NULL)),
+p AS (SELECT {sql_number(BRAND_NO)} AS z, p_retailprice AS just FROM part WHERE p_retailprice > 0 AND p_size > 0),
+z AS (SELECT CAST(CAST(z AS INTEGER) AS VARCHAR) AS zip, {sql_fixed_mean('just')} AS avg_assessed
+      FROM p WHERE z IS NOT NULL AND starts_with(CAST(z AS VARCHAR), '') GROUP BY z)
+SELECT zip, avg_assessed, rent * 12 AS est_annual_rent, rent * 12 / avg_assessed AS cash_flow_ratio,
+       row_number() OVER (ORDER BY rent * 12 / avg_assessed DESC NULLS LAST, zip) AS rank
+FROM z, lr
+""")
+def cash_flow_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homestat.operators.relational import unpivot_dates
+    rent_long = unpivot_dates(P.rent_index_wide(spark, sf_dir), ["region"])
+    latest = M.latest_value(rent_long, out="rent")
+    return M.cash_flow_zones(latest, P.part_parcels(spark, sf_dir), zip_prefix="", scale=2)
+
+
+@register("appraisal_gap", f"""
+WITH v AS (SELECT {sql_zip5(BRAND_NO)} AS zip, last_day(l_shipdate) AS month,
+                  round(median({UNIT_PRICE}), 9) AS value
+           FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
+lv AS (SELECT {sql_number('zip')} AS zip_code, value AS zhvi FROM v WHERE month = (SELECT max(month) FROM v)),
+a AS (SELECT {sql_number(sql_zip5(BRAND_NO))} AS zip_code, {sql_fixed_mean('p_retailprice')} AS avg_just
+      FROM part WHERE {sql_number(sql_zip5(BRAND_NO))} IS NOT NULL GROUP BY 1),
+g AS (SELECT zip_code, zhvi, avg_just, (zhvi - avg_just) / avg_just AS gap_pct FROM lv JOIN a USING (zip_code))
+SELECT zip_code, zhvi, avg_just, gap_pct,
+       CASE WHEN gap_pct > 0.15 THEN 'HOT_MARKET' WHEN gap_pct <= 0 THEN 'COOLING' ELSE '' END AS flag
+FROM g WHERE CASE WHEN gap_pct > 0.15 THEN 'HOT_MARKET' WHEN gap_pct <= 0 THEN 'COOLING' ELSE '' END <> ''
+""")
+def appraisal_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.appraisal_gap(P.unit_value_by_zip(spark, sf_dir), P.part_parcels(spark, sf_dir), scale=2)
