@@ -336,3 +336,249 @@ FROM g WHERE CASE WHEN gap_pct > 0.15 THEN 'HOT_MARKET' WHEN gap_pct <= 0 THEN '
 """)
 def appraisal_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.appraisal_gap(P.unit_value_by_zip(spark, sf_dir), P.part_parcels(spark, sf_dir), scale=2)
+
+
+# ------------------------------------------------------------------ single operators
+
+@register("latest_n", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) AS rn
+  FROM orders) WHERE rn <= 3
+""")
+def q_latest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: newest three orders of every customer."""
+    from homestat.operators.windows import latest_n
+    o = P.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return latest_n(o, "o_custkey", ["o_orderdate", "o_orderkey"], 3)
+
+
+@register("pct_change", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice,
+       o_totalprice / lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1.0 AS price_change
+FROM orders
+""")
+def q_pct_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change of each order's price vs the customer's previous order."""
+    from homestat.operators.windows import pct_change
+    o = P.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return pct_change(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice", "price_change")
+
+
+@register("trend_direction", """
+WITH m AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, sum(l_quantity) AS qty
+           FROM lineitem GROUP BY 1)
+SELECT month, qty, CASE WHEN qty > lag(qty) OVER (ORDER BY month) * 1.001 THEN '↑ Expanding'
+                        WHEN qty < lag(qty) OVER (ORDER BY month) * 0.999 THEN '↓ Compressing'
+                        ELSE '→ Flat' END AS direction
+FROM m
+""")
+def q_trend_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-over-month direction of shipped quantity (±0.1 % dead band)."""
+    from homestat.operators.windows import direction
+    li = P.table(spark, sf_dir, "lineitem")
+    m = li.groupBy(F.to_date(F.date_trunc("month", "l_shipdate")).alias("month")).agg(F.sum("l_quantity").alias("qty"))
+    return direction(m, None, "month", "qty")
+
+
+@register("consecutive_pairs", """
+SELECT * FROM (
+  SELECT o_custkey, o_orderdate AS first_o_orderdate, o_totalprice AS first_o_totalprice,
+         o_orderkey AS first_o_orderkey,
+         lead(o_orderdate) OVER w AS second_o_orderdate, lead(o_totalprice) OVER w AS second_o_totalprice,
+         lead(o_orderkey) OVER w AS second_o_orderkey
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate ASC NULLS LAST, o_orderkey))
+WHERE second_o_orderkey IS NOT NULL
+""")
+def q_consecutive_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order paired with the customer's next order."""
+    from homestat.operators.windows import consecutive_pairs
+    o = P.table(spark, sf_dir, "orders")
+    return consecutive_pairs(o, "o_custkey", "o_orderdate", ["o_orderkey"], ["o_totalprice", "o_orderkey"])
+
+
+@register("rank_by_ratio", """
+SELECT c_custkey, c_acctbal, CAST(row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS BIGINT) AS rank
+FROM customer
+""")
+def q_rank_by_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global 1..n rank of customers by balance (skew-proof sorted layout)."""
+    from homestat.operators.windows import rank_by
+    c = P.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return rank_by(c, None, "c_acctbal", tie=["c_custkey"])
+
+
+@register("rank_within_group", """
+SELECT c_nationkey, c_custkey, c_acctbal,
+       CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS BIGINT) AS rank
+FROM customer
+""")
+def q_rank_within_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 per group: rank of customers by balance inside each nation."""
+    from homestat.operators.windows import rank_by
+    c = P.table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
+    return rank_by(c, "c_nationkey", "c_acctbal", tie=["c_custkey"])
+
+
+@register("median_by_group", """
+SELECT l_returnflag, l_linestatus, round(median(l_extendedprice), 4) AS median_price, count(l_extendedprice) AS n
+FROM lineitem GROUP BY 1, 2
+""")
+def q_median_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2/A3: exact median and count of line prices per (return flag, status) —
+    three hot groups over the whole line-item table."""
+    from homestat.operators.aggregates import group_median
+    li = P.table(spark, sf_dir, "lineitem")
+    m = group_median(li, ["l_returnflag", "l_linestatus"], "l_extendedprice", out="median_price", count_out="n")
+    return m.withColumn("median_price", F.round("median_price", 4))
+
+
+@register("mean_by_group", f"""
+SELECT l_returnflag, {sql_fixed_mean('l_extendedprice')} AS mean_price FROM lineitem GROUP BY 1
+""")
+def q_mean_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact (fixed-point) mean line price per return flag."""
+    from homestat.operators.aggregates import group_mean
+    return group_mean(P.table(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice",
+                      out="mean_price", scale=2)
+
+
+@register("share_by_group", """
+SELECT o_orderpriority, count(*) AS total, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS share
+FROM orders GROUP BY 1
+""")
+def q_share_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: orders per priority and the share already fulfilled."""
+    from homestat.operators.aggregates import group_share
+    o = P.table(spark, sf_dir, "orders")
+    return group_share(o, "o_orderpriority", F.col("o_orderstatus") == "F")
+
+
+@register("argmax_group", """
+SELECT c_nationkey, c_custkey, c_acctbal FROM (
+  SELECT c_nationkey, c_custkey, c_acctbal,
+         row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey DESC) AS rn
+  FROM customer WHERE c_acctbal IS NOT NULL) WHERE rn = 1
+""")
+def q_argmax_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer with the highest balance in each nation."""
+    from homestat.operators.aggregates import arg_extreme
+    c = P.table(spark, sf_dir, "customer")
+    return arg_extreme(c, "c_nationkey", "c_acctbal", ["c_custkey", "c_acctbal"], tie=["c_custkey"])
+
+
+@register("argmin_group", """
+SELECT p_brand, p_partkey, p_retailprice FROM (
+  SELECT p_brand, p_partkey, p_retailprice,
+         row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice ASC, p_partkey ASC) AS rn
+  FROM part WHERE p_retailprice IS NOT NULL) WHERE rn = 1
+""")
+def q_argmin_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: the cheapest part of every brand."""
+    from homestat.operators.aggregates import arg_extreme
+    p = P.table(spark, sf_dir, "part")
+    return arg_extreme(p, "p_brand", "p_retailprice", ["p_partkey", "p_retailprice"], largest=False,
+                       tie=["p_partkey"])
+
+
+@register("latest_per_group", """
+SELECT o_custkey, o_orderdate, o_totalprice FROM (
+  SELECT o_custkey, o_orderdate, o_totalprice,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders WHERE o_orderdate IS NOT NULL) WHERE rn = 1
+""")
+def q_latest_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chronologically last order of each customer via max_by."""
+    from homestat.operators.aggregates import arg_extreme
+    o = P.table(spark, sf_dir, "orders")
+    return arg_extreme(o, "o_custkey", "o_orderdate", ["o_orderdate", "o_totalprice"], tie=["o_orderkey"])
+
+
+# ------------------------------------------------------------------ scalar functions
+
+@register("normalize_account", """
+SELECT c_custkey, regexp_replace(regexp_replace(regexp_extract(c_name, '#(.*)$', 1), '^\\s+|\\s+$', '', 'g'),
+                                 '^0+', '') AS account_key
+FROM customer
+""")
+def q_normalize_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC1: zero-padded account numbers from the customer names, unpadded."""
+    from homestat.functions.scalars import normalize_account
+    c = P.table(spark, sf_dir, "customer")
+    return c.select("c_custkey", normalize_account(F.regexp_extract("c_name", "#(.*)$", 1)).alias("account_key"))
+
+
+def _address_sql(x: str) -> str:
+    from homestat.functions.scalars import ADDRESS_ABBREVIATIONS
+    s = f"regexp_replace(upper({x}), '^\\s+|\\s+$', '', 'g')"
+    s = f"regexp_replace({s}, '[^A-Z0-9\\s]', '', 'g')"
+    for full, abbr in ADDRESS_ABBREVIATIONS:
+        s = f"replace({s}, '{full}', '{abbr}')"
+    return f"coalesce(regexp_replace({s}, '\\s+', ' ', 'g'), '')"
+
+
+@register("normalize_address", f"""
+SELECT p_partkey, {_address_sql("p_name || ' street, north #' || p_type")} AS address FROM part
+""")
+def q_normalize_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC2: part names dressed as street addresses, normalised."""
+    from homestat.functions.scalars import normalize_address
+    p = P.table(spark, sf_dir, "part")
+    raw = F.concat(F.col("p_name"), F.lit(" street, north #"), F.col("p_type"))
+    return p.select("p_partkey", normalize_address(raw).alias("address"))
+
+
+@register("build_address", f"SELECT account_key AS c_custkey, address FROM ({SQL_ADDRESS})")
+def q_build_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC3/SC4: address line assembled from customer fields with a 5-character zip."""
+    from homestat.functions.scalars import build_address
+    c = P.customer_parcels(spark, sf_dir)
+    return c.select(F.col("account_key").alias("c_custkey"),
+                    build_address(F.col("locn"), F.col("locs"), F.col("locd"), F.col("unit"), F.col("zip"),
+                                  P.CITY).alias("address"))
+
+
+@register("number_cleaning", f"""
+SELECT event_id, {sql_number("regexp_replace(regexp_extract(props, ':([^}}]*)', 1), '[\",]', '', 'g')")} AS k
+FROM events
+""")
+def q_number_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC5/SC8: numbers pulled out of JSON text, quotes and separators removed, coerced."""
+    from homestat.functions.scalars import clean_number
+    ev = P.table(spark, sf_dir, "events")
+    return ev.select("event_id", clean_number(F.regexp_extract("props", ":([^}]*)", 1)).alias("k"))
+
+
+@register("date_formats", """
+SELECT o_orderkey, strftime(o_orderdate, '%b %d') AS week_label, strftime(o_orderdate, '%b %d, %Y') AS day_label,
+       strftime(o_orderdate, '%b %Y') AS month_label, strftime(o_orderdate, '%B %d, %Y') AS long_label,
+       date_diff('day', o_orderdate, TIMESTAMP '2001-01-01 00:00:00') AS days_to_as_of
+FROM orders
+""")
+def q_date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC10/SC11: display formats of order dates and whole days to as_of."""
+    from homestat.functions import scalars as S
+    o = P.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", S.week_label("o_orderdate").alias("week_label"),
+                    S.day_label("o_orderdate").alias("day_label"), S.month_label("o_orderdate").alias("month_label"),
+                    S.long_day_label("o_orderdate").alias("long_label"),
+                    S.days_between(F.col("o_orderdate"), F.lit("2001-01-01 00:00:00").cast("timestamp_ntz"))
+                    .alias("days_to_as_of"))
+
+
+@register("display_formats", f"""
+SELECT o_orderkey, '$' || format('{{:,.0f}}', o_totalprice) AS price_text,
+       {sql_pct('o_totalprice / 500000.0', 1, True)} AS share_text,
+       ({sql_fixed('o_totalprice / 100000.0', 2)} || 'x') AS ratio_text,
+       least(100, CAST(trunc(o_totalprice / 500000.0 * 100) AS INTEGER)) AS bar_width
+FROM orders
+""")
+def q_display_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC17/SC20: money, signed percent, ratio text and share-bar width."""
+    from homestat.functions import scalars as S
+    o = P.table(spark, sf_dir, "orders")
+    share = F.col("o_totalprice") / F.lit(500000.0)
+    return o.select("o_orderkey", S.money_text("o_totalprice").alias("price_text"),
+                    S.pct_text(share, 1, signed=True).alias("share_text"),
+                    S.ratio_text(F.col("o_totalprice") / F.lit(100000.0), 2).alias("ratio_text"),
+                    S.bar_width(share).alias("bar_width"))
