@@ -582,3 +582,298 @@ def q_display_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
                     S.pct_text(share, 1, signed=True).alias("share_text"),
                     S.ratio_text(F.col("o_totalprice") / F.lit(100000.0), 2).alias("ratio_text"),
                     S.bar_width(share).alias("bar_width"))
+
+
+# ------------------------------------------------------------------ history (K2, K3, W5, A8), health
+
+EVENT_RUNS_SQL = """SELECT CAST(ts AS DATE) AS run_date, event_type AS metric, count(*) AS n
+  FROM events GROUP BY 1, 2"""
+
+
+def _event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = P.table(spark, sf_dir, "events")
+    return ev.groupBy(F.to_date("ts").alias("run_date"), F.col("event_type").alias("metric")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("metric_counts", f"""
+SELECT DATE '2001-01-01' AS run_date, metric, n FROM (
+  SELECT 'zip_price_trends' AS metric, count(*) AS n FROM (SELECT DISTINCT c_nationkey FROM customer WHERE c_acctbal > 0
+      AND c_nationkey IN (SELECT c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey
+                          WHERE o_orderdate >= {NOW_365} AND c_acctbal > 0)
+      AND c_nationkey IN (SELECT c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey
+                          WHERE o_orderdate >= {PRIOR_730} AND o_orderdate < {NOW_365} AND c_acctbal > 0))
+  UNION ALL SELECT 'bulk_transfer_keys', count(*) FROM ({BULK_KEYS_SQL})
+  UNION ALL SELECT 'flip_summary', 0)
+""")
+def q_metric_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count of each result of a run (non-table results count 0)."""
+    import datetime as dt
+    from homestat.sources.history import metric_counts
+    results = {"zip_price_trends": zip_price_trends(spark, sf_dir),
+               "bulk_transfer_keys": bulk_transfer_keys(spark, sf_dir),
+               "flip_summary": "text result"}
+    return metric_counts(spark, results, dt.date(2001, 1, 1))
+
+
+@register("history_retention", f"""
+SELECT run_date, metric, n FROM ({EVENT_RUNS_SQL}) WHERE date_diff('day', run_date, DATE '2024-01-30') <= 28
+""")
+def q_history_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: runs kept by the 28-day retention at as_of 2024-01-30 (the first day expires)."""
+    from homestat.sources.history import expire_history
+    kept, _ = expire_history(_event_runs(spark, sf_dir), P.EVENTS_AS_OF.date(), days=28)
+    return kept
+
+
+@register("metric_history_trend", f"""
+SELECT run_date, metric, n, lag(n) OVER (PARTITION BY metric ORDER BY run_date) AS prev_n,
+       n - lag(n) OVER (PARTITION BY metric ORDER BY run_date) AS delta
+FROM ({EVENT_RUNS_SQL})
+""")
+def q_metric_history_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-over-run change of every metric's count."""
+    from homestat.sources.history import metric_trend
+    return metric_trend(_event_runs(spark, sf_dir))
+
+
+HEALTH_SQL = """
+WITH h AS (
+  SELECT 'orders' AS source, count(*) AS row_count, max(o_orderdate) AS newest FROM orders
+  UNION ALL SELECT 'lineitem', count(*), max(l_shipdate) FROM lineitem
+  UNION ALL SELECT 'events', count(*), max(ts) FROM events
+  UNION ALL SELECT 'customer', count(*), CAST(NULL AS TIMESTAMP) FROM customer
+  UNION ALL SELECT 'part', count(*), CAST(NULL AS TIMESTAMP) FROM part),
+s AS (SELECT *, date_diff('day', newest, TIMESTAMP '2001-01-01 00:00:00') AS age_days,
+             CASE WHEN row_count = 0 THEN 'FAILED' ELSE 'OK' END AS status FROM h)
+SELECT *, count(*) FILTER (WHERE status = 'OK') OVER () AS healthy_sources,
+       count(*) FILTER (WHERE status = 'OK') OVER () = 0 AS degraded FROM s"""
+
+
+def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from homestat.sources.health import source_health
+    t = lambda n: P.table(spark, sf_dir, n)
+    return source_health({"orders": (t("orders"), "o_orderdate"), "lineitem": (t("lineitem"), "l_shipdate"),
+                          "events": (t("events"), "ts"), "customer": (t("customer"), None),
+                          "part": (t("part"), None)}, P.AS_OF)
+
+
+@register("source_health", HEALTH_SQL)
+def q_source_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-source rows, newest date, age and status; the run is degraded when all fail."""
+    return _health(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ M11 snapshot
+
+def _tagged(df: DataFrame) -> DataFrame:
+    return df.withColumn("region", F.lit(P.REGION))
+
+
+def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.market_snapshot(price_pressure(spark, sf_dir), inventory_absorption(spark, sf_dir),
+                             _tagged(zip_price_trends(spark, sf_dir)), _tagged(buyer_value_index(spark, sf_dir)),
+                             _tagged(resale_flips(spark, sf_dir)))
+
+
+def _labels_sql() -> str:
+    sup = "weeks_supply"
+    money = "'$' || format('{:,.0f}', median_price)"
+    has = "median_price IS NOT NULL AND median_price <> 0"
+    sup_t = sql_fixed(sup, 0)
+    phase = (f"CASE WHEN {sup} IS NULL THEN 'Market Data Unavailable' "
+             f"WHEN {sup} >= 18 AND (price_yoy IS NULL OR price_yoy < 0) THEN 'Buyer''s Market' "
+             f"WHEN {sup} >= 18 THEN 'Shifting Toward Buyers' "
+             f"WHEN {sup} <= 8 AND price_yoy IS NOT NULL AND price_yoy > 0 THEN 'Seller''s Market' "
+             f"WHEN {sup} <= 8 THEN 'Cooling Seller''s Market' ELSE 'Balanced Market' END")
+    return f"""
+  CASE WHEN median_price IS NULL AND price_yoy IS NULL AND sale_to_list IS NULL THEN ''
+       WHEN price_yoy IS NOT NULL THEN {sql_pct('price_yoy', 1, True)} || ' vs. last year ('
+            || CASE WHEN price_yoy > 0 THEN 'up' ELSE 'down' END || ')'
+       ELSE 'Year-over-year change unavailable' END AS price_yoy_label,
+  CASE WHEN {sup} IS NULL THEN '' WHEN {sup} > 18 THEN 'Buyers have significant leverage'
+       WHEN {sup} < 8 THEN 'Limited homes available — competitive market' ELSE 'Balanced inventory levels' END
+       AS supply_label,
+  {phase} AS market_phase,
+  CASE WHEN contains({phase}, 'Buyer') AND {has} AND {sup_t} IS NOT NULL
+         THEN 'With ' || {sup_t} || ' months of supply and a median price of ' || {money}
+              || ', buyers currently have more negotiating room than usual.'
+       WHEN contains({phase}, 'Seller') AND {has} AND {sup_t} IS NOT NULL
+         THEN 'With only ' || {sup_t} || ' months of supply and prices at ' || {money}
+              || ', sellers are in a strong position — expect competition.'
+       WHEN {has} AND {sup_t} IS NOT NULL
+         THEN 'The market is balanced. Median sale price is ' || {money} || ' with ' || {sup_t}
+              || ' months of inventory.'
+       ELSE 'See sections below for detailed market conditions.' END AS headline"""
+
+
+SNAPSHOT_SQL = None  # filled below, once all component SQL strings exist
+
+
+def _snapshot_sql() -> str:
+    q = ORACLE_SQL
+    return f"""
+WITH pp AS ({q['price_pressure']}), inv AS ({q['inventory_absorption']}), zt AS ({q['zip_price_trends']}),
+bv AS ({q['buyer_value_index']}), fl AS ({q['resale_flips']}),
+p AS (SELECT median_price, price_yoy, sale_to_list FROM pp ORDER BY week DESC LIMIT 1),
+i AS (SELECT weeks_of_supply AS weeks_supply, new_listings, homes_sold FROM inv ORDER BY week DESC LIMIT 1),
+h AS (SELECT zip AS hottest_zip, yoy_change AS hy, sales_volume AS hv FROM zt
+      WHERE yoy_change > 0 AND sales_volume >= 20 ORDER BY yoy_change DESC, zip DESC LIMIT 1),
+b AS (SELECT zip AS best_value_zip, value_ratio AS bvr FROM bv WHERE value_ratio IS NOT NULL
+      ORDER BY value_ratio ASC, zip ASC LIMIT 1),
+f AS (SELECT count(*) AS flip_count, count(*) FILTER (WHERE outcome = 'PROFITABLE') AS prof FROM fl),
+base AS (SELECT * FROM p CROSS JOIN i CROSS JOIN f LEFT JOIN h ON true LEFT JOIN b ON true)
+SELECT 'ALL' AS region, median_price, price_yoy, sale_to_list, weeks_supply, new_listings, homes_sold, {_labels_sql()},
+  hottest_zip,
+  CASE WHEN hottest_zip IS NOT NULL THEN 'Zip ' || hottest_zip || ' saw the strongest price growth ('
+       || {sql_pct('hy', 1, True)} || ') with ' || CAST(hv AS VARCHAR) || ' sales in the past year' ELSE '' END
+       AS hottest_zip_label,
+  best_value_zip,
+  CASE WHEN best_value_zip IS NOT NULL THEN 'Zip ' || best_value_zip || ' has the lowest sale-to-assessed ratio ('
+       || {sql_fixed('bvr', 2)} || 'x) — relatively more affordable' ELSE '' END AS best_value_label,
+  flip_count, CASE WHEN flip_count > 0 THEN prof / flip_count ELSE 0.0 END AS flip_profitable_pct,
+  CASE WHEN flip_count > 0 THEN CAST(flip_count AS VARCHAR) || ' total — ' || CAST(prof AS VARCHAR)
+       || ' profitable, ' || CAST(flip_count - prof AS VARCHAR) || ' loss' ELSE 'No flips detected' END AS flip_summary
+FROM base
+"""
+
+
+@register("market_snapshot", _snapshot_sql())
+def q_market_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One summary row built from price, inventory, zip trends, value index and flips."""
+    return _snapshot(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ X1–X10 report sections
+
+def _wrap(sql: str, extra: str) -> str:
+    return f"SELECT *, {extra} FROM ({sql})"
+
+
+@register("report_buyer_value", _wrap(ORACLE_SQL["buyer_value_index"],
+          "CASE WHEN value_ratio > 1.3 THEN 'badge-warning' WHEN value_ratio < 0.95 THEN 'badge-success' "
+          f"ELSE 'badge-neutral' END AS badge, {sql_fixed('value_ratio', 2)} || 'x' AS ratio_text"))
+def q_report_buyer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5."""
+    from homestat.plans.report import buyer_value_section
+    return buyer_value_section(buyer_value_index(spark, sf_dir))
+
+
+@register("report_price_changes", _wrap(ORACLE_SQL["zip_price_trends"],
+          "CASE WHEN yoy_change > 0.05 THEN 'badge-warning' WHEN yoy_change < -0.05 THEN 'badge-down' "
+          "ELSE 'badge-neutral' END AS badge, yoy_flag = 'low_data' AS limited_data, "
+          f"{sql_pct('yoy_change', 1, True)} AS yoy_text"))
+def q_report_price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6."""
+    from homestat.plans.report import price_change_section
+    return price_change_section(zip_price_trends(spark, sf_dir))
+
+
+@register("report_assessments", _wrap(ORACLE_SQL["assessment_ratio"],
+          "CASE WHEN median_ratio > 1.2 THEN 'badge-warning' WHEN median_ratio < 0.95 THEN 'badge-success' "
+          f"ELSE 'badge-neutral' END AS badge, {sql_fixed('median_ratio', 2)} || 'x' AS ratio_text"))
+def q_report_assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X7."""
+    from homestat.plans.report import assessment_section
+    return assessment_section(assessment_ratio(spark, sf_dir))
+
+
+@register("report_investors", _wrap(ORACLE_SQL["investor_activity"],
+          "CASE WHEN investor_share > 0.6 THEN 'badge-warning' WHEN investor_share < 0.3 THEN 'badge-success' "
+          "ELSE 'badge-neutral' END AS badge, least(100, CAST(trunc(investor_share * 100) AS INTEGER)) AS bar_width, "
+          f"{sql_pct('investor_share', 0)} AS share_text"))
+def q_report_investors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X9."""
+    from homestat.plans.report import investor_section
+    return investor_section(investor_activity(spark, sf_dir))
+
+
+@register("report_flips", f"""
+SELECT * EXCLUDE (rn), rn AS position,
+  CASE WHEN sqft IS NOT NULL AND sqft <> 0 THEN format('{{:,.0f}}', sqft) || ' sqft' ||
+       CASE WHEN beds IS NOT NULL AND beds <> 0 THEN ', ' || {sql_fixed('beds', 0)} || ' bed' ELSE '' END END AS detail,
+  CASE WHEN outcome = 'PROFITABLE' THEN 'badge-success' ELSE 'badge-danger' END AS badge,
+  {sql_pct('markup_pct', 1, True)} AS markup_text,
+  strftime(first_sale_date, '%b %d, %Y') AS first_label, strftime(second_sale_date, '%b %d, %Y') AS second_label
+FROM (SELECT *, row_number() OVER (PARTITION BY outcome ORDER BY account ASC NULLS LAST, first_sale_date,
+                                   second_sale_date) AS rn
+      FROM ({ORACLE_SQL['resale_flips']})) WHERE rn <= 10
+""")
+def q_report_flips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First ten profitable and ten loss flips in account order."""
+    from homestat.plans.report import flip_section
+    return flip_section(resale_flips(spark, sf_dir))
+
+
+@register("report_prices", f"""
+SELECT *, strftime(week, '%b %d') AS week_label,
+  CASE WHEN median_price IS NOT NULL AND median_price <> 0 THEN '$' || format('{{:,.0f}}', median_price) ELSE 'N/A' END
+    AS price_text,
+  coalesce({sql_pct('price_delta', 1, True)}, '—') AS delta_text,
+  coalesce({sql_pct('price_yoy', 1, True)}, '—') AS yoy_text,
+  CASE WHEN lr IS NOT NULL AND lr <> 0 AND lr < 0.97 THEN 'Homes are selling below asking price (' || {sql_pct('lr', 1)}
+            || ' of list on average). Buyers may have room to negotiate.'
+       WHEN lr IS NOT NULL AND lr <> 0 AND lr > 1.0 THEN 'Homes are selling above asking price (' || {sql_pct('lr', 1)}
+            || ' of list). Expect competition and consider offering at or above list price.'
+       ELSE 'Homes are selling near asking price. The market is fairly balanced right now.' END AS insight
+FROM (SELECT *, first_value(sale_to_list) OVER (ORDER BY week DESC) AS lr FROM ({ORACLE_SQL['price_pressure']}))
+""".replace("SELECT *, strftime", "SELECT * EXCLUDE (lr), strftime"))
+def q_report_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2."""
+    from homestat.plans.report import price_section
+    return price_section(price_pressure(spark, sf_dir))
+
+
+@register("report_inventory", f"""
+SELECT * EXCLUDE (ls, ll, lh), strftime(week, '%b %d') AS week_label,
+  coalesce({sql_pct('supply_yoy', 1, True)}, 'N/A') AS yoy_text,
+  CASE WHEN ls IS NOT NULL AND ls <> 0 AND ls > 18 THEN 'At ' || {sql_fixed('ls', 0)}
+            || ' months of supply, buyers have significant negotiating power — there are more homes available than buyers right now.'
+       WHEN ls IS NOT NULL AND ls <> 0 AND ls < 8 THEN 'At only ' || {sql_fixed('ls', 0)}
+            || ' months of supply, homes are moving fast. Buyers should be prepared to act quickly.'
+       ELSE 'The market has a relatively balanced amount of inventory.' END ||
+  CASE WHEN ll IS NOT NULL AND ll <> 0 AND lh IS NOT NULL AND lh <> 0 THEN ' New listings (' || format('{{:,.0f}}', ll)
+       || ') are ' || CASE WHEN ll > lh THEN 'outpacing' ELSE 'below' END || ' homes sold (' || format('{{:,.0f}}', lh)
+       || ') this week.' ELSE '' END AS insight
+FROM (SELECT *, first_value(weeks_of_supply) OVER (ORDER BY week DESC) AS ls,
+             first_value(new_listings) OVER (ORDER BY week DESC) AS ll,
+             first_value(homes_sold) OVER (ORDER BY week DESC) AS lh FROM ({ORACLE_SQL['inventory_absorption']}))
+""")
+def q_report_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3."""
+    from homestat.plans.report import inventory_section
+    return inventory_section(inventory_absorption(spark, sf_dir))
+
+
+@register("report_trend", f"""
+SELECT * EXCLUDE (lf, lz, lr), strftime(month, '%b %Y') AS month_label,
+  'A ' || {sql_pct('lf', 1)} || ' annual rent-to-value ratio means that for a typical ' || '$' || format('{{:,.0f}}', lz)
+  || ' home, gross annual rent is roughly ' || '$' || format('{{:,.0f}}', lr * 12) || '.' AS insight
+FROM (SELECT *, first_value(flow_ratio) OVER (ORDER BY month DESC) AS lf, first_value(zhvi) OVER (ORDER BY month DESC) AS lz,
+             first_value(zori) OVER (ORDER BY month DESC) AS lr FROM ({ORACLE_SQL['trend_lines']}))
+""")
+def q_report_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4."""
+    from homestat.plans.report import trend_section
+    return trend_section(trend_lines(spark, sf_dir))
+
+
+@register("report_snapshot", f"""
+SELECT *, CASE WHEN median_price IS NOT NULL AND median_price <> 0 THEN '$' || format('{{:,.0f}}', median_price) END
+          AS price_text,
+       CASE WHEN weeks_supply IS NOT NULL AND weeks_supply <> 0 THEN {sql_fixed('weeks_supply', 0)} || ' mo' END
+          AS supply_text
+FROM ({ORACLE_SQL['market_snapshot']})
+""")
+def q_report_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1."""
+    from homestat.plans.report import snapshot_cells
+    return snapshot_cells(_snapshot(spark, sf_dir))
+
+
+@register("report_health", _wrap(HEALTH_SQL.replace("\n", " "),
+          "CASE WHEN status = 'OK' THEN 'badge-success' ELSE 'badge-danger' END AS badge"))
+def q_report_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X10."""
+    from homestat.plans.report import health_section
+    return health_section(_health(spark, sf_dir))
