@@ -118,7 +118,7 @@ def days_between(start, end) -> Column:
 
 def parse_us_date(c) -> Column:
     """'M/d/yyyy' text -> DATE, NULL when malformed."""
-    return F.try_to_date(strip_ws(c), F.lit("M/d/yyyy")) if hasattr(F, "try_to_date") \
+    return F.try_to_date(strip_ws(c), "M/d/yyyy") if hasattr(F, "try_to_date") \
         else F.to_date(strip_ws(c), "M/d/yyyy")
 
 
@@ -133,7 +133,7 @@ def parse_timestamp(c) -> Column:
 def stem_date(c) -> Column:
     """Date from an 8-digit 'YYYYMMDD' token (file stems such as history_20260402)."""
     tok = F.regexp_extract(col_of(c), r"(?:^|_)([0-9]{8})$", 1)
-    return F.when(F.length(tok) == 8, F.try_to_date(tok, F.lit("yyyyMMdd")))
+    return F.when(F.length(tok) == 8, F.try_to_date(tok, "yyyyMMdd"))
 
 
 def discovery_name(c) -> Column:

@@ -55,7 +55,7 @@ def read_history_json(spark: SparkSession, pattern: str) -> DataFrame:
     `pattern` should match only dated files (e.g. `history_*.json`), never a
     'latest' copy, or that run is counted twice."""
     raw = spark.read.schema(HISTORY_JSON_SCHEMA).option("multiLine", True).json(pattern)
-    return (raw.select(F.try_to_date("run_date", F.lit("yyyyMMdd")).alias("run_date"),
+    return (raw.select(F.try_to_date("run_date", "yyyyMMdd").alias("run_date"),
                        F.explode("metric_counts").alias("metric", "n"))
             .where(F.col("run_date").isNotNull()))
 
