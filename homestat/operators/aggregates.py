@@ -43,15 +43,15 @@ def group_median(df: DataFrame, by, value: str, *, out: str = "median", count_ou
     base = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     lay = sorted_layout(base, by, ["_v"], partitions)
     offs = partition_offsets(lay, by)
-    # ranks of the middle element(s): (n+1) div 2 and n div 2 + 1 (equal when n is odd)
-    lo_k = F.floor((F.col("_n") + 1) / 2)
-    hi_k = F.floor(F.col("_n") / 2) + 1
-    targets = None
-    for tag, k in (("lo", lo_k), ("hi", hi_k)):
-        t = (offs.where((k > F.col("_before")) & (k <= F.col("_before") + F.col("_cnt")))
-             .select(PID, (F.col("_first") + k - F.col("_before") - 1).alias(POS),
-                     F.lit(tag).alias("_tag"), "_n"))
-        targets = t if targets is None else targets.unionByName(t)
+    # ranks of the middle element(s): (n+1) div 2 and n div 2 + 1 (equal when n is odd);
+    # both are looked up in one pass over the per-partition offsets
+    ks = F.array(F.struct(F.lit("lo").alias("tag"), F.floor((F.col("_n") + 1) / 2).alias("k")),
+                 F.struct(F.lit("hi").alias("tag"), (F.floor(F.col("_n") / 2) + 1).alias("k")))
+    t = offs.select(PID, "_first", "_before", "_cnt", "_n", F.explode(ks).alias("_t"))
+    k = F.col("_t.k")
+    targets = (t.where((k > F.col("_before")) & (k <= F.col("_before") + F.col("_cnt")))
+               .select(PID, (F.col("_first") + k - F.col("_before") - 1).alias(POS),
+                       F.col("_t.tag").alias("_tag"), "_n"))
     picked = lay.join(targets, on=[PID, POS], how="inner")
     res = picked.groupBy(*by).agg(
         F.max(F.when(F.col("_tag") == "lo", F.col("_v"))).alias("_lo"),

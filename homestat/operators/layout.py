@@ -51,11 +51,12 @@ def partition_offsets(layout: DataFrame, by: list[str]) -> DataFrame:
     one row per partition, so it stays bounded however hot the group is.
     """
     summary = layout.groupBy(PID, *by).agg(F.min(POS).alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    w_all = Window.partitionBy(*by) if by else Window.partitionBy()
-    w_prev = w_all.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    return (summary
-            .withColumn("_before", F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)))
-            .withColumn("_n", F.sum("_cnt").over(w_all)))
+    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(PID)
+    # one Window operator: both frames share partitioning and order
+    w_prev = w.rowsBetween(Window.unboundedPreceding, -1)
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return summary.select("*", F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)).alias("_before"),
+                          F.sum("_cnt").over(w_all).alias("_n"))
 
 
 def ranked(df: DataFrame, by: list[str], order: list, out: str = "rank",

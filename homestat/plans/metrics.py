@@ -192,6 +192,10 @@ def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: d
         "account_key",
         build_address(part("locn"), part("locs"), part("locd"), part("unit"), part("zip"), city).alias("address"),
         to_number(part("beds")).alias("beds"), to_number(part("living")).alias("sqft"))
+    # Only parcels of flipped accounts are needed: a semi join against the (small)
+    # flip keys lets the planner broadcast those keys after measuring them, so the
+    # parcel table is scanned and filtered in place instead of being shuffled.
+    lookup = lookup.join(f.select("account_key").distinct(), on="account_key", how="left_semi")
     out = join_on_account(f, lookup, how="left")
     return out.withColumn("address", F.coalesce(F.col("address"), F.lit(L.ADDRESS_UNAVAILABLE))) \
         .drop("account_key")
@@ -335,27 +339,40 @@ def market_snapshot(price: DataFrame, inventory: DataFrame, zip_trends: DataFram
     snap = snap.withColumn("flip_count", F.coalesce(F.col("flip_count"), F.lit(0)).cast("bigint"))
     snap = snap.withColumn("flip_profitable_pct", F.when(F.col("flip_count") > 0, F.coalesce(
         F.col("_profitable"), F.lit(0)) / F.col("flip_count")).otherwise(F.lit(0.0)))
+    snap = snap.withColumn("flip_count_in_range", L.in_sane_range(F.col("flip_count")))
     snap = snap.withColumn("flip_summary", L.flip_summary(
         F.col("flip_count"), F.coalesce(F.col("_profitable"), F.lit(0)),
         F.col("flip_count") - F.coalesce(F.col("_profitable"), F.lit(0)))).drop("_profitable")
     return snap.select(*by, "median_price", "price_yoy", "price_yoy_label", "sale_to_list", "weeks_supply",
                        "supply_label", "new_listings", "homes_sold", "market_phase", "headline",
                        "hottest_zip", "hottest_zip_label", "best_value_zip", "best_value_label",
-                       "flip_count", "flip_profitable_pct", "flip_summary")
+                       "flip_count", "flip_profitable_pct", "flip_count_in_range", "flip_summary")
 
 
 def run_metrics(sources: dict, *, as_of: dt.datetime, region: str = "ALL", min_sale_price: float = 10000.0,
-                zip_pattern: str = SARASOTA_ZIP, city: str = "", **options) -> dict[str, DataFrame]:
+                zip_pattern: str = SARASOTA_ZIP, city: str = "", materialize: bool = False,
+                **options) -> dict[str, DataFrame]:
     """Every metric from one set of cleaned sources, snapshot last.
 
     `sources` may hold: sales, parcels, price, ratio, supply, listings, sold,
     value_wide, rent_wide. Missing sources skip their metrics (no exception is
     swallowed for present ones). Sales below `min_sale_price` are dropped first.
+
+    With `materialize`, the filtered sales and the parcels are checkpointed once
+    to the shared `spark.checkpoint.dir` before the metrics read them: the eight
+    metric plans then start from stored files (short lineage, nothing recomputed
+    when an executor is lost) instead of re-running the cleaning each time.
     """
     out: dict[str, DataFrame] = {}
     sales, parcels = sources.get("sales"), sources.get("parcels")
     if sales is not None:
         sales = sales.where(F.col("sale_price") > min_sale_price)
+    if materialize:
+        from homestat.session import checkpoint_dir
+        spark = (sales if sales is not None else parcels).sparkSession
+        checkpoint_dir(spark)
+        sales = sales.checkpoint(eager=True) if sales is not None else None
+        parcels = parcels.checkpoint(eager=True) if parcels is not None else None
     if sources.get("price") is not None and sources.get("ratio") is not None:
         out["price_pressure"] = price_pressure(sources["price"], sources["ratio"])
     if all(sources.get(k) is not None for k in ("supply", "listings", "sold")):

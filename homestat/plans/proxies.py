@@ -112,36 +112,63 @@ def _month_end_text(c):
     return F.date_format(F.last_day(c), "yyyy-MM-dd")
 
 
-def monthly_wide(long_df, value: str, ids=("region",)):
-    """Long (ids, month_text, value) -> one row per id with a column per month end."""
-    ids = list(ids)
-    return long_df.groupBy(*ids).pivot("_month").agg(F.first(value))
+def month_values(df, column: str = "_month") -> list[str]:
+    """Distinct month-end names of a raw scan (a small aggregate: one row per month).
+
+    Handing them to `pivot` saves Spark from running the whole upstream plan just
+    to discover the column names."""
+    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+
+
+def monthly_wide(long_df, value: str, months: list[str], ids=("region",)):
+    """Long (ids, _month, value) -> one row per id with a column per month end."""
+    return long_df.groupBy(*list(ids)).pivot("_month", months).agg(F.first(value))
+
+
+def _orders_by_month(spark: SparkSession, sf_dir: str):
+    return table(spark, sf_dir, "orders").select(F.lit(REGION).alias("region"),
+                                                 _month_end_text(F.col("o_orderdate")).alias("_month"),
+                                                 "o_totalprice")
+
+
+def _lines_by_month(spark: SparkSession, sf_dir: str):
+    return table(spark, sf_dir, "lineitem").select(F.lit(REGION).alias("region"),
+                                                   _month_end_text(F.col("l_shipdate")).alias("_month"),
+                                                   "l_extendedprice")
 
 
 def value_index_wide(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
     """Monthly median order price as a wide index table (one column per month end)."""
     from homestat.operators.aggregates import group_median
 
-    o = table(spark, sf_dir, "orders").select(F.lit(REGION).alias("region"),
-                                              _month_end_text(F.col("o_orderdate")).alias("_month"),
-                                              "o_totalprice")
+    o = _orders_by_month(spark, sf_dir)
     med = group_median(o, ["region", "_month"], "o_totalprice", out="v")
-    return monthly_wide(med.withColumn("v", F.round("v", median_decimals)), "v")
+    return monthly_wide(med.withColumn("v", F.round("v", median_decimals)), "v", month_values(o))
 
 
 def rent_series_long(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
-    """Monthly 'rent': median line price / 12, long (region, month, value)."""
+    """Monthly 'rent': median line price / 12, long (region, _month, v)."""
     from homestat.operators.aggregates import group_median
 
-    li = table(spark, sf_dir, "lineitem").select(F.lit(REGION).alias("region"),
-                                                 _month_end_text(F.col("l_shipdate")).alias("_month"),
-                                                 "l_extendedprice")
+    li = _lines_by_month(spark, sf_dir)
     med = group_median(li, ["region", "_month"], "l_extendedprice", out="v")
     return med.select("region", "_month", (F.round("v", median_decimals) / F.lit(12.0)).alias("v"))
 
 
 def rent_index_wide(spark: SparkSession, sf_dir: str):
-    return monthly_wide(rent_series_long(spark, sf_dir), "v")
+    return monthly_wide(rent_series_long(spark, sf_dir), "v", month_values(_lines_by_month(spark, sf_dir)))
+
+
+def latest_rent(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
+    """Rent of the newest month (one row). The newest month is found on the scan
+    first, so the median runs over that month's rows only."""
+    from homestat.operators.aggregates import group_median
+
+    li = _lines_by_month(spark, sf_dir)
+    newest = li.agg(F.max("_month").alias("_m"))
+    rows = li.join(F.broadcast(newest), F.col("_month") == F.col("_m"))
+    med = group_median(rows, [], "l_extendedprice", out="v")
+    return med.select((F.round("v", median_decimals) / F.lit(12.0)).alias("rent"))
 
 
 def unit_value_by_zip(spark: SparkSession, sf_dir: str, *, median_decimals: int = 9):

@@ -316,10 +316,7 @@ SELECT zip, avg_assessed, rent * 12 AS est_annual_rent, rent * 12 / avg_assessed
 FROM z, lr
 """)
 def cash_flow_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from homestat.operators.relational import unpivot_dates
-    rent_long = unpivot_dates(P.rent_index_wide(spark, sf_dir), ["region"])
-    latest = M.latest_value(rent_long, out="rent")
-    return M.cash_flow_zones(latest, P.part_parcels(spark, sf_dir), zip_prefix="", scale=2)
+    return M.cash_flow_zones(P.latest_rent(spark, sf_dir), P.part_parcels(spark, sf_dir), zip_prefix="", scale=2)
 
 
 @register("appraisal_gap", f"""
@@ -732,6 +729,7 @@ SELECT 'ALL' AS region, median_price, price_yoy, sale_to_list, weeks_supply, new
   CASE WHEN best_value_zip IS NOT NULL THEN 'Zip ' || best_value_zip || ' has the lowest sale-to-assessed ratio ('
        || {sql_fixed('bvr', 2)} || 'x) — relatively more affordable' ELSE '' END AS best_value_label,
   flip_count, CASE WHEN flip_count > 0 THEN prof / flip_count ELSE 0.0 END AS flip_profitable_pct,
+  flip_count BETWEEN 10 AND 150 AS flip_count_in_range,
   CASE WHEN flip_count > 0 THEN CAST(flip_count AS VARCHAR) || ' total — ' || CAST(prof AS VARCHAR)
        || ' profitable, ' || CAST(flip_count - prof AS VARCHAR) || ' loss' ELSE 'No flips detected' END AS flip_summary
 FROM base

@@ -199,9 +199,12 @@ def test_run_metrics_and_snapshot(spark, county):
     lis = spark.createDataFrame([("ALL", D(2026, 3, 1), 10.0)], "region string, period_end date, new_listings double")
     sold = spark.createDataFrame([("ALL", D(2026, 3, 1), 5.0)], "region string, period_end date, homes_sold double")
     res = M.run_metrics({"sales": sales, "parcels": parcels, "price": price, "ratio": ratio, "supply": sup,
-                         "listings": lis, "sold": sold}, as_of=AS_OF)
+                         "listings": lis, "sold": sold}, as_of=AS_OF, materialize=True)
     snap = res["market_snapshot"].first()
     assert snap["market_phase"] == L.PHASE_BUYERS
     assert snap["headline"].startswith("With 20 months of supply and a median price of $400,000")
     assert snap["flip_summary"] == "5 total — 3 profitable, 2 loss"
     assert snap["hottest_zip"] is None and snap["hottest_zip_label"] == ""
+    assert snap["flip_count_in_range"] is False
+    assert set(res) == {"price_pressure", "inventory_absorption", "buyer_value_index", "zip_price_trends",
+                        "assessment_ratio", "investor_activity", "flip_detector", "market_snapshot"}
