@@ -118,8 +118,7 @@ def days_between(start, end) -> Column:
 
 def parse_us_date(c) -> Column:
     """'M/d/yyyy' text -> DATE, NULL when malformed."""
-    return F.try_to_date(strip_ws(c), "M/d/yyyy") if hasattr(F, "try_to_date") \
-        else F.to_date(strip_ws(c), "M/d/yyyy")
+    return F.try_to_date(strip_ws(c), "M/d/yyyy")
 
 
 def parse_timestamp(c) -> Column:
