@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from homestat.functions import labels as L
-from homestat.operators.layout import ranked
+from homestat.operators.layout import PID, POS, ranked, sorted_layout
 
 
 def _as_list(x) -> list:
@@ -57,39 +57,42 @@ def consecutive_pairs(df: DataFrame, by, order: str, tie: list[str], carry: list
                       first_prefix: str = "first_", second_prefix: str = "second_") -> DataFrame:
     """Pair every row with the next row of its group (by `order` asc, NULLs last, then `tie`).
 
-    Output: group keys, then first_/second_ copies of `order` and `carry`.
+    Output: group keys, then first_/second_ copies of `order` and `carry`. `tie`
+    should make the order unique (rows that tie completely are interchangeable).
 
-    Skew-proof: rows are range-partitioned on (group, order, tie), so one group can
-    span many partitions. Pairs inside a partition come from `lead` over
-    (partition, group); a pair that straddles two partitions is rebuilt from each
-    partition's first and last row (one summary row per partition).
+    Skew-proof: rows are range-partitioned on (group, order, tie) and sorted, so
+    one group can span many partitions and every row gets its partition id and
+    position. Pairs inside a partition come from `lead` over (partition, group);
+    a pair straddling a partition boundary joins the last row of one partition
+    (position = max) to the first row of the next (position 0): two tiny sets of
+    at most one row per partition.
     """
     by = _as_list(by)
     vals = [order] + [c for c in carry if c != order]
     sort_key = F.struct(*[F.col(b) for b in by], F.col(order).isNull().alias("_null"),
                         F.col(order).alias("_o"), *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)])
-    base = df.select(*by, *vals, *[t for t in tie if t not in vals], sort_key.alias("_key"))
-    lay = base.repartitionByRange(F.col("_key")).withColumn("_pid", F.spark_partition_id())
+    base = df.select(*by, *vals, sort_key.alias("_key"))
+    lay = sorted_layout(base, [], ["_key"]).drop("_key")
 
-    w = Window.partitionBy("_pid", *by).orderBy("_key")
+    w = Window.partitionBy(PID, *by).orderBy(POS)
     nxt = [F.lead(c).over(w).alias(f"_next_{c}") for c in vals]
     has_next = F.lead(F.lit(1)).over(w).alias("_has_next")
     inside = (lay.select(*by, *vals, *nxt, has_next).where(F.col("_has_next").isNotNull())
               .select(*by, *[F.col(c).alias(first_prefix + c) for c in vals],
                       *[F.col(f"_next_{c}").alias(second_prefix + c) for c in vals]))
 
-    row = F.struct(*[F.col(c) for c in by + vals])
-    ends = lay.groupBy("_pid").agg(F.min_by(row, F.col("_key")).alias("_head"),
-                                   F.max_by(row, F.col("_key")).alias("_tail"))
-    w_pid = Window.partitionBy().orderBy("_pid")
-    ends = ends.withColumn("_prev_tail", F.lag("_tail").over(w_pid)).where(F.col("_prev_tail").isNotNull())
-    same = None
+    cols = by + vals
+    firsts = lay.where(F.col(POS) == 0).select(PID, F.lit(0).alias("_end"), *cols)
+    last_pos = lay.groupBy(PID).agg(F.max(POS).alias(POS))
+    lasts = lay.join(last_pos, on=[PID, POS], how="inner").select(PID, F.lit(1).alias("_end"), *cols)
+    ends = firsts.unionByName(lasts)
+    w_end = Window.partitionBy().orderBy(PID, "_end")  # at most two rows per partition
+    prev = [F.lag(c).over(w_end).alias(f"_prev_{c}") for c in cols]
+    ends = ends.select(PID, "_end", *cols, F.lag("_end").over(w_end).alias("_prev_end"),
+                       F.lag(PID).over(w_end).alias("_prev_pid"), *prev)
+    across = ends.where((F.col("_end") == 0) & (F.col("_prev_end") == 1) & (F.col("_prev_pid") != F.col(PID)))
     for b in by:
-        cond = F.col(f"_prev_tail.{b}").eqNullSafe(F.col(f"_head.{b}"))
-        same = cond if same is None else same & cond
-    if same is not None:
-        ends = ends.where(same)
-    across = ends.select(*[F.col(f"_head.{b}").alias(b) for b in by],
-                         *[F.col(f"_prev_tail.{c}").alias(first_prefix + c) for c in vals],
-                         *[F.col(f"_head.{c}").alias(second_prefix + c) for c in vals])
+        across = across.where(F.col(f"_prev_{b}").eqNullSafe(F.col(b)))
+    across = across.select(*by, *[F.col(f"_prev_{c}").alias(first_prefix + c) for c in vals],
+                           *[F.col(c).alias(second_prefix + c) for c in vals])
     return inside.unionByName(across)
