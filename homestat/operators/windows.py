@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from homestat.functions import labels as L
-from homestat.operators.layout import PID, POS, ranked, sorted_layout
+from homestat.operators.layout import PID, POS, null_safe_join, ranked, sorted_layout
 
 
 def _as_list(x) -> list:
@@ -27,21 +27,61 @@ def latest_n(df: DataFrame, by, order, n: int, *, newest_first: bool = True) ->
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def pct_change(df: DataFrame, by, order, value: str, out: str) -> DataFrame:
+def _with_carry(df: DataFrame, by: list[str], order, value: str, ignorenulls: bool):
+    """Sorted layout plus `_carry`: the group's last value (last non-null with
+    `ignorenulls`) in earlier partitions. Returns (frame, window over partition+group)."""
+    keys = [F.col(b).asc() for b in by] + _orders(order)
+    lay = sorted_layout(df, [], keys)
+    pos = F.when(F.col(value).isNotNull(), F.col(POS)) if ignorenulls else F.col(POS)
+    summary = lay.groupBy(PID, *by).agg(F.max_by(F.col(value), pos).alias("_last"))
+    earlier = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(PID)
+    if ignorenulls:
+        carried = F.last("_last", ignorenulls=True).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    else:
+        carried = F.lag("_last").over(earlier)
+    carry = summary.select(PID, *by, carried.alias("_carry"))
+    return null_safe_join(lay, carry, [PID, *by]), Window.partitionBy(PID, *by).orderBy(POS)
+
+
+def pct_change(df: DataFrame, by, order, value: str, out: str, *, bounded_groups: bool = False) -> DataFrame:
     """Change vs the previous row of the group, after carrying the last non-null value
-    forward (so a gap repeats the last value). Division by zero gives NULL."""
-    w = Window.partitionBy(*_as_list(by)).orderBy(*_orders(order))
-    filled = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn("_filled", filled)
-    prev = F.lag("_filled").over(w)
-    return df.withColumn(out, F.try_divide(F.col("_filled"), prev) - F.lit(1.0)).drop("_filled")
+    forward (so a gap repeats the last value). Division by zero gives NULL.
+
+    Skew-proof by default: rows are range-partitioned on (group, order), so a group
+    may span many partitions; each (partition, group) starts its forward fill from
+    the last non-null value of the group's earlier partitions (one summary row per
+    partition and group). `bounded_groups=True` is for inputs whose groups have a
+    proven small size (e.g. after `latest_n`): one plain window.
+    """
+    by = _as_list(by)
+    if bounded_groups:
+        w = Window.partitionBy(*by).orderBy(*_orders(order))
+        filled = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        prev = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return df.withColumn(out, F.try_divide(filled, prev) - F.lit(1.0))
+    j, w = _with_carry(df, by, order, value, ignorenulls=True)
+    filled = F.coalesce(F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+                        F.col("_carry"))
+    prev = F.coalesce(F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                      F.col("_carry"))
+    return j.withColumn(out, F.try_divide(filled, prev) - F.lit(1.0)).drop(PID, POS, "_carry")
 
 
 def direction(df: DataFrame, by, order, value: str, out: str = "direction",
-              band: float = 0.001) -> DataFrame:
-    """Up / down / flat vs the previous row with a ±`band` dead zone; first row flat."""
-    w = Window.partitionBy(*_as_list(by)).orderBy(*_orders(order))
-    return df.withColumn(out, L.trend_direction(F.col(value), F.lag(value).over(w), band))
+              band: float = 0.001, *, bounded_groups: bool = False) -> DataFrame:
+    """Up / down / flat vs the previous row with a ±`band` dead zone; first row flat.
+
+    Skew-proof like `pct_change` (the previous row may sit in an earlier partition);
+    `bounded_groups=True` uses one plain window for short series."""
+    by = _as_list(by)
+    if bounded_groups:
+        w = Window.partitionBy(*by).orderBy(*_orders(order))
+        return df.withColumn(out, L.trend_direction(F.col(value), F.lag(value).over(w), band))
+    j, w = _with_carry(df, by, order, value, ignorenulls=False)
+    # the first row of a (partition, group) compares with the carried value; the
+    # group's very first row has no carry, so it stays flat
+    prev = F.when(F.lag(F.lit(1)).over(w).isNull(), F.col("_carry")).otherwise(F.lag(value).over(w))
+    return j.withColumn(out, L.trend_direction(F.col(value), prev, band)).drop(PID, POS, "_carry")
 
 
 def rank_by(df: DataFrame, by, order_desc: str, tie: list[str] | None = None, out: str = "rank") -> DataFrame:

@@ -56,7 +56,7 @@ def price_pressure(price_df: DataFrame, ratio_df: DataFrame, *, by=("region",),
     j = price_df.select(*by, "period_end", "median_price", "price_yoy").join(
         ratio_df.select(*by, "period_end", "sale_to_list"), on=[*by, "period_end"], how="inner")
     j = latest_n(j, by, "period_end", latest)
-    j = pct_change(j, by, "period_end", "median_price", "price_delta")
+    j = pct_change(j, by, "period_end", "median_price", "price_delta", bounded_groups=True)  # <= `latest` rows
     return j.select(*by, F.col("period_end").alias("week"), "median_price", "sale_to_list",
                     "price_yoy", "price_delta",
                     L.price_signal(F.col("sale_to_list"), F.col("price_delta")).alias("signal"))
@@ -136,7 +136,7 @@ def trend_lines(value_wide: DataFrame, rent_wide: DataFrame, parcels: DataFrame,
     gap = F.when(F.col("avg_just") > 0, F.try_divide(F.col("zhvi") - F.col("avg_just"), F.col("avg_just"))) \
         .otherwise(F.lit(0.0))
     j = j.select(*ids, "month", "zhvi", "zori", flow.alias("flow_ratio"), gap.alias("appraisal_gap"))
-    return direction(j, ids, "month", "flow_ratio", out="direction")
+    return direction(j, ids, "month", "flow_ratio", out="direction", bounded_groups=True)  # <= `months` rows
 
 
 def appraisal_gap(value_long_by_zip: DataFrame, parcels: DataFrame, *, scale: int | None = None) -> DataFrame:

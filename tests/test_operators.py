@@ -185,3 +185,51 @@ def test_share_mean_argextreme(spark):
     top = {r["g"]: r["v"] for r in A.arg_extreme(df, "g", "v", ["v"]).collect()}
     low = {r["g"]: r["v"] for r in A.arg_extreme(df, "g", "v", ["v"], largest=False).collect()}
     assert top == {"a": 3.3, "b": 0.05} and low == {"a": 1.1, "b": 0.05}
+
+
+def test_pct_change_skewed_matches_pandas(spark):
+    import pandas as pd
+    rnd = random.Random(21)
+    rows = []
+    for i in range(3000):
+        g = "hot" if i % 2 == 0 else (None if i % 97 == 0 else f"g{rnd.randint(0, 30)}")
+        v = None if rnd.random() < 0.15 else float(rnd.randint(0, 20))
+        rows.append((g, i, v))
+    df = spark.createDataFrame(rows, "g string, t long, v double")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["t"]: r["c"] for r in W.pct_change(df, "g", "t", "v", "c").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    pdf = pd.DataFrame(rows, columns=["g", "t", "v"]).sort_values("t")
+    pdf["g"] = pdf["g"].fillna("<null>")
+    for _, grp in pdf.groupby("g"):
+        filled = grp["v"].ffill()
+        prev = filled.shift(1)
+        for t, f, p in zip(grp["t"], filled, prev):
+            exp = None if pd.isna(f) or pd.isna(p) or p == 0 else f / p - 1.0
+            assert (got[t] is None and exp is None) or got[t] == pytest.approx(exp), (t, got[t], exp)
+
+
+def test_direction_skewed_matches_brute_force(spark):
+    rnd = random.Random(4)
+    rows = [("hot" if i % 2 == 0 else f"g{rnd.randint(0, 20)}", i, float(rnd.choice([1.0, 1.0005, 1.002, 0.99])))
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, t long, v double")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["t"]: r["direction"] for r in W.direction(df, "g", "t", "v").collect()}
+        small = {r["t"]: r["direction"] for r in W.direction(df, "g", "t", "v", bounded_groups=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    prev = {}
+    for g, t, v in sorted(rows, key=lambda r: r[1]):
+        p = prev.get(g)
+        exp = "→ Flat" if p is None else ("↑ Expanding" if v > p * 1.001 else "↓ Compressing" if v < p * 0.999
+                                         else "→ Flat")
+        assert got[t] == exp and small[t] == exp
+        prev[g] = v
