@@ -875,3 +875,97 @@ def q_report_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X10."""
     from homestat.plans.report import health_section
     return health_section(_health(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ landed-file scans
+# Data derived from the driver tables is written in each landed format under the
+# session's shared checkpoint folder, then read back through the library's scans.
+
+@register("weekly_export_scan", """
+WITH o AS (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) + 6 AS period_end, o_totalprice FROM orders)
+SELECT 'ALL' AS region, period_end, round(median(o_totalprice), 4) AS median_price FROM o GROUP BY period_end
+""")
+def q_weekly_export_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2/S3/SC5/SC6: weekly medians exported as a UTF-16 tab crosstab ('M/d/yyyy'
+    dates, thousands separators), found by its byte-order mark and read back."""
+    from homestat.operators.aggregates import group_median
+    from homestat.sources import exports as X
+    from homestat.sources.readers import read_weekly_detect
+    o = P.table(spark, sf_dir, "orders").select(
+        F.date_add(F.to_date(F.date_trunc("week", "o_orderdate")), 6).alias("period_end"), "o_totalprice")
+    med = group_median(o, "period_end", "o_totalprice", out="m").withColumn("m", F.round("m", 4))
+    text = med.select(X.us_date_text("period_end").alias("Period End"),
+                      F.format_number("m", 4).alias("Median Sale Price"))
+    path = X.scratch_path(spark, "weekly")
+    X.write_weekly_csv(text, path, encoding="UTF-16")
+    return read_weekly_detect(spark, path, region="ALL").select("region", "period_end", "median_price")
+
+
+@register("county_export_scan", """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS account,
+       regexp_replace(lpad(CAST(c_custkey AS VARCHAR), 10, '0'), '^0+', '') AS account_key,
+       CAST(c_nationkey AS VARCHAR) AS zip, c_acctbal AS living, c_name || ' Peña' AS locs,
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'X' END AS homestead
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+""")
+def q_county_export_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4/M13/F2/P1/SC1: customers exported as a Latin-1 parcel file (zero-padded
+    accounts, untidy city names, an extra column), cleaned for one city."""
+    from homestat.sources import exports as X
+    from homestat.sources.readers import clean_parcels, read_county
+    c = P.table(spark, sf_dir, "customer")
+    raw = c.select(F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("ACCOUNT"),
+                   F.col("c_custkey").cast("string").alias("LOCN"),
+                   F.concat(F.col("c_name"), F.lit(" Peña")).alias("LOCS"),
+                   F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.lit("  springfield "))
+                   .otherwise(F.lit("Shelbyville")).alias("LOCCITY"),
+                   F.col("c_nationkey").cast("string").alias("LOCZIP"),
+                   F.col("c_acctbal").cast("string").alias("LIVING"),
+                   F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("X")).alias("HOMESTEAD"),
+                   F.lit("unused").alias("NOTES"))
+    path = X.scratch_path(spark, "county")
+    X.write_county_csv(raw, path)
+    parcels = clean_parcels(read_county(spark, path), city="SPRINGFIELD")
+    return parcels.select("account", "account_key", "zip", "living", "locs", "homestead")
+
+
+@register("index_export_scan", """
+WITH m AS (SELECT c_mktsegment AS region, last_day(o_orderdate) AS month, round(median(o_totalprice), 4) AS value
+           FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+months AS (SELECT DISTINCT month FROM m ORDER BY month DESC LIMIT 6),
+regions AS (SELECT DISTINCT region FROM m WHERE region <> 'AUTOMOBILE')
+SELECT r.region, mo.month, m.value FROM regions r CROSS JOIN months mo
+LEFT JOIN m ON m.region = r.region AND m.month = mo.month
+""")
+def q_index_export_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly median order price per market segment as a wide index
+    CSV (metadata columns + one column per month end), filtered by state and
+    unpivoted to the newest six months."""
+    from homestat.operators.aggregates import group_median
+    from homestat.operators.relational import unpivot_dates
+    from homestat.sources import exports as X
+    from homestat.sources.readers import read_index_wide
+    o = P.table(spark, sf_dir, "orders").join(P.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    o = o.select(F.col("c_mktsegment").alias("seg"), F.date_format(F.last_day("o_orderdate"), "yyyy-MM-dd")
+                 .alias("_month"), "o_totalprice")
+    med = group_median(o, ["seg", "_month"], "o_totalprice", out="v").withColumn("v", F.round("v", 4))
+    wide = med.groupBy("seg").pivot("_month", P.month_values(o)).agg(F.first("v"))
+    state = F.when(F.col("seg") == "AUTOMOBILE", F.lit("GA")).otherwise(F.lit("FL"))
+    meta = [F.col("seg").alias("RegionID"), F.lit("1").alias("SizeRank"), F.col("seg").alias("RegionName"),
+            F.lit("segment").alias("RegionType"), state.alias("StateName"), state.alias("State"),
+            F.concat(F.col("seg"), F.lit(", "), state).alias("Metro"), F.lit("12").alias("StateCodeFIPS"),
+            F.lit("115").alias("MunicipalCodeFIPS")]
+    months = [c for c in wide.columns if c != "seg"]
+    path = X.scratch_path(spark, "index")
+    wide.select(*meta, *[F.col(f"`{m}`") for m in months]).write.mode("overwrite").option("header", True).csv(path)
+    return unpivot_dates(read_index_wide(spark, path, state="FL"), ["region"], latest=6)
+
+
+@register("history_json_scan", EVENT_RUNS_SQL)
+def q_history_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily event counts written as one run-summary JSON per day, read back long."""
+    from homestat.sources import exports as X
+    from homestat.sources.history import read_history_json
+    path = X.scratch_path(spark, "history")
+    X.write_history_json(_event_runs(spark, sf_dir), path)
+    return read_history_json(spark, f"{path}/*/*.json")

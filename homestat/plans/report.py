@@ -1,8 +1,9 @@
 """The data behind every report section, as DataFrames.
 
-Each builder keeps the raw metric columns and adds display text and a `badge`
-(warning / success / down / neutral / danger). Rendering HTML is left to the
-caller; only these small tables ever need to leave the cluster.
+Each builder keeps the raw metric columns, adds display text and a `badge`
+(warning / success / down / neutral / danger) and applies the section's display
+order (O2/O4; ties broken by zip so the order is stable). Rendering HTML is left
+to the caller; only these small tables ever need to leave the cluster.
 """
 
 from __future__ import annotations
@@ -49,25 +50,27 @@ def snapshot_cells(snapshot: DataFrame) -> DataFrame:
 
 
 def price_section(price: DataFrame, by=("region",)) -> DataFrame:
-    """Weekly price rows plus the insight on the latest sale-to-list ratio."""
+    """Weekly price rows (oldest first) plus the insight on the latest sale-to-list ratio."""
     by = list(by)
     w = Window.partitionBy(*by).orderBy(F.col("week").desc())
     latest_ratio = F.first("sale_to_list").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     pct = S.pct_text(latest_ratio, 1)
-    insight = (F.when(latest_ratio.isNotNull() & (latest_ratio != 0) & (latest_ratio < 0.97), _fmt(PRICE_BELOW, pct))
-               .when(latest_ratio.isNotNull() & (latest_ratio != 0) & (latest_ratio > 1.0), _fmt(PRICE_ABOVE, pct))
+    has = latest_ratio.isNotNull() & (latest_ratio != 0)
+    insight = (F.when(has & (latest_ratio < 0.97), _fmt(PRICE_BELOW, pct))
+               .when(has & (latest_ratio > 1.0), _fmt(PRICE_ABOVE, pct))
                .otherwise(F.lit(PRICE_NEAR)))
-    return price.select(
+    out = price.select(
         "*", S.week_label("week").alias("week_label"),
         F.when(F.col("median_price").isNotNull() & (F.col("median_price") != 0), S.money_text("median_price"))
         .otherwise(F.lit("N/A")).alias("price_text"),
         S.or_dash(S.pct_text("price_delta", 1, signed=True)).alias("delta_text"),
         S.or_dash(S.pct_text("price_yoy", 1, signed=True)).alias("yoy_text"),
         insight.alias("insight"))
+    return out.orderBy(*by, F.col("week").asc())
 
 
 def inventory_section(inv: DataFrame, by=("region",)) -> DataFrame:
-    """Supply rows plus the insight on the latest week."""
+    """Supply rows (newest first) plus the insight on the latest week."""
     by = list(by)
     w = Window.partitionBy(*by).orderBy(F.col("week").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -80,40 +83,45 @@ def inventory_section(inv: DataFrame, by=("region",)) -> DataFrame:
         F.lit(" New listings ("), F.format_number(lis, 0), F.lit(") are "),
         F.when(lis > sold, F.lit("outpacing")).otherwise(F.lit("below")),
         F.lit(" homes sold ("), F.format_number(sold, 0), F.lit(") this week."))).otherwise(F.lit(""))
-    return inv.select("*", S.week_label("week").alias("week_label"),
-                      S.or_dash(S.pct_text("supply_yoy", 1, signed=True), "N/A").alias("yoy_text"),
-                      F.concat(level, flow).alias("insight"))
+    out = inv.select("*", S.week_label("week").alias("week_label"),
+                     S.or_dash(S.pct_text("supply_yoy", 1, signed=True), "N/A").alias("yoy_text"),
+                     F.concat(level, flow).alias("insight"))
+    return out.orderBy(*by, F.col("week").desc())
 
 
 def trend_section(trend: DataFrame, by=("region",)) -> DataFrame:
-    """value/rent trend rows plus the rent-to-value sentence for the newest month."""
+    """value/rent trend rows (oldest first) plus the rent-to-value sentence for the newest month."""
     by = list(by)
     w = Window.partitionBy(*by).orderBy(F.col("month").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     flow, zhvi, zori = (F.first(c).over(w) for c in ("flow_ratio", "zhvi", "zori"))
-    return trend.select("*", S.month_label("month").alias("month_label"),
-                        _fmt(RENT_INSIGHT, S.pct_text(flow, 1), S.money_text(zhvi),
-                             S.money_text(zori * 12)).alias("insight"))
+    out = trend.select("*", S.month_label("month").alias("month_label"),
+                       _fmt(RENT_INSIGHT, S.pct_text(flow, 1), S.money_text(zhvi),
+                            S.money_text(zori * 12)).alias("insight"))
+    return out.orderBy(*by, F.col("month").asc())
 
 
 def buyer_value_section(bvi: DataFrame) -> DataFrame:
-    """Badge warning above 1.3x, success below 0.95x."""
-    return bvi.select("*", _badge("value_ratio", [(">", 1.3, "badge-warning"), ("<", 0.95, "badge-success")])
-                      .alias("badge"), S.ratio_text("value_ratio", 2).alias("ratio_text"))
+    """Badge warning above 1.3x, success below 0.95x; best value first."""
+    badge = _badge("value_ratio", [(">", 1.3, "badge-warning"), ("<", 0.95, "badge-success")])
+    out = bvi.select("*", badge.alias("badge"), S.ratio_text("value_ratio", 2).alias("ratio_text"))
+    return out.orderBy(F.col("value_ratio").asc_nulls_last(), "zip")
 
 
 def price_change_section(trends: DataFrame) -> DataFrame:
-    """Badge warning above +5 %, down below −5 %; a note on anomalous swings."""
-    return trends.select("*", _badge("yoy_change", [(">", 0.05, "badge-warning"), ("<", -0.05, "badge-down")])
-                         .alias("badge"),
-                         (F.col("yoy_flag") == L.FLAG_LOW_DATA).alias("limited_data"),
-                         S.pct_text("yoy_change", 1, signed=True).alias("yoy_text"))
+    """Badge warning above +5 %, down below −5 %; a note on anomalous swings;
+    most expensive zip first."""
+    badge = _badge("yoy_change", [(">", 0.05, "badge-warning"), ("<", -0.05, "badge-down")])
+    out = trends.select("*", badge.alias("badge"), (F.col("yoy_flag") == L.FLAG_LOW_DATA).alias("limited_data"),
+                        S.pct_text("yoy_change", 1, signed=True).alias("yoy_text"))
+    return out.orderBy(F.col("price_now").desc_nulls_last(), "zip")
 
 
 def assessment_section(ratio: DataFrame) -> DataFrame:
-    """Badge warning above 1.2x, success below 0.95x."""
-    return ratio.select("*", _badge("median_ratio", [(">", 1.2, "badge-warning"), ("<", 0.95, "badge-success")])
-                        .alias("badge"), S.ratio_text("median_ratio", 2).alias("ratio_text"))
+    """Badge warning above 1.2x, success below 0.95x; lowest ratio first."""
+    badge = _badge("median_ratio", [(">", 1.2, "badge-warning"), ("<", 0.95, "badge-success")])
+    out = ratio.select("*", badge.alias("badge"), S.ratio_text("median_ratio", 2).alias("ratio_text"))
+    return out.orderBy(F.col("median_ratio").asc_nulls_last(), "zip")
 
 
 def flip_section(flips: DataFrame, top: int = 10) -> DataFrame:
@@ -127,17 +135,19 @@ def flip_section(flips: DataFrame, top: int = 10) -> DataFrame:
                F.concat(F.lit(", "), S.fixed_text(F.col("beds"), 0), F.lit(" bed"))).otherwise(F.lit(""))))
     ranked = flips.withColumn("position", F.row_number().over(w).cast("bigint")).where(F.col("position") <= top)
     badge = F.when(F.col("outcome") == L.OUTCOME_PROFIT, F.lit("badge-success")).otherwise(F.lit("badge-danger"))
-    return ranked.select("*", detail.alias("detail"), badge.alias("badge"),
-                         S.pct_text("markup_pct", 1, signed=True).alias("markup_text"),
-                         S.day_label("first_sale_date").alias("first_label"),
-                         S.day_label("second_sale_date").alias("second_label"))
+    out = ranked.select("*", detail.alias("detail"), badge.alias("badge"),
+                        S.pct_text("markup_pct", 1, signed=True).alias("markup_text"),
+                        S.day_label("first_sale_date").alias("first_label"),
+                        S.day_label("second_sale_date").alias("second_label"))
+    return out.orderBy(F.col("outcome").desc(), "position")
 
 
 def investor_section(inv: DataFrame) -> DataFrame:
-    """Badge warning above 60 %, success below 30 %, bar width."""
-    return inv.select("*", _badge("investor_share", [(">", 0.6, "badge-warning"), ("<", 0.3, "badge-success")])
-                      .alias("badge"), S.bar_width("investor_share").alias("bar_width"),
-                      S.pct_text("investor_share", 0).alias("share_text"))
+    """Badge warning above 60 %, success below 30 %, bar width; highest share first."""
+    badge = _badge("investor_share", [(">", 0.6, "badge-warning"), ("<", 0.3, "badge-success")])
+    out = inv.select("*", badge.alias("badge"), S.bar_width("investor_share").alias("bar_width"),
+                     S.pct_text("investor_share", 0).alias("share_text"))
+    return out.orderBy(F.col("investor_share").desc_nulls_last(), "zip")
 
 
 def health_section(health: DataFrame) -> DataFrame:

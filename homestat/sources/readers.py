@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from homestat.functions.scalars import (clean_number, discovery_name, normalize_account, parse_timestamp,
                                         parse_us_date, strip_ws, to_number)
-from homestat.operators.relational import select_existing
+from homestat.operators.relational import date_columns, select_existing
 
 # Source column names of the weekly crosstabs -> cleaned names.
 WEEKLY_COLUMNS = {
@@ -84,7 +84,7 @@ def read_index_wide(spark: SparkSession, path: str, *, state: str | None = None,
     if region_name is not None:
         df = df.where(F.col("RegionName") == region_name)
     ids = [c for c in df.columns if c in INDEX_ID_COLUMNS]
-    months = [c for c in df.columns if c not in INDEX_ID_COLUMNS]
+    months = date_columns(df)  # P5: columns named like a date, in name order
     return df.select(*ids, F.col("RegionName").alias("region") if "RegionName" in ids else F.lit(None).alias("region"),
                      *[to_number(F.col(f"`{c}`")).alias(c) for c in months])
 
@@ -96,7 +96,7 @@ def bom_encoding(spark: SparkSession, paths: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(paths)
     head = F.hex(F.substring("content", 1, 2))
     enc = F.when(head == "FFFE", "UTF-16LE").when(head == "FEFF", "UTF-16BE").otherwise("UTF-8")
-    return files.select("path", enc.alias("encoding"))
+    return files.select("path", "length", enc.alias("encoding"))
 
 
 def read_weekly(spark: SparkSession, path: str, *, region: str = "ALL", encoding: str = "UTF-8") -> DataFrame:
@@ -120,7 +120,7 @@ def read_weekly(spark: SparkSession, path: str, *, region: str = "ALL", encoding
 
 def read_weekly_detect(spark: SparkSession, path: str, *, region: str = "ALL") -> DataFrame:
     """S3: read a crosstab whatever its encoding (one small metadata row per file)."""
-    enc = bom_encoding(spark, path).select("encoding").first()
+    enc = bom_encoding(spark, path).where(F.col("length") > 0).select("encoding").first()
     return read_weekly(spark, path, region=region, encoding=enc[0] if enc else "UTF-8")
 
 
