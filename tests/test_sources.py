@@ -155,3 +155,17 @@ def test_streaming_landing_ingest(spark, scratch):
     rows = spark.read.parquet(out).orderBy("period_end").collect()
     assert [r["median_price"] for r in rows] == [452872.5, 416875.0, 418500.0]
     assert rows[-1]["source_file"] == "week2.csv"
+
+
+def test_write_table_and_archive_sections(spark, scratch):
+    df = spark.createDataFrame([("A", 1), ("B", 2)], "region string, v int")
+    path = os.path.join(scratch, "clean")
+    R.write_table(df, path)
+    R.write_table(spark.createDataFrame([("A", 5)], "region string, v int"), path)  # replaces region A only
+    back = {r["region"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert back == {"A": 5, "B": 2}
+    root = os.path.join(scratch, "archive")
+    R.archive_sections({"prices": df}, root, dt.date(2026, 4, 2))
+    R.archive_sections({"prices": df.limit(1)}, root, dt.date(2026, 4, 9))
+    runs = {str(r["run_date"]) for r in spark.read.parquet(os.path.join(root, "prices")).collect()}
+    assert runs == {"2026-04-02", "2026-04-09"}
