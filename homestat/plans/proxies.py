@@ -128,54 +128,90 @@ def monthly_wide(long_df, value: str, months: list[str], ids=("region",)):
 def _orders_by_month(spark: SparkSession, sf_dir: str):
     return table(spark, sf_dir, "orders").select(F.lit(REGION).alias("region"),
                                                  _month_end_text(F.col("o_orderdate")).alias("_month"),
-                                                 "o_totalprice")
+                                                 "o_orderdate", "o_totalprice")
 
 
 def _lines_by_month(spark: SparkSession, sf_dir: str):
     return table(spark, sf_dir, "lineitem").select(F.lit(REGION).alias("region"),
                                                    _month_end_text(F.col("l_shipdate")).alias("_month"),
-                                                   "l_extendedprice")
+                                                   "l_shipdate", "l_extendedprice")
 
 
-def value_index_wide(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
-    """Monthly median order price as a wide index table (one column per month end)."""
+def _month_start(ts) -> dt.datetime:
+    return dt.datetime(ts.year, ts.month, 1)
+
+
+def newest_month_start(df: DataFrame, column: str) -> dt.datetime | None:
+    """First day of the month of the newest value (one scalar to the driver).
+
+    Used as a literal lower bound, it reaches the Parquet scan as a pushed filter,
+    so later passes read only the newest month's row groups."""
+    top = df.agg(F.max(column)).first()[0]
+    return None if top is None else _month_start(top)
+
+
+def value_index_wide(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4, latest: int | None = None):
+    """Monthly median order price as a wide index table (one column per month end).
+
+    `latest` builds only the newest N month columns (all a trend needs): the month
+    list comes from a cheap distinct over the scan and the date range becomes a
+    pushed filter, so medians run only over those months."""
     from homestat.operators.aggregates import group_median
 
     o = _orders_by_month(spark, sf_dir)
+    months = month_values(o)
+    if latest is not None:
+        months = months[-latest:]
+        o = o.where(F.col("o_orderdate") >= F.lit(months[0][:8] + "01").cast("timestamp_ntz")) if months else o
     med = group_median(o, ["region", "_month"], "o_totalprice", out="v")
-    return monthly_wide(med.withColumn("v", F.round("v", median_decimals)), "v", month_values(o))
+    return monthly_wide(med.withColumn("v", F.round("v", median_decimals)), "v", months)
 
 
-def rent_series_long(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
+def rent_series_long(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4, months: list[str] | None = None):
     """Monthly 'rent': median line price / 12, long (region, _month, v)."""
     from homestat.operators.aggregates import group_median
 
     li = _lines_by_month(spark, sf_dir)
+    if months:
+        lo = F.lit(min(months)[:8] + "01").cast("timestamp_ntz")
+        hi = F.lit(max(months) + " 23:59:59.999999").cast("timestamp_ntz")
+        li = li.where((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") <= hi))
     med = group_median(li, ["region", "_month"], "l_extendedprice", out="v")
     return med.select("region", "_month", (F.round("v", median_decimals) / F.lit(12.0)).alias("v"))
 
 
-def rent_index_wide(spark: SparkSession, sf_dir: str):
-    return monthly_wide(rent_series_long(spark, sf_dir), "v", month_values(_lines_by_month(spark, sf_dir)))
+def rent_index_wide(spark: SparkSession, sf_dir: str, months: list[str] | None = None):
+    """Wide monthly rent table; `months` limits it to those month columns."""
+    cols = months if months is not None else month_values(_lines_by_month(spark, sf_dir))
+    return monthly_wide(rent_series_long(spark, sf_dir, months=months), "v", cols)
 
 
 def latest_rent(spark: SparkSession, sf_dir: str, *, median_decimals: int = 4):
-    """Rent of the newest month (one row). The newest month is found on the scan
-    first, so the median runs over that month's rows only."""
+    """Rent of the newest month (one row): the newest ship date is fetched as a
+    scalar first, so the median pass reads only that month (pushed filter)."""
     from homestat.operators.aggregates import group_median
 
     li = _lines_by_month(spark, sf_dir)
-    newest = li.agg(F.max("_month").alias("_m"))
-    rows = li.join(F.broadcast(newest), F.col("_month") == F.col("_m"))
-    med = group_median(rows, [], "l_extendedprice", out="v")
+    start = newest_month_start(li, "l_shipdate")
+    if start is not None:
+        li = li.where(F.col("l_shipdate") >= F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
+    med = group_median(li, [], "l_extendedprice", out="v")
     return med.select((F.round("v", median_decimals) / F.lit(12.0)).alias("rent"))
 
 
-def unit_value_by_zip(spark: SparkSession, sf_dir: str, *, median_decimals: int = 9):
-    """Monthly median unit price per brand number, long (zip, month, value)."""
+def unit_value_by_zip(spark: SparkSession, sf_dir: str, *, median_decimals: int = 9, newest_only: bool = False):
+    """Monthly median unit price per brand number, long (zip, month, value).
+
+    `newest_only` keeps just the newest month (what an appraisal gap reads); the
+    bound is a pushed scan filter."""
     from homestat.operators.aggregates import group_median
 
-    li = lineitem_sales(spark, sf_dir).select("account_key", F.last_day("sale_date").alias("month"), "sale_price")
+    li = lineitem_sales(spark, sf_dir)
+    if newest_only:
+        start = newest_month_start(li, "sale_date")
+        if start is not None:
+            li = li.where(F.col("sale_date") >= F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
+    li = li.select("account_key", F.last_day("sale_date").alias("month"), "sale_price")
     parts = part_parcels(spark, sf_dir).select("account_key", "zip")
     j = li.join(parts, "account_key")
     med = group_median(j, ["zip", "month"], "sale_price", out="value")

@@ -301,8 +301,9 @@ SELECT 'ALL' AS region, month, zhvi, zori, flow_ratio, appraisal_gap,
 FROM f
 """)
 def trend_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.trend_lines(P.value_index_wide(spark, sf_dir), P.rent_index_wide(spark, sf_dir),
-                         P.part_parcels(spark, sf_dir), scale=2)
+    value = P.value_index_wide(spark, sf_dir, latest=6)
+    months = [c for c in value.columns if c != "region"]
+    return M.trend_lines(value, P.rent_index_wide(spark, sf_dir, months), P.part_parcels(spark, sf_dir), scale=2)
 
 
 @register("cash_flow_zones", f"""
@@ -332,7 +333,8 @@ SELECT zip_code, zhvi, avg_just, gap_pct,
 FROM g WHERE CASE WHEN gap_pct > 0.15 THEN 'HOT_MARKET' WHEN gap_pct <= 0 THEN 'COOLING' ELSE '' END <> ''
 """)
 def appraisal_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.appraisal_gap(P.unit_value_by_zip(spark, sf_dir), P.part_parcels(spark, sf_dir), scale=2)
+    return M.appraisal_gap(P.unit_value_by_zip(spark, sf_dir, newest_only=True), P.part_parcels(spark, sf_dir),
+                           scale=2)
 
 
 # ------------------------------------------------------------------ single operators
