@@ -102,14 +102,21 @@ def bulk_keys(df: DataFrame, keys, threshold: int = 3) -> DataFrame:
 def attach_scalar(df: DataFrame, one_row: DataFrame, by=None) -> DataFrame:
     """Attach the columns of a scalar result.
 
-    Without `by`, `one_row` must be a global aggregate (exactly one row by
-    construction), so broadcasting it is safe. With `by` it is an equi-join on
-    the keys and the planner sizes it.
+    Without `by`, `one_row` is a global aggregate: its single row is fetched (a
+    handful of values) and attached as typed literals, so no join is planned at
+    all. With `by` it is an equi-join on the keys and the planner sizes it.
     """
     by = _as_list(by)
-    if not by:
-        return df.crossJoin(F.broadcast(one_row))
-    return df.join(one_row, on=by, how="inner")
+    if by:
+        return df.join(one_row, on=by, how="inner")
+    rows = one_row.take(2)
+    if len(rows) > 1:
+        raise ValueError("attach_scalar without keys needs a one-row frame")
+    out = df
+    for field in one_row.schema.fields:
+        value = rows[0][field.name] if rows else None
+        out = out.withColumn(field.name, F.lit(value).cast(field.dataType))
+    return out
 
 
 def align_series(left: DataFrame, right: DataFrame, on, fill: float | None = 0.0) -> DataFrame:

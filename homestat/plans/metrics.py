@@ -28,7 +28,8 @@ from homestat.operators.relational import (align_series, attach_scalar, date_col
                                            with_default)
 from homestat.operators.windows import consecutive_pairs, direction, latest_n, pct_change, rank_by
 
-SARASOTA_ZIP = r"^342[0-9][0-9]$"
+# Fixed value: the default zip filter of the zip-level metrics (five digits, prefix 342).
+DEFAULT_ZIP_PATTERN = r"^342[0-9][0-9]$"
 
 
 def _as_list(x) -> list:
@@ -204,7 +205,7 @@ def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: d
 # ---------------------------------------------------------------- M6, M7, M8, M10
 
 def trailing_year_trend(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
-                        zip_pattern: str = SARASOTA_ZIP, low_volume_limit: int = 20,
+                        zip_pattern: str = DEFAULT_ZIP_PATTERN, low_volume_limit: int = 20,
                         yoy_limit: float = 0.40, median_decimals: int | None = None,
                         median_strategy: str = "sorted") -> DataFrame:
     """M6: per zip, median price and volume of the trailing year vs the median of
@@ -235,7 +236,7 @@ def trailing_year_trend(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datet
 
 
 def assessment_ratio(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
-                     zip_pattern: str = SARASOTA_ZIP, median_decimals: int | None = None,
+                     zip_pattern: str = DEFAULT_ZIP_PATTERN, median_decimals: int | None = None,
                      median_strategy: str = "sorted") -> DataFrame:
     """M7: median sale-price / assessed-value ratio per zip over the trailing year
     (no residential filter; assessed value must be positive)."""
@@ -249,7 +250,7 @@ def assessment_ratio(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime
 
 
 def buyer_value_index(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
-                      zip_pattern: str = SARASOTA_ZIP, min_sales: int = 20, scale: int | None = None,
+                      zip_pattern: str = DEFAULT_ZIP_PATTERN, min_sales: int = 20, scale: int | None = None,
                       median_decimals: int | None = None, median_strategy: str = "sorted") -> DataFrame:
     """M8: trailing-year median sale price and volume per zip (residential parcels,
     at least `min_sales` sales) against the zip's mean assessed value."""
@@ -268,7 +269,7 @@ def buyer_value_index(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetim
 
 
 def investor_activity(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
-                      zip_pattern: str = SARASOTA_ZIP) -> DataFrame:
+                      zip_pattern: str = DEFAULT_ZIP_PATTERN) -> DataFrame:
     """Trailing-year sales per zip and the share bought without a homestead
     exemption. Parcels without a `homestead` column give an empty result."""
     schema = "zip string, total_sales bigint, investor_share double"
@@ -350,7 +351,7 @@ def market_snapshot(price: DataFrame, inventory: DataFrame, zip_trends: DataFram
 
 
 def run_metrics(sources: dict, *, as_of: dt.datetime, region: str = "ALL", min_sale_price: float = 10000.0,
-                zip_pattern: str = SARASOTA_ZIP, city: str = "", materialize: bool = False,
+                zip_pattern: str = DEFAULT_ZIP_PATTERN, city: str = "", materialize: bool = False,
                 **options) -> dict[str, DataFrame]:
     """Every metric from one set of cleaned sources, snapshot last.
 

@@ -71,8 +71,8 @@ def test_trend_lines_golden(spark):
     zhvi = [402000.0] + [z for _, z, *_ in GOLDEN_M4]
     zori = [2160.0] + [r for _, _, r, *_ in GOLDEN_M4]
     cols = ", ".join(f"`{m}` double" for m in months)
-    value = spark.createDataFrame([tuple(["Sarasota County", "FL"] + zhvi)], f"region string, StateName string, {cols}")
-    rent = spark.createDataFrame([tuple(["Sarasota County", "FL"] + zori)], f"region string, StateName string, {cols}")
+    value = spark.createDataFrame([tuple(["Gulf County", "FL"] + zhvi)], f"region string, StateName string, {cols}")
+    rent = spark.createDataFrame([tuple(["Gulf County", "FL"] + zori)], f"region string, StateName string, {cols}")
     parcels = spark.createDataFrame([(300000.0, 1500.0), (500000.0, 0.0), (0.0, 900.0), (400000.0, 2000.0)],
                                     "just double, living double")
     out = M.trend_lines(value, rent, parcels).orderBy("month").collect()
@@ -149,11 +149,11 @@ def county(spark):
 def test_resale_flips_fixture(spark, county):
     sales, parcels = county
     out = {(r["account"], r["days_held"]): r for r in
-           M.resale_flips(sales, parcels, as_of=AS_OF, city="Sarasota FL").collect()}
+           M.resale_flips(sales, parcels, as_of=AS_OF, city="Bayside FL").collect()}
     assert set(out) == {("7002", 120), ("8000", 365), ("9000", 200), ("10000", 230), ("30003", 170)}
     assert out[("7002", 120)]["outcome"] == "PROFITABLE"
-    assert out[("7002", 120)]["address"] == "12 Main St N, Sarasota FL 34231"
-    assert out[("8000", 365)]["address"] == "5 Oak Ave #2, Sarasota FL 34231"
+    assert out[("7002", 120)]["address"] == "12 Main St N, Bayside FL 34231"
+    assert out[("8000", 365)]["address"] == "5 Oak Ave #2, Bayside FL 34231"
     assert out[("9000", 200)]["markup_pct"] == -0.5 and out[("9000", 200)]["outcome"] == "LOSS"
     assert out[("10000", 230)]["outcome"] == "LOSS"
     assert out[("30003", 170)]["address"] == "Address unavailable"

@@ -44,9 +44,9 @@ def test_county_latin1_and_cleaning(spark, scratch):
     path = os.path.join(scratch, "parcels.csv")
     with open(path, "w", encoding="latin-1") as f:
         f.write("ACCOUNT,LOCN,LOCS,LOCCITY,LOCZIP,LIVING,JUST,BEDR,EXTRA\n")
-        f.write("0000007002,12.0,Peña Ave, sarasota ,34231,1500,300000,3,x\n")
+        f.write("0000007002,12.0,Peña Ave,  bayside ,34231,1500,300000,3,x\n")
         f.write("0000007003,1,Main St,VENICE,34285,1000,1,2,y\n")
-    parcels = R.clean_parcels(R.read_county(spark, path), city="SARASOTA").collect()
+    parcels = R.clean_parcels(R.read_county(spark, path), city="BAYSIDE").collect()
     assert len(parcels) == 1
     p = parcels[0]
     assert (p["account_key"], p["locs"], p["living"], p["zip"]) == ("7002", "Peña Ave", 1500.0, "34231")
@@ -58,11 +58,11 @@ def test_wide_index_scan(spark, scratch):
     with open(path, "w") as f:
         f.write('RegionID,SizeRank,RegionName,RegionType,StateName,State,Metro,StateCodeFIPS,MunicipalCodeFIPS,'
                 '2025-12-31,2026-01-31\n')
-        f.write('1,2,Sarasota County,county,FL,FL,"North Port, FL",12,115,400000.5,401000\n')
+        f.write('1,2,Gulf County,county,FL,FL,"North Port, FL",12,115,400000.5,401000\n')
         f.write('3,4,Other County,county,GA,GA,"X, GA",13,1,1,2\n')
-    wide = R.read_index_wide(spark, path, state="FL", region_name="Sarasota County")
+    wide = R.read_index_wide(spark, path, state="FL", region_name="Gulf County")
     r = wide.first()
-    assert wide.count() == 1 and r["region"] == "Sarasota County" and r["2026-01-31"] == 401000.0
+    assert wide.count() == 1 and r["region"] == "Gulf County" and r["2026-01-31"] == 401000.0
 
 
 def test_discovery_latest_fresh_complete(spark, scratch):
