@@ -289,18 +289,37 @@ def market_snapshot(price: DataFrame, inventory: DataFrame, zip_trends: DataFram
                     value_index: DataFrame | None, flips: DataFrame | None, *, by=("region",),
                     min_volume: int = 20, area: str = "The market") -> DataFrame:
     """One row per region summarising the other metrics (all inputs carry
-    the region columns). Every input is reduced per region before the joins."""
+    the region columns). Every input is reduced to one row per region first
+    (partial aggregation); the small results are then full-outer-joined, so each
+    input is planned once and a region present in any input gets a row."""
     by = _as_list(by)
     row = lambda *cs: F.struct(*[F.col(c) for c in cs])
-    p = price.groupBy(*by).agg(F.max_by(row("median_price", "price_yoy", "sale_to_list"), "week").alias("p"))
-    p = p.select(*by, "p.*")
-    inv = inventory.groupBy(*by).agg(
-        F.max_by(row("weeks_of_supply", "new_listings", "homes_sold"), "week").alias("i")).select(*by, "i.*")
-    regions = p.select(*by).unionByName(inv.select(*by))
-    for extra in (zip_trends, value_index, flips):
-        if extra is not None:
-            regions = regions.unionByName(extra.select(*by))
-    snap = regions.distinct().join(p, by, "left").join(inv, by, "left")
+    parts = [
+        price.groupBy(*by).agg(F.max_by(row("median_price", "price_yoy", "sale_to_list"), "week").alias("p"))
+        .select(*by, "p.*"),
+        inventory.groupBy(*by).agg(F.max_by(row("weeks_of_supply", "new_listings", "homes_sold"), "week")
+                                   .alias("i")).select(*by, "i.*"),
+    ]
+    if zip_trends is not None:
+        parts.append(zip_trends.where((F.col("yoy_change") > 0) & (F.col("sales_volume") >= min_volume))
+                     .groupBy(*by).agg(F.max_by(row("zip", "yoy_change", "sales_volume"),
+                                                F.struct(F.col("yoy_change"), F.col("zip"))).alias("h"))
+                     .select(*by, F.col("h.zip").alias("hottest_zip"), F.col("h.yoy_change").alias("_hy"),
+                             F.col("h.sales_volume").alias("_hv")))
+    if value_index is not None:
+        parts.append(value_index.where(F.col("value_ratio").isNotNull()).groupBy(*by).agg(
+            F.min_by(row("zip", "value_ratio"), F.struct(F.col("value_ratio"), F.col("zip"))).alias("b"))
+            .select(*by, F.col("b.zip").alias("best_value_zip"), F.col("b.value_ratio").alias("_bv")))
+    if flips is not None:
+        parts.append(flips.groupBy(*by).agg(F.count(F.lit(1)).alias("flip_count"),
+                                            F.count_if(F.col("outcome") == L.OUTCOME_PROFIT).alias("_profitable")))
+    snap = parts[0]
+    for part in parts[1:]:
+        snap = snap.join(part, on=by, how="full")
+    defaults = {"hottest_zip": "string", "_hy": "double", "_hv": "bigint", "best_value_zip": "string",
+                "_bv": "double", "flip_count": "bigint", "_profitable": "bigint"}
+    for c, t in defaults.items():
+        snap = with_default(snap, c, None, t)
     snap = snap.withColumn("price_yoy_label", F.when(F.col("median_price").isNull() & F.col("price_yoy").isNull()
                                                      & F.col("sale_to_list").isNull(), F.lit(""))
                            .otherwise(L.yoy_label(F.col("price_yoy"))))
@@ -309,41 +328,15 @@ def market_snapshot(price: DataFrame, inventory: DataFrame, zip_trends: DataFram
     snap = snap.withColumn("market_phase", L.market_phase(F.col("weeks_supply"), F.col("price_yoy")))
     snap = snap.withColumn("headline", L.headline(F.col("market_phase"), F.col("weeks_supply"),
                                                   F.col("median_price"), area))
-    if zip_trends is not None:
-        hot = zip_trends.where((F.col("yoy_change") > 0) & (F.col("sales_volume") >= min_volume)) \
-            .groupBy(*by).agg(F.max_by(row("zip", "yoy_change", "sales_volume"),
-                                       F.struct(F.col("yoy_change"), F.col("zip"))).alias("h")) \
-            .select(*by, F.col("h.zip").alias("hottest_zip"), F.col("h.yoy_change").alias("_hy"),
-                    F.col("h.sales_volume").alias("_hv"))
-        snap = snap.join(hot, by, "left")
-    else:
-        snap = snap.select("*", F.lit(None).cast("string").alias("hottest_zip"),
-                           F.lit(None).cast("double").alias("_hy"), F.lit(None).cast("bigint").alias("_hv"))
     snap = snap.withColumn("hottest_zip_label", L.hottest_zip_label(F.col("hottest_zip"), F.col("_hy"),
-                                                                    F.col("_hv"))).drop("_hy", "_hv")
-    if value_index is not None:
-        best = value_index.where(F.col("value_ratio").isNotNull()).groupBy(*by).agg(
-            F.min_by(row("zip", "value_ratio"), F.struct(F.col("value_ratio"), F.col("zip"))).alias("b")) \
-            .select(*by, F.col("b.zip").alias("best_value_zip"), F.col("b.value_ratio").alias("_bv"))
-        snap = snap.join(best, by, "left")
-    else:
-        snap = snap.select("*", F.lit(None).cast("string").alias("best_value_zip"),
-                           F.lit(None).cast("double").alias("_bv"))
-    snap = snap.withColumn("best_value_label", L.best_value_label(F.col("best_value_zip"), F.col("_bv"))).drop("_bv")
-    if flips is not None:
-        fl = flips.groupBy(*by).agg(F.count(F.lit(1)).alias("flip_count"),
-                                    F.count_if(F.col("outcome") == L.OUTCOME_PROFIT).alias("_profitable"))
-        snap = snap.join(fl, by, "left")
-    else:
-        snap = snap.select("*", F.lit(None).cast("bigint").alias("flip_count"),
-                           F.lit(None).cast("bigint").alias("_profitable"))
+                                                                    F.col("_hv")))
+    snap = snap.withColumn("best_value_label", L.best_value_label(F.col("best_value_zip"), F.col("_bv")))
+    prof = F.coalesce(F.col("_profitable"), F.lit(0))
     snap = snap.withColumn("flip_count", F.coalesce(F.col("flip_count"), F.lit(0)).cast("bigint"))
-    snap = snap.withColumn("flip_profitable_pct", F.when(F.col("flip_count") > 0, F.coalesce(
-        F.col("_profitable"), F.lit(0)) / F.col("flip_count")).otherwise(F.lit(0.0)))
+    snap = snap.withColumn("flip_profitable_pct", F.when(F.col("flip_count") > 0, prof / F.col("flip_count"))
+                           .otherwise(F.lit(0.0)))
     snap = snap.withColumn("flip_count_in_range", L.in_sane_range(F.col("flip_count")))
-    snap = snap.withColumn("flip_summary", L.flip_summary(
-        F.col("flip_count"), F.coalesce(F.col("_profitable"), F.lit(0)),
-        F.col("flip_count") - F.coalesce(F.col("_profitable"), F.lit(0)))).drop("_profitable")
+    snap = snap.withColumn("flip_summary", L.flip_summary(F.col("flip_count"), prof, F.col("flip_count") - prof))
     return snap.select(*by, "median_price", "price_yoy", "price_yoy_label", "sale_to_list", "weeks_supply",
                        "supply_label", "new_listings", "homes_sold", "market_phase", "headline",
                        "hottest_zip", "hottest_zip_label", "best_value_zip", "best_value_label",
