@@ -52,6 +52,7 @@ DISCOVERY_PATTERNS = {
 PARCEL_COLUMNS = ["ACCOUNT", "LOCN", "LOCS", "LOCD", "UNIT", "LOCCITY", "LOCZIP", "LIVING", "BEDR", "BATH",
                   "YRBL", "JUST", "ASSD", "SALE_AMT", "SALE_DATE", "HOMESTEAD"]
 
+# Metadata (non-month) columns of the wide monthly index files.
 INDEX_ID_COLUMNS = ["RegionID", "SizeRank", "RegionName", "RegionType", "StateName", "State", "Metro",
                     "StateCodeFIPS", "MunicipalCodeFIPS"]
 
