@@ -290,8 +290,9 @@ def market_snapshot(price: DataFrame, inventory: DataFrame, zip_trends: DataFram
                     min_volume: int = 20, area: str = "The market") -> DataFrame:
     """One row per region summarising the other metrics (all inputs carry
     the region columns). Every input is reduced to one row per region first
-    (partial aggregation); the small results are then full-outer-joined, so each
-    input is planned once and a region present in any input gets a row."""
+    (partial aggregation); the small results are stacked and folded into one row
+    per region, so each input is planned once and a region present in any input
+    gets a row."""
     by = _as_list(by)
     row = lambda *cs: F.struct(*[F.col(c) for c in cs])
     parts = [
@@ -313,9 +314,13 @@ def market_snapshot(price: DataFrame, inventory: DataFrame, zip_trends: DataFram
     if flips is not None:
         parts.append(flips.groupBy(*by).agg(F.count(F.lit(1)).alias("flip_count"),
                                             F.count_if(F.col("outcome") == L.OUTCOME_PROFIT).alias("_profitable")))
-    snap = parts[0]
+    # every column comes from exactly one part: stack the parts and take each
+    # column's one non-null value per region (one small aggregate, no joins)
+    stacked = parts[0]
     for part in parts[1:]:
-        snap = snap.join(part, on=by, how="full")
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    value_cols = [c for c in stacked.columns if c not in by]
+    snap = stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in value_cols])
     defaults = {"hottest_zip": "string", "_hy": "double", "_hv": "bigint", "best_value_zip": "string",
                 "_bv": "double", "flip_count": "bigint", "_profitable": "bigint"}
     for c, t in defaults.items():

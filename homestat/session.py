@@ -28,11 +28,16 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "homestat", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "homestat", extra: dict | None = None,
+                  initial_partitions: int | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; locally the
-    caller passes ``local[N]`` and a matching shuffle partition count.
+    On a cluster pass ``master=None`` and let spark-submit decide, and set
+    ``initial_partitions`` to roughly (shuffled bytes / 64 MB): every shuffle —
+    including the range partitioning of the order-statistic operators, which
+    AQE can merge but never split — starts that fine-grained and AQE coalesces it
+    to ``advisoryPartitionSizeInBytes``. Locally the caller passes ``local[N]``
+    and a matching shuffle partition count.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -40,6 +45,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
