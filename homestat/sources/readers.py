@@ -103,12 +103,18 @@ def bom_encoding(spark: SparkSession, paths: str) -> DataFrame:
 def read_weekly(spark: SparkSession, path: str, *, region: str = "ALL", encoding: str = "UTF-8") -> DataFrame:
     """One weekly crosstab file -> (region, period_begin, period_end, metric columns…).
 
-    UTF-16 exports are tab separated and must be read with `multiLine`."""
-    if encoding.upper().startswith("UTF-16"):
+    UTF-16 exports are tab separated. With a known byte order (UTF-16LE/BE, as
+    `bom_encoding` reports it) they are read line by line with an explicit line
+    separator, which keeps large files splittable across tasks; a plain 'UTF-16'
+    needs `multiLine` (one task per file)."""
+    enc = encoding.upper()
+    if enc in ("UTF-16LE", "UTF-16BE"):
+        raw = _text_csv(spark, path, sep="\t", encoding=enc, lineSep="\n")
+    elif enc.startswith("UTF-16"):
         raw = _text_csv(spark, path, sep="\t", encoding=encoding, multiLine=True)
-        raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
     else:
         raw = _text_csv(spark, path, encoding=encoding)
+    raw = raw.toDF(*[c.lstrip("\ufeff").strip() for c in raw.columns])
     cols = [F.lit(region).alias("region")]
     if "Period Begin" in raw.columns:
         cols.append(parse_us_date(F.col("`Period Begin`")).alias("period_begin"))

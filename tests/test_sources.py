@@ -169,3 +169,19 @@ def test_write_table_and_archive_sections(spark, scratch):
     R.archive_sections({"prices": df.limit(1)}, root, dt.date(2026, 4, 9))
     runs = {str(r["run_date"]) for r in spark.read.parquet(os.path.join(root, "prices")).collect()}
     assert runs == {"2026-04-02", "2026-04-09"}
+
+
+def test_utf16_big_endian_and_crlf(spark, scratch):
+    rows = ["Period End\tMedian Sale Price", "1/11/2026\t452,872.5", "1/18/2026\t416,875"]
+    be = os.path.join(scratch, "be.csv")
+    with open(be, "wb") as f:
+        f.write(("﻿" + "\n".join(rows) + "\n").encode("utf-16-be"))
+    crlf = os.path.join(scratch, "crlf.csv")
+    with open(crlf, "w", encoding="utf-16", newline="\r\n") as f:
+        f.write("\n".join(rows) + "\n")
+    for path in (be, crlf):
+        got = [(str(r["period_end"]), r["median_price"]) for r in
+               R.read_weekly_detect(spark, path).orderBy("period_end").collect()]
+        assert got == [("2026-01-11", 452872.5), ("2026-01-18", 416875.0)], path
+    plain = R.read_weekly(spark, crlf, encoding="UTF-16")  # generic name: whole-file read
+    assert plain.count() == 2
