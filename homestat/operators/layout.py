@@ -31,16 +31,30 @@ def sort_exprs(by: list[str], order: list) -> list[Column]:
     return [F.col(b).asc() for b in by] + [o if isinstance(o, Column) else F.col(o).asc() for o in order]
 
 
-def sorted_layout(df: DataFrame, by: list[str], order: list, partitions: int | None = None) -> DataFrame:
-    """Range-partition on (by, order), sort inside partitions, add `_pid`, `_pos`."""
+def sorted_layout(df: DataFrame, by: list[str], order: list, partitions: int | None = None,
+                  materialize: bool = True) -> DataFrame:
+    """Range-partition on (by, order), sort inside partitions, add `_pid`, `_pos`.
+
+    The (partition, position) assignment depends on how the range shuffle was
+    cut and read at run time, so every consumer must see the *same* assignment:
+    the layout is checkpointed once to the shared `spark.checkpoint.dir`. Plan
+    branches (offsets, picks, boundary rows) then read one stored copy, and a task
+    retried after a lost executor reads the same positions instead of recomputing
+    a possibly different cut."""
+    from homestat.session import checkpoint_dir
+
     keys = sort_exprs(by, order)
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     mid = F.monotonically_increasing_id()
-    return (ranged.sortWithinPartitions(*keys)
-            .withColumn("_mid", mid)
-            .withColumn(PID, F.shiftright(F.col("_mid"), 33))
-            .withColumn(POS, F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
-            .drop("_mid"))
+    lay = (ranged.sortWithinPartitions(*keys)
+           .withColumn("_mid", mid)
+           .withColumn(PID, F.shiftright(F.col("_mid"), 33))
+           .withColumn(POS, F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
+           .drop("_mid"))
+    if not materialize:
+        return lay
+    checkpoint_dir(df.sparkSession)
+    return lay.checkpoint(eager=True)
 
 
 def partition_offsets(layout: DataFrame, by: list[str]) -> DataFrame:
