@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PID, POS = "_pid", "_pos"
+# Set to False only to inspect the whole lazy plan (e.g. in plan-shape tests).
+MATERIALIZE = True
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -32,7 +34,7 @@ def sort_exprs(by: list[str], order: list) -> list[Column]:
 
 
 def sorted_layout(df: DataFrame, by: list[str], order: list, partitions: int | None = None,
-                  materialize: bool = True) -> DataFrame:
+                  materialize: bool | None = None) -> DataFrame:
     """Range-partition on (by, order), sort inside partitions, add `_pid`, `_pos`.
 
     The (partition, position) assignment depends on how the range shuffle was
@@ -51,7 +53,7 @@ def sorted_layout(df: DataFrame, by: list[str], order: list, partitions: int | N
            .withColumn(PID, F.shiftright(F.col("_mid"), 33))
            .withColumn(POS, F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
            .drop("_mid"))
-    if not materialize:
+    if not (MATERIALIZE if materialize is None else materialize):
         return lay
     checkpoint_dir(df.sparkSession)
     return lay.checkpoint(eager=True)

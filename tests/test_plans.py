@@ -14,7 +14,11 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 
 
 @pytest.fixture(autouse=True)
-def _full_metadata(spark):
+def _full_metadata(spark, monkeypatch):
+    from homestat.operators import layout
+    # inspect one lazy plan: the sorted layout is otherwise run and checkpointed
+    # as its own job, and the final plan reads it back
+    monkeypatch.setattr(layout, "MATERIALIZE", False)
     old = spark.conf.get("spark.sql.maxMetadataStringLength")
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # do not truncate PushedFilters
     yield
@@ -45,13 +49,23 @@ def test_date_bounds_reach_the_scan(spark, name, filt):
     assert filt in _final_plan(E.queries()[name](spark, SF))
 
 
-def test_pairing_and_median_reuse_the_range_shuffle(spark):
+def test_pairing_and_median_use_a_range_layout(spark):
     for name in ("consecutive_pairs", "median_by_group"):
         plan = _final_plan(E.queries()[name](spark, SF))
-        assert "rangepartitioning" in plan and "ReusedExchange" in plan, name
+        assert "rangepartitioning" in plan, name
         assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan, name
 
 
+def test_layout_is_checkpointed_by_default(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from homestat.operators import layout
+    monkeypatch.setattr(layout, "MATERIALIZE", True)
+    lay = layout.sorted_layout(spark.range(100).select((F.col("id") % 7).alias("g"), "id"), ["g"], ["id"])
+    plan = lay._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan  # read back from the checkpoint, not recomputed
+
+
 def test_latest_n_limits_before_the_shuffle(spark):
     plan = _final_plan(E.queries()["latest_n"](spark, SF))
     assert "WindowGroupLimit" in plan and "Partial" in plan
