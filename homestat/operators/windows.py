@@ -109,10 +109,11 @@ def consecutive_pairs(df: DataFrame, by, order: str, tie: list[str], carry: list
     """
     by = _as_list(by)
     vals = [order] + [c for c in carry if c != order]
-    sort_key = F.struct(*[F.col(b) for b in by], F.col(order).isNull().alias("_null"),
-                        F.col(order).alias("_o"), *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)])
-    base = df.select(*by, *vals, sort_key.alias("_key"))
-    lay = sorted_layout(base, [], ["_key"]).drop("_key")
+    extra_tie = [t for t in tie if t not in vals and t not in by]
+    base = df.select(*by, *vals, *extra_tie)
+    sort_order = ([F.col(b).asc() for b in by] + [F.col(order).isNull().asc(), F.col(order).asc()]
+                  + [F.col(t).asc() for t in tie])
+    lay = sorted_layout(base, [], sort_order)
 
     w = Window.partitionBy(PID, *by).orderBy(POS)
     nxt = [F.lead(c).over(w).alias(f"_next_{c}") for c in vals]
