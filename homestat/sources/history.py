@@ -79,6 +79,16 @@ def expire_history(history: DataFrame, as_of: dt.date, days: int = 28, date_col:
     return kept, expired
 
 
+def apply_retention(spark: SparkSession, path: str, as_of: dt.date, out_path: str, days: int = 28) -> DataFrame:
+    """K3 on a stored history: write the kept runs (partitioned by run date) as a
+    new version of the table at `out_path` and return it with the expired runs
+    gone. Plain Parquet cannot drop partitions in place, so the caller switches
+    readers to `out_path` (e.g. a versioned folder) once this returns."""
+    kept, _ = expire_history(read_history(spark, path), as_of, days=days)
+    kept.write.mode("overwrite").partitionBy("run_date").parquet(out_path)
+    return read_history(spark, out_path)
+
+
 def metric_trend(history: DataFrame) -> DataFrame:
     """Change of each metric's count vs its previous run."""
     w = Window.partitionBy("metric").orderBy("run_date")

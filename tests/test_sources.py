@@ -185,3 +185,11 @@ def test_utf16_big_endian_and_crlf(spark, scratch):
         assert got == [("2026-01-11", 452872.5), ("2026-01-18", 416875.0)], path
     plain = R.read_weekly(spark, crlf, encoding="UTF-16")  # generic name: whole-file read
     assert plain.count() == 2
+
+
+def test_apply_retention_rewrites_kept_runs(spark, scratch):
+    rows = [(dt.date(2026, 3, 1), "m", 1), (dt.date(2026, 3, 20), "m", 2), (dt.date(2026, 4, 2), "m", 3)]
+    table = os.path.join(scratch, "history_v1")
+    H.record_run(spark.createDataFrame(rows, "run_date date, metric string, n long"), table)
+    kept = H.apply_retention(spark, table, dt.date(2026, 4, 2), os.path.join(scratch, "history_v2"))
+    assert sorted(str(r["run_date"]) for r in kept.collect()) == ["2026-03-20", "2026-04-02"]
