@@ -60,14 +60,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints / intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Only when it
-    is unset — local tests — a fresh scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared storage, set at
+    launch; it cannot be changed at run time). Only when neither it nor a
+    SparkContext checkpoint folder is set — local tests — a fresh scratch folder
+    is registered with the SparkContext.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="homestat-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    current = spark.sparkContext.getCheckpointDir()
+    if path:
+        if not current:
+            spark.sparkContext.setCheckpointDir(path)
+        return path
+    if current:
+        return current
+    path = tempfile.mkdtemp(prefix="homestat-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path

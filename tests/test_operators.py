@@ -233,3 +233,42 @@ def test_direction_skewed_matches_brute_force(spark):
                                          else "→ Flat")
         assert got[t] == exp and small[t] == exp
         prev[g] = v
+
+
+def test_checkpoint_dir_reads_the_session_and_only_falls_back_when_unset():
+    from types import SimpleNamespace
+
+    from homestat.session import checkpoint_dir
+
+    class Ctx:
+        def __init__(self, current):
+            self.current, self.set_to = current, None
+
+        def getCheckpointDir(self):
+            return self.current
+
+        def setCheckpointDir(self, p):
+            self.set_to = p
+
+    def session(conf_value, current):
+        conf = SimpleNamespace(get=lambda k, d=None: conf_value if k == "spark.checkpoint.dir" else d)
+        return SimpleNamespace(conf=conf, sparkContext=Ctx(current))
+
+    s = session("hdfs://shared/ckpt", None)
+    assert checkpoint_dir(s) == "hdfs://shared/ckpt" and s.sparkContext.set_to == "hdfs://shared/ckpt"
+    s = session("hdfs://shared/ckpt", "hdfs://shared/ckpt/uuid")
+    assert checkpoint_dir(s) == "hdfs://shared/ckpt" and s.sparkContext.set_to is None
+    s = session(None, None)  # unset: a scratch folder, as in local tests
+    path = checkpoint_dir(s)
+    assert s.sparkContext.set_to == path and "homestat-ckpt-" in path
+
+
+def test_layout_checkpoint_lands_in_the_session_folder(spark):
+    import os
+
+    from homestat.operators.layout import sorted_layout
+    folder = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    before = sum(1 for _ in os.scandir(folder))
+    lay = sorted_layout(spark.range(50).select((F.col("id") % 3).alias("g"), "id"), ["g"], ["id"])
+    assert lay.count() == 50
+    assert sum(1 for _ in os.scandir(folder)) > before
