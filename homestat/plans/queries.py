@@ -710,6 +710,7 @@ SNAPSHOT_SQL = None  # filled below, once all component SQL strings exist
 
 
 def _snapshot_sql() -> str:
+    # DuckDB oracle only: p, i and f are one-row CTEs (the Spark plan has no cross join)
     q = ORACLE_SQL
     return f"""
 WITH pp AS ({q['price_pressure']}), inv AS ({q['inventory_absorption']}), zt AS ({q['zip_price_trends']}),
@@ -931,6 +932,8 @@ def q_county_export_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parcels.select("account", "account_key", "zip", "living", "locs", "homestead")
 
 
+# The oracle below pairs regions with the six newest months in DuckDB (both tiny)
+# to list the NULL cells an unpivot keeps; the Spark side only unpivots.
 @register("index_export_scan", """
 WITH m AS (SELECT c_mktsegment AS region, last_day(o_orderdate) AS month, round(median(o_totalprice), 4) AS value
            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
