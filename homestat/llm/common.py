@@ -145,3 +145,22 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 def signed(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's long."""
     return x.view(np.int64)
+
+
+def chunks(sizes, limit: int = 4_000_000):
+    """Ranges (from, to) of consecutive rows whose sizes add up to about ``limit`` (a row at least)."""
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        if total and total + n > limit:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def text_chunks(texts, limit: int = 4_000_000):
+    """Lists of consecutive texts of about ``limit`` characters together, whatever the batch's size."""
+    texts = list(texts)
+    for a, b in chunks([len(t) if t is not None else 0 for t in texts], limit):
+        yield a, texts[a:b]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from homestat.llm import mixing, urls
 from homestat.llm.common import table
 from homestat.llm.lines import line_dedup
+from homestat.llm.toxicity import toxicity
 
 # --- 1: mixing ----------------------------------------------------------------------
 
@@ -70,6 +71,13 @@ SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
 FROM placed
 """
 
+# --- 5: toxicity ----------------------------------------------------------------------
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
 # --- 10: URL filter -------------------------------------------------------------------
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -160,6 +168,7 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_toxicity": op5_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
