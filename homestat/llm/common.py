@@ -35,6 +35,8 @@ def staged(df: DataFrame) -> DataFrame:
 
     Cuts the lineage: a lost executor costs a re-read, not the work before it, and
     every branch that reads the table sees the same rows. Removed when Python ends.
+    Spark deletes the shuffle files of finished work when the driver collects garbage;
+    asking for that here keeps them from piling up over an operator's stages.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
@@ -42,6 +44,7 @@ def staged(df: DataFrame) -> DataFrame:
     if not _STAGED:
         atexit.register(_remove_staged)
     _STAGED.append((spark, path))
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from homestat.llm import mixing, urls
 from homestat.llm.common import table
 from homestat.llm.lines import line_dedup
+from homestat.llm.substring import substring_dedup
 from homestat.llm.toxicity import toxicity
 
 # --- 1: mixing ----------------------------------------------------------------------
@@ -78,6 +79,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
 
 
+# --- 6: substring dedup ---------------------------------------------------------------
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
 # --- 10: URL filter -------------------------------------------------------------------
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -169,6 +177,7 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_toxicity": op5_toxicity,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
