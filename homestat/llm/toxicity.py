@@ -16,6 +16,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 from homestat.llm.common import ngram_hashes, signed, staged, text_chunks, word_hashes
 
 MAX_TERMS = 200  # terms of the lexicon, the strongest first
+LABELLED = 40_000  # labelled documents to learn from at most, the first by a hash of the id
 CANDIDATES = 100_000  # terms weighed for the lexicon, those in most toxic documents first
 STEMS = range(3, 9)  # lengths of word beginnings that may stand for a family of words
 LONGEST = 24  # letters of a term at most; of longer words the first so many are compared
@@ -340,11 +341,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             max_terms: int = MAX_TERMS) -> DataFrame:
+             max_terms: int = MAX_TERMS, labelled: int = LABELLED) -> DataFrame:
     """Score every whole text for toxicity, as ``labels.toxic`` (0 or 1) marks it.
 
-    Learns from the labelled documents outside the held-out fifth (:func:`held_out`):
-    (1) a lexicon (:func:`learn_lexicon`, at most ``max_terms``); (2) the matches of all
+    Learns from at most ``labelled`` labelled documents outside the held-out fifth
+    (:func:`held_out`): (1) a lexicon (:func:`learn_lexicon`, at most ``max_terms``); (2) the matches of all
     texts, misspelled ones too, with one pass through an :class:`Automaton`, each with its
     context (plain, quoted, addressed); (3) a weight for each term, number of edits and
     context (by how often the text has the term); (4) a calibration of the summed weights. Only texts enter a score.
@@ -355,11 +356,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     are never trained on or held out; repeated rows score alike. Other columns, clashing
     names too, are not read. An empty table gives an empty table.
 
-    Scale: what reaches the driver is bounded by ``CANDIDATES``, ``max_terms`` and 0.1-wide score bins.
+    Scale: the labels to learn from are bounded, and so broadcast; what reaches the driver is
+    bounded by ``CANDIDATES``, ``max_terms`` and 0.1-wide score bins.
     """
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    marks = (labels.select(F.col("doc_id").alias("id"), F.col("toxic")).where("toxic in (0, 1) and id is not null")
-             .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic")))
+    marks = F.broadcast(staged(labels.select(F.col("doc_id").alias("id"), F.col("toxic")).where("toxic in (0, 1) and id is not null")
+             .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(labelled)))
     lexicon = learn_lexicon(staged(own.join(marks, "id").where("text is not null")), max_terms)
     automaton = Automaton(lexicon)
     found = staged(own.select("id", F.xxhash64("text").alias("text_hash"), hits_column(F.col("text"), automaton).alias("hits")))
