@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed by the operators' contract: a maximal run without white space
@@ -167,3 +168,51 @@ def text_chunks(texts, limit: int = 4_000_000):
     texts = list(texts)
     for a, b in chunks([len(t) if t is not None else 0 for t in texts], limit):
         yield a, texts[a:b]
+
+
+# --- vectors ------------------------------------------------------------------------
+
+
+def usable_vectors(df: DataFrame, id_col: str, vec_col: str, nonzero: bool = False) -> DataFrame:
+    """``id`` (long) and ``v`` (doubles) of the rows whose vectors can be compared.
+
+    Left out: null ids, null or empty vectors, ones holding null or a non-finite
+    component and, if asked, zero vectors.
+    """
+    v = F.transform(F.col(f"`{vec_col}`"), lambda x: x.cast("double"))
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v"))
+    fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(fine)
+    return rows.where(F.exists("v", lambda x: x != 0)) if nonzero else rows
+
+
+def matrix(vectors, width: int) -> np.ndarray:
+    """Rows of doubles; a shorter vector is filled up with zeros."""
+    out = np.zeros((len(vectors), width))
+    for i, v in enumerate(vectors):
+        out[i, : len(v)] = v
+    return out
+
+
+def block_pairs(queries: DataFrame, rows: DataFrame, query_blocks: int, row_blocks: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides dealt to every pair of blocks (``_qb``, ``_rb``), ready to be grouped together."""
+    q = queries.withColumn("_qb", F.pmod(F.xxhash64("id"), F.lit(query_blocks))).withColumn(
+        "_rb", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)).cast("array<bigint>")))
+    r = rows.withColumn("_rb", F.pmod(F.xxhash64("id"), F.lit(row_blocks))).withColumn(
+        "_qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>")))
+    return q, r
+
+
+def best_of_each(query: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) -> np.ndarray:
+    """Places of each query's ``k`` best: highest score first, then smallest id."""
+    order = np.lexsort((ident, -score, query))
+    q = query[order]
+    new = np.concatenate([[True], q[1:] != q[:-1]]) if len(q) else np.empty(0, bool)
+    first = np.maximum.accumulate(np.where(new, np.arange(len(q)), 0)) if len(q) else np.empty(0, np.int64)
+    return order[np.arange(len(q)) - first < k]
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best rows of each query over all blocks, with their rank from 1."""
+    w = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

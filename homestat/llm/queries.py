@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homestat.llm import mixing, urls
-from homestat.llm.common import table
+from homestat.llm.ann import nearest_neighbours
+from homestat.llm.common import table, usable_vectors
 from homestat.llm.lines import line_dedup
 from homestat.llm.substring import substring_dedup
+from homestat.llm.topk import exact_topk
 from homestat.llm.toxicity import toxicity
 
 # --- 1: mixing ----------------------------------------------------------------------
@@ -72,6 +74,29 @@ SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
 FROM placed
 """
 
+# --- 3: exact top-k ------------------------------------------------------------------
+
+
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    # whole numbers, kept as doubles: beyond 2**53 a double has no fraction to lose
+    vectors = vectors.select("id", F.transform("v", lambda x: F.floor(x * 256).cast("double")).alias("v"))
+    return exact_topk(vectors.where("id % 50 = 0"), vectors, 5)
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_dot_product(q.e, r.e)::BIGINT AS score
+  FROM v q JOIN v r ON q.vec_id <> r.vec_id AND len(q.e) = len(r.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+WHERE rank <= 5
+"""
+
 # --- 5: toxicity ----------------------------------------------------------------------
 
 
@@ -86,6 +111,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
 
+# --- 7: approximate nearest neighbours --------------------------------------------------
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", nonzero=True)
+    return nearest_neighbours(vectors.where("id % 20 = 0"), vectors, 20)
+
+
 # --- 10: URL filter -------------------------------------------------------------------
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -176,14 +209,17 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_exact_topk": op3_exact_topk,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL = {
     "op1_mix_sources": OP1_SQL,
+    "op3_exact_topk": OP3_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_url_filter": OP10_SQL,
 }
