@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from homestat.llm import mixing, urls
 from homestat.llm.ann import nearest_neighbours
 from homestat.llm.common import table, usable_vectors
+from homestat.llm.html import extract_text
 from homestat.llm.lines import line_dedup
 from homestat.llm.substring import substring_dedup
 from homestat.llm.topk import exact_topk
@@ -119,6 +120,13 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors.where("id % 20 = 0"), vectors, 20)
 
 
+# --- 8: HTML extraction ----------------------------------------------------------------
+
+
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 # --- 10: URL filter -------------------------------------------------------------------
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
@@ -213,6 +221,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_html_extract": op8_html_extract,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }
