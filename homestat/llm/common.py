@@ -151,6 +151,26 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+FIRST_BASE, SECOND_BASE = _B1, np.uint64(0xC2B2AE3D27D4EB4F)  # odd: they have inverses modulo 2**64
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class RangeHashes:
+    """Hash of any run of consecutive words, from prefix sums of a polynomial modulo 2**64."""
+
+    def __init__(self, words: np.ndarray, base: np.uint64 = FIRST_BASE):
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(base, len(words))[:-1], dtype=np.uint64)])
+        self.back = _powers(np.uint64(pow(int(base), -1, 2**64)), len(words))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
+
+
 def chunks(sizes, limit: int = 4_000_000):
     """Ranges (from, to) of consecutive rows whose sizes add up to about ``limit`` (a row at least)."""
     start, total = 0, 0

@@ -10,6 +10,7 @@ from homestat.llm.ann import nearest_neighbours
 from homestat.llm.common import table, usable_vectors
 from homestat.llm.html import extract_text
 from homestat.llm.lines import line_dedup
+from homestat.llm.minhash import near_duplicates
 from homestat.llm.substring import substring_dedup
 from homestat.llm.topk import exact_topk
 from homestat.llm.toxicity import toxicity
@@ -75,6 +76,13 @@ SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
 FROM placed
 """
 
+# --- 2: near-duplicates ----------------------------------------------------------------
+
+
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 # --- 3: exact top-k ------------------------------------------------------------------
 
 
@@ -217,6 +225,7 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op3_exact_topk": op3_exact_topk,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,

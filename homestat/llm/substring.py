@@ -10,28 +10,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homestat.llm.common import mix64, ngram_hashes, signed, staged, text_chunks, word_hashes, word_spans
+from homestat.llm.common import SECOND_BASE, RangeHashes, mix64, ngram_hashes, signed, staged, text_chunks, word_hashes
 
 WINDOW = 50  # words of the shortest duplicate span
 ANCHOR = 20  # words of an anchor
-_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd: they have inverses modulo 2**64
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-class RangeHashes:
-    """Hash of any run of consecutive words, from prefix sums of a polynomial modulo 2**64."""
-
-    def __init__(self, words: np.ndarray, base: np.uint64 = _P):
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(base, len(words))[:-1], dtype=np.uint64)])
-        self.back = _powers(np.uint64(pow(int(base), -1, 2**64)), len(words))
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
 
 def reference_blocks(words: np.ndarray, offsets: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR):
@@ -91,7 +73,7 @@ def _boundary_windows(window: int):
                 at = offsets[of] + start
                 yield pd.DataFrame({"_id": pdf["_id"].to_numpy()[a + of], "_th": pdf["_th"].to_numpy()[a + of], "at": start.astype(np.int32),
                                     "w1": signed(RangeHashes(words).of(at, at + window)),
-                                    "w2": signed(RangeHashes(words, _Q).of(at, at + window))})
+                                    "w2": signed(RangeHashes(words, SECOND_BASE).of(at, at + window))})
     return windows
 
 
