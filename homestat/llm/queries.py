@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestat.llm import mixing, urls
+from homestat.llm import mixing, sentencepiece, urls
 from homestat.llm.ann import nearest_neighbours
 from homestat.llm.common import table, usable_vectors
 from homestat.llm.html import extract_text
@@ -106,6 +106,18 @@ SELECT query_id, rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
+# --- 4: SentencePiece --------------------------------------------------------------------
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and whether they decode to its text again."""
+    pieces = sentencepiece.load(sentencepiece.MODEL)
+    coded = table(spark, sf_dir, "documents").select("doc_id", "text", sentencepiece.encode_column(F.col("text"), pieces).alias("ids"))
+    back = sentencepiece.decode_column(F.col("ids"), pieces)
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"),
+                        (back == F.replace("text", F.lit(sentencepiece.SPACE), F.lit(" "))).alias("round_trip"))
+
+
 # --- 5: toxicity ----------------------------------------------------------------------
 
 
@@ -227,6 +239,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_exact_topk": op3_exact_topk,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_nearest_neighbours": op7_nearest_neighbours,
