@@ -14,6 +14,17 @@ NONE = "(none)"  # the name of a null level
 BUCKET_ROWS = 4096  # rows of a leaf whose order is decided in one task (on average)
 
 
+# The production mix: target weights by level, others count 1.
+WEIGHTS = {"domain": {"d0": 3, "d1": 2}, "lang": {"en": 4, "de": 2}}
+EPOCHS, SEED = 4, 17
+
+
+def corpus_levels() -> dict[str, Column]:
+    """Domain (a source's number modulo 4 stands for it), language, source."""
+    number = F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as bigint) % 4")
+    return {"domain": F.concat(F.lit("d"), number), "lang": F.col("lang"), "source": F.col("source")}
+
+
 def _weight(name: Column, weights: Mapping[str, int]) -> Column:
     if any(w <= 0 or w != int(w) for w in weights.values()):
         raise ValueError("weights are positive whole numbers")
@@ -139,10 +150,10 @@ def take(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: st
     """The mixed corpus: each document as often as ``mixed`` says, all its columns kept.
 
     A partial copy holds the document's first ``cut_tokens`` words, joined by one space.
-    Rows must have an id of their own (rows of equal ids would be multiplied).
+    Rows of equal ids are each taken as often as the one that is taken most.
     """
-    plan = mixed.where("copies > 0 or cut_tokens > 0").select(
-        F.col(f"`{id_col}`").alias("_mx_id"), F.col("copies").alias("_mx_copies"), F.col("cut_tokens").alias("_mx_cut"))
+    plan = mixed.where("copies > 0 or cut_tokens > 0").groupBy(F.col(f"`{id_col}`").alias("_mx_id")).agg(
+        F.max("copies").alias("_mx_copies"), F.max("cut_tokens").alias("_mx_cut"))
     both = docs.join(plan, F.col(f"`{id_col}`").eqNullSafe(F.col("_mx_id")))
     both = both.withColumn("_mx_part", F.explode(F.concat(
         F.when(F.col("_mx_copies") > 0, F.array_repeat(F.lit(False), F.col("_mx_copies").cast("int"))).otherwise(F.array().cast("array<boolean>")),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from homestat.llm import mixing, sentencepiece, urls
 from homestat.llm.ann import nearest_neighbours
 from homestat.llm.common import table, usable_vectors
@@ -17,27 +18,18 @@ from homestat.llm.toxicity import toxicity
 
 # --- 1: mixing ----------------------------------------------------------------------
 
-MIX_WEIGHTS = {"domain": {"d0": 3, "d1": 2}, "lang": {"en": 4, "de": 2}}
-MIX_EPOCHS, MIX_SEED = 4, 17
-
-
-def mix_levels() -> dict[str, Column]:
-    """Domain (a source's number modulo 4 stands for it), language, source."""
-    number = F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as bigint) % 4")
-    return {"domain": F.concat(F.lit("d"), number), "lang": F.col("lang"), "source": F.col("source")}
-
-
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.corpus_levels(), mixing.WEIGHTS,
+                      max_epochs=mixing.EPOCHS, seed=mixing.SEED)
 
 
 def _fill_sql(i: int, levels: list[str]) -> str:
     """One level of the budget tree: b<i> from b<i - 1>."""
     level, path, parent = levels[i], ", ".join(levels[: i + 1]), ", ".join(["root", *levels[:i]])
-    weight = "".join(f" WHEN '{k}' THEN {w}" for k, w in MIX_WEIGHTS.get(level, {}).items())
+    weight = "".join(f" WHEN '{k}' THEN {w}" for k, w in mixing.WEIGHTS.get(level, {}).items())
     weight = f"CASE {level}{weight} ELSE 1 END" if weight else "1"
     return f"""
-n{i} AS (SELECT 0 AS root, {path}, sum(tokens) * {MIX_EPOCHS} AS cap, {weight} AS weight FROM leaves GROUP BY {path}),
+n{i} AS (SELECT 0 AS root, {path}, sum(tokens) * {mixing.EPOCHS} AS cap, {weight} AS weight FROM leaves GROUP BY {path}),
 f{i} AS (SELECT n{i}.*, budget, sum(cap) OVER o AS s,
            coalesce(sum(weight) OVER (o ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS w
          FROM n{i} JOIN {f'b{i - 1}' if i else 'top'} USING ({parent}) WINDOW o AS (PARTITION BY {parent} ORDER BY cap::DOUBLE / weight, {level})),
@@ -67,7 +59,7 @@ plan AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN budget // tokens
 placed AS (
   SELECT slim.*, whole, rest, sum(n_tokens) OVER (
            PARTITION BY domain, lang, source
-           ORDER BY md5('{MIX_SEED}:' || whole || ':' || coalesce(doc_id::VARCHAR, '')), doc_id, n_tokens
+           ORDER BY md5('{mixing.SEED}:' || whole || ':' || coalesce(doc_id::VARCHAR, '')), doc_id, n_tokens
            ROWS UNBOUNDED PRECEDING) - n_tokens AS start
   FROM slim JOIN plan USING (domain, lang, source))
 SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
@@ -114,7 +106,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = sentencepiece.load(sentencepiece.MODEL)
     coded = table(spark, sf_dir, "documents").select("doc_id", "text", sentencepiece.encode_column(F.col("text"), pieces).alias("ids"))
     back = sentencepiece.decode_column(F.col("ids"), pieces)
-    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"),
+    return coded.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"),
                         (back == F.replace("text", F.lit(sentencepiece.SPACE), F.lit(" "))).alias("round_trip"))
 
 
@@ -122,7 +114,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 # --- 6: substring dedup ---------------------------------------------------------------
@@ -246,6 +238,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

@@ -340,40 +340,72 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             max_terms: int = MAX_TERMS, labelled: int = LABELLED) -> DataFrame:
-    """Score every whole text for toxicity, as ``labels.toxic`` (0 or 1) marks it.
+@dataclass(frozen=True)
+class Model:
+    """What :func:`fit` learns: its size is bounded by the number of terms."""
+
+    terms: list[Term]
+    automaton: Automaton
+    weights: list[float]
+    slope: float
+    intercept: float
+
+    def score(self, text: Column) -> Column:
+        """0 to 1, from the text alone; null and empty texts get the base score."""
+        return _logistic(_raw(hits_column(text, self.automaton), self.weights) * self.slope + self.intercept)
+
+
+def _raw(hits: Column, weights: list[float]) -> Column:
+    table = F.array(*map(F.lit, weights or [0.0]))
+    return F.aggregate(hits, F.lit(0.0), lambda s, h: s + F.get(table, h["key"]) * h["share"])
+
 
-    Learns from at most ``labelled`` labelled documents outside the held-out fifth
-    (:func:`held_out`): (1) a lexicon (:func:`learn_lexicon`, at most ``max_terms``); (2) the matches of all
-    texts, misspelled ones too, with one pass through an :class:`Automaton`, each with its
-    context (plain, quoted, addressed); (3) a weight for each term, number of edits and
-    context (by how often the text has the term); (4) a calibration of the summed weights. Only texts enter a score.
+def _logistic(x: Column) -> Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
-    Returns the id, ``text_hash`` (xxhash64 of the text), ``held_out``, ``score`` (0 to 1)
-    and ``predicted`` (1 from 0.5), a row per row. Null and empty texts have no matches
-    and get the base score; with no toxic label to learn from every text does. Null ids
-    are never trained on or held out; repeated rows score alike. Other columns, clashing
-    names too, are not read. An empty table gives an empty table.
 
-    Scale: the labels to learn from are bounded, and so broadcast; what reaches the driver is
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        max_terms: int = MAX_TERMS, labelled: int = LABELLED) -> Model:
+    """Learn from at most ``labelled`` labelled documents outside the held-out fifth (:func:`held_out`).
+
+    (1) A lexicon (:func:`learn_lexicon`, at most ``max_terms``); (2) the matches in these
+    texts, misspelled ones too, each with its context (plain, quoted, addressed); (3) a
+    weight for each term, number of edits, context and how often the text has the term;
+    (4) a calibration of the summed weights. With no toxic label every text scores the
+    base rate. The labels are bounded, and so broadcast; what reaches the driver is
     bounded by ``CANDIDATES``, ``max_terms`` and 0.1-wide score bins.
     """
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    marks = F.broadcast(staged(labels.select(F.col("doc_id").alias("id"), F.col("toxic")).where("toxic in (0, 1) and id is not null")
-             .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(labelled)))
-    lexicon = learn_lexicon(staged(own.join(marks, "id").where("text is not null")), max_terms)
+    marks = (labels.select(F.col("doc_id").alias("id"), "toxic").where("toxic in (0, 1) and id is not null")
+             .where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
+             .orderBy(F.xxhash64("id"), "id").limit(labelled))
+    sample = staged(own.join(F.broadcast(staged(marks)), "id").where("text is not null"))
+    lexicon = learn_lexicon(sample, max_terms)
     automaton = Automaton(lexicon)
-    found = staged(own.select("id", F.xxhash64("text").alias("text_hash"), hits_column(F.col("text"), automaton).alias("hits")))
-    seen = found.join(marks, "id")
-    base = seen.agg(F.avg("toxic")).first()[0] or 0.5
-    base = min(max(float(base), 0.001), 0.999)
+    seen = staged(sample.select("toxic", hits_column(F.col("text"), automaton).alias("hits")))
+    base = seen.agg(F.avg("toxic")).first()[0]
+    base = min(max(float(0.5 if base is None else base), 0.001), 0.999)
     counts = seen.select("toxic", F.explode("hits.key").alias("key")).groupBy("key").agg(
         F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).collect()
-    weights = F.array(*map(F.lit, _weights(counts, lexicon, base) or [0.0]))
-    raw = F.aggregate("hits", F.lit(0.0), lambda s, h: s + F.get(weights, h["key"]) * h["share"])
-    a, b = _calibrate(seen.select(F.round(raw, 1).alias("raw"), "toxic").groupBy("raw", "toxic")
-                      .agg(F.count(F.lit(1)).alias("n")).collect())
-    scored = found.select("id", "text_hash", (F.lit(1.0) / (F.lit(1.0) + F.exp(-(raw * a + b)))).alias("score"))
-    return scored.select(F.col("id").alias(id_col), "text_hash", held_out(F.col("id")).alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    weights = _weights(counts, lexicon, base)
+    bins = seen.select(F.round(_raw(F.col("hits"), weights), 1).alias("raw"), "toxic").groupBy("raw", "toxic").agg(
+        F.count(F.lit(1)).alias("n")).collect()
+    return Model(lexicon, automaton, weights, *_calibrate(bins))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             max_terms: int = MAX_TERMS, labelled: int = LABELLED) -> DataFrame:
+    """Score every whole text for toxicity, as ``labels.toxic`` (0 or 1) marks it.
+
+    Learns a :class:`Model` (:func:`fit`), then reads every text once, on its own. Only
+    texts enter a score. Returns the id, ``held_out``, ``score`` (0 to 1) and
+    ``predicted`` (1 from 0.5), a row per row.
+
+    Null and empty texts have no matches and get the base score. Null ids are never
+    trained on or held out; repeated rows score alike. Other columns, clashing names too,
+    are not read. An empty table gives an empty table.
+    """
+    model = fit(docs, labels, id_col, text_col, max_terms, labelled)
+    ident = F.col(f"`{id_col}`")
+    scored = docs.select(ident, model.score(F.col(f"`{text_col}`")).alias("score"))
+    return scored.select(ident, held_out(ident).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
