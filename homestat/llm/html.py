@@ -43,7 +43,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}}
 # How likely a word is content before any page is seen, by the block it stands in.
-PRIORS = {"noise": 0.02, "p": 0.9, "pre": 0.8, "blockquote": 0.8, "li": 0.5, "td": 0.5, "dd": 0.6} | dict.fromkeys(HEADINGS, 0.8)
+PRIORS = {"noise": 0.02, "p": 0.9, "pre": 0.8, "blockquote": 0.8, "li": 0.6, "td": 0.6, "dd": 0.6} | dict.fromkeys(HEADINGS, 0.8)
 
 
 class Block:

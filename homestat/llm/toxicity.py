@@ -313,26 +313,26 @@ def _weights(counts: list, terms: list[Term], base: float) -> list[float]:
     return out
 
 
-def _calibrate(bins: list, steps: int = 50) -> tuple[float, float]:
-    """Slope and intercept of label on raw score by Newton's method, over (raw, toxic, n) bins."""
+def _calibrate(bins: list, base: float, steps: int = 50) -> tuple[float, float]:
+    """Slope and intercept of label on raw score by Newton's method, over (raw, toxic, n) bins.
+
+    Drawn to what summed log-odds would give by themselves: slope 1, the base rate's log-odds.
+    """
     x = np.array([r["raw"] for r in bins], dtype=float)
     y = np.array([r["toxic"] for r in bins], dtype=float)
     n = np.array([r["n"] for r in bins], dtype=float)
-    p = np.average(y, weights=n) if len(n) else 0.5
-    if not len(n) or p in (0.0, 1.0) or np.ptp(x) == 0:
-        p = min(max(p, 0.01), 0.99)
-        return 1.0, math.log(p / (1 - p))
-    a, b = 1.0, math.log(p / (1 - p))
-    for _ in range(steps):
-        z = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
+    start = np.array([1.0, math.log(base / (1 - base))])
+    at, hold = start.copy(), np.array([10.0, 1.0])
+    for _ in range(steps if len(n) else 0):
+        z = 1 / (1 + np.exp(-np.clip(at[0] * x + at[1], -30, 30)))
         w = n * np.maximum(z * (1 - z), 1e-9)
-        g = np.array([np.sum(n * (y - z) * x) - 0.01 * a, np.sum(n * (y - z))])
-        h = np.array([[np.sum(w * x * x) + 0.01, np.sum(w * x)], [np.sum(w * x), np.sum(w) + 1e-6]])
+        g = np.array([np.sum(n * (y - z) * x), np.sum(n * (y - z))]) - hold * (at - start)
+        h = np.array([[np.sum(w * x * x), np.sum(w * x)], [np.sum(w * x), np.sum(w)]]) + np.diag(hold)
         move = np.clip(np.linalg.solve(h, g), -2, 2)
-        a, b = a + move[0], b + move[1]
+        at = at + move
         if np.abs(move).max() < 1e-9:
             break
-    return max(float(a), 0.01), float(b)
+    return max(float(at[0]), 0.01), float(at[1])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -349,19 +349,18 @@ class Model:
     weights: list[float]
     slope: float
     intercept: float
+    without: float  # log-odds of texts without a match
 
     def score(self, text: Column) -> Column:
-        """0 to 1, from the text alone; null and empty texts get the base score."""
-        return _logistic(_raw(hits_column(text, self.automaton), self.weights) * self.slope + self.intercept)
+        """0 to 1, from the text alone; null and empty texts score as others without a match."""
+        odds = _raw(hits_column(text, self.automaton), self.weights) * self.slope + self.intercept
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.coalesce(odds, F.lit(self.without))))
 
 
 def _raw(hits: Column, weights: list[float]) -> Column:
+    """Summed weights of a text's matches; null if it has none."""
     table = F.array(*map(F.lit, weights or [0.0]))
-    return F.aggregate(hits, F.lit(0.0), lambda s, h: s + F.get(table, h["key"]) * h["share"])
-
-
-def _logistic(x: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
+    return F.aggregate(hits, F.lit(None).cast("double"), lambda s, h: F.coalesce(s, F.lit(0.0)) + F.get(table, h["key"]) * h["share"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -371,7 +370,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     (1) A lexicon (:func:`learn_lexicon`, at most ``max_terms``); (2) the matches in these
     texts, misspelled ones too, each with its context (plain, quoted, addressed); (3) a
     weight for each term, number of edits, context and how often the text has the term;
-    (4) a calibration of the summed weights. With no toxic label every text scores the
+    (4) a calibration of the summed weights, of the texts that have a match; texts without
+    one score their share of toxic labels, below one half. With no toxic label every text scores the
     base rate. The labels are bounded, and so broadcast; what reaches the driver is
     bounded by ``CANDIDATES``, ``max_terms`` and 0.1-wide score bins.
     """
@@ -390,7 +390,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     weights = _weights(counts, lexicon, base)
     bins = seen.select(F.round(_raw(F.col("hits"), weights), 1).alias("raw"), "toxic").groupBy("raw", "toxic").agg(
         F.count(F.lit(1)).alias("n")).collect()
-    return Model(lexicon, automaton, weights, *_calibrate(bins))
+    bare = {r["toxic"]: r["n"] for r in bins if r["raw"] is None}
+    t, n = bare.get(1, 0), sum(bare.values())
+    rate = min((t + base) / (n + 1), 0.49) if lexicon else base
+    slope, intercept = _calibrate([r for r in bins if r["raw"] is not None], base)
+    return Model(lexicon, automaton, weights, slope, intercept, math.log(rate / (1 - rate)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -401,7 +405,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     texts enter a score. Returns the id, ``held_out``, ``score`` (0 to 1) and
     ``predicted`` (1 from 0.5), a row per row.
 
-    Null and empty texts have no matches and get the base score. Null ids are never
+    Null and empty texts have no matches and score as other texts without one. Null ids are never
     trained on or held out; repeated rows score alike. Other columns, clashing names too,
     are not read. An empty table gives an empty table.
     """
