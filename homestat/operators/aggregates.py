@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from homestat.operators.layout import PID, POS, partition_offsets, sorted_layout
+from homestat.operators.splits import per_hot_group
+
+
+_ACCURACY = 10_000  # approximate quantiles are off by at most 1 / _ACCURACY of the rows
+_BRACKET = 3 / _ACCURACY
 
 
 def _as_list(x) -> list:
@@ -14,53 +18,48 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, str) else list(x)
 
 
-def group_median(df: DataFrame, by, value: str, *, out: str = "median", count_out: str | None = None,
-                 strategy: str = "sorted", partitions: int | None = None,
-                 accuracy: int = 10000) -> DataFrame:
+def group_median(df: DataFrame, by, value: str, *, out: str = "median", count_out: str | None = None) -> DataFrame:
     """Exact interpolated median of `value` per group (NULLs ignored), optional non-null count.
 
-    strategy:
-      * ``sorted`` (default) — range-partition (group, value) so a hot group spans
-        many tasks, read each group's middle one or two rows off per-partition
-        offsets. Memory per task is bounded by the partition size, never by a group.
-      * ``hash`` — Spark's `median` (partial + final ObjectHashAggregate). Fastest,
-        but the final task of a group holds all its distinct values: use it only
-        when groups are known to be small.
-      * ``approx`` — `percentile_approx` with `accuracy`; bounded sketch, not exact.
+    A group without a value keeps its row: a NULL median, count 0. Groups of ordinary size
+    use Spark's `median` (its last step holds a group's distinct values, at most
+    `splits.HOT_ROWS` of them). For a very large group, and for the whole table, a narrow
+    bracket around the middle is taken from approximate quantiles; one pass counts the
+    rows below it and the equal values inside, and the exact middle is read off these
+    counts. Rows outside the bracket are counted before anything is shuffled, so neither
+    a large group nor one very frequent value gathers in a task.
     """
     by = _as_list(by)
-    if strategy == "hash":
-        aggs = [F.median(value).alias(out)]
-        if count_out:
-            aggs.append(F.count(value).alias(count_out))
-        return df.groupBy(*by).agg(*aggs)
-    if strategy == "approx":
-        aggs = [F.percentile_approx(value, 0.5, accuracy).cast("double").alias(out)]
-        if count_out:
-            aggs.append(F.count(value).alias(count_out))
-        return df.groupBy(*by).agg(*aggs)
-
-    base = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    lay = sorted_layout(base, by, ["_v"], partitions)
-    offs = partition_offsets(lay, by)
-    # ranks of the middle element(s): (n+1) div 2 and n div 2 + 1 (equal when n is odd);
-    # both are looked up in one pass over the per-partition offsets
-    ks = F.array(F.struct(F.lit("lo").alias("tag"), F.floor((F.col("_n") + 1) / 2).alias("k")),
-                 F.struct(F.lit("hi").alias("tag"), (F.floor(F.col("_n") / 2) + 1).alias("k")))
-    t = offs.select(PID, "_first", "_before", "_cnt", "_n", F.explode(ks).alias("_t"))
-    k = F.col("_t.k")
-    targets = (t.where((k > F.col("_before")) & (k <= F.col("_before") + F.col("_cnt")))
-               .select(PID, (F.col("_first") + k - F.col("_before") - 1).alias(POS),
-                       F.col("_t.tag").alias("_tag"), "_n"))
-    picked = lay.join(targets, on=[PID, POS], how="inner")
-    res = picked.groupBy(*by).agg(
-        F.max(F.when(F.col("_tag") == "lo", F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_tag") == "hi", F.col("_v"))).alias("_hi"),
-        F.max("_n").alias("_n"))
-    cols = [*by, ((F.col("_lo") + F.col("_hi")) / 2).alias(out)]
-    if count_out:
-        cols.append(F.col("_n").cast("bigint").alias(count_out))
-    return res.select(*cols)
+    base = df.select(*by, F.col(value).cast("double").alias("_v"))
+    stats = F.struct(F.count("_v").alias("n"), F.expr(
+        f"percentile_approx(_v, array({0.5 - _BRACKET}D, {0.5 + _BRACKET}D), {_ACCURACY})").alias("c"))
+    if by:
+        bracket = per_hot_group(base, by, stats)
+    else:
+        bracket = base.agg(stats.alias("_s")).scalar()
+    marked = base.withColumn("_s", bracket)
+    counts = [] if count_out is None else [count_out]
+    hot = marked.where(F.col("_s").isNotNull() & (F.col("_v").isNull() | (F.col("_v") <= F.col("_s.c")[1])))
+    # NULL stands for all rows below the bracket; rows without a value count nothing
+    place = F.when(F.col("_v") >= F.col("_s.c")[0], F.col("_v"))
+    seen = hot.groupBy(*by, place.alias("_v")).agg(F.count("_v").alias("_m"), F.first("_s.n").alias("_n"))
+    upto = F.sum("_m").over(Window.partitionBy(*by).orderBy(F.col("_v").asc_nulls_first())
+                            .rowsBetween(Window.unboundedPreceding, 0))
+    seen = seen.withColumn("_upto", upto).where(F.col("_v").isNotNull() | (F.col("_n") == 0))
+    pick = lambda k: F.min(F.when(F.col("_upto") >= k, F.col("_v")))
+    middle = seen.groupBy(*by).agg(
+        pick(F.floor((F.col("_n") + 1) / 2)).alias("_lo"), pick(F.floor(F.col("_n") / 2) + 1).alias("_hi"),
+        F.min(F.col("_upto") - F.col("_m")).alias("_below"), F.first("_n").alias("_n"))
+    # the quantiles' error is proven; were it ever exceeded, fail rather than answer wrongly
+    missed = (F.col("_n") > 0) & (F.col("_hi").isNull() | (F.col("_below") >= F.floor((F.col("_n") + 1) / 2)))
+    found = F.when(missed, F.raise_error(F.lit("median outside its bracket")).cast("double")).otherwise(
+        (F.col("_lo") + F.col("_hi")) / 2)
+    large = middle.select(*by, found.alias(out), *[F.col("_n").cast("bigint").alias(c) for c in counts])
+    if not by:
+        return large
+    ordinary = marked.where(F.col("_s").isNull()).groupBy(*by).agg(
+        F.median("_v").alias(out), *[F.count("_v").alias(c) for c in counts])
+    return ordinary.unionByName(large)
 
 
 def fixed_point_mean(value, scale: int = 2) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from homestat.functions import labels as L
-from homestat.operators.layout import PID, POS, null_safe_join, ranked, sorted_layout
+from homestat.operators.splits import GROUP, HOT, PIECE, split_groups
 
 
 def _as_list(x) -> list:
@@ -27,31 +27,42 @@ def latest_n(df: DataFrame, by, order, n: int, *, newest_first: bool = True) ->
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def _with_carry(df: DataFrame, by: list[str], order, value: str, ignorenulls: bool):
-    """Sorted layout plus `_carry`: the group's last value (last non-null with
-    `ignorenulls`) in earlier partitions. Returns (frame, window over partition+group)."""
-    keys = [F.col(b).asc() for b in by] + _orders(order)
-    lay = sorted_layout(df, [], keys)
-    pos = F.when(F.col(value).isNotNull(), F.col(POS)) if ignorenulls else F.col(POS)
-    summary = lay.groupBy(PID, *by).agg(F.max_by(F.col(value), pos).alias("_last"))
-    earlier = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(PID)
-    if ignorenulls:
-        carried = F.last("_last", ignorenulls=True).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    else:
-        carried = F.lag("_last").over(earlier)
-    carry = summary.select(PID, *by, carried.alias("_carry"))
-    return null_safe_join(lay, carry, [PID, *by]), Window.partitionBy(PID, *by).orderBy(POS)
+_ADDED = (GROUP, HOT, PIECE)
+
+
+def _carried(split: DataFrame, per_piece: Column, across: Column) -> DataFrame:
+    """`split` with `_carry`: for rows of a cut group, `across` of `per_piece` over the
+    group's pieces in order; NULL for all other rows.
+
+    The joined table has a row per cut group and piece, a few thousand at most."""
+    ends = split.where(F.col(HOT)).groupBy(GROUP, PIECE).agg(per_piece.alias("_end"))
+    carry = ends.select(F.col(GROUP).alias("_cg"), F.col(PIECE).alias("_cp"), across.alias("_carry"))
+    cond = (F.col(GROUP) == F.col("_cg")) & (F.col(PIECE) == F.col("_cp")) & F.col(HOT)
+    return split.join(F.broadcast(carry), cond, "left").drop("_cg", "_cp")
+
+
+def _key(order) -> Column:
+    """The order columns as one value that sorts like them, NULLs last."""
+    cols = _as_list(order)
+    return F.struct(*[x for i, c in enumerate(cols) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"o{i}"))])
+
+
+def _pieces():
+    return Window.partitionBy(GROUP).orderBy(PIECE)
+
+
+def _all_earlier():
+    return _pieces().rowsBetween(Window.unboundedPreceding, -1)
 
 
 def pct_change(df: DataFrame, by, order, value: str, out: str, *, bounded_groups: bool = False) -> DataFrame:
     """Change vs the previous row of the group, after carrying the last non-null value
     forward (so a gap repeats the last value). Division by zero gives NULL.
 
-    Skew-proof by default: rows are range-partitioned on (group, order), so a group
-    may span many partitions; each (partition, group) starts its forward fill from
-    the last non-null value of the group's earlier partitions (one summary row per
-    partition and group). `bounded_groups=True` is for inputs whose groups have a
-    proven small size (e.g. after `latest_n`): one plain window.
+    Skew-proof by default: a very large group is cut into pieces by its order column
+    (`splits`), and each piece starts its forward fill from the last non-null value of
+    the group's earlier pieces. One shuffle. `bounded_groups=True` is for inputs whose
+    groups have a proven small size (e.g. after `latest_n`): one plain window.
     """
     by = _as_list(by)
     if bounded_groups:
@@ -59,38 +70,52 @@ def pct_change(df: DataFrame, by, order, value: str, out: str, *, bounded_groups
         filled = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
         prev = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
         return df.withColumn(out, F.try_divide(filled, prev) - F.lit(1.0))
-    j, w = _with_carry(df, by, order, value, ignorenulls=True)
+    split = split_groups(df, by, _as_list(order)[0])
+    j = _carried(split, F.max_by(F.col(value), F.when(F.col(value).isNotNull(), _key(order))),
+                 F.last("_end", ignorenulls=True).over(_all_earlier()))
+    w = Window.partitionBy(*by, PIECE).orderBy(*_orders(order))
     filled = F.coalesce(F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
                         F.col("_carry"))
     prev = F.coalesce(F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
                       F.col("_carry"))
-    return j.withColumn(out, F.try_divide(filled, prev) - F.lit(1.0)).drop(PID, POS, "_carry")
+    return j.withColumn(out, F.try_divide(filled, prev) - F.lit(1.0)).drop(*_ADDED, "_carry")
 
 
 def direction(df: DataFrame, by, order, value: str, out: str = "direction",
               band: float = 0.001, *, bounded_groups: bool = False) -> DataFrame:
     """Up / down / flat vs the previous row with a ±`band` dead zone; first row flat.
 
-    Skew-proof like `pct_change` (the previous row may sit in an earlier partition);
+    Skew-proof like `pct_change` (the previous row may sit in an earlier piece);
     `bounded_groups=True` uses one plain window for short series."""
     by = _as_list(by)
     if bounded_groups:
         w = Window.partitionBy(*by).orderBy(*_orders(order))
         return df.withColumn(out, L.trend_direction(F.col(value), F.lag(value).over(w), band))
-    j, w = _with_carry(df, by, order, value, ignorenulls=False)
-    # the first row of a (partition, group) compares with the carried value; the
-    # group's very first row has no carry, so it stays flat
+    split = split_groups(df, by, _as_list(order)[0])
+    j = _carried(split, F.max_by(F.col(value), _key(order)), F.lag("_end").over(_pieces()))
+    w = Window.partitionBy(*by, PIECE).orderBy(*_orders(order))
+    # the first row of a piece compares with the carried value; the group's very first
+    # row has no carry, so it stays flat
     prev = F.when(F.lag(F.lit(1)).over(w).isNull(), F.col("_carry")).otherwise(F.lag(value).over(w))
-    return j.withColumn(out, L.trend_direction(F.col(value), prev, band)).drop(PID, POS, "_carry")
+    return j.withColumn(out, L.trend_direction(F.col(value), prev, band)).drop(*_ADDED, "_carry")
 
 
-def rank_by(df: DataFrame, by, order_desc: str, tie: list[str] | None = None, out: str = "rank") -> DataFrame:
+def rank_by(df: DataFrame, by, order_desc: str, tie: list[str] | None = None, out: str = "rank", *,
+            bounded_groups: bool = False) -> DataFrame:
     """1..n by `order_desc` descending (NULLs last), ties broken by `tie` ascending.
 
-    Uses the sorted layout, so neither a global rank (`by` empty) nor a hot group
-    funnels through a single task."""
+    Neither a global rank (`by` empty) nor a very large group funnels through one task:
+    both are cut into pieces by value (`splits`), rows are numbered inside a piece and
+    start after the rows of the earlier pieces. One shuffle. `bounded_groups=True`: one
+    plain window, for groups of a proven small size."""
+    by = _as_list(by)
     order = [F.col(order_desc).desc_nulls_last()] + [F.col(t).asc() for t in (tie or [])]
-    return ranked(df, _as_list(by), order, out=out)
+    if bounded_groups:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
+    split = split_groups(df, by, order_desc, descending=True)
+    j = _carried(split, F.count(F.lit(1)), F.sum("_end").over(_all_earlier()))
+    place = F.row_number().over(Window.partitionBy(*by, PIECE).orderBy(*order))
+    return j.withColumn(out, (place + F.coalesce(F.col("_carry"), F.lit(0))).cast("bigint")).drop(*_ADDED, "_carry")
 
 
 def consecutive_pairs(df: DataFrame, by, order: str, tie: list[str], carry: list[str],
@@ -100,40 +125,28 @@ def consecutive_pairs(df: DataFrame, by, order: str, tie: list[str], carry: list
     Output: group keys, then first_/second_ copies of `order` and `carry`. `tie`
     should make the order unique (rows that tie completely are interchangeable).
 
-    Skew-proof: rows are range-partitioned on (group, order, tie) and sorted, so
-    one group can span many partitions and every row gets its partition id and
-    position. Pairs inside a partition come from `lead` over (partition, group);
-    a pair straddling a partition boundary joins the last row of one partition
-    (position = max) to the first row of the next (position 0): two tiny sets of
-    at most one row per partition.
+    Skew-proof: `lead` runs inside (group, piece), a very large group being cut by its
+    order column (`splits`). The pair that straddles a cut comes from the last row of
+    one piece and the first of the group's next: a table of a row per piece of such a
+    group. One shuffle.
     """
     by = _as_list(by)
     vals = [order] + [c for c in carry if c != order]
     extra_tie = [t for t in tie if t not in vals and t not in by]
-    base = df.select(*by, *vals, *extra_tie)
-    sort_order = ([F.col(b).asc() for b in by] + [F.col(order).isNull().asc(), F.col(order).asc()]
-                  + [F.col(t).asc() for t in tie])
-    lay = sorted_layout(base, [], sort_order)
+    split = split_groups(df.select(*by, *vals, *extra_tie), by, order)
 
-    w = Window.partitionBy(PID, *by).orderBy(POS)
+    w = Window.partitionBy(*by, PIECE).orderBy(*_orders(order), *[F.col(t).asc() for t in tie])
     nxt = [F.lead(c).over(w).alias(f"_next_{c}") for c in vals]
     has_next = F.lead(F.lit(1)).over(w).alias("_has_next")
-    inside = (lay.select(*by, *vals, *nxt, has_next).where(F.col("_has_next").isNotNull())
+    inside = (split.select(*by, *vals, *nxt, has_next).where(F.col("_has_next").isNotNull())
               .select(*by, *[F.col(c).alias(first_prefix + c) for c in vals],
                       *[F.col(f"_next_{c}").alias(second_prefix + c) for c in vals]))
 
-    cols = by + vals
-    firsts = lay.where(F.col(POS) == 0).select(PID, F.lit(0).alias("_end"), *cols)
-    last_pos = lay.groupBy(PID).agg(F.max(POS).alias(POS))
-    lasts = lay.join(last_pos, on=[PID, POS], how="inner").select(PID, F.lit(1).alias("_end"), *cols)
-    ends = firsts.unionByName(lasts)
-    w_end = Window.partitionBy().orderBy(PID, "_end")  # at most two rows per partition
-    prev = [F.lag(c).over(w_end).alias(f"_prev_{c}") for c in cols]
-    ends = ends.select(PID, "_end", *cols, F.lag("_end").over(w_end).alias("_prev_end"),
-                       F.lag(PID).over(w_end).alias("_prev_pid"), *prev)
-    across = ends.where((F.col("_end") == 0) & (F.col("_prev_end") == 1) & (F.col("_prev_pid") != F.col(PID)))
-    for b in by:
-        across = across.where(F.col(f"_prev_{b}").eqNullSafe(F.col(b)))
-    across = across.select(*by, *[F.col(f"_prev_{c}").alias(first_prefix + c) for c in vals],
-                           *[F.col(c).alias(second_prefix + c) for c in vals])
+    key = F.struct(_key(order).alias("_o"), *[F.col(t).alias(f"_t_{t}") for t in tie])
+    row = F.struct(*[F.col(c) for c in vals])
+    ends = split.where(F.col(HOT)).groupBy(GROUP, PIECE, *by).agg(
+        F.min_by(row, key).alias("_first"), F.max_by(row, key).alias("_last"))
+    across = ends.select(*by, "_last", F.lead("_first").over(_pieces()).alias("_next")).where(F.col("_next").isNotNull())
+    across = across.select(*by, *[F.col(f"_last.{c}").alias(first_prefix + c) for c in vals],
+                           *[F.col(f"_next.{c}").alias(second_prefix + c) for c in vals])
     return inside.unionByName(across)

@@ -1,6 +1,6 @@
 """Composite market metrics as lazy DataFrame plans.
 
-Input vocabulary (produced by `homestat.sources.cleaning` or by a projection of
+Input vocabulary (produced by `homestat.sources.readers` or by a projection of
 any other table):
 
 * sales:   account, account_key, sale_date (timestamp/date), sale_price (double),
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homestat.functions import labels as L
-from homestat.functions.scalars import build_address, to_number, zip5
+from homestat.functions.scalars import build_address, strip_ws, to_number, zip5
 from homestat.operators.aggregates import group_mean, group_median, group_share
 from homestat.operators.relational import (align_series, attach_scalar, date_columns, drop_bulk,
                                            join_on_account, period_of, trailing, unpivot_dates,
@@ -108,13 +108,14 @@ def cash_flow_zones(latest_rent: DataFrame, parcels: DataFrame, *, zip_prefix: s
     rent = latest_rent.select((F.col("rent") * 12).alias("est_annual_rent"))
     z = attach_scalar(by_zip, rent)
     z = z.withColumn("cash_flow_ratio", F.try_divide(F.col("est_annual_rent"), F.col("avg_assessed")))
-    return rank_by(z, None, "cash_flow_ratio", tie=["zip"], out="rank")
+    return rank_by(z, None, "cash_flow_ratio", tie=["zip"], out="rank", bounded_groups=True)  # a row per zip
 
 
 def latest_value(series_long: DataFrame, *, by=None, value: str = "value", out: str = "rent") -> DataFrame:
-    """Value at the newest month that exists anywhere in the table (one row per `by`)."""
+    """Value at the newest month that exists anywhere in the table, as it is (NULL stays
+    NULL), one row per `by`."""
     by = _as_list(by)
-    newest = series_long.where(F.col(value).isNotNull()).agg(F.max("month").alias("_m"))
+    newest = series_long.agg(F.max("month").alias("_m"))
     picked = series_long.join(F.broadcast(newest), F.col("month") == F.col("_m"))
     return picked.select(*by, F.col(value).alias(out))
 
@@ -164,14 +165,16 @@ def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: d
     second sale is at most `recent_days` old, after removing bulk transfers
     (more than `bulk_threshold` sales sharing date and price).
 
-    Only sales that can still complete such a pair are read: a qualifying first
-    sale is at most `recent_days + max_days` days old and bulk groups share one
-    date, so the cut is exact and pushed to the scan.
+    Only sales that can still complete such a pair are read. `days_held` counts whole
+    days, so the first sale lies less than `max_days + 1` days before the second; bulk
+    groups share one date. The cut is thus exact, and pushed to the scan. Sales without
+    an account (NULL key) belong to nobody and make no pair; an empty key is a key.
     """
-    horizon = recent_days + max_days
+    horizon = recent_days + max_days + 1
     s = trailing(sales, "sale_date", as_of, horizon)
     s = drop_bulk(s, ["sale_date", "sale_price"], bulk_threshold)
     tie = ["sale_id"] if "sale_id" in s.columns else []
+    s = s.where(F.col("account_key").isNotNull())  # after the bulk test, which counts them
     pairs = consecutive_pairs(s, "account_key", "sale_date", tie, ["sale_price", "account"])
     held = F.timestamp_diff("DAY", F.col("first_sale_date"), F.col("second_sale_date")).cast("bigint")
     f = pairs.withColumn("days_held", held).where(F.col("days_held").between(min_days, max_days))
@@ -206,8 +209,7 @@ def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: d
 
 def trailing_year_trend(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
                         zip_pattern: str = DEFAULT_ZIP_PATTERN, low_volume_limit: int = 20,
-                        yoy_limit: float = 0.40, median_decimals: int | None = None,
-                        median_strategy: str = "sorted") -> DataFrame:
+                        yoy_limit: float = 0.40, median_decimals: int | None = None) -> DataFrame:
     """M6: per zip, median price and volume of the trailing year vs the median of
     the year before (residential parcels; zips with sales in both years only).
 
@@ -218,8 +220,7 @@ def trailing_year_trend(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datet
     s = trailing(sales, "sale_date", as_of, 730)  # pushed to the scan
     s = s.withColumn("_period", period_of(s, "sale_date", as_of)).where(F.col("_period").isNotNull())
     m = join_on_account(s.select("account_key", "_period", "sale_price"), p)
-    med = group_median(m, ["zip", "_period"], "sale_price", out="_med", count_out="_n",
-                       strategy=median_strategy)
+    med = group_median(m, ["zip", "_period"], "sale_price", out="_med", count_out="_n")
     med = med.withColumn("_med", _round(F.col("_med"), median_decimals))
     z = med.groupBy("zip").agg(
         F.max(F.when(F.col("_period") == "now", F.col("_med"))).alias("price_now"),
@@ -236,30 +237,28 @@ def trailing_year_trend(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datet
 
 
 def assessment_ratio(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
-                     zip_pattern: str = DEFAULT_ZIP_PATTERN, median_decimals: int | None = None,
-                     median_strategy: str = "sorted") -> DataFrame:
+                     zip_pattern: str = DEFAULT_ZIP_PATTERN, median_decimals: int | None = None) -> DataFrame:
     """M7: median sale-price / assessed-value ratio per zip over the trailing year
     (no residential filter; assessed value must be positive)."""
     p = _zip_parcels(parcels, zip_pattern, "just")
     s = trailing(sales, "sale_date", as_of, 365).select("account_key", "sale_price")
     m = join_on_account(s, p).where(F.col("just") > 0)
     m = m.withColumn("_ratio", F.col("sale_price") / F.col("just"))
-    r = group_median(m, "zip", "_ratio", out="median_ratio", strategy=median_strategy)
+    r = group_median(m, "zip", "_ratio", out="median_ratio")
     r = r.withColumn("median_ratio", _round(F.col("median_ratio"), median_decimals))
     return r.select("zip", "median_ratio", L.ratio_meaning(F.col("median_ratio")).alias("meaning"))
 
 
 def buyer_value_index(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
                       zip_pattern: str = DEFAULT_ZIP_PATTERN, min_sales: int = 20, scale: int | None = None,
-                      median_decimals: int | None = None, median_strategy: str = "sorted") -> DataFrame:
+                      median_decimals: int | None = None) -> DataFrame:
     """M8: trailing-year median sale price and volume per zip (residential parcels,
     at least `min_sales` sales) against the zip's mean assessed value."""
     p = _zip_parcels(parcels.where((F.col("living") > 0) & (F.col("just") > 0)), zip_pattern, "just")
     avg = group_mean(p, "zip", "just", out="avg_assessed", scale=scale)
     s = trailing(sales, "sale_date", as_of, 365).select("account_key", "sale_price")
     m = join_on_account(s, p.select("account_key", "zip"))
-    med = group_median(m, "zip", "sale_price", out="median_sale_price", count_out="sales_volume",
-                       strategy=median_strategy)
+    med = group_median(m, "zip", "sale_price", out="median_sale_price", count_out="sales_volume")
     med = med.withColumn("median_sale_price", _round(F.col("median_sale_price"), median_decimals))
     med = med.where(F.col("sales_volume") >= min_sales)
     j = med.join(avg, on="zip", how="inner")
@@ -278,7 +277,7 @@ def investor_activity(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetim
     p = _zip_parcels(parcels, zip_pattern, "homestead")
     s = trailing(sales, "sale_date", as_of, 365).select("account_key")
     m = join_on_account(s, p)
-    investor = F.coalesce(F.trim(F.col("homestead")) != F.lit("X"), F.lit(True))
+    investor = F.coalesce(strip_ws(F.col("homestead")) != F.lit("X"), F.lit(True))
     return group_share(m, "zip", investor, count_col="account_key", count_out="total_sales",
                        share_out="investor_share")
 

@@ -207,12 +207,12 @@ def unit_value_by_zip(spark: SparkSession, sf_dir: str, *, median_decimals: int
     from homestat.operators.aggregates import group_median
 
     li = lineitem_sales(spark, sf_dir)
-    if newest_only:
-        start = newest_month_start(li, "sale_date")
+    parts = part_parcels(spark, sf_dir).select("account_key", "zip")
+    if newest_only:  # the newest month that the joined table has
+        start = newest_month_start(li.join(parts, "account_key"), "sale_date")
         if start is not None:
             li = li.where(F.col("sale_date") >= F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
     li = li.select("account_key", F.last_day("sale_date").alias("month"), "sale_price")
-    parts = part_parcels(spark, sf_dir).select("account_key", "zip")
     j = li.join(parts, "account_key")
     med = group_median(j, ["zip", "month"], "sale_price", out="value")
     return med.withColumn("value", F.round("value", median_decimals))

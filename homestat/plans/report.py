@@ -126,9 +126,11 @@ def assessment_section(ratio: DataFrame) -> DataFrame:
 
 def flip_section(flips: DataFrame, top: int = 10) -> DataFrame:
     """The first `top` flips of each outcome in account order (the report's
-    top-10 lists), with the property detail line."""
-    w = Window.partitionBy("outcome").orderBy(F.col("account").asc_nulls_last(), F.col("first_sale_date"),
-                                              F.col("second_sale_date"))
+    top-10 lists), with the property detail line. Accounts sort as numbers where they
+    are numbers, others after them as text."""
+    account = F.col("account").cast("string")
+    w = Window.partitionBy("outcome").orderBy(account.try_cast("decimal(38,0)").asc_nulls_last(), account.asc_nulls_last(),
+                                              F.col("first_sale_date"), F.col("second_sale_date"))
     detail = F.when(F.col("sqft").isNotNull() & (F.col("sqft") != 0), F.concat(
         F.format_number("sqft", 0), F.lit(" sqft"),
         F.when(F.col("beds").isNotNull() & (F.col("beds") != 0),

@@ -22,7 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpointed layouts are removed once no plan references them
+    # checkpoints are removed once no plan references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -61,9 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints / intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster's shared storage, set at
-    launch; it cannot be changed at run time). Only when neither it nor a
-    SparkContext checkpoint folder is set — local tests — a fresh scratch folder
-    is registered with the SparkContext.
+    launch; it cannot be changed at run time). Where it is unset, a local session
+    (tests) registers a scratch folder of its own; on a cluster that would be a folder
+    of one machine, so there it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -73,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="homestat-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path

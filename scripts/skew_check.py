@@ -1,6 +1,4 @@
-"""Rows per task for a group holding a third of all rows: hash layout (what
-`median`'s final aggregation or a window partitioned by the key sees) versus the
-range layout used by the sorted median / pairing / ranking operators.
+"""Time of the exact median for a group holding a third of all rows, cut and uncut.
 
 usage: python scripts/skew_check.py [rows] [partitions]
 """
@@ -15,16 +13,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from homestat.operators import splits  # noqa: E402
 from homestat.operators.aggregates import group_median  # noqa: E402
 from homestat.session import build_session  # noqa: E402
 
 
-def per_task(df):
-    counts = df.groupBy(F.spark_partition_id().alias("p")).count()
-    s = counts.agg(F.max("count").alias("max"), F.avg("count").alias("mean"), F.count("*").alias("tasks")).first()
-    return int(s["max"]), float(s["mean"]), int(s["tasks"])
-
-
 def main():
     rows = int(sys.argv[1]) if len(sys.argv) > 1 else 6_000_000
     parts = int(sys.argv[2]) if len(sys.argv) > 2 else 64
@@ -32,14 +25,11 @@ def main():
     df = spark.range(rows).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 1000).cast("string")))
         .alias("g"), (F.rand(7) * 1e6).alias("v"))
-    hmax, hmean, ht = per_task(df.repartition(parts, "g"))
-    rmax, rmean, rt = per_task(df.repartitionByRange(parts, "g", "v"))
-    print(f"hash  layout: max rows/task {hmax:>9,}  mean {hmean:>11,.0f}  tasks {ht}")
-    print(f"range layout: max rows/task {rmax:>9,}  mean {rmean:>11,.0f}  tasks {rt}")
-    for strategy in ("sorted", "hash"):
+    for hot_rows in (splits.HOT_ROWS, rows):
+        splits.HOT_ROWS = hot_rows
         t0 = time.perf_counter()
-        group_median(df, "g", "v", out="m", strategy=strategy).write.format("noop").mode("overwrite").save()
-        print(f"median strategy={strategy}: {time.perf_counter() - t0:.1f}s")
+        group_median(df, "g", "v", out="m").write.format("noop").mode("overwrite").save()
+        print(f"median, groups cut from {hot_rows:,} rows: {time.perf_counter() - t0:.1f}s")
     spark.stop()
 
 

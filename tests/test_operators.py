@@ -1,7 +1,7 @@
 """Generic operators, checked against brute force on small fixtures.
 
-The skew tests put one group at a third (or more) of all rows and force many
-range partitions, so a group always spans several partitions."""
+The skew tests put one group at a third (or more) of all rows and lower the size from
+which groups are cut, so a group always spans several pieces."""
 
 import random
 import statistics
@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from homestat.operators import aggregates as A
 from homestat.operators import relational as R
+from homestat.operators import splits
 from homestat.operators import windows as W
-from homestat.operators.layout import ranked
 
 
 def _skewed_rows(n=3000, seed=7):
@@ -28,12 +28,13 @@ def _skewed_rows(n=3000, seed=7):
     return rows
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 17])
-def test_sorted_median_matches_brute_force(spark, partitions):
+@pytest.mark.parametrize("hot_rows", [1, 100, 10**6])
+def test_median_matches_brute_force(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(splits, "HOT_ROWS", hot_rows)
     rows = _skewed_rows()
     df = spark.createDataFrame(rows, "g string, v double, id long")
     got = {r["g"]: (r["m"], r["n"]) for r in
-           A.group_median(df, "g", "v", out="m", count_out="n", partitions=partitions).collect()}
+           A.group_median(df, "g", "v", out="m", count_out="n").collect()}
     groups = {}
     for g, v, _ in rows:
         if v is not None:
@@ -44,15 +45,6 @@ def test_sorted_median_matches_brute_force(spark, partitions):
         assert got[g][0] == pytest.approx(statistics.median(vals), abs=1e-9)
 
 
-def test_median_strategies_agree(spark):
-    df = spark.createDataFrame(_skewed_rows(800, seed=3), "g string, v double, id long")
-    a = {r[0]: r[1] for r in A.group_median(df, "g", "v", out="m", strategy="sorted").collect()}
-    b = {r[0]: r[1] for r in A.group_median(df, "g", "v", out="m", strategy="hash").collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k], abs=1e-9)
-
-
 def test_median_two_groups_whole_table(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "v double")
     assert A.group_median(df, [], "v", out="m").first()["m"] == 2.5
@@ -102,11 +94,63 @@ def test_global_and_grouped_rank(spark):
     assert got_g == exp_g
 
 
-def test_ranked_with_null_groups(spark):
+def test_rank_with_null_groups(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), ("a", 5)], "g string, x int")
-    out = sorted((r["g"], r["x"], r["rank"]) for r in ranked(df, ["g"], ["x"]).collect()
-                 if r["g"] is None)
-    assert out == [(None, 1, 1), (None, 2, 2)]
+    out = sorted((r["g"] or "", r["x"], r["rank"]) for r in W.rank_by(df, "g", "x").collect())
+    assert out == [("", 1, 2), ("", 2, 1), ("a", 5, 1)]
+
+
+@pytest.fixture()
+def cut(monkeypatch):
+    """Groups of more than 50 rows are cut into pieces."""
+    monkeypatch.setattr(splits, "HOT_ROWS", 50)
+
+
+def _skewed(n=3000, seed=5):
+    rnd = random.Random(seed)
+    return [("hot" if i % 3 == 0 else None if i % 11 == 0 else f"g{rnd.randint(0, 40)}", i,
+             None if rnd.random() < 0.1 else float(rnd.choice([7, 7, 7, rnd.randint(0, 99)]))) for i in range(n)]
+
+
+def test_cut_groups_are_found_and_pieces_follow_the_order(spark, cut):
+    df = spark.createDataFrame(_skewed(), "g string, t long, v double")
+    rows = splits.split_groups(df, ["g"], "t").collect()
+    hot = [r for r in rows if r["g"] == "hot"]
+    assert all(r["_hot"] for r in hot) and len({r["_piece"] for r in hot}) > 30
+    pieces = [r["_piece"] for r in sorted(hot, key=lambda r: r["t"])]
+    assert pieces == sorted(pieces)
+    assert {r["g"] for r in rows if r["_hot"]} >= {"hot", None}
+
+
+def test_cut_median_pairs_and_ranks_match_uncut(spark, monkeypatch):
+    rows = _skewed() + [("empty", -1, None), ("one", -2, 3.0)]
+    df = spark.createDataFrame(rows, "g string, t long, v double")
+
+    def run():
+        med = {r["g"]: (r["m"], r["n"]) for r in A.group_median(df, "g", "v", out="m", count_out="n").collect()}
+        pairs = sorted((str(r["g"]), r["first_t"], r["second_t"]) for r in W.consecutive_pairs(df, "g", "t", [], ["v"]).collect())
+        rank = {(r["g"], r["t"]): r["rank"] for r in W.rank_by(df, "g", "v", tie=["t"]).collect()}
+        return med, pairs, rank
+
+    plain = run()
+    monkeypatch.setattr(splits, "HOT_ROWS", 50)
+    assert run() == plain
+    med, pairs, _ = plain
+    assert med["empty"] == (None, 0) and med["one"] == (3.0, 1)
+    for g in ("hot", None):
+        v = [r[2] for r in rows if r[0] == g and r[2] is not None]
+        assert med[g] == (statistics.median(v), len(v))
+        t = sorted(r[1] for r in rows if r[0] == g)
+        assert [p[1:] for p in pairs if p[0] == str(g)] == list(zip(t, t[1:], strict=False))
+
+
+def test_median_of_a_whole_table_and_of_one_frequent_value(spark):
+    vals = [5.0] * 900 + [float(i) for i in range(101)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double")
+    r = A.group_median(df, None, "v", out="m", count_out="n").first()
+    assert (r["m"], r["n"]) == (statistics.median(vals), 1001)
+    none = A.group_median(df.where("v is null"), None, "v", out="m", count_out="n").first()
+    assert (none["m"], none["n"]) == (None, 0)
 
 
 def test_latest_n_and_pct_change(spark):
@@ -187,7 +231,7 @@ def test_share_mean_argextreme(spark):
     assert top == {"a": 3.3, "b": 0.05} and low == {"a": 1.1, "b": 0.05}
 
 
-def test_pct_change_skewed_matches_pandas(spark):
+def test_pct_change_skewed_matches_pandas(spark, cut):
     import pandas as pd
     rnd = random.Random(21)
     rows = []
@@ -213,7 +257,7 @@ def test_pct_change_skewed_matches_pandas(spark):
             assert (got[t] is None and exp is None) or got[t] == pytest.approx(exp), (t, got[t], exp)
 
 
-def test_direction_skewed_matches_brute_force(spark):
+def test_direction_skewed_matches_brute_force(spark, cut):
     rnd = random.Random(4)
     rows = [("hot" if i % 2 == 0 else f"g{rnd.randint(0, 20)}", i, float(rnd.choice([1.0, 1.0005, 1.002, 0.99])))
             for i in range(2000)]
@@ -241,8 +285,8 @@ def test_checkpoint_dir_reads_the_session_and_only_falls_back_when_unset():
     from homestat.session import checkpoint_dir
 
     class Ctx:
-        def __init__(self, current):
-            self.current, self.set_to = current, None
+        def __init__(self, current, master):
+            self.current, self.set_to, self.master = current, None, master
 
         def getCheckpointDir(self):
             return self.current
@@ -250,9 +294,9 @@ def test_checkpoint_dir_reads_the_session_and_only_falls_back_when_unset():
         def setCheckpointDir(self, p):
             self.set_to = p
 
-    def session(conf_value, current):
+    def session(conf_value, current, master="local[2]"):
         conf = SimpleNamespace(get=lambda k, d=None: conf_value if k == "spark.checkpoint.dir" else d)
-        return SimpleNamespace(conf=conf, sparkContext=Ctx(current))
+        return SimpleNamespace(conf=conf, sparkContext=Ctx(current, master))
 
     s = session("hdfs://shared/ckpt", None)
     assert checkpoint_dir(s) == "hdfs://shared/ckpt" and s.sparkContext.set_to == "hdfs://shared/ckpt"
@@ -261,14 +305,5 @@ def test_checkpoint_dir_reads_the_session_and_only_falls_back_when_unset():
     s = session(None, None)  # unset: a scratch folder, as in local tests
     path = checkpoint_dir(s)
     assert s.sparkContext.set_to == path and "homestat-ckpt-" in path
-
-
-def test_layout_checkpoint_lands_in_the_session_folder(spark):
-    import os
-
-    from homestat.operators.layout import sorted_layout
-    folder = spark.sparkContext.getCheckpointDir().replace("file:", "")
-    before = sum(1 for _ in os.scandir(folder))
-    lay = sorted_layout(spark.range(50).select((F.col("id") % 3).alias("g"), "id"), ["g"], ["id"])
-    assert lay.count() == 50
-    assert sum(1 for _ in os.scandir(folder)) > before
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):  # on a cluster: an error
+        checkpoint_dir(session(None, None, "spark://host:7077"))
