@@ -45,11 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it (null for a null text)."""
-    pieces = sentencepiece.load(sentencepiece.MODEL)
-    coded = docs.select("doc_id", "lang", "source", "text", sentencepiece.encode_column(F.col("text"), pieces).alias("ids"))
-    back = sentencepiece.decode_column(F.col("ids"), pieces)
-    same = back == F.replace("text", F.lit(sentencepiece.SPACE), F.lit(" "))
-    return coded.select("doc_id", "lang", "source", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"), same.alias("round_trip"))
+    return sentencepiece.tokenize(docs, sentencepiece.load(sentencepiece.MODEL), keep=("doc_id", "lang", "source"))
 
 
 def _counted(docs: DataFrame) -> DataFrame:

@@ -103,11 +103,7 @@ WHERE rank <= 5
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text again."""
-    pieces = sentencepiece.load(sentencepiece.MODEL)
-    coded = table(spark, sf_dir, "documents").select("doc_id", "text", sentencepiece.encode_column(F.col("text"), pieces).alias("ids"))
-    back = sentencepiece.decode_column(F.col("ids"), pieces)
-    return coded.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"),
-                        (back == F.replace("text", F.lit(sentencepiece.SPACE), F.lit(" "))).alias("round_trip"))
+    return sentencepiece.tokenize(table(spark, sf_dir, "documents"), sentencepiece.load(sentencepiece.MODEL))
 
 
 # --- 5: toxicity ----------------------------------------------------------------------

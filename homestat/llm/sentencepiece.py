@@ -8,17 +8,22 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from homestat.llm.common import mix64, text_chunks
+from homestat.llm.common import chunks, mix64, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # stands for a space in pieces
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 LOWEST = -1e18
+DIRECTORY = 18  # leading bits of a key that are looked up directly
 MERGE_POWER = -3
+CHUNK = 1_000_000  # characters that are encoded together: their words are all in memory
 
 
 def _merges(piece: str, rank: dict[str, float]) -> list[float]:
@@ -57,6 +62,10 @@ class Pieces:
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces have one key")
         self.ids = np.array([i for i, _, _ in normal], dtype=np.int64)[order]
+        # where the keys of each leading bit pattern begin, and how many have the same at most
+        self.first = np.searchsorted(self.keys, np.arange(2**DIRECTORY, dtype=np.uint64) << np.uint64(64 - DIRECTORY)).astype(np.int32)
+        self.crowd = int(np.diff(np.append(self.first, len(self.keys))).max(initial=1))
+        self.padded = np.append(self.keys, np.zeros(self.crowd + 1, np.uint64))
         # a character that no piece holds costs more than any piece
         self.missing = float(score.min(initial=0.0)) - 10.0
         unknown = next((i for i, p in enumerate(pieces) if p[2] == "unknown"), 0)
@@ -76,6 +85,16 @@ class Pieces:
             h = h * _BASE + np.uint64(ord(c) + 1)
         return int(mix64(h)[0])
 
+    def _probe(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key among the sorted keys (any, if it is not there), and whether it is there."""
+        at = self.first[keys >> np.uint64(64 - DIRECTORY)]
+        found = self.padded[at] == keys
+        for step in range(1, self.crowd):
+            more = self.padded[at + step] == keys
+            at = np.where(more, at + step, at)
+            found |= more
+        return np.minimum(at, len(self.keys) - 1), found
+
     def viterbi(self, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Best pieces of words of one length (rows of code points), all words at once.
 
@@ -94,8 +113,7 @@ class Pieces:
             most = min(i, self.longest)
             spans = np.arange(most, 0, -1)
             keys = mix64(hashes[i][None, :] - hashes[i - spans] * np.array([pow(int(_BASE), int(s), 2**64) for s in spans], dtype=np.uint64)[:, None])
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            found = self.keys[at] == keys
+            at, found = self._probe(keys)
             total = np.where(found, self.scores[at], LOWEST)
             total[-1] = np.where(found[-1], total[-1], self.missing)  # one character
             total += best[i - spans]
@@ -122,6 +140,11 @@ class Pieces:
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray | None]:
         """Token ids of each text (null: null)."""
+        tokens, ends = self.encode_all(texts)
+        return [None if t is None else tokens[ends[i]:ends[i + 1]] for i, t in enumerate(texts)]
+
+    def encode_all(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts one after another, and where each text's begin and end."""
         lists = []
         for t in texts:
             t = (t or "").replace(" ", SPACE)
@@ -145,8 +168,7 @@ class Pieces:
         start[order] = np.cumsum(counts[order]) - counts[order]
         flat_tokens, per_word = _gather(pool, start[codes], counts[codes])
         flat_tokens, sizes = self._spelled(flat_tokens)
-        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(per_word)])[offsets]]
-        return [None if t is None else flat_tokens[ends[i]:ends[i + 1]] for i, t in enumerate(texts)]
+        return flat_tokens, np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(per_word)])[offsets]]
 
     def _spelled(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters without a piece as the pieces of their UTF-8 bytes; each token's new count."""
@@ -205,7 +227,7 @@ def encode_column(text: Column, pieces: Pieces) -> Column:
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            rows = [x for _, part in text_chunks(batch) for x in pieces.encode(part)]
+            rows = [x for _, part in text_chunks(batch, CHUNK) for x in pieces.encode(part)]
             yield pd.Series(rows, index=batch.index, dtype=object)
     return encode(text)
 
@@ -215,5 +237,38 @@ def decode_column(ids: Column, pieces: Pieces) -> Column:
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series(pieces.decode(list(batch)), index=batch.index, dtype=object)
+            rows = list(batch)
+            parts = chunks([0 if x is None else len(x) for x in rows], CHUNK // 2)
+            yield pd.Series([x for a, b in parts for x in pieces.decode(rows[a:b])], index=batch.index, dtype=object)
     return decode(ids)
+
+
+def tokenize(docs: DataFrame, pieces: Pieces, text_col: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Token ids of every whole text, decoded again to see that nothing is lost.
+
+    Returns the columns ``keep``, ``ids`` (see :func:`encode_column`), ``n_ids`` and
+    ``round_trip`` (whether the ids decode to the text), a row per row. Null text: null ids,
+    0, null. Empty text: no ids, 0, true. Very long texts are whole; their words are cut
+    one after another like others. Repeated rows, null ids and other columns do not matter;
+    kept columns called like an output are left out. An empty table gives an empty table.
+    Texts are taken in slices of about ``CHUNK`` characters, whatever Arrow's batches hold.
+    """
+    own = [c for c in keep if c not in ("ids", "n_ids", "round_trip")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text_col}`").alias("_sp_text"))
+    schema = StructType([*[f for f in rows.schema if f.name != "_sp_text"], StructField("ids", ArrayType(IntegerType())),
+                         StructField("n_ids", IntegerType()), StructField("round_trip", BooleanType())])
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.utf8_length(batch.column("_sp_text")), 0).to_pylist()
+            for a, b in chunks(sizes, CHUNK):
+                part = batch.slice(a, b - a)
+                texts = part.column("_sp_text").to_pylist()
+                tokens, ends = pieces.encode_all(texts)
+                back = pieces.decode([tokens[ends[i]:ends[i + 1]] for i in range(len(texts))])
+                none = np.array([t is None for t in texts], dtype=bool)
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens, pa.int32()), mask=pa.array(none))
+                same = pa.array([None if t is None else t.replace(SPACE, " ") == d for t, d in zip(texts, back, strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, pa.array(np.diff(ends), pa.int32()), same],
+                                                 names=[*part.schema.names[:-1], "ids", "n_ids", "round_trip"])
+    return rows.mapInArrow(coded, schema)

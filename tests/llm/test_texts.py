@@ -350,6 +350,10 @@ def test_round_trip_of_odd_texts(spark, pieces):
         assert r.back == (None if r.text is None else r.text.replace("▁", " "))
         assert (r.ids is None) == (r.text is None) and (r.text != "" or r.ids == [])
     assert coded.limit(0).count() == 0
+    out = {r.doc_id: r for r in sentencepiece.tokenize(df, pieces, keep=("doc_id", "ids")).collect()}
+    assert [(out[r.doc_id].ids, out[r.doc_id].n_ids) for r in rows] == [(r.ids, len(r.ids or [])) for r in rows]
+    assert [out[i].round_trip for i in range(3)] == [None, True, True] and all(out[i].round_trip for i in range(1, 12))
+    assert sentencepiece.tokenize(df.limit(0), pieces).count() == 0
     assert pieces.decode([np.array([-5, 99999999])]) == [""]
 
 
