@@ -120,11 +120,12 @@ def latest_value(series_long: DataFrame, *, by=None, value: str = "value", out:
     return picked.select(*by, F.col(value).alias(out))
 
 
-def trend_lines(value_wide: DataFrame, rent_wide: DataFrame, parcels: DataFrame, *, ids=("region",),
+def trend_lines(value_wide: DataFrame, rent_wide: DataFrame, parcels: DataFrame | None, *, ids=("region",),
                 months: int = 6, scale: int | None = None) -> DataFrame:
     """M4: the newest `months` month columns of the value index with rent aligned
     by month (missing rent -> 0), flow ratio, gap to the mean residential assessed
-    value and the direction of the flow ratio."""
+    value (of the region, where parcels have the `ids`; without parcels 0) and the
+    direction of the flow ratio."""
     ids = _as_list(ids)
     value = unpivot_dates(value_wide, ids, latest=months, value="zhvi")
     wanted = set(date_columns(value_wide)[-months:])
@@ -132,8 +133,12 @@ def trend_lines(value_wide: DataFrame, rent_wide: DataFrame, parcels: DataFrame,
     rent = rent_wide.select(*ids, *[F.col(f"`{c}`") for c in rent_cols])
     rent = unpivot_dates(rent, ids, value="zori")
     j = align_series(value, rent, on=[*ids, "month"], fill=0.0)
-    just = residential_mean_just(parcels, scale=scale)
-    j = attach_scalar(j, just)
+    if parcels is None:
+        j = j.withColumn("avg_just", F.lit(None).cast("double"))
+    elif set(ids) <= set(parcels.columns):
+        j = j.join(residential_mean_just(parcels, scale=scale, by=ids), ids, "left")
+    else:
+        j = attach_scalar(j, residential_mean_just(parcels, scale=scale))
     flow = F.when(F.col("zhvi") > 0, F.try_divide(F.col("zori") * 12, F.col("zhvi"))).otherwise(F.lit(0.0))
     gap = F.when(F.col("avg_just") > 0, F.try_divide(F.col("zhvi") - F.col("avg_just"), F.col("avg_just"))) \
         .otherwise(F.lit(0.0))
@@ -284,22 +289,24 @@ def investor_activity(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetim
 
 # ---------------------------------------------------------------- M11, M12
 
-def market_snapshot(price: DataFrame, inventory: DataFrame, zip_trends: DataFrame | None,
+def market_snapshot(price: DataFrame | None, inventory: DataFrame | None, zip_trends: DataFrame | None,
                     value_index: DataFrame | None, flips: DataFrame | None, *, by=("region",),
-                    min_volume: int = 20, area: str = "The market") -> DataFrame:
+                    min_volume: int = 20, area: str = "The market", regions: DataFrame | None = None) -> DataFrame:
     """One row per region summarising the other metrics (all inputs carry
-    the region columns). Every input is reduced to one row per region first
+    the region columns; any may be missing, and `regions` lists regions that get a row
+    whatever is missing). Every input is reduced to one row per region first
     (partial aggregation); the small results are stacked and folded into one row
     per region, so each input is planned once and a region present in any input
     gets a row."""
     by = _as_list(by)
     row = lambda *cs: F.struct(*[F.col(c) for c in cs])
-    parts = [
-        price.groupBy(*by).agg(F.max_by(row("median_price", "price_yoy", "sale_to_list"), "week").alias("p"))
-        .select(*by, "p.*"),
-        inventory.groupBy(*by).agg(F.max_by(row("weeks_of_supply", "new_listings", "homes_sold"), "week")
-                                   .alias("i")).select(*by, "i.*"),
-    ]
+    parts = [] if regions is None else [regions.select(*by)]
+    if price is not None:
+        parts.append(price.groupBy(*by).agg(F.max_by(row("median_price", "price_yoy", "sale_to_list"), "week")
+                                            .alias("p")).select(*by, "p.*"))
+    if inventory is not None:
+        parts.append(inventory.groupBy(*by).agg(F.max_by(row("weeks_of_supply", "new_listings", "homes_sold"), "week")
+                                                .alias("i")).select(*by, "i.*"))
     if zip_trends is not None:
         parts.append(zip_trends.where((F.col("yoy_change") > 0) & (F.col("sales_volume") >= min_volume))
                      .groupBy(*by).agg(F.max_by(row("zip", "yoy_change", "sales_volume"),
@@ -319,8 +326,11 @@ def market_snapshot(price: DataFrame, inventory: DataFrame, zip_trends: DataFram
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)
     value_cols = [c for c in stacked.columns if c not in by]
-    snap = stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in value_cols])
-    defaults = {"hottest_zip": "string", "_hy": "double", "_hv": "bigint", "best_value_zip": "string",
+    snap = (stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in value_cols]) if value_cols
+            else stacked.distinct())
+    defaults = {"median_price": "double", "price_yoy": "double", "sale_to_list": "double", "weeks_of_supply": "double",
+                "new_listings": "double", "homes_sold": "double",
+                "hottest_zip": "string", "_hy": "double", "_hv": "bigint", "best_value_zip": "string",
                 "_bv": "double", "flip_count": "bigint", "_profitable": "bigint"}
     for c, t in defaults.items():
         snap = with_default(snap, c, None, t)
@@ -354,7 +364,7 @@ def run_metrics(sources: dict, *, as_of: dt.datetime, region: str = "ALL", min_s
 
     `sources` may hold: sales, parcels, price, ratio, supply, listings, sold,
     value_wide, rent_wide. Missing sources skip their metrics (no exception is
-    swallowed for present ones). Sales below `min_sale_price` are dropped first.
+    swallowed for present ones); the snapshot is built from whatever there is. Sales below `min_sale_price` are dropped first.
 
     With `materialize`, the filtered sales and the parcels are checkpointed once
     to the shared `spark.checkpoint.dir` before the metrics read them: the eight
@@ -377,7 +387,7 @@ def run_metrics(sources: dict, *, as_of: dt.datetime, region: str = "ALL", min_s
         out["inventory_absorption"] = inventory_absorption(sources["supply"], sources["listings"], sources["sold"])
     if sales is not None and parcels is not None:
         out["buyer_value_index"] = buyer_value_index(sales, parcels, as_of=as_of, zip_pattern=zip_pattern, **options)
-    if sources.get("value_wide") is not None and sources.get("rent_wide") is not None and parcels is not None:
+    if sources.get("value_wide") is not None and sources.get("rent_wide") is not None:
         out["trend_lines"] = trend_lines(sources["value_wide"], sources["rent_wide"], parcels)
     if sales is not None and parcels is not None:
         out["zip_price_trends"] = trailing_year_trend(sales, parcels, as_of=as_of, zip_pattern=zip_pattern, **options)
@@ -385,9 +395,21 @@ def run_metrics(sources: dict, *, as_of: dt.datetime, region: str = "ALL", min_s
         out["investor_activity"] = investor_activity(sales, parcels, as_of=as_of, zip_pattern=zip_pattern)
     if sales is not None:
         out["flip_detector"] = resale_flips(sales, parcels, as_of=as_of, city=city)
+    if not out:
+        return out
     tag = lambda df: None if df is None else df.withColumn("region", F.lit(region))
-    if "price_pressure" in out and "inventory_absorption" in out:
-        out["market_snapshot"] = market_snapshot(
-            out["price_pressure"], out["inventory_absorption"], tag(out.get("zip_price_trends")),
-            tag(out.get("buyer_value_index")), tag(out.get("flip_detector")))
+    if "flip_detector" in out:
+        out["flip_summary"] = flip_summary(out["flip_detector"])
+    spark = next(iter(out.values())).sparkSession
+    out["market_snapshot"] = market_snapshot(
+        out.get("price_pressure"), out.get("inventory_absorption"), tag(out.get("zip_price_trends")),
+        tag(out.get("buyer_value_index")), tag(out.get("flip_detector")),
+        regions=spark.range(1).select(F.lit(region).alias("region")))
     return out
+
+
+def flip_summary(flips: DataFrame) -> DataFrame:
+    """The one-line summary of all flips (one row)."""
+    n = F.count(F.lit(1))
+    return flips.agg(L.flip_summary(n, F.count_if(F.col("outcome") == L.OUTCOME_PROFIT),
+                                    F.count_if(F.col("outcome") != L.OUTCOME_PROFIT)).alias("flip_summary"))

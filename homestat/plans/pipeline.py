@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestat.operators.relational import with_default
 from homestat.plans import metrics as M
 from homestat.plans import report as X
 from homestat.sources import history as H
@@ -25,26 +25,21 @@ from homestat.sources import readers as R
 from homestat.sources.health import source_health
 
 
+# The weekly inputs by discovered file.
+WEEKLY_INPUTS = {"median_sale_price": "price", "homes_sold": "sold", "new_listings": "listings",
+                 "days_to_close": "days_to_close", "weeks_of_supply": "supply", "avg_sale_to_list": "ratio"}
+
+
 def weekly_sources(spark: SparkSession, weekly_dir: str, as_of: dt.datetime, *, region: str,
                    max_age_days: int = 7) -> tuple[dict, DataFrame]:
-    """S5 + S2/S3: the newest fresh crosstab per metric -> the five weekly inputs.
+    """S5 + S2/S3: the newest fresh crosstab per metric -> the weekly inputs.
 
-    Returns (sources, discovered files). Missing metrics are simply absent."""
+    The files count only as a complete set: with one missing there are no weekly sources.
+    Returns (sources, path by metric)."""
     found = R.discover(R.list_files(spark, weekly_dir), as_of, max_age_days=max_age_days)
-    paths = {r["key"]: r["path"] for r in found.select("key", "path").collect()}  # <= 6 file names
-    read = {k: R.read_weekly_detect(spark, p, region=region) for k, p in paths.items()}
-    out = {}
-    if "median_sale_price" in read:
-        out["price"] = with_default(read["median_sale_price"], "price_yoy", None, "double")
-    if "avg_sale_to_list" in read:
-        out["ratio"] = read["avg_sale_to_list"]
-    if "weeks_of_supply" in read:
-        out["supply"] = read["weeks_of_supply"]
-    if "new_listings" in read:
-        out["listings"] = read["new_listings"]
-    if "homes_sold" in read:
-        out["sold"] = read["homes_sold"]
-    return out, found
+    rows = found.select("key", "path", "complete").collect()  # <= 6 file names
+    paths = {r["key"]: r["path"] for r in rows if r["complete"]}
+    return {WEEKLY_INPUTS[k]: R.read_weekly_detect(spark, p, region=region) for k, p in paths.items()}, paths
 
 
 def report_sections(results: dict, health: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -66,39 +61,58 @@ def weekly_run(spark: SparkSession, *, out_dir: str, as_of: dt.datetime, weekly_
                sales: str | None = None, region: str = "ALL", state: str | None = None,
                region_name: str | None = None, city: str | None = None, zip_pattern: str = M.DEFAULT_ZIP_PATTERN,
                retention_days: int = 28, materialize: bool = True) -> dict:
-    """Run every metric from the landed files and write sections + history.
+    """Run every metric from the landed files and write tables, sections and history.
+
+    What is not there is tolerated: a source that was expected (its path was given) and
+    not found is reported FAILED in the health table, and its metrics are skipped. With
+    `materialize` the cleaned tables and the metrics are written under `out_dir` and read
+    back, so that each is computed once. Runs older than `retention_days` leave the
+    history. Returns {"results", "health", "rejected" (rows whose week did not parse, by
+    source), "expired_runs" (their dates), "has_metrics"}."""
+    run_date = as_of.date()
+
+    def kept(df: DataFrame, name: str, partition_by=()) -> DataFrame:
+        if not materialize:
+            return df
+        R.write_table(df, f"{out_dir}/{name}", partition_by=partition_by)
+        return spark.read.schema(df.schema).parquet(f"{out_dir}/{name}")
 
-    Returns {"results", "health", "expired_runs"}. Sources that are missing are
-    reported FAILED in the health table and their metrics are skipped."""
     sources: dict = {}
     health_in: dict = {}
+    rejected = None
     if weekly_dir:
-        weekly, _ = weekly_sources(spark, weekly_dir, as_of, region=region)
-        sources.update(weekly)
-        for k, df in weekly.items():
-            health_in[f"weekly:{k}"] = (df, "period_end")
-    if value_index and rent_index:
-        v = R.read_index_wide(spark, value_index, state=state, region_name=region_name)
-        r = R.read_index_wide(spark, rent_index, state=state, region_name=region_name)
-        if region_name is not None:  # one selected region takes the run's region label
-            v, r = v.withColumn("region", F.lit(region)), r.withColumn("region", F.lit(region))
-        sources["value_wide"], sources["rent_wide"] = v, r
-        health_in["value_index"], health_in["rent_index"] = (v, None), (r, None)
+        weekly, paths = weekly_sources(spark, weekly_dir, as_of, region=region)
+        sources.update({k: kept(df, f"clean/{k}", ("region",)) for k, df in weekly.items()})
+        for k in WEEKLY_INPUTS.values():
+            health_in[f"weekly:{k}"] = (sources[k], "period_end") if k in sources else None
+        bad = [R.rejected_weeks(spark, p).agg(F.count(F.lit(1)).alias("rejected")).select(F.lit(k).alias("source"), "rejected")
+               for k, p in paths.items()]
+        rejected = reduce(DataFrame.unionByName, bad) if bad else None
+    for key, path in (("value_index", value_index), ("rent_index", rent_index)):
+        if path:
+            df = R.or_none(lambda path=path: R.read_index_wide(spark, path, state=state, region_name=region_name))
+            if df is not None and region_name is not None:  # one selected region takes the run's region label
+                df = df.withColumn("region", F.lit(region))
+            if df is not None:
+                sources[key.replace("_index", "_wide")] = df
+            health_in[key] = None if df is None else (df, None)
     if parcels:
-        sources["parcels"] = R.clean_parcels(R.read_county(spark, parcels), city=city)
-        health_in["parcels"] = (sources["parcels"], None)
+        raw = R.or_none(lambda: R.read_county(spark, parcels))
+        if raw is not None:
+            sources["parcels"] = kept(R.clean_parcels(raw, city=city), "clean/parcels")
+        health_in["parcels"] = (sources["parcels"], None) if raw is not None else None
     if sales:
-        sources["sales"] = R.clean_sales(R.read_county(spark, sales))
-        health_in["sales"] = (sources["sales"], "sale_date")
-    results = M.run_metrics(sources, as_of=as_of, region=region, zip_pattern=zip_pattern, city=city or "",
-                            materialize=materialize and "sales" in sources)
-    health = source_health(health_in, as_of) if health_in else None
-    run_date = as_of.date()
+        raw = R.or_none(lambda: R.read_county(spark, sales))
+        if raw is not None:
+            sources["sales"] = kept(R.clean_sales(raw), "clean/sales")
+        health_in["sales"] = (sources["sales"], "sale_date") if raw is not None else None
+    results = M.run_metrics(sources, as_of=as_of, region=region, zip_pattern=zip_pattern, city=city or "")
+    results = {k: kept(df, f"metrics/{k}") for k, df in results.items()}
+    health = kept(source_health(health_in, as_of, spark=spark), "health") if health_in else None
     R.archive_sections(report_sections(results, health), f"{out_dir}/sections", run_date)
-    counts = H.metric_counts(spark, results, run_date)
-    H.record_run(counts, f"{out_dir}/history")
-    _, expired = H.expire_history(H.read_history(spark, f"{out_dir}/history"), run_date, days=retention_days)
-    return {"results": results, "health": health, "expired_runs": expired}
+    H.record_run(H.run_counts(spark, results, run_date), f"{out_dir}/history")
+    expired = H.drop_expired(spark, f"{out_dir}/history", run_date, days=retention_days)
+    return {"results": results, "health": health, "rejected": rejected, "expired_runs": expired, "has_metrics": bool(results)}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -114,9 +128,9 @@ def main(argv: list[str] | None = None) -> int:
     res = weekly_run(spark, out_dir=a.out, as_of=dt.datetime.fromisoformat(a.as_of), weekly_dir=a.weekly_dir,
                      value_index=a.value_index, rent_index=a.rent_index, parcels=a.parcels, sales=a.sales,
                      region=a.region, state=a.state, region_name=a.region_name, city=a.city)
-    if res["health"] is not None and res["health"].where("degraded").limit(1).count():
+    if not res["has_metrics"]:  # L16
         return 1
-    return 0
+    return int(res["health"].where("degraded").limit(1).count() > 0)
 
 
 if __name__ == "__main__":

@@ -62,6 +62,10 @@ def zip_price_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ SQL helpers
 # Oracle spellings of the library's formatting / coercion rules.
 
+def sql_money(x: str) -> str:
+    return f"'$' || format('{{:,}}', CAST(floor({x} + 0.5) AS BIGINT))"
+
+
 def sql_fixed(x: str, decimals: int, signed: bool = False) -> str:
     n = f"CAST(floor(abs({x}) * {float(10 ** decimals)} + 0.5) AS BIGINT)"
     if decimals:
@@ -753,7 +757,8 @@ def _wrap(sql: str, extra: str) -> str:
 
 @register("report_buyer_value", _wrap(ORACLE_SQL["buyer_value_index"],
           "CASE WHEN value_ratio > 1.3 THEN 'badge-warning' WHEN value_ratio < 0.95 THEN 'badge-success' "
-          f"ELSE 'badge-neutral' END AS badge, {sql_fixed('value_ratio', 2)} || 'x' AS ratio_text"))
+          f"ELSE 'badge-neutral' END AS badge, {sql_money('median_sale_price')} AS price_text, "
+          f"{sql_money('avg_assessed')} AS assessed_text, {sql_fixed('value_ratio', 2)} || 'x' AS ratio_text"))
 def q_report_buyer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5."""
     from homestat.plans.report import buyer_value_section
@@ -763,6 +768,7 @@ def q_report_buyer_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("report_price_changes", _wrap(ORACLE_SQL["zip_price_trends"],
           "CASE WHEN yoy_change > 0.05 THEN 'badge-warning' WHEN yoy_change < -0.05 THEN 'badge-down' "
           "ELSE 'badge-neutral' END AS badge, yoy_flag = 'low_data' AS limited_data, "
+          f"{sql_money('price_now')} AS price_text, {sql_money('price_prior')} AS prior_text, "
           f"{sql_pct('yoy_change', 1, True)} AS yoy_text"))
 def q_report_price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X6."""
@@ -794,6 +800,7 @@ SELECT * EXCLUDE (rn), rn AS position,
   CASE WHEN sqft IS NOT NULL AND sqft <> 0 THEN format('{{:,.0f}}', sqft) || ' sqft' ||
        CASE WHEN beds IS NOT NULL AND beds <> 0 THEN ', ' || {sql_fixed('beds', 0)} || ' bed' ELSE '' END END AS detail,
   CASE WHEN outcome = 'PROFITABLE' THEN 'badge-success' ELSE 'badge-danger' END AS badge,
+  {sql_money('first_sale_price')} AS first_price_text, {sql_money('second_sale_price')} AS second_price_text,
   {sql_pct('markup_pct', 1, True)} AS markup_text,
   strftime(first_sale_date, '%b %d, %Y') AS first_label, strftime(second_sale_date, '%b %d, %Y') AS second_label
 FROM (SELECT *, row_number() OVER (PARTITION BY outcome ORDER BY account ASC NULLS LAST, first_sale_date,
@@ -827,7 +834,9 @@ def q_report_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("report_inventory", f"""
 SELECT * EXCLUDE (ls, ll, lh), strftime(week, '%b %d') AS week_label,
-  coalesce({sql_pct('supply_yoy', 1, True)}, 'N/A') AS yoy_text,
+  coalesce({sql_pct('supply_yoy', 1, True)}, 'N/A') AS yoy_text, coalesce({sql_fixed('weeks_of_supply', 1)}, 'N/A') AS supply_text,
+  CASE WHEN new_listings <> 0 THEN format('{{:,.0f}}', new_listings) ELSE 'N/A' END AS listings_text,
+  CASE WHEN homes_sold <> 0 THEN format('{{:,.0f}}', homes_sold) ELSE 'N/A' END AS sold_text,
   CASE WHEN ls IS NOT NULL AND ls <> 0 AND ls > 18 THEN 'At ' || {sql_fixed('ls', 0)}
             || ' months of supply, buyers have significant negotiating power — there are more homes available than buyers right now.'
        WHEN ls IS NOT NULL AND ls <> 0 AND ls < 8 THEN 'At only ' || {sql_fixed('ls', 0)}
@@ -847,9 +856,11 @@ def q_report_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("report_trend", f"""
-SELECT * EXCLUDE (lf, lz, lr), strftime(month, '%b %Y') AS month_label,
+SELECT * EXCLUDE (lf, lz, lr), strftime(month, '%b %Y') AS month_label, {sql_money('zhvi')} AS value_text,
+  {sql_money('zori')} || '/mo' AS rent_text, {sql_pct('flow_ratio', 2)} AS ratio_text,
   'A ' || {sql_pct('lf', 1)} || ' annual rent-to-value ratio means that for a typical ' || '$' || format('{{:,.0f}}', lz)
-  || ' home, gross annual rent is roughly ' || '$' || format('{{:,.0f}}', lr * 12) || '.' AS insight
+  || ' home, gross annual rent is roughly ' || '$' || format('{{:,.0f}}', lr * 12)
+  || '. This is a county-wide estimate — actual figures vary significantly by neighborhood.' AS insight
 FROM (SELECT *, first_value(flow_ratio) OVER (ORDER BY month DESC) AS lf, first_value(zhvi) OVER (ORDER BY month DESC) AS lz,
              first_value(zori) OVER (ORDER BY month DESC) AS lr FROM ({ORACLE_SQL['trend_lines']}))
 """)
@@ -974,3 +985,6 @@ def q_history_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = X.scratch_path(spark, "history")
     X.write_history_json(_event_runs(spark, sf_dir), path)
     return read_history_json(spark, f"{path}/*/*.json")
+
+
+from homestat.plans import cases  # noqa: E402,F401  (registers its queries)

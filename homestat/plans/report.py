@@ -24,7 +24,7 @@ INV_HIGH = ("At {} months of supply, buyers have significant negotiating power 
 INV_LOW = "At only {} months of supply, homes are moving fast. Buyers should be prepared to act quickly."
 INV_MID = "The market has a relatively balanced amount of inventory."
 RENT_INSIGHT = ("A {} annual rent-to-value ratio means that for a typical {} home, gross annual rent is "
-                "roughly {}.")
+                "roughly {}. This is a county-wide estimate — actual figures vary significantly by neighborhood.")
 
 
 def _fmt(template: str, *cols):
@@ -83,7 +83,10 @@ def inventory_section(inv: DataFrame, by=("region",)) -> DataFrame:
         F.lit(" New listings ("), F.format_number(lis, 0), F.lit(") are "),
         F.when(lis > sold, F.lit("outpacing")).otherwise(F.lit("below")),
         F.lit(" homes sold ("), F.format_number(sold, 0), F.lit(") this week."))).otherwise(F.lit(""))
+    count = lambda c: F.when(F.col(c).isNotNull() & (F.col(c) != 0), F.format_number(c, 0)).otherwise(F.lit("N/A"))
     out = inv.select("*", S.week_label("week").alias("week_label"),
+                     S.or_dash(S.fixed_text(F.col("weeks_of_supply"), 1), "N/A").alias("supply_text"),
+                     count("new_listings").alias("listings_text"), count("homes_sold").alias("sold_text"),
                      S.or_dash(S.pct_text("supply_yoy", 1, signed=True), "N/A").alias("yoy_text"),
                      F.concat(level, flow).alias("insight"))
     return out.orderBy(*by, F.col("week").desc())
@@ -95,7 +98,9 @@ def trend_section(trend: DataFrame, by=("region",)) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(F.col("month").desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     flow, zhvi, zori = (F.first(c).over(w) for c in ("flow_ratio", "zhvi", "zori"))
-    out = trend.select("*", S.month_label("month").alias("month_label"),
+    out = trend.select("*", S.month_label("month").alias("month_label"), S.money_text("zhvi").alias("value_text"),
+                       F.concat(S.money_text("zori"), F.lit("/mo")).alias("rent_text"),
+                       S.pct_text("flow_ratio", 2).alias("ratio_text"),
                        _fmt(RENT_INSIGHT, S.pct_text(flow, 1), S.money_text(zhvi),
                             S.money_text(zori * 12)).alias("insight"))
     return out.orderBy(*by, F.col("month").asc())
@@ -104,7 +109,8 @@ def trend_section(trend: DataFrame, by=("region",)) -> DataFrame:
 def buyer_value_section(bvi: DataFrame) -> DataFrame:
     """Badge warning above 1.3x, success below 0.95x; best value first."""
     badge = _badge("value_ratio", [(">", 1.3, "badge-warning"), ("<", 0.95, "badge-success")])
-    out = bvi.select("*", badge.alias("badge"), S.ratio_text("value_ratio", 2).alias("ratio_text"))
+    out = bvi.select("*", badge.alias("badge"), S.money_text("median_sale_price").alias("price_text"),
+                     S.money_text("avg_assessed").alias("assessed_text"), S.ratio_text("value_ratio", 2).alias("ratio_text"))
     return out.orderBy(F.col("value_ratio").asc_nulls_last(), "zip")
 
 
@@ -112,7 +118,8 @@ def price_change_section(trends: DataFrame) -> DataFrame:
     """Badge warning above +5 %, down below −5 %; a note on anomalous swings;
     most expensive zip first."""
     badge = _badge("yoy_change", [(">", 0.05, "badge-warning"), ("<", -0.05, "badge-down")])
-    out = trends.select("*", badge.alias("badge"), (F.col("yoy_flag") == L.FLAG_LOW_DATA).alias("limited_data"),
+    out = trends.select("*", badge.alias("badge"), S.money_text("price_now").alias("price_text"),
+                        S.money_text("price_prior").alias("prior_text"), (F.col("yoy_flag") == L.FLAG_LOW_DATA).alias("limited_data"),
                         S.pct_text("yoy_change", 1, signed=True).alias("yoy_text"))
     return out.orderBy(F.col("price_now").desc_nulls_last(), "zip")
 
@@ -138,6 +145,8 @@ def flip_section(flips: DataFrame, top: int = 10) -> DataFrame:
     ranked = flips.withColumn("position", F.row_number().over(w).cast("bigint")).where(F.col("position") <= top)
     badge = F.when(F.col("outcome") == L.OUTCOME_PROFIT, F.lit("badge-success")).otherwise(F.lit("badge-danger"))
     out = ranked.select("*", detail.alias("detail"), badge.alias("badge"),
+                        S.money_text("first_sale_price").alias("first_price_text"),
+                        S.money_text("second_sale_price").alias("second_price_text"),
                         S.pct_text("markup_pct", 1, signed=True).alias("markup_text"),
                         S.day_label("first_sale_date").alias("first_label"),
                         S.day_label("second_sale_date").alias("second_label"))

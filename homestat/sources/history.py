@@ -17,6 +17,19 @@ from homestat.functions.scalars import stem_date
 HISTORY_JSON_SCHEMA = "run_date string, metric_counts map<string,bigint>"
 
 
+# The results of a run, in the order of the run; the last two are not tables.
+RUN_RESULTS = ("price_pressure", "inventory_absorption", "buyer_value_index", "trend_lines", "zip_price_trends",
+               "assessment_ratio", "investor_activity", "flip_detector", "flip_summary", "market_snapshot")
+NOT_TABLES = ("flip_summary", "market_snapshot")
+
+
+def run_counts(spark: SparkSession, results: dict, run_date: dt.date) -> DataFrame:
+    """K2: the counts of a weekly run: every result of `RUN_RESULTS`, 0 where it is
+    missing or not a table."""
+    tables = {name: results.get(name) if name not in NOT_TABLES else None for name in RUN_RESULTS}
+    return metric_counts(spark, tables, run_date)
+
+
 def metric_counts(spark: SparkSession, results: dict, run_date: dt.date) -> DataFrame:
     """One row per result — its row count, 0 for non-table results.
 
@@ -79,14 +92,18 @@ def expire_history(history: DataFrame, as_of: dt.date, days: int = 28, date_col:
     return kept, expired
 
 
-def apply_retention(spark: SparkSession, path: str, as_of: dt.date, out_path: str, days: int = 28) -> DataFrame:
-    """K3 on a stored history: write the kept runs (partitioned by run date) as a
-    new version of the table at `out_path` and return it with the expired runs
-    gone. Plain Parquet cannot drop partitions in place, so the caller switches
-    readers to `out_path` (e.g. a versioned folder) once this returns."""
-    kept, _ = expire_history(read_history(spark, path), as_of, days=days)
-    kept.write.mode("overwrite").partitionBy("run_date").parquet(out_path)
-    return read_history(spark, out_path)
+def drop_expired(spark: SparkSession, path: str, as_of: dt.date, days: int = 28) -> list[dt.date]:
+    """K3 on a stored history: delete the folders of expired runs; returns their dates.
+
+    A run is a folder of its own (`run_date=…`), so nothing is rewritten; the dates of
+    the expired runs are all that is collected."""
+    _, expired = expire_history(read_history(spark, path), as_of, days=days)
+    dates = [r["run_date"] for r in expired.select("run_date").distinct().orderBy("run_date").collect()]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for d in dates:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/run_date={d.isoformat()}")
+        folder.getFileSystem(conf).delete(folder, True)
+    return dates
 
 
 def metric_trend(history: DataFrame) -> DataFrame:

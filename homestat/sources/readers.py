@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -57,14 +58,23 @@ INDEX_ID_COLUMNS = ["RegionID", "SizeRank", "RegionName", "RegionType", "StateNa
                     "StateCodeFIPS", "MunicipalCodeFIPS"]
 
 
+BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
                   **options) -> DataFrame:
     """A missing path gives an empty frame with the expected schema."""
+    found = or_none(lambda: spark.read.format(fmt).options(**options).schema(schema).load(path))
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def or_none(scan):
+    """What `scan` reads, or None where there is nothing (no path, or no file in it)."""
     try:
-        return spark.read.format(fmt).options(**options).schema(schema).load(path)
+        return scan()
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
         raise
 
 
@@ -92,21 +102,29 @@ def read_index_wide(spark: SparkSession, path: str, *, state: str | None = None,
 
 # ------------------------------------------------------------------ S2, S3
 
-def bom_encoding(spark: SparkSession, paths: str) -> DataFrame:
-    """(path, encoding) from the first bytes of each file: UTF-16LE/BE by BOM, else UTF-8."""
-    files = spark.read.format("binaryFile").load(paths)
-    head = F.hex(F.substring("content", 1, 2))
-    enc = F.when(head == "FFFE", "UTF-16LE").when(head == "FEFF", "UTF-16BE").otherwise("UTF-8")
-    return files.select("path", "length", enc.alias("encoding"))
-
-
-def read_weekly(spark: SparkSession, path: str, *, region: str = "ALL", encoding: str = "UTF-8") -> DataFrame:
-    """One weekly crosstab file -> (region, period_begin, period_end, metric columns…).
-
-    UTF-16 exports are tab separated. With a known byte order (UTF-16LE/BE, as
-    `bom_encoding` reports it) they are read line by line with an explicit line
-    separator, which keeps large files splittable across tasks; a plain 'UTF-16'
-    needs `multiLine` (one task per file)."""
+def bom_encoding(spark: SparkSession, paths) -> dict[str, list[str]]:
+    """Encoding -> files, from the first two bytes of each file: UTF-16LE/BE by BOM, else UTF-8.
+
+    Only the listing and two bytes a file are read, on the driver; empty files are left out."""
+    files = spark.read.format("binaryFile").load(paths).where("length > 0").select("path").collect()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out: dict[str, list[str]] = {}
+    for row in files:
+        path = jvm.org.apache.hadoop.fs.Path(row["path"])
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            head = (stream.read(), stream.read())
+        finally:
+            stream.close()
+        encoding = {(0xFF, 0xFE): "UTF-16LE", (0xFE, 0xFF): "UTF-16BE"}.get(head, "UTF-8")
+        out.setdefault(encoding, []).append(row["path"])
+    return out
+
+
+def _weekly_text(spark: SparkSession, path, encoding: str) -> DataFrame:
+    """A crosstab as text columns. UTF-16 exports are tab separated. With a known byte
+    order they are read line by line with an explicit line separator, which keeps large
+    files splittable across tasks; a plain 'UTF-16' needs `multiLine` (one task per file)."""
     enc = encoding.upper()
     if enc in ("UTF-16LE", "UTF-16BE"):
         raw = _text_csv(spark, path, sep="\t", encoding=enc, lineSep="\n")
@@ -114,7 +132,12 @@ def read_weekly(spark: SparkSession, path: str, *, region: str = "ALL", encoding
         raw = _text_csv(spark, path, sep="\t", encoding=encoding, multiLine=True)
     else:
         raw = _text_csv(spark, path, encoding=encoding)
-    raw = raw.toDF(*[c.lstrip("\ufeff").strip() for c in raw.columns])
+    return raw.toDF(*[c.lstrip("\ufeff").strip() for c in raw.columns])
+
+
+def read_weekly(spark: SparkSession, path, *, region: str = "ALL", encoding: str = "UTF-8") -> DataFrame:
+    """Weekly crosstab files of one encoding -> (region, period_begin, period_end, metric columns…)."""
+    raw = _weekly_text(spark, path, encoding)
     cols = [F.lit(region).alias("region")]
     if "Period Begin" in raw.columns:
         cols.append(parse_us_date(F.col("`Period Begin`")).alias("period_begin"))
@@ -125,16 +148,22 @@ def read_weekly(spark: SparkSession, path: str, *, region: str = "ALL", encoding
     return raw.select(*cols).where(F.col("period_end").isNotNull())
 
 
-def read_weekly_detect(spark: SparkSession, path: str, *, region: str = "ALL") -> DataFrame:
-    """S3: read a crosstab whatever its encoding (one small metadata row per file)."""
-    enc = bom_encoding(spark, path).where(F.col("length") > 0).select("encoding").first()
-    return read_weekly(spark, path, region=region, encoding=enc[0] if enc else "UTF-8")
+def read_weekly_detect(spark: SparkSession, path, *, region: str = "ALL") -> DataFrame:
+    """S3: crosstabs whatever their encoding; files of one folder may differ in it."""
+    parts = [read_weekly(spark, files, region=region, encoding=enc)
+             for enc, files in sorted(bom_encoding(spark, path).items())]
+    if not parts:
+        return spark.createDataFrame([], "region string, period_end date")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def rejected_weeks(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Rows whose `Period End` does not parse (they are dropped, and counted here)."""
-    raw = _text_csv(spark, path, encoding=encoding)
-    return raw.where(parse_us_date(F.col("`Period End`")).isNull())
+def rejected_weeks(spark: SparkSession, path) -> DataFrame:
+    """`Period End` of the rows where it does not parse (they are dropped, and counted here)."""
+    parts = [_weekly_text(spark, files, enc).select(F.col("`Period End`").alias("period_end"))
+             for enc, files in sorted(bom_encoding(spark, path).items())]
+    if not parts:
+        return spark.createDataFrame([], "period_end string")
+    return reduce(DataFrame.unionByName, parts).where(parse_us_date(F.col("period_end")).isNull())
 
 
 # ------------------------------------------------------------------ S4, M13
@@ -175,9 +204,10 @@ def clean_sales(raw: DataFrame, *, deed_type: str | None = "WD") -> DataFrame:
 # ------------------------------------------------------------------ S5
 
 def list_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> DataFrame:
-    """File listing (path, name, modificationTime, length); contents are not read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-            .select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "modificationTime", "length"))
+    """File listing (path, name, modificationTime, length); contents are not read. A
+    missing folder lists nothing."""
+    files = read_or_empty(spark, directory, BINARY_SCHEMA, "binaryFile", pathGlobFilter=glob)
+    return files.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "modificationTime", "length")
 
 
 def discover(files: DataFrame, as_of: dt.datetime, *, patterns: dict | None = None,
@@ -206,9 +236,12 @@ def discover(files: DataFrame, as_of: dt.datetime, *, patterns: dict | None = No
 # ------------------------------------------------------------------ K1, K4
 
 def write_table(df: DataFrame, path: str, *, partition_by=("region",), mode: str = "overwrite") -> None:
-    """K1: cleaned table as parquet, partitioned (dynamic overwrite keeps other partitions)."""
+    """K1: cleaned table as parquet, partitioned (dynamic overwrite keeps other partitions).
+
+    Rows of a partition are brought together before the write, in pieces of even size
+    where there are many (a rebalancing shuffle), so no task writes a file for each."""
     cols = [c for c in partition_by if c in df.columns]
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    w = (df.hint("rebalance", *cols) if cols else df).write.mode(mode).option("partitionOverwriteMode", "dynamic")
     (w.partitionBy(*cols) if cols else w).parquet(path)
 
 

@@ -207,4 +207,4 @@ def test_run_metrics_and_snapshot(spark, county):
     assert snap["hottest_zip"] is None and snap["hottest_zip_label"] == ""
     assert snap["flip_count_in_range"] is False
     assert set(res) == {"price_pressure", "inventory_absorption", "buyer_value_index", "zip_price_trends",
-                        "assessment_ratio", "investor_activity", "flip_detector", "market_snapshot"}
+                        "assessment_ratio", "investor_activity", "flip_detector", "flip_summary", "market_snapshot"}

@@ -69,9 +69,52 @@ def test_weekly_run_end_to_end(spark, scratch):
                                                                                    ("8000", 300, "LOSS")]
     assert r["trend_lines"].count() == 2
     health = {h["source"]: h["status"] for h in res["health"].collect()}
-    assert len(health) == 9 and set(health.values()) == {"OK"}
+    assert len(health) == 10 and set(health.values()) == {"OK"}
     sections = spark.read.parquet(os.path.join(out, "sections", "prices"))
     assert sections.where(F.col("run_date") == "2026-04-02").count() == 2
     hist = {h["metric"]: h["n"] for h in spark.read.parquet(os.path.join(out, "history")).collect()}
     assert hist["flip_detector"] == 2 and hist["price_pressure"] == 2
-    assert res["expired_runs"].count() == 0
+    assert hist["market_snapshot"] == hist["flip_summary"] == 0 and len(hist) == 10
+    assert r["flip_summary"].first()[0].startswith("2 total")
+    assert res["expired_runs"] == [] and res["has_metrics"]
+    assert {x["source"]: x["rejected"] for x in res["rejected"].collect()} == dict.fromkeys(
+        ["median_sale_price", "homes_sold", "new_listings", "days_to_close", "weeks_of_supply", "avg_sale_to_list"], 0)
+    again = dict(out_dir=out, as_of=AS_OF + dt.timedelta(days=29), sales=os.path.join(scratch, "sales.csv"))
+    assert weekly_run(spark, **again)["expired_runs"] == [AS_OF.date()]  # that run leaves the history
+    left = {str(h["run_date"]) for h in spark.read.parquet(os.path.join(out, "history")).select("run_date").collect()}
+    assert left == {"2026-05-01"}
+
+
+def test_missing_inputs_are_tolerated_and_reported(spark, scratch):
+    wk = _land(scratch)
+    os.remove(os.path.join(wk, "homes sold.csv"))  # an incomplete set does not count
+    res = weekly_run(spark, out_dir=os.path.join(scratch, "out"), as_of=AS_OF, weekly_dir=wk,
+                     value_index=os.path.join(scratch, "value.csv"), rent_index=os.path.join(scratch, "rent.csv"),
+                     parcels=os.path.join(scratch, "none.csv"), sales=os.path.join(scratch, "sales.csv"),
+                     state="FL", region_name="Gulf County")
+    health = {h["source"]: h["status"] for h in res["health"].collect()}
+    assert {k for k, v in health.items() if v == "OK"} == {"value_index", "rent_index", "sales"}
+    assert len(health) == 10 and not res["health"].first()["degraded"]
+    assert set(res["results"]) == {"trend_lines", "flip_detector", "flip_summary", "market_snapshot"}
+    assert {x["appraisal_gap"] for x in res["results"]["trend_lines"].collect()} == {0.0}
+    snap = res["results"]["market_snapshot"].first()
+    assert snap["flip_count"] == 2 and snap["median_price"] is None and snap["market_phase"] == "Market Data Unavailable"
+
+
+def test_a_run_without_any_source(spark, scratch):
+    os.makedirs(os.path.join(scratch, "empty"))
+    for folder in ("empty", "nowhere"):
+        res = weekly_run(spark, out_dir=os.path.join(scratch, f"out-{folder}"), as_of=AS_OF, weekly_dir=os.path.join(scratch, folder))
+        assert not res["has_metrics"] and res["health"].first()["degraded"]
+        assert {h["n"] for h in spark.read.parquet(os.path.join(scratch, f"out-{folder}", "history")).collect()} == {0}
+
+
+def test_a_missing_yoy_column_counts_as_zero(spark, scratch):
+    wk = _land(scratch)
+    path = os.path.join(wk, "median sale price.csv")
+    with open(path, "w") as f:
+        f.write('Period End,Median Sale Price\n1/18/2026,"416,875"\nnot a date,5\n')
+    os.utime(path, (time.mktime(AS_OF.timetuple()),) * 2)
+    res = weekly_run(spark, out_dir=os.path.join(scratch, "out"), as_of=AS_OF, weekly_dir=wk)
+    assert [x["price_yoy"] for x in res["results"]["price_pressure"].collect()] == [0.0]
+    assert {x["source"]: x["rejected"] for x in res["rejected"].collect()}["median_sale_price"] == 1

@@ -30,7 +30,7 @@ def test_weekly_utf8_and_utf16_detected(spark, scratch):
     utf16 = os.path.join(scratch, "median sale price export.csv")
     with open(utf16, "w", encoding="utf-16") as f:  # BOM + UTF-16LE
         f.write(_csv_text("\t"))
-    enc = {os.path.basename(r["path"]): r["encoding"] for r in R.bom_encoding(spark, scratch).collect()}
+    enc = {os.path.basename(p): e for e, files in R.bom_encoding(spark, scratch).items() for p in files}
     assert enc == {"median_sale_price.csv": "UTF-8", "median sale price export.csv": "UTF-16LE"}
     for path in (utf8, utf16):
         rows = R.read_weekly_detect(spark, path, region="FL").orderBy("period_end").collect()
@@ -185,11 +185,16 @@ def test_utf16_big_endian_and_crlf(spark, scratch):
         assert got == [("2026-01-11", 452872.5), ("2026-01-18", 416875.0)], path
     plain = R.read_weekly(spark, crlf, encoding="UTF-16")  # generic name: whole-file read
     assert plain.count() == 2
+    with open(os.path.join(scratch, "utf8.csv"), "w") as f:
+        f.write('Period End,Median Sale Price\n1/25/2026,"418,500"\n')
+    open(os.path.join(scratch, "empty.csv"), "w").close()
+    both = R.read_weekly_detect(spark, os.path.join(scratch, "*.csv"))  # a folder of mixed encodings
+    assert sorted(r["median_price"] for r in both.collect()) == [416875.0, 416875.0, 418500.0, 452872.5, 452872.5]
 
 
-def test_apply_retention_rewrites_kept_runs(spark, scratch):
+def test_drop_expired_deletes_old_runs(spark, scratch):
     rows = [(dt.date(2026, 3, 1), "m", 1), (dt.date(2026, 3, 20), "m", 2), (dt.date(2026, 4, 2), "m", 3)]
     table = os.path.join(scratch, "history_v1")
     H.record_run(spark.createDataFrame(rows, "run_date date, metric string, n long"), table)
-    kept = H.apply_retention(spark, table, dt.date(2026, 4, 2), os.path.join(scratch, "history_v2"))
-    assert sorted(str(r["run_date"]) for r in kept.collect()) == ["2026-03-20", "2026-04-02"]
+    assert H.drop_expired(spark, table, dt.date(2026, 4, 2)) == [dt.date(2026, 3, 1)]
+    assert sorted(str(r["run_date"]) for r in H.read_history(spark, table).collect()) == ["2026-03-20", "2026-04-02"]
