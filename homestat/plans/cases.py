@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from homestat.plans import metrics as M
 from homestat.plans import proxies as P
-from homestat.plans.queries import NOW_365, ORACLE_SQL, QUERIES, RECENT_180, register, sql_zip5
+from homestat.plans.queries import NOW_365, ORACLE_SQL, QUERIES, RECENT_180, register, sql_money, sql_zip5
 
 # ------------------------------------------------------------------ M5: flips
 
@@ -66,14 +66,11 @@ def flip_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.resale_flips(_case_sales(spark, sf_dir), _case_parcels(spark, sf_dir), as_of=P.AS_OF)
 
 
-_MONEY = lambda c: f"'$' || format('{{:,}}', CAST(floor({c} + 0.5) AS BIGINT))"
-
-
 @register("report_flip_cases", f"""
 WITH f AS ({FLIP_CASES_SQL}),
 r AS (SELECT *, row_number() OVER (PARTITION BY outcome ORDER BY CAST(account AS BIGINT), first_sale_date, second_sale_date) AS position FROM f)
-SELECT account, outcome, position, first_sale_price, {_MONEY('first_sale_price')} AS first_price_text,
-       {_MONEY('second_sale_price')} AS second_price_text FROM r WHERE position <= 10
+SELECT account, outcome, position, first_sale_price, {sql_money('first_sale_price')} AS first_price_text,
+       {sql_money('second_sale_price')} AS second_price_text FROM r WHERE position <= 10
 """)
 def report_flip_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ten flips of each outcome when accounts are text: in number order."""

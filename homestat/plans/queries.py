@@ -63,7 +63,7 @@ def zip_price_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Oracle spellings of the library's formatting / coercion rules.
 
 def sql_money(x: str) -> str:
-    return f"'$' || format('{{:,}}', CAST(floor({x} + 0.5) AS BIGINT))"
+    return f"'$' || format('{{:,.0f}}', {x})"
 
 
 def sql_fixed(x: str, decimals: int, signed: bool = False) -> str:

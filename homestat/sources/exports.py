@@ -8,6 +8,7 @@ machine-local one (outside tests).
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,24 @@ from pyspark.sql import functions as F
 from homestat.session import checkpoint_dir
 
 
+_MADE: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/exports/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the session's shared checkpoint folder; removed when Python ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/exports/{name}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(_remove_made)
+    _MADE.append((spark, path))
+    return path
+
+
+def _remove_made() -> None:
+    for spark, path in _MADE:
+        if spark.sparkContext._jsc is None:  # the session has ended: its folder is the cluster's to clean
+            return
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def us_date_text(c) -> F.Column:
