@@ -105,7 +105,7 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]], url_col: str
     says = rule_of(F.col("h"), F.col("p"), rules)[1]
     strings = staged(strings.select("h", "p", "s", F.when(says == "allow", F.col("n")).otherwise(0).alias("accepted"),
                                     F.when(says == "block", F.col("n")).otherwise(0).alias("rejected")))
-    ratios = gram_ratios(strings, order, weight)
+    ratios = staged(gram_ratios(strings, order, weight))  # so that the join with it can split a frequent gram
     scored = staged(_grams(strings, "h", "p", "accepted", "rejected", order=order).join(ratios, "gram")
                     .groupBy("h", "p").agg(F.avg("ratio").alias("score"), F.max("accepted").alias("accepted"),
                                            F.max("rejected").alias("rejected")))
