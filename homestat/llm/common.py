@@ -154,21 +154,32 @@ def signed(x: np.ndarray) -> np.ndarray:
 FIRST_BASE, SECOND_BASE = _B1, np.uint64(0xC2B2AE3D27D4EB4F)  # odd: they have inverses modulo 2**64
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """The first ``n`` powers of a base modulo 2**64 (a table that grows with the longest text seen)."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(1024, 2 * n), base, dtype=np.uint64)
+        known[0] = 1
+        known = _POWERS[int(base)] = np.cumprod(known, dtype=np.uint64)
+    return known[:n]
 
 
 class RangeHashes:
     """Hash of any run of consecutive words, from prefix sums of a polynomial modulo 2**64."""
 
     def __init__(self, words: np.ndarray, base: np.uint64 = FIRST_BASE):
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(base, len(words))[:-1], dtype=np.uint64)])
-        self.back = _powers(np.uint64(pow(int(base), -1, 2**64)), len(words))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers(base, len(words)), dtype=np.uint64)])
+        self.back = powers(np.uint64(pow(int(base), -1, 2**64)), len(words) + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
+        return mix64(self.plain(start, end) + (end - start).astype(np.uint64))
+
+    def plain(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The bare sums, to compare runs of one length."""
+        return (self.sums[end] - self.sums[start]) * self.back[start]
 
 
 def chunks(sizes, limit: int = 4_000_000):
