@@ -201,10 +201,6 @@ def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: d
         "account_key",
         build_address(part("locn"), part("locs"), part("locd"), part("unit"), part("zip"), city).alias("address"),
         to_number(part("beds")).alias("beds"), to_number(part("living")).alias("sqft"))
-    # Only parcels of flipped accounts are needed: a semi join against the (small)
-    # flip keys lets the planner broadcast those keys after measuring them, so the
-    # parcel table is scanned and filtered in place instead of being shuffled.
-    lookup = lookup.join(f.select("account_key").distinct(), on="account_key", how="left_semi")
     out = join_on_account(f, lookup, how="left")
     return out.withColumn("address", F.coalesce(F.col("address"), F.lit(L.ADDRESS_UNAVAILABLE))) \
         .drop("account_key")
