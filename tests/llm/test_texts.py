@@ -121,6 +121,33 @@ def test_a_link_between_two_groups_joins_them(spark):
     assert {r.class_id for r in got.collect()} == {1}
 
 
+def replaced(rng, w, at):
+    w = list(w)
+    for i in at:
+        w[i] = f"new{rng.randrange(10**6)}"
+    return w
+
+
+def test_sketches_needed_for_a_similarity():
+    assert minhash.functions(0.8) == (65, 3) and minhash.functions(0.95)[0] < 20
+    assert minhash.functions(0.7)[1] == 2 and minhash.functions(0.5) == (minhash.MOST, 1)
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.84, 0.9])
+def test_planted_pairs_are_found_wherever_their_edits_are(spark, similarity):
+    rng = random.Random(int(similarity * 100))
+    docs, want = [], {}
+    for k in range(120):
+        n = (100, 400, 30, 10)[k % 4]
+        a, d = words(rng, n, 10**6), int((1 - similarity) * n + 1e-9)
+        at = rng.sample(range(n), d) if k % 3 else [int((i + 0.5) * n / d) for i in range(d)]  # scattered, or evenly spaced
+        docs += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(replaced(rng, a, at)))]
+        want[2 * k] = want[2 * k + 1] = 2 * k
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[i] in (i, c) for i, c in want.items())
+    assert np.mean([got[2 * k + 1] == 2 * k for k in range(120)]) >= 0.98
+
+
 def test_rows_of_equal_id_join_their_classes(spark):
     rng = random.Random(5)
     a, b = " ".join(words(rng, 50)), " ".join(words(rng, 50))
