@@ -155,6 +155,19 @@ def test_rows_of_equal_id_join_their_classes(spark):
     assert {(r.doc_id, r.class_id) for r in minhash.near_duplicates(docs).collect()} == {(1, 1), (2, 1), (3, 1)}
 
 
+def test_near_copies_of_each_text_of_a_repeated_id(spark):
+    rng = random.Random(12)
+    rows, want = [], {}
+    for k in range(0, 80, 10):  # an id with two or three unlike texts, and a near copy of each
+        of = [words(rng, 80, 10**6) for _ in range(2 + k // 10 % 2)]
+        rows += [(f"d{k + 15}", " ".join(w)) for w in of]
+        rows += [(f"d{k + 11 + j}", " ".join(edited(rng, w, 6))) for j, w in enumerate(of)]
+        want |= dict.fromkeys([f"d{k + 15}", *(f"d{k + 11 + j}" for j in range(len(of)))], f"d{k + 11}")
+    rng.shuffle(rows)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.class_id for r in got} == want
+
+
 def test_components_of_a_long_chain(spark):
     ids = list(range(100))
     random.Random(6).shuffle(ids)
