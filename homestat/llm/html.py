@@ -18,6 +18,7 @@ SAMPLE = 5_000  # labelled pages that weights are learned from at most, the firs
 PRIOR_WORDS = 20  # words that a prior counts for
 LIMIT = 4.0  # largest weight of a word
 TAG = 0.2  # what any tag costs
+LABEL = 0.25  # share of a page's words that its article and main elements hold, if it is learned from
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -188,20 +189,29 @@ def best_run(scores: np.ndarray) -> tuple[int, int]:
     return where
 
 
+def main_share(blocks: list[Block], sizes: list[int]) -> float:
+    """Share of the words outside noise that stand in an article or main element: 0 if these are empty."""
+    all_, inside = (sum(n for b, n in zip(blocks, sizes, strict=True) if not b.noise and (b.main or every)) for every in (True, False))
+    return inside / all_ if all_ else 0.0
+
+
 def main_text(page: str | None, weights: Mapping[str, float]) -> str:
     """Text of the blocks in the best run of words and tags, without those that are noise."""
     blocks = parse(page)
-    has_main = any(b.main and not b.noise for b in blocks)
     texts = [b.text() for b in blocks]
+    sizes = [len(t.split()) for t in texts]
+    # the page's own mark counts as much as the part of its text that it holds: a teaser or an empty element says little
+    share = main_share(blocks, sizes)
     scores = []  # the tags before a block, then its words
-    for b, t in zip(blocks, texts, strict=True):
-        n = len(t.split())
+    for b, n in zip(blocks, sizes, strict=True):
         kind = b.kind(n)
         word = weights[kind] if kind in weights else math.log(_prior(kind) / (1 - _prior(kind)))
         cost = sum(weights.get(f"<{x}>", -TAG) for x in b.tags)
-        if has_main:  # the page says where its content is
-            word = (max(word, 1.0) if not b.noise else 0.0) if b.main else -LIMIT
-            cost = -0.01 * len(b.tags)
+        if b.main:  # noise inside is left out, and so costs the less
+            cost *= 1 - share
+            word = word * (1 - share) if b.noise else word + LIMIT * share
+        else:
+            word -= LIMIT * share
         # a block of noise between two of content does not outweigh what follows: it is left out anyway
         scores += [cost, n * word if not b.noise else max(n * word, -5 * LIMIT)]
     a, b = best_run(np.array(scores))
@@ -213,10 +223,10 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, list[float]] = {}
         for page in pdf["html"]:
             blocks = parse(page)
-            if not any(b.main for b in blocks):
+            sizes = [len(b.text().split()) for b in blocks]
+            if main_share(blocks, sizes) < LABEL:
                 continue
-            for b in blocks:
-                n = len(b.text().split())
+            for b, n in zip(blocks, sizes, strict=True):
                 for kind, k in [(b.kind(n), n), *((f"<{x}>", 1) for x in b.tags if x not in MAIN)]:
                     c = total.setdefault(kind[:20], [0, 0])
                     c[0] += k * b.main
@@ -225,7 +235,10 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn_weights(pages: DataFrame, id_col: str, html_col: str, sample: int = SAMPLE) -> dict[str, float]:
-    """Weights from pages that label their content themselves, with an article or main element."""
+    """Weights from pages that label their content themselves, with an article or main element.
+
+    Pages whose elements hold less than ``LABEL`` of their words, as teasers do, are no labels.
+    """
     own = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{html_col}`").alias("html"))
     own = own.where(F.col("html").rlike(r"(?i)<(article|main)[\s>]"))
     keys = own.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -245,7 +258,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     line feeds, without blocks inside menus, headers, footers, sidebars, notices,
     adverts, forms, comments or hidden elements (by element, class, id or role).
     Character references are decoded, white space in a block becomes one space, its ends
-    are trimmed. Where a page labels its content, only words inside score positive.
+    are trimmed. In an article or main element, words score more, and words outside less,
+    by as much as the element holds of the page's text: the weights still decide where
+    it is empty or a teaser.
 
     A row per row, with all its columns (``text`` and ``n_chars`` are replaced). Null,
     empty and textless pages: empty text. Broken markup (elements left open, cut pages)

@@ -446,3 +446,24 @@ def test_op8_against_the_marked_article(spark):
         article = re.search(r"<article>(.*?)</article>", r.html, re.S).group(1)
         parts = [" ".join(pyhtml.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", article)]
         assert r.text == "\n".join(x for x in parts if x) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("mark", ["<main id=app></main>", "<article><p>A teaser of six words here</p></article>"])
+def test_an_empty_or_small_main_element_does_not_hide_the_text(mark):
+    page = f"<nav><a href=x>menu</a></nav>{mark}<div><p>{'word ' * 60}</p><p>{'more ' * 60}</p></div><footer>f</footer>"
+    got = pages_.main_text(page, WEIGHTS).split()
+    assert got.count("word") == got.count("more") == 60 and "menu" not in got and "f" not in got
+
+
+def test_learned_weights_find_the_article_without_its_mark(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    weights = pages_.learn_weights(pages, "page_id", "html")
+    rows = [r.html for r in pages.collect()]
+    bare = [re.sub(r"</?(?:article|main)\b[^>]*>", "", h) for h in rows]
+    assert [pages_.main_text(b, weights) for b in bare] == [pages_.main_text(h, weights) for h in rows]
+
+
+def test_pages_with_an_empty_or_small_main_element_are_no_labels(spark):
+    page = "<main></main><article><p>teaser</p></article><div><p>" + "word " * 60 + "</p></div>"
+    df = spark.createDataFrame([(i, page) for i in range(5)], "page_id long, html string")
+    assert pages_.learn_weights(df, "page_id", "html") == {}
