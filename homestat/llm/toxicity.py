@@ -36,9 +36,9 @@ class Term:
 
     @property
     def edits(self) -> int:
-        """Edits a misspelling may have: short terms none, long ones two, stems one less."""
+        """Edits a misspelling may have: short terms none, long ones two; stems as many as words of their length."""
         n = len(self.text)
-        return max(0, (0 if n < 5 else 1 if n < 8 else 2) - self.stem)
+        return 0 if n < 5 else 1 if n < 8 else 2
 
 
 class Automaton:

@@ -318,6 +318,24 @@ def test_toxicity_learns_matches_misspellings_and_spares_quotations(spark):
     assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, _ in labels)
 
 
+def test_misspelled_inflected_terms_of_a_stem_are_matched(spark):
+    rng = random.Random(13)
+    docs, labels = [], []
+    for i in range(600):
+        w, bad = words(rng, 30, 2000), i % 5 == 0
+        if bad:
+            w.insert(rng.randrange(30), rng.choice(["gorbag", "gorbags", "gorbagish", "gorbaggy"]))
+        docs.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    more = [(1000, "you g0rbag"), (1001, "what gorbogs they are"), (1002, "a gxrbagish thing"), (1003, "a calm text"), (1004, "some garbxg")]
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert [(t.text, t.stem) for t in model.terms] == [("gorbag", True)]
+    df = spark.createDataFrame(docs + more, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in df.select("doc_id", model.score(df["text"]).alias("score")).collect()}
+    assert min(got[i] for i in (1000, 1001, 1002)) >= 0.5 > got[1003] == got[1004]
+    assert all((got[i] >= 0.5) == t for i, t in labels)
+
+
 def test_toxicity_without_anything_to_learn(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
