@@ -15,6 +15,7 @@ from homestat.llm.minhash import near_duplicates
 from homestat.llm.substring import substring_dedup
 from homestat.llm.topk import exact_topk
 from homestat.llm.toxicity import toxicity
+from homestat.llm.trie import conversation_trie
 
 # --- 1: mixing ----------------------------------------------------------------------
 
@@ -223,6 +224,51 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
+# --- 13: conversation prefix trie ---------------------------------------------------------
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = """
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, count(*) OVER (PARTITION BY conv_id) AS n,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, n, conv_id - conv_id % 5 AS base, xor(4294967295::UBIGINT, list_reduce(
+           list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::UBIGINT),
+           lambda crc, byte: list_reduce([0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
+             lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END, xor(crc, byte)),
+           4294967295::UBIGINT)) % 9 AS h
+  FROM (SELECT DISTINCT conv_id, n FROM own)),
+rebuilt AS (
+  SELECT c.conv_id, o.pos, role, text FROM convs c JOIN own o ON o.conv_id = c.base AND o.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, o.pos - c.h + least(c.h, coalesce(b.n, 0)), role, text
+  FROM convs c JOIN own o USING (conv_id) LEFT JOIN convs b ON b.conv_id = c.base WHERE o.pos > c.h),
+members AS (
+  SELECT conv_id, pos AS depth, strlen(text) AS bytes, sha256(string_agg(sha256(length(role) || ':' || role || text), '')
+           OVER (PARTITION BY conv_id ORDER BY pos)) AS k
+  FROM rebuilt UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS (SELECT k, min(conv_id) AS conv_id, max(depth) AS depth, count(*) AS n_convs, max(bytes) AS bytes FROM members GROUP BY k),
+paths AS (
+  SELECT n.k, n.depth, n.n_convs, n.bytes, m.k AS above, m.depth AS above_depth
+  FROM nodes n JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth),
+children AS (SELECT above AS k, count(*) AS n_children FROM paths WHERE above_depth = depth - 1 GROUP BY above),
+parents AS (SELECT p.k, n.conv_id AS parent_conv_id FROM paths p JOIN nodes n ON n.k = p.above WHERE above_depth = p.depth - 1),
+subtrees AS (
+  SELECT above AS k, count(*) FILTER (c.k IS NULL) AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+  FROM paths p LEFT JOIN children c ON c.k = p.k GROUP BY above),
+ends AS (
+  SELECT k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS last FROM members) WHERE depth = last GROUP BY k)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes LEFT JOIN parents USING (k) LEFT JOIN children USING (k) JOIN subtrees USING (k) LEFT JOIN ends USING (k)
+"""
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -234,6 +280,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -242,4 +289,5 @@ ORACLE_SQL = {
     "op3_exact_topk": OP3_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_url_filter": OP10_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
