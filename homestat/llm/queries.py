@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from homestat.llm import mixing, sentencepiece, urls
+from homestat.llm.alignment import align_tokenizers
 from homestat.llm.ann import nearest_neighbours
 from homestat.llm.common import table, usable_vectors
 from homestat.llm.html import extract_text
@@ -224,6 +225,16 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
+# --- 11: cross-tokenizer alignment ---------------------------------------------------------
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_tokenizers(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups"), 256))
+    return aligned.select(F.col("doc_id").cast("long").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                          digest.alias("groups_sha256"))
+
+
 # --- 13: conversation prefix trie ---------------------------------------------------------
 
 
@@ -280,6 +291,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_token_alignment": op11_token_alignment,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }

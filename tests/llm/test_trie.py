@@ -5,8 +5,7 @@ import random
 import zlib
 from collections import defaultdict
 
-import pytest
-
+from homestat.llm import trie
 from homestat.llm.contraction import subtree_totals
 from homestat.llm.trie import conversation_trie
 
@@ -50,40 +49,41 @@ SCHEMA = "conv_id long, turn long, role string, text string"
 def test_shared_starts_copies_and_odd_rows(spark):
     rng = random.Random(5)
     rows = [(c, t, rng.choice(["user", "assistant", None]), rng.choice(["a", "b", "", None, "été 😀"]))
-            for c in range(60) for t in rng.sample(range(12), rng.randint(1, 12))]
+            for c in range(30) for t in rng.sample(range(12), rng.randint(1, 9))]
     rows += [(None, 0, "user", "nobody"), (70, None, "user", "null turn"), (70, None, "user", "first"), (70, 0, "system", "x"),
              (71, 1, "user", "same"), (71, 1, "user", "same"), (71, 1, "a", "tie"), (72, 0, None, None), (2**40, 3, "user", "y" * 300_000)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert found(conversation_trie(df)) == expected(rows)
 
 
-def test_one_conversation_of_many_turns_and_one_first_turn_of_all(spark):
-    rows = [(1, t, "user", f"t{t}") for t in range(1500)] + [(5 * c, 0, "user", "hello") for c in range(1, 400)]
+def test_one_conversation_of_many_turns_and_one_first_turn_of_all(spark, monkeypatch):
+    monkeypatch.setattr(trie, "PIECE", 16)  # so that a prefix is carried over several windows
+    monkeypatch.setattr(trie, "CHUNK_BITS", 3)
+    rows = [(1, t, "user", f"t{t}") for t in range(70)] + [(5 * c, 0, "user", "hello") for c in range(1, 200)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)
     assert found(conversation_trie(df)) == expected(rows)
 
 
 def test_empty_table_and_clashing_columns(spark):
     assert conversation_trie(spark.createDataFrame([], SCHEMA)).collect() == []
-    rows = [(c, t, "user", f"{c % 3}{t}") for c in range(10) for t in range(4)]
+    rows = [(c, t, "user", f"{c % 3}{t}") for c in range(6) for t in range(2)]
     wide = spark.createDataFrame([(*r, 1, 2, 3, 4, 5) for r in rows], SCHEMA + ", conv long, pos long, a long, `last` long, row long")
     assert found(conversation_trie(wide)) == expected(rows)
 
 
-@pytest.mark.parametrize("shape", ["chain", "star", "random"])
-def test_subtree_totals(spark, shape):
-    rng = random.Random(1)
-    n = 300
-    parent = {i: {"chain": i - 1, "star": 0, "random": rng.randrange(max(1, i))}[shape] for i in range(1, n)}
-    parent[n] = None  # a second root, without children
+def test_subtree_totals_of_a_chain_a_star_and_a_random_tree(spark):
+    rng, parent = random.Random(1), {}
+    for k, shape in enumerate([lambda i: i - 1, lambda i: 0, lambda i: rng.randrange(i)]):
+        parent |= {1000 * k + i: 1000 * k + shape(i) if i else None for i in range(80)}
     kids = defaultdict(int)
-    for i, p in parent.items():
+    for p in parent.values():
         kids[p] += 1
-    own = {i: (rng.randrange(10), 1) for i in range(n + 1)}
+    own = {i: (rng.randrange(10), 1) for i in parent}
     want = {i: list(v) for i, v in own.items()}
-    for i in range(n - 1, 0, -1):
-        want[parent[i]][0] += want[i][0]
-        want[parent[i]][1] += want[i][1]
-    df = spark.createDataFrame([(i, parent.get(i), kids[i], *own[i]) for i in own], "k long, up long, m long, x long, y long")
+    for i in sorted(parent, reverse=True):
+        if parent[i] is not None:
+            want[parent[i]][0] += want[i][0]
+            want[parent[i]][1] += want[i][1]
+    df = spark.createDataFrame([(i, p, kids[i], *own[i]) for i, p in parent.items()], "k long, up long, m long, x long, y long")
     got = {r.k: [r.x, r.y] for r in subtree_totals(df, ["k"], ["up"], "m", ["x", "y"]).collect()}
     assert got == want
