@@ -13,6 +13,7 @@ from homestat.llm.common import table, usable_vectors
 from homestat.llm.html import extract_text
 from homestat.llm.lines import line_dedup
 from homestat.llm.minhash import near_duplicates
+from homestat.llm.quality import quality
 from homestat.llm.substring import substring_dedup
 from homestat.llm.topk import exact_topk
 from homestat.llm.toxicity import toxicity
@@ -235,6 +236,13 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                           digest.alias("groups_sha256"))
 
 
+# --- 12: quality -------------------------------------------------------------------------
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # --- 13: conversation prefix trie ---------------------------------------------------------
 
 
@@ -292,6 +300,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
     "op11_token_alignment": op11_token_alignment,
+    "op12_quality": op12_quality,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
