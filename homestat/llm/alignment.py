@@ -15,9 +15,10 @@ from homestat.llm.common import chunks, mix64, staged
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 CUT = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")  # one space between characters that are surely no white space
+PLAIN = re.compile("(?s)[!-~À-ɏ](.*[!-~À-ɏ])?")  # what can stand between two such spaces
 SHARDS = 256
 SLICE = 1_000_000  # characters that are aligned together
-KEPT_LINKS = 1_500_000  # links of words that a worker remembers
+KEPT_LINKS = 4_000_000  # links of words that a worker remembers
 HELD_PAIRS = 2_000_000  # counts of a task that wait to be merged
 FAN = 32  # partial vectors that are added by one task, level by level
 
@@ -114,56 +115,71 @@ class Aligner:
         self.a_bytes = {i: bytes(letters.get(c, 0) for c in t) for t, i in self.a.get_vocab().items()}
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
-        self.n_b = len(self.b_bytes)
+        self.n_a, self.n_b = max(self.a_bytes) + 1, len(self.b_bytes)
+        self.a_size = np.array([len(self.a_bytes.get(i, b"")) for i in range(self.n_a)])
+        self.b_size = np.array([len(x) for x in self.b_bytes])
+        # a token as it is written inside a group and at the end of its side of it
+        self.written = np.array([f"{i}{end}" for n, ends in ((self.n_a, ",|"), (self.n_b, ",;")) for end in ends for i in range(n)], dtype=object)
         self.weigh: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.groups: list[str] = []
         self.numbers = np.empty((0, 6), np.int64)  # tokens of A, of B, groups, whether bytes differ; best links, sum of counts
         self.links, self.at = np.empty(0, np.int64), np.zeros(1, np.int64)
+        self.codes, self.code_at = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of A of all words and each word's number of them, the same of B, and which words they do not spell."""
+        raw = [(" " + w).encode() for w in words]
+        size = np.array([len(r) for r in raw])
+        ids = None
+        if all(map(PLAIN.fullmatch, words)):  # side by side they encode as each by itself
+            runs = [" " + " ".join(words[i:i + 500]) for i in range(0, len(words), 500)]
+            ids = [i for e in self.a.encode_batch_fast(runs, add_special_tokens=False) for i in e.ids]
+        if ids is not None and b"".join([self.a_bytes[i] for i in ids]) == b"".join(raw):
+            a = np.array(ids, np.int64)
+            n_a = np.diff(np.searchsorted(np.cumsum(self.a_size[a]), np.concatenate([[0], np.cumsum(size)]), side="right"))
+        else:
+            ids = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+            a, n_a = np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids])
+        ids = self.b.encode(words, num_threads=1)
+        b, n_b = np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids])
+        bad = np.zeros(len(words), bool)
+        if b"".join([self.a_bytes[i] for i in a.tolist()] + [self.b_bytes[i] for i in b.tolist()]) != b"".join(raw) * 2 or (
+                _per(self.a_size[a], n_a) != size).any() or (_per(self.b_size[b], n_b) != size).any():
+            ends_a, ends_b = np.cumsum([0, *n_a]).tolist(), np.cumsum([0, *n_b]).tolist()
+            for k, r in enumerate(raw):
+                bad[k] = (b"".join([self.a_bytes[i] for i in a[ends_a[k]:ends_a[k + 1]].tolist()]) != r
+                          or b"".join([self.b_bytes[i] for i in b[ends_b[k]:ends_b[k + 1]].tolist()]) != r)
+            a, b = a[~np.repeat(bad, n_a)], b[~np.repeat(bad, n_b)]
+            n_a, n_b = np.where(bad, 0, n_a), np.where(bad, 0, n_b)
+        return a, n_a, b, n_b, bad
 
     def _learn(self, words: list[str]) -> None:
-        one = self.a.encode_batch([" " + w for w in words], add_special_tokens=False)
-        other = self.b.encode(words, num_threads=1)
-        numbers, links, sizes = [], [], []
-        for w, x, ib in zip(words, one, other, strict=True):
-            ia, raw = x.ids, (" " + w).encode()
-            ba, bb = [self.a_bytes[i] for i in ia], [self.b_bytes[i] for i in ib]
-            if b"".join(ba) != raw or b"".join(bb) != raw:
-                self.groups.append("")
-                numbers.append((0, 0, 0, 1))
-                sizes.append(0)
-                continue
-            i = j = first_a = first_b = n = 0
-            end_a, end_b, text = len(ba[0]), len(bb[0]), []
-            while True:
-                links.append(ia[i] * self.n_b + ib[j])
-                n += 1
-                if end_a == end_b:
-                    i, j = i + 1, j + 1
-                    text.append(f"{','.join(map(str, ia[first_a:i]))}|{','.join(map(str, ib[first_b:j]))}")
-                    first_a, first_b = i, j
-                    if i == len(ba):
-                        break
-                    end_a, end_b = end_a + len(ba[i]), end_b + len(bb[j])
-                elif end_a < end_b:
-                    i += 1
-                    end_a += len(ba[i])
-                else:
-                    j += 1
-                    end_b += len(bb[j])
-            self.groups.append(";".join(text))
-            numbers.append((len(ia), len(ib), len(text), 0))
-            sizes.append(n)
+        """Aligns new words all at once: the links are the pieces into which the tokens of A and B cut the bytes together."""
+        a, n_a, b, n_b, bad = self._encoded(words)
+        end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        cuts = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+        both = cuts[:-1][cuts[1:] == cuts[:-1]] if len(cuts) else cuts  # where tokens of both end
+        cuts = cuts[np.concatenate([[True], cuts[1:] != cuts[:-1]])] if len(cuts) else cuts
+        links = a[np.searchsorted(end_a, cuts)] * self.n_b + b[np.searchsorted(end_b, cuts)] if len(cuts) else cuts
+        stop = np.concatenate([[0], np.cumsum(_per(self.a_size[a], n_a))])  # the words' ends
         fresh = np.zeros((len(words), 6), np.int64)
-        fresh[:, :4] = np.array(numbers, np.int64).reshape(-1, 4)
-        links, ends = np.array(links, np.int64), np.cumsum([0, *sizes])
-        if self.weigh is not None:
+        fresh[:, 0], fresh[:, 1], fresh[:, 3] = n_a, n_b, bad
+        fresh[:, 2] = np.diff(np.searchsorted(both, stop, side="right"))
+        ends = np.searchsorted(cuts, stop, side="right")
+        if self.weigh is not None:  # else the pairs alone are asked for
             for k, value in enumerate(self.weigh(links)):
                 sums = np.concatenate([[0], np.cumsum(value)])
                 fresh[:, 4 + k] = sums[ends[1:]] - sums[ends[:-1]]
+            group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
+            codes = np.empty(len(a) + len(b), np.int32)  # a group's tokens of A, then those of B
+            codes[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + np.where(both[group_a] == end_a, self.n_a, 0) if len(a) else a
+            codes[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = (
+                b + 2 * self.n_a + np.where(both[group_b] == end_b, self.n_b, 0) if len(b) else b)
+            self.codes = np.concatenate([self.codes, codes])
+            self.code_at = np.concatenate([self.code_at, self.code_at[-1] + np.cumsum(n_a + n_b)])
         for w in words:
             self.known[w] = len(self.known)
         self.numbers = np.concatenate([self.numbers, fresh])
@@ -175,20 +191,27 @@ class Aligner:
             self._forget()
         lists = [CUT.split(t) if t else [] for t in texts]
         new = dict.fromkeys(w for x in lists for w in x if w not in self.known)
-        if new:
-            self._learn(list(new))
+        plain = [w for w in new if PLAIN.fullmatch(w)]
+        if plain:
+            self._learn(plain)
+        if len(new) > len(plain):
+            self._learn([w for w in new if w not in self.known])
         flat = np.fromiter((self.known[w] for x in lists for w in x), np.int64)
         return flat, np.cumsum([0] + [len(x) for x in lists])
 
     def aligned(self, texts: Sequence[str | None]) -> tuple[np.ndarray, list[str]]:
-        """Per text: tokens of A, of B, groups, links, best links, sum of counts; and the groups themselves."""
+        """Per text: tokens of A, of B, groups, links, best links, sum of counts; and the groups themselves. Needs ``weigh``."""
         flat, ends = self.words(texts)
         every = np.concatenate([self.numbers[flat], np.diff(self.at)[flat][:, None]], axis=1)
         sums = np.concatenate([np.zeros((1, 7), np.int64), np.cumsum(every, axis=0)])
         sums = sums[ends[1:]] - sums[ends[:-1]]
         fine = sums[:, 3] == 0
         sums = np.where(fine[:, None], sums, 0)
-        groups = [";".join([self.groups[w] for w in flat[ends[i]:ends[i + 1]]]) if fine[i] else "" for i in range(len(texts))]
+        n = np.diff(self.code_at)[flat]
+        stop = np.cumsum(n)
+        parts = self.written[self.codes[np.repeat(self.code_at[flat] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]].tolist()
+        edge = np.concatenate([[0], stop])[ends].tolist()
+        groups = ["".join(parts[edge[i]:edge[i + 1]])[:-1] if fine[i] else "" for i in range(len(texts))]
         return sums[:, [0, 1, 2, 6, 4, 5]], groups
 
     def pairs(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -196,13 +219,26 @@ class Aligner:
         flat, ends = self.words(texts)
         of = np.repeat(np.arange(len(texts)), np.diff(ends))
         fine = np.bincount(of, self.numbers[flat, 3], minlength=len(texts)) == 0
-        once = np.unique((of * max(1, len(self.known)) + flat)[fine[of]])
+        once, _ = _distinct((of * max(1, len(self.known)) + flat)[fine[of]])
         of, word = np.divmod(once, max(1, len(self.known)))
         n = np.diff(self.at)[word]
         stop = np.cumsum(n)
         link = self.links[np.repeat(self.at[word] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
         span = int(link.max(initial=0)) + 1
-        return np.unique(np.unique(np.repeat(of, n) * span + link) % span, return_counts=True)
+        return _distinct(_distinct(np.repeat(of, n) * span + link)[0] % span)
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values, ascending, and how often each is there."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+    return values[first], np.diff(np.append(first, len(values)))
+
+
+def _per(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of values."""
+    sums, ends = np.concatenate([[0], np.cumsum(values)]), np.concatenate([[0], np.cumsum(counts)])
+    return sums[ends[1:]] - sums[ends[:-1]]
 
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:

@@ -113,7 +113,9 @@ def test_words_encode_as_in_the_whole_text(tokenizers, text):
 @functools.cache
 def aligner():
     with open(BYTE_LEVEL, encoding="utf-8") as f, open(PIECES, "rb") as g:
-        return Aligner(f.read(), g.read())
+        made = Aligner(f.read(), g.read())
+    made.weigh = lambda links: (links >= 0, links)
+    return made
 
 
 def test_minimal_hash_numbers_every_key_once():
