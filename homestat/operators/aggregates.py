@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homestat.operators.splits import per_hot_group
-
-
-_ACCURACY = 10_000  # approximate quantiles are off by at most 1 / _ACCURACY of the rows
-_BRACKET = 3 / _ACCURACY
+from homestat.operators import splits
+from homestat.operators.splits import null_safe_join
 
 
 def _as_list(x) -> list:
@@ -18,48 +15,64 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, str) else list(x)
 
 
-def group_median(df: DataFrame, by, value: str, *, out: str = "median", count_out: str | None = None) -> DataFrame:
-    """Exact interpolated median of `value` per group (NULLs ignored), optional non-null count.
-
-    A group without a value keeps its row: a NULL median, count 0. Groups of ordinary size
-    use Spark's `median` (its last step holds a group's distinct values, at most
-    `splits.HOT_ROWS` of them). For a very large group, and for the whole table, a narrow
-    bracket around the middle is taken from approximate quantiles; one pass counts the
-    rows below it and the equal values inside, and the exact middle is read off these
-    counts. Rows outside the bracket are counted before anything is shuffled, so neither
-    a large group nor one very frequent value gathers in a task.
+_FINE = 4096  # buckets a step of e in size
+_ABOVE = 4_000_000  # over 745 * _FINE, so that the buckets of positive numbers are positive
+
+
+def _bucket(v: Column) -> Column:
+    """A whole number that never falls as `v` rises: the logarithm's steps of 1 / `_FINE`, mirrored below zero.
+
+    NaN sorts above all numbers, as in Spark's own order."""
+    step = lambda x: F.floor(F.log(x) * _FINE).cast("long") + _ABOVE
+    far = F.lit(4 * _ABOVE).cast("long")
+    return (F.when(F.isnan(v), far + 1).when(v == float("inf"), far).when(v == float("-inf"), -far)
+            .when(v > 0, step(v)).when(v < 0, -step(-v)).otherwise(F.lit(0).cast("long")))
+
+
+def _brackets(df: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+    """Per group with a very long column the buckets around its middle: `_b`, a map of the
+    column's number to (`lo`, `hi`). A row per such group, at most a millionth of the input."""
+    long = df.select(*by, F.posexplode(F.array(*values)).alias("_i", "_v")).where(F.col("_v").isNotNull())
+    counted = long.groupBy(*by, "_i", _bucket(F.col("_v")).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    near = 2.0 / splits.HOT_ROWS  # two ranks at least, in a column of more than HOT_ROWS values
+    around = F.expr(f"percentile(_k, array({max(0.0, 0.5 - near)}D, {min(1.0, 0.5 + near)}D), _n)")
+    hot = counted.groupBy(*by, "_i").agg(F.sum("_n").alias("_all"), around.alias("_q")).where(F.col("_all") > splits.HOT_ROWS)
+    bracket = F.struct(F.floor(F.col("_q")[0]).alias("lo"), F.ceil(F.col("_q")[1]).alias("hi"))
+    return hot.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_i", bracket))).alias("_b"))
+
+
+def group_medians(df: DataFrame, by, values: dict[str, Column], others: dict[str, Column] | None = None) -> DataFrame:
+    """Exact interpolated medians of several columns per group (NULLs ignored) in one aggregation.
+
+    `values` maps output names to columns, `others` to further aggregates of the same rows.
+    A group without a value keeps its row, with a NULL median.
+
+    Spark's `median` keeps a group's different values, so columns of more than
+    `splits.HOT_ROWS` values in a group are narrowed first: values are counted by bucket (an
+    order-preserving whole number, partial counts in each task), and what lies outside the
+    buckets around the middle becomes one value below or above all others. That moves no
+    median, and neither a large group nor one frequent value gathers in a task. Two reads of
+    the input, the first of which shuffles counts only.
     """
     by = _as_list(by)
-    base = df.select(*by, F.col(value).cast("double").alias("_v"))
-    stats = F.struct(F.count("_v").alias("n"), F.expr(
-        f"percentile_approx(_v, array({0.5 - _BRACKET}D, {0.5 + _BRACKET}D), {_ACCURACY})").alias("c"))
+    names = [f"_v{i}" for i in range(len(values))]
+    base = df.withColumns({n: v.cast("double") for n, v in zip(names, values.values(), strict=True)})
+    found = _brackets(base, by, names)
     if by:
-        bracket = per_hot_group(base, by, stats)
+        rows = null_safe_join(base, F.broadcast(found), by, "left")  # a row per very large group
     else:
-        bracket = base.agg(stats.alias("_s")).scalar()
-    marked = base.withColumn("_s", bracket)
-    counts = [] if count_out is None else [count_out]
-    hot = marked.where(F.col("_s").isNotNull() & (F.col("_v").isNull() | (F.col("_v") <= F.col("_s.c")[1])))
-    # NULL stands for all rows below the bracket; rows without a value count nothing
-    place = F.when(F.col("_v") >= F.col("_s.c")[0], F.col("_v"))
-    seen = hot.groupBy(*by, place.alias("_v")).agg(F.count("_v").alias("_m"), F.first("_s.n").alias("_n"))
-    upto = F.sum("_m").over(Window.partitionBy(*by).orderBy(F.col("_v").asc_nulls_first())
-                            .rowsBetween(Window.unboundedPreceding, 0))
-    seen = seen.withColumn("_upto", upto).where(F.col("_v").isNotNull() | (F.col("_n") == 0))
-    pick = lambda k: F.min(F.when(F.col("_upto") >= k, F.col("_v")))
-    middle = seen.groupBy(*by).agg(
-        pick(F.floor((F.col("_n") + 1) / 2)).alias("_lo"), pick(F.floor(F.col("_n") / 2) + 1).alias("_hi"),
-        F.min(F.col("_upto") - F.col("_m")).alias("_below"), F.first("_n").alias("_n"))
-    # the quantiles' error is proven; were it ever exceeded, fail rather than answer wrongly
-    missed = (F.col("_n") > 0) & (F.col("_hi").isNull() | (F.col("_below") >= F.floor((F.col("_n") + 1) / 2)))
-    found = F.when(missed, F.raise_error(F.lit("median outside its bracket")).cast("double")).otherwise(
-        (F.col("_lo") + F.col("_hi")) / 2)
-    large = middle.select(*by, found.alias(out), *[F.col("_n").cast("bigint").alias(c) for c in counts])
-    if not by:
-        return large
-    ordinary = marked.where(F.col("_s").isNull()).groupBy(*by).agg(
-        F.median("_v").alias(out), *[F.count("_v").alias(c) for c in counts])
-    return ordinary.unionByName(large)
+        rows = base.withColumn("_b", found.scalar())
+    def clamped(i: int) -> Column:
+        v, bracket = F.col(f"_v{i}"), F.try_element_at("_b", F.lit(i))
+        return (F.when(bracket.isNull() | v.isNull(), v).when(_bucket(v) < bracket["lo"], F.lit(float("-inf")))
+                .when(_bucket(v) > bracket["hi"], F.lit(float("inf"))).otherwise(v))
+    aggs = [F.median(clamped(i)).alias(out) for i, out in enumerate(values)]
+    return rows.groupBy(*by).agg(*aggs, *[a.alias(n) for n, a in (others or {}).items()])
+
+
+def group_median(df: DataFrame, by, value: str, *, out: str = "median", count_out: str | None = None) -> DataFrame:
+    """Exact interpolated median of `value` per group (NULLs ignored), optional non-null count (:func:`group_medians`)."""
+    return group_medians(df, by, {out: F.col(value)}, {count_out: F.count(value)} if count_out else None)
 
 
 def fixed_point_mean(value, scale: int = 2) -> Column:

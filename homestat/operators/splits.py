@@ -1,26 +1,29 @@
 """Data-determined splits of large groups: the building block of the ordered operators.
 
-A group that holds a large part of the rows must not be sorted in one task. Which
-groups those are is found with a frequent-items sketch (`approx_top_k`, one small
-partial aggregate), and each of them is cut into pieces at approximate quantiles of
-the order column. A row's piece depends on its own values only, so every branch of a
-plan and every retried task agree on it; rows of all other groups are in piece 0. An
-operator then works inside (group, piece) and carries what crosses a cut in a table of
-at most `HOT_GROUPS * (PIECES + 1)` rows.
+A group that holds a large part of the rows must not be sorted in one task. One pass over
+a thin sample, chosen by a hash of the rows, finds the groups of more than about
+`HOT_ROWS` rows, and up to `PIECES - 1` sample rows of each that cut its sort order (the
+order columns, then the tie-breakers, then a hash of the row) into pieces of about equal
+size. A row's piece depends on its own values only, so every branch of a plan and every
+retried task agree on it; rows of all other groups are in piece 0. An operator then works
+inside (group, piece) and carries what crosses a cut in a table of a row per piece.
+
+Columns of every sortable type can be cut, and a group whose order values are all equal is
+cut by its tie-breakers. Rows that are equal in every column stay together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 GROUP, PIECE, HOT = "_group", "_piece", "_hot"
 HOT_ROWS = 1_000_000  # a group of more rows is cut
-HOT_GROUPS = 64  # groups that are cut at most: a group of 1/64 of the rows is among them
 PIECES = 64
-_LAST = 1_000_000  # the piece of NULLs, after all others
-_CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+SAMPLE = 1024  # rows that a group of `HOT_ROWS` has in the sample
+_MOST = 4 * SAMPLE  # rows of one group that the cuts are chosen from
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -32,40 +35,48 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def group_hash(by: list[str]) -> Column:
-    return F.xxhash64(*[F.col(b) for b in by])
+    return F.xxhash64(*[F.col(b) for b in by]) if by else F.lit(0).cast("long")
+
 
+def _cuts(df: DataFrame, by: list[str], sort: list[str], descending: bool) -> DataFrame:
+    """Per very large group (`_g`) the sample rows that cut it, as an array of at most `PIECES` structs.
 
-def hot_groups(df: DataFrame, by: list[str]) -> DataFrame:
-    """Hashes (`_group`) of the groups of more than `HOT_ROWS` rows; at most `HOT_GROUPS` rows."""
-    top = df.select(group_hash(by).alias(GROUP)).agg(
-        F.expr(f"approx_top_k({GROUP}, {HOT_GROUPS}, {64 * HOT_GROUPS})").alias("_top"))
-    return top.select(F.explode("_top").alias("_t")).where(F.col("_t.count") > HOT_ROWS).select(
-        F.col("_t.item").alias(GROUP))
+    One row per group of more than about `HOT_ROWS` rows: at most a millionth of the input."""
+    rate = max(1, HOT_ROWS // SAMPLE)
+    keys = [F.col(c).alias(f"s{i}") for i, c in enumerate(sort)]
+    sample = df.select(group_hash(by).alias("_g"), *keys, F.xxhash64(*df.columns).alias("h"))
+    sample = sample.where(F.pmod("h", F.lit(rate)) == 0)
+    by_hash = F.row_number().over(Window.partitionBy("_g").orderBy(F.xxhash64("h"), "h"))
+    sample = sample.withColumn("_rn", by_hash).where(F.col("_rn") <= _MOST)
+    order = [F.col("s0").desc_nulls_last() if descending else F.col("s0").asc_nulls_last()]
+    order += [F.col(f"s{i}").asc_nulls_last() for i in range(1, len(sort))] + [F.col("h")]
+    place = F.row_number().over(Window.partitionBy("_g").orderBy(*order))
+    sample = sample.withColumns({"_at": place, "_n": F.count(F.lit(1)).over(Window.partitionBy("_g"))})
+    step = lambda at: F.floor(at * PIECES / F.col("_n"))
+    picked = sample.where((F.col("_n") >= 0.9 * HOT_ROWS / rate) & (F.col("_at") < F.col("_n"))
+                          & (step(F.col("_at")) > step(F.col("_at") - 1)))
+    return picked.groupBy("_g").agg(F.collect_list(F.struct(*[f"s{i}" for i in range(len(sort))], "h")).alias("_cuts"))
 
 
-def per_hot_group(df: DataFrame, by: list[str], value: Column) -> Column:
-    """The aggregate `value` of the row's group if that is hot, else NULL: one scalar
-    subquery that yields a map of at most `HOT_GROUPS` entries."""
-    rows = df.withColumn(GROUP, group_hash(by))
-    stats = rows.join(F.broadcast(hot_groups(df, by)), GROUP).groupBy(GROUP).agg(value.alias("_v"))
-    table = stats.agg(F.map_from_entries(F.collect_list(F.struct(GROUP, "_v"))).alias("_m"))
-    return F.try_element_at(table.scalar(), group_hash(by))
+def _precedes(cut: Column, sort: list[str], row_hash: Column, descending: bool) -> Column:
+    """Whether a cut comes before the row in the sort order (NULLs last)."""
+    steps = []
+    for i, c in enumerate(sort):
+        a, b = cut[f"s{i}"], F.col(c)
+        less = (a > b) if descending and i == 0 else (a < b)
+        steps.append((F.coalesce(less, F.lit(False)) | (a.isNotNull() & b.isNull()), a.eqNullSafe(b)))
+    return reduce(lambda after, s: s[0] | (s[1] & after), reversed(steps), cut["h"] < row_hash)
 
 
-def split_groups(df: DataFrame, by: list[str], order: str, *, descending: bool = False) -> DataFrame:
+def split_groups(df: DataFrame, by: list[str], order, tie=(), *, descending: bool = False) -> DataFrame:
     """Add `_group`, `_piece` (ascending in the sort order, NULLs last) and `_hot`.
 
-    Without group keys the whole table is one group and is always cut. An order column
-    that has no quantiles (text) is not cut.
-    """
-    field = next(f for f in df.schema if f.name == order)
-    if not isinstance(field.dataType, _CUTTABLE):
-        return df.withColumn(GROUP, group_hash(by) if by else F.lit(0)).withColumn(PIECE, F.lit(0)).withColumn(HOT, F.lit(False))
-    at = ", ".join(f"{i / PIECES:.6f}D" for i in range(1, PIECES))
-    quantiles = F.expr(f"percentile_approx(`{order}`, array({at}))")
-    cuts = per_hot_group(df, by, quantiles) if by else df.agg(quantiles.alias("_v")).scalar()
-    out = df.withColumn("_cuts", cuts)
-    piece = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
-    piece = F.when(F.col(order).isNull(), _LAST).otherwise(-piece if descending else piece)
-    return (out.withColumn(GROUP, group_hash(by) if by else F.lit(0)).withColumn(HOT, F.col("_cuts").isNotNull())
-            .withColumn(PIECE, F.when(F.col(HOT), piece).otherwise(F.lit(0))).drop("_cuts"))
+    The sort order is `order` (its first column descending if asked), then `tie`. Without
+    group keys the whole table is one group."""
+    sort = [order] if isinstance(order, str) else list(order)
+    sort += [t for t in tie if t not in sort]
+    cuts = F.broadcast(_cuts(df, by, sort, descending))  # a row per very large group
+    out = df.withColumn(GROUP, group_hash(by)).join(cuts, F.col(GROUP) == F.col("_g"), "left")
+    piece = F.size(F.filter("_cuts", lambda c: _precedes(c, sort, F.xxhash64(*df.columns), descending)))
+    return (out.withColumn(HOT, F.col("_cuts").isNotNull())
+            .withColumn(PIECE, F.when(F.col(HOT), piece).otherwise(F.lit(0))).drop("_cuts", "_g"))

@@ -34,7 +34,7 @@ def _carried(split: DataFrame, per_piece: Column, across: Column) -> DataFrame:
     """`split` with `_carry`: for rows of a cut group, `across` of `per_piece` over the
     group's pieces in order; NULL for all other rows.
 
-    The joined table has a row per cut group and piece, a few thousand at most."""
+    The joined table has a row per cut group and piece."""
     ends = split.where(F.col(HOT)).groupBy(GROUP, PIECE).agg(per_piece.alias("_end"))
     carry = ends.select(F.col(GROUP).alias("_cg"), F.col(PIECE).alias("_cp"), across.alias("_carry"))
     cond = (F.col(GROUP) == F.col("_cg")) & (F.col(PIECE) == F.col("_cp")) & F.col(HOT)
@@ -70,7 +70,7 @@ def pct_change(df: DataFrame, by, order, value: str, out: str, *, bounded_groups
         filled = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
         prev = F.last(F.col(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
         return df.withColumn(out, F.try_divide(filled, prev) - F.lit(1.0))
-    split = split_groups(df, by, _as_list(order)[0])
+    split = split_groups(df, by, _as_list(order))
     j = _carried(split, F.max_by(F.col(value), F.when(F.col(value).isNotNull(), _key(order))),
                  F.last("_end", ignorenulls=True).over(_all_earlier()))
     w = Window.partitionBy(*by, PIECE).orderBy(*_orders(order))
@@ -91,7 +91,7 @@ def direction(df: DataFrame, by, order, value: str, out: str = "direction",
     if bounded_groups:
         w = Window.partitionBy(*by).orderBy(*_orders(order))
         return df.withColumn(out, L.trend_direction(F.col(value), F.lag(value).over(w), band))
-    split = split_groups(df, by, _as_list(order)[0])
+    split = split_groups(df, by, _as_list(order))
     j = _carried(split, F.max_by(F.col(value), _key(order)), F.lag("_end").over(_pieces()))
     w = Window.partitionBy(*by, PIECE).orderBy(*_orders(order))
     # the first row of a piece compares with the carried value; the group's very first
@@ -112,7 +112,7 @@ def rank_by(df: DataFrame, by, order_desc: str, tie: list[str] | None = None, ou
     order = [F.col(order_desc).desc_nulls_last()] + [F.col(t).asc() for t in (tie or [])]
     if bounded_groups:
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
-    split = split_groups(df, by, order_desc, descending=True)
+    split = split_groups(df, by, order_desc, tie or (), descending=True)
     j = _carried(split, F.count(F.lit(1)), F.sum("_end").over(_all_earlier()))
     place = F.row_number().over(Window.partitionBy(*by, PIECE).orderBy(*order))
     return j.withColumn(out, (place + F.coalesce(F.col("_carry"), F.lit(0))).cast("bigint")).drop(*_ADDED, "_carry")
@@ -133,7 +133,7 @@ def consecutive_pairs(df: DataFrame, by, order: str, tie: list[str], carry: list
     by = _as_list(by)
     vals = [order] + [c for c in carry if c != order]
     extra_tie = [t for t in tie if t not in vals and t not in by]
-    split = split_groups(df.select(*by, *vals, *extra_tie), by, order)
+    split = split_groups(df.select(*by, *vals, *extra_tie), by, order, tie)
 
     w = Window.partitionBy(*by, PIECE).orderBy(*_orders(order), *[F.col(t).asc() for t in tie])
     nxt = [F.lead(c).over(w).alias(f"_next_{c}") for c in vals]

@@ -3,8 +3,11 @@
 The skew tests put one group at a third (or more) of all rows and lower the size from
 which groups are cut, so a group always spans several pieces."""
 
+import datetime as dt
+import math
 import random
 import statistics
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -307,3 +310,58 @@ def test_checkpoint_dir_reads_the_session_and_only_falls_back_when_unset():
     assert s.sparkContext.set_to == path and "homestat-ckpt-" in path
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):  # on a cluster: an error
         checkpoint_dir(session(None, None, "spark://host:7077"))
+
+
+# ------------------------------------------------------------------ composite cuts, bucketed medians
+
+@pytest.mark.parametrize("order", ["d", "s"])
+def test_a_group_of_one_date_is_cut_by_its_ties(spark, monkeypatch, order):
+    monkeypatch.setattr(splits, "HOT_ROWS", 2000)
+    rows = [("hot", dt.date(2020, 1, 1), "same", i * 7919 % 20011, float(i)) for i in range(20000)]
+    rows += [(f"g{i % 50}", dt.date(2020, 1, 1 + i % 28), f"t{i % 9}", i, float(i)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, d date, s string, k long, p double")
+    pieces = Counter(r["_piece"] for r in splits.split_groups(df, ["g"], order, ["k"]).where("g = 'hot'").collect())
+    assert len(pieces) > 40 and max(pieces.values()) < 2 * sorted(pieces.values())[len(pieces) // 2]
+    assert not splits.split_groups(df, ["g"], order, ["k"]).where("g <> 'hot' AND (_hot OR _piece <> 0)").count()
+    got = sorted(tuple(r) for r in W.consecutive_pairs(df, "g", order, ["k"], ["k"]).select("g", "first_k", "second_k").collect())
+    want = []
+    for g in {r[0] for r in rows}:
+        own = sorted((r[1] if order == "d" else r[2], r[3]) for r in rows if r[0] == g)
+        want += [(g, a[1], b[1]) for a, b in zip(own, own[1:])]
+    assert got == sorted(want)
+
+
+def test_text_order_and_more_than_64_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(splits, "HOT_ROWS", 60)
+    rows = [(g, f"{(i * 37) % 101:03d}" if i % 10 else None, i) for g in range(80) for i in range(100)]
+    df = spark.createDataFrame(rows, "g long, s string, k long")
+    assert splits.split_groups(df, ["g"], "s", ["k"]).where("_hot").select("g").distinct().count() == 80
+    got = {(r.g, r.k): r["rank"] for r in W.rank_by(df, "g", "s", tie=["k"]).collect()}
+    for g in range(80):
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, [-ord(c) for c in r[1] or ""], r[2]))
+        assert [got[g, r[2]] for r in own] == list(range(1, 101))
+
+
+@pytest.mark.parametrize("hot_rows", [40, 10**6])
+def test_medians_of_odd_values(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(splits, "HOT_ROWS", hot_rows)
+    nan, inf = float("nan"), float("inf")
+    groups = {"one value": [5.0] * 900, "signs": [float(i) for i in range(-300, 301)], "tiny": [1e-308 * i for i in range(200)],
+              "even gap": [1.0] * 100 + [1e9] * 100, "infinite": [-inf] * 30 + [inf] * 31 + [0.0] * 3, "nan": [nan] * 150 + [1.0] * 50,
+              "nulls": [None] * 200 + [2.0], "none": [None] * 50, "zeros": [0.0, -0.0] * 60 + [-1e-300], "few": [3.0, 1.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double").repartition(7)
+    got = {r.g: (r.m, r.twice, r.n) for r in A.group_medians(df, "g", {"m": F.col("v"), "twice": F.col("v") * 2}, {"n": F.count("v")}).collect()}
+    for g, vs in groups.items():
+        own = sorted((v for v in vs if v is not None), key=lambda v: (math.isnan(v), v))
+        want = None if not own else (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2 if own[(len(own) - 1) // 2] != own[len(own) // 2] else own[len(own) // 2]
+        m, twice, n = got[g]
+        assert n == len(own) and (m == want or math.isnan(m) and math.isnan(want)), g
+        assert m is None or math.isnan(m) or twice == 2 * m
+    whole = A.group_median(df.where("v > 0 AND v < 1e300"), None, "v", out="m", count_out="n").first()
+    own = sorted(v for vs in groups.values() for v in vs if v is not None and 0 < v < 1e300)
+    assert (whole.m, whole.n) == ((own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2, len(own))
+
+
+def test_median_reads_its_input_twice(spark):
+    plan = A.group_median(spark.range(10).selectExpr("id % 2 AS g", "id * 1.0D AS v"), "g", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 2 and "Union" not in plan
