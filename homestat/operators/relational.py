@@ -58,18 +58,19 @@ def account_key(df: DataFrame, column: str, out: str = "account_key") -> DataFra
 
 
 def join_on_account(fact: DataFrame, dim: DataFrame, fact_key: str = "account_key",
-                    dim_key: str = "account_key", how: str = "inner", dedupe: bool = False) -> DataFrame:
-    """Fact ⋈ dimension on the normalised account key. NULL keys never match.
+                    dim_key: str = "account_key", how: str = "inner", dedupe: bool = False, by=()) -> DataFrame:
+    """Fact ⋈ dimension on the normalised account key (and `by`, keys both have: an account
+    number belongs to its region). NULL keys never match.
 
     Duplicate dimension keys multiply fact rows unless `dedupe` keeps one per key.
     The planner picks broadcast vs shuffle from runtime sizes (AQE), and splits a
     hot key's partition on the fact side (AQE skew join).
     """
     if dedupe:
-        dim = dim.dropDuplicates([dim_key])
+        dim = dim.dropDuplicates([*by, dim_key])
     if fact_key != dim_key:
         dim = dim.withColumnRenamed(dim_key, fact_key)
-    return fact.join(dim, on=fact_key, how=how)
+    return fact.join(dim, on=[*by, fact_key], how=how)
 
 
 def drop_bulk(df: DataFrame, keys, threshold: int = 3) -> DataFrame:

@@ -75,8 +75,11 @@ def split_groups(df: DataFrame, by: list[str], order, tie=(), *, descending: boo
     group keys the whole table is one group."""
     sort = [order] if isinstance(order, str) else list(order)
     sort += [t for t in tie if t not in sort]
-    cuts = F.broadcast(_cuts(df, by, sort, descending))  # a row per very large group
-    out = df.withColumn(GROUP, group_hash(by)).join(cuts, F.col(GROUP) == F.col("_g"), "left")
+    cuts, out = _cuts(df, by, sort, descending), df.withColumn(GROUP, group_hash(by))
+    if by:
+        out = out.join(F.broadcast(cuts), F.col(GROUP) == F.col("_g"), "left").drop("_g")  # a row per very large group
+    else:
+        out = out.withColumn("_cuts", cuts.select("_cuts").scalar())
     piece = F.size(F.filter("_cuts", lambda c: _precedes(c, sort, F.xxhash64(*df.columns), descending)))
     return (out.withColumn(HOT, F.col("_cuts").isNotNull())
-            .withColumn(PIECE, F.when(F.col(HOT), piece).otherwise(F.lit(0))).drop("_cuts", "_g"))
+            .withColumn(PIECE, F.when(F.col(HOT), piece).otherwise(F.lit(0))).drop("_cuts"))

@@ -6,9 +6,13 @@ any other table):
 * sales:   account, account_key, sale_date (timestamp/date), sale_price (double),
            sale_id (optional unique tie-breaker)
 * parcels: account, account_key, zip (text), living, just, beds (double),
-           homestead (text, optional), locn, locs, locd, unit (text, optional)
+           homestead (text, optional), locn, locs, locd, unit (text, optional),
+           zip_pattern (text, optional: the pattern of the parcel's own region)
 * series:  region, period_end (date) + value columns
 
+With `by` (say `("region",)`) a metric covers many regions at once: sales and parcels carry
+those columns, accounts match within them, and every result is keyed by them.
+
 `as_of` is an explicit datetime (midnight), never the wall clock; cut-offs are
 inclusive (`>=`).
 """
@@ -17,16 +21,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homestat.functions import labels as L
 from homestat.functions.scalars import build_address, strip_ws, to_number, zip5
-from homestat.operators.aggregates import group_mean, group_median, group_share
+from homestat.operators.aggregates import group_mean, group_medians
 from homestat.operators.relational import (align_series, attach_scalar, date_columns, drop_bulk,
                                            join_on_account, period_of, trailing, unpivot_dates,
                                            with_default)
 from homestat.operators.windows import consecutive_pairs, direction, latest_n, pct_change, rank_by
+from homestat.session import checkpoint_dir
 
 # Fixed value: the default zip filter of the zip-level metrics (five digits, prefix 342).
 DEFAULT_ZIP_PATTERN = r"^342[0-9][0-9]$"
@@ -42,9 +47,24 @@ def _round(c, decimals):
     return c if decimals is None else F.round(c, decimals)
 
 
-def _zip_parcels(parcels: DataFrame, zip_pattern: str, *cols) -> DataFrame:
+def _zip_parcels(parcels: DataFrame, zip_pattern: str, *cols, by=()) -> DataFrame:
+    """Parcels whose zip fits: the pattern of their region, where they carry one, else `zip_pattern`."""
     p = parcels.withColumn("zip", zip5(F.col("zip")))
-    return p.where(F.col("zip").rlike(zip_pattern)).select("account_key", "zip", *cols)
+    fits = F.rlike("zip", F.col("zip_pattern")) if "zip_pattern" in parcels.columns else F.col("zip").rlike(zip_pattern)
+    return p.where(fits).select(*by, "account_key", "zip", *cols)
+
+
+def in_regions(parcels: DataFrame, regions: DataFrame, city_col: str | None = None) -> DataFrame:
+    """Parcels of the regions listed, with each region's `zip_pattern`.
+
+    `regions` has `region`, `zip_pattern` and, optionally, `city` and `state`: with `city_col`,
+    only parcels of that city stay (trimmed, upper-cased; a null city takes all). An
+    equi-join on the region, whose side the planner broadcasts by its size."""
+    r = regions.select("region", "zip_pattern", *(["city"] if city_col and "city" in regions.columns else []))
+    out = parcels.join(r.withColumnRenamed("city", "_city"), "region")
+    if "_city" in out.columns:
+        out = out.where(F.col("_city").isNull() | (F.upper(strip_ws(F.col(city_col))) == F.upper(strip_ws(F.col("_city"))))).drop("_city")
+    return out
 
 
 # ---------------------------------------------------------------- M1, M2
@@ -165,7 +185,7 @@ def appraisal_gap(value_long_by_zip: DataFrame, parcels: DataFrame, *, scale: in
 
 def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: dt.datetime,
                  min_days: int = 120, max_days: int = 365, recent_days: int = 180,
-                 bulk_threshold: int = 3, max_loss: float = -0.5, city: str = "") -> DataFrame:
+                 bulk_threshold: int = 3, max_loss: float = -0.5, city: str = "", by=()) -> DataFrame:
     """M5: consecutive sales of one account held `min_days..max_days` days whose
     second sale is at most `recent_days` old, after removing bulk transfers
     (more than `bulk_threshold` sales sharing date and price).
@@ -175,12 +195,13 @@ def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: d
     groups share one date. The cut is thus exact, and pushed to the scan. Sales without
     an account (NULL key) belong to nobody and make no pair; an empty key is a key.
     """
+    by = _as_list(by)
     horizon = recent_days + max_days + 1
     s = trailing(sales, "sale_date", as_of, horizon)
-    s = drop_bulk(s, ["sale_date", "sale_price"], bulk_threshold)
+    s = drop_bulk(s, [*by, "sale_date", "sale_price"], bulk_threshold)
     tie = ["sale_id"] if "sale_id" in s.columns else []
     s = s.where(F.col("account_key").isNotNull())  # after the bulk test, which counts them
-    pairs = consecutive_pairs(s, "account_key", "sale_date", tie, ["sale_price", "account"])
+    pairs = consecutive_pairs(s, [*by, "account_key"], "sale_date", tie, ["sale_price", "account"])
     held = F.timestamp_diff("DAY", F.col("first_sale_date"), F.col("second_sale_date")).cast("bigint")
     f = pairs.withColumn("days_held", held).where(F.col("days_held").between(min_days, max_days))
     f = f.where(F.col("first_sale_price") > 0)
@@ -188,7 +209,7 @@ def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: d
     f = f.withColumn("markup_pct", F.col("markup") / F.col("first_sale_price"))
     f = f.where(F.col("markup_pct") >= max_loss)
     f = trailing(f, "second_sale_date", as_of, recent_days)
-    f = f.select("account_key", F.col("first_account").alias("account"), "first_sale_date", "first_sale_price",
+    f = f.select(*by, "account_key", F.col("first_account").alias("account"), "first_sale_date", "first_sale_price",
                  "second_sale_date", "second_sale_price", "days_held", "markup", "markup_pct",
                  L.flip_outcome(F.col("first_sale_price"), F.col("second_sale_price")).alias("outcome"))
     if parcels is None:
@@ -198,89 +219,174 @@ def resale_flips(sales: DataFrame, parcels: DataFrame | None = None, *, as_of: d
     cols = set(parcels.columns)
     part = lambda c: F.col(c) if c in cols else F.lit(None).cast("string")
     lookup = parcels.select(
-        "account_key",
+        *by, "account_key",
         build_address(part("locn"), part("locs"), part("locd"), part("unit"), part("zip"), city).alias("address"),
         to_number(part("beds")).alias("beds"), to_number(part("living")).alias("sqft"))
-    out = join_on_account(f, lookup, how="left")
+    out = join_on_account(f, lookup, how="left", by=by)
     return out.withColumn("address", F.coalesce(F.col("address"), F.lit(L.ADDRESS_UNAVAILABLE))) \
         .drop("account_key")
 
 
 # ---------------------------------------------------------------- M6, M7, M8, M10
 
-def trailing_year_trend(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
-                        zip_pattern: str = DEFAULT_ZIP_PATTERN, low_volume_limit: int = 20,
-                        yoy_limit: float = 0.40, median_decimals: int | None = None) -> DataFrame:
-    """M6: per zip, median price and volume of the trailing year vs the median of
-    the year before (residential parcels; zips with sales in both years only).
+def sales_base(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime, by=(), zip_pattern: str = DEFAULT_ZIP_PATTERN) -> DataFrame:
+    """J3, the joined base: every parcel of a zip that fits, with its sales of two years.
 
-    One pass: each sale is tagged 'now'/'prior' and the medians are computed per
-    (zip, period) instead of two aggregations plus a join.
+    A row per parcel and sale, or one without a sale: `sale_price`, `_now` (the trailing
+    year, else the one before; NULL without a sale), the parcel's `zip`, `living`, `just`,
+    `homestead` (where there is one), and `_parcel`, a number of the parcel's row.
     """
-    p = _zip_parcels(parcels.where(F.col("living") > 0), zip_pattern)
+    by = _as_list(by)
+    cols = ["living", "just", *(["homestead"] if "homestead" in parcels.columns else [])]
+    p = _zip_parcels(parcels, zip_pattern, *cols, by=by).withColumn("_parcel", F.monotonically_increasing_id())
     s = trailing(sales, "sale_date", as_of, 730)  # pushed to the scan
-    s = s.withColumn("_period", period_of(s, "sale_date", as_of)).where(F.col("_period").isNotNull())
-    m = join_on_account(s.select("account_key", "_period", "sale_price"), p)
-    med = group_median(m, ["zip", "_period"], "sale_price", out="_med", count_out="_n")
-    med = med.withColumn("_med", _round(F.col("_med"), median_decimals))
-    z = med.groupBy("zip").agg(
-        F.max(F.when(F.col("_period") == "now", F.col("_med"))).alias("price_now"),
-        F.max(F.when(F.col("_period") == "now", F.col("_n"))).alias("sales_volume"),
-        F.max(F.when(F.col("_period") == "prior", F.col("_med"))).alias("price_prior"),
-        F.count_if(F.col("_period") == "now").alias("_has_now"),
-        F.count_if(F.col("_period") == "prior").alias("_has_prior"))
-    z = z.where((F.col("_has_now") > 0) & (F.col("_has_prior") > 0))
+    s = s.select(*by, "account_key", "sale_price", (period_of(s, "sale_date", as_of) == "now").alias("_now"))
+    return p.join(s, [*by, "account_key"], "left")
+
+
+def _home() -> Column:
+    return F.col("living") > 0
+
+
+def _valued() -> Column:
+    return F.col("just") > 0
+
+
+def zip_statistics(base: DataFrame, *, by=()) -> DataFrame:
+    """Everything that the zip metrics need of the sales, from one aggregation of the joined base.
+
+    Medians of the price of both years and of price over assessed value, each over its own
+    rows; how many rows each has; all sales of the year and how many were without homestead."""
+    by, now, price = _as_list(by), F.col("_now"), F.col("sale_price")
+    mark = F.col("homestead") if "homestead" in base.columns else F.lit(None).cast("string")
+    investor = F.coalesce(strip_ws(mark) != F.lit("X"), F.lit(True))
+    rows = {"trend_now": now & _home(), "trend_prior": ~now & _home(), "ratio": now & _valued(), "value": now & _home() & _valued()}
+    medians = {f"med_{k}": F.when(c, price / F.col("just") if k == "ratio" else price) for k, c in rows.items()}
+    counts = {f"has_{k}": F.count_if(c) for k, c in rows.items()} | {f"n_{k}": F.count(F.when(c, price)) for k, c in rows.items()}
+    counts |= {"n_sales": F.count_if(now), "n_investors": F.count_if(now & investor)}
+    return group_medians(base.where(now.isNotNull()), [*by, "zip"], medians, counts)
+
+
+def zip_assessments(base: DataFrame, *, by=(), scale: int | None = None) -> DataFrame:
+    """Mean assessed value of each zip's residential parcels, sold or not (every parcel row counts once)."""
+    parcels = base.select(*_as_list(by), "zip", "living", "just", "_parcel").dropDuplicates(["_parcel"])
+    return group_mean(parcels.where(_home() & _valued()), [*_as_list(by), "zip"], "just", out="avg_assessed", scale=scale)
+
+
+def trend_of(stats: DataFrame, *, by=(), low_volume_limit: int = 20, yoy_limit: float = 0.40, median_decimals: int | None = None) -> DataFrame:
+    """M6 of the zip statistics."""
+    z = stats.where((F.col("has_trend_now") > 0) & (F.col("has_trend_prior") > 0)).select(
+        *_as_list(by), "zip", _round(F.col("med_trend_now"), median_decimals).alias("price_now"), F.col("n_trend_now").alias("sales_volume"),
+        _round(F.col("med_trend_prior"), median_decimals).alias("price_prior"))
     z = z.withColumn("yoy_change", F.try_divide(F.col("price_now") - F.col("price_prior"), F.col("price_prior")))
     z = z.withColumn("low_volume", L.low_volume(F.col("sales_volume"), low_volume_limit))
-    return z.select("zip", "price_now", "sales_volume", "price_prior", "yoy_change", "low_volume",
+    return z.select(*_as_list(by), "zip", "price_now", "sales_volume", "price_prior", "yoy_change", "low_volume",
                     L.zip_display(F.col("zip"), F.col("low_volume")).alias("zip_display"),
                     L.yoy_flag(F.col("yoy_change"), yoy_limit).alias("yoy_flag"))
 
 
+def ratio_of(stats: DataFrame, *, by=(), median_decimals: int | None = None) -> DataFrame:
+    """M7 of the zip statistics."""
+    r = stats.where(F.col("has_ratio") > 0).select(*_as_list(by), "zip", _round(F.col("med_ratio"), median_decimals).alias("median_ratio"))
+    return r.withColumn("meaning", L.ratio_meaning(F.col("median_ratio")))
+
+
+def value_of(stats: DataFrame, assessments: DataFrame, *, by=(), min_sales: int = 20, median_decimals: int | None = None) -> DataFrame:
+    """M8 of the zip statistics and the zips' assessments."""
+    by = _as_list(by)
+    med = stats.where(F.col("n_value") >= min_sales).select(
+        *by, "zip", _round(F.col("med_value"), median_decimals).alias("median_sale_price"), F.col("n_value").alias("sales_volume"))
+    j = med.join(assessments, on=[*by, "zip"], how="inner")
+    j = j.withColumn("value_ratio", F.try_divide(F.col("median_sale_price"), F.col("avg_assessed")))
+    return j.select(*by, "zip", "median_sale_price", "sales_volume", "avg_assessed", "value_ratio",
+                    L.buyer_signal(F.col("value_ratio")).alias("buyer_signal"))
+
+
+def investors_of(stats: DataFrame, *, by=()) -> DataFrame:
+    """M10 of the zip statistics."""
+    share = F.col("n_investors") / F.col("n_sales")
+    return stats.where(F.col("n_sales") > 0).select(*_as_list(by), "zip", F.col("n_sales").alias("total_sales"), share.alias("investor_share"))
+
+
+def zip_metrics(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime, by=(), zip_pattern: str = DEFAULT_ZIP_PATTERN,
+                low_volume_limit: int = 20, yoy_limit: float = 0.40, min_sales: int = 20, scale: int | None = None,
+                median_decimals: int | None = None) -> dict[str, DataFrame]:
+    """M6, M7, M8 and M10 from one joined base, each equal to the metric by itself.
+
+    Sales and parcels are read once, when this is called: the base and the tables of one row
+    per zip made from it are checkpoints in the session's shared folder, and the metrics are
+    projections of these. Without a homestead column there is no investor activity.
+    """
+    checkpoint_dir(sales.sparkSession)
+    base = sales_base(sales, parcels, as_of=as_of, by=by, zip_pattern=zip_pattern).checkpoint()
+    stats = zip_statistics(base, by=by).checkpoint()
+    assessments = zip_assessments(base, by=by, scale=scale).checkpoint()
+    out = {"zip_price_trends": trend_of(stats, by=by, low_volume_limit=low_volume_limit, yoy_limit=yoy_limit, median_decimals=median_decimals),
+           "assessment_ratio": ratio_of(stats, by=by, median_decimals=median_decimals),
+           "buyer_value_index": value_of(stats, assessments, by=by, min_sales=min_sales, median_decimals=median_decimals),
+           "investor_activity": investors_of(stats, by=by)}
+    if "homestead" not in parcels.columns:
+        out["investor_activity"] = out["investor_activity"].limit(0)
+    return out
+
+
+def trailing_year_trend(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
+                        zip_pattern: str = DEFAULT_ZIP_PATTERN, low_volume_limit: int = 20,
+                        yoy_limit: float = 0.40, median_decimals: int | None = None, by=()) -> DataFrame:
+    """M6: per zip, median price and volume of the trailing year vs the median of
+    the year before (residential parcels; zips with sales in both years only).
+
+    One pass: both medians come from one aggregation instead of two and a join.
+    """
+    by = _as_list(by)
+    p = _zip_parcels(parcels.where(_home()), zip_pattern, by=by)
+    s = trailing(sales, "sale_date", as_of, 730)  # pushed to the scan
+    s = s.select(*by, "account_key", "sale_price", (period_of(s, "sale_date", as_of) == "now").alias("_now"))
+    now, price = F.col("_now"), F.col("sale_price")
+    z = group_medians(join_on_account(s, p, by=by), [*by, "zip"],
+                      {"med_trend_now": F.when(now, price), "med_trend_prior": F.when(~now, price)},
+                      {"n_trend_now": F.count(F.when(now, price)), "has_trend_now": F.count_if(now), "has_trend_prior": F.count_if(~now)})
+    return trend_of(z, by=by, low_volume_limit=low_volume_limit, yoy_limit=yoy_limit, median_decimals=median_decimals)
+
+
 def assessment_ratio(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
-                     zip_pattern: str = DEFAULT_ZIP_PATTERN, median_decimals: int | None = None) -> DataFrame:
+                     zip_pattern: str = DEFAULT_ZIP_PATTERN, median_decimals: int | None = None, by=()) -> DataFrame:
     """M7: median sale-price / assessed-value ratio per zip over the trailing year
     (no residential filter; assessed value must be positive)."""
-    p = _zip_parcels(parcels, zip_pattern, "just")
-    s = trailing(sales, "sale_date", as_of, 365).select("account_key", "sale_price")
-    m = join_on_account(s, p).where(F.col("just") > 0)
-    m = m.withColumn("_ratio", F.col("sale_price") / F.col("just"))
-    r = group_median(m, "zip", "_ratio", out="median_ratio")
-    r = r.withColumn("median_ratio", _round(F.col("median_ratio"), median_decimals))
-    return r.select("zip", "median_ratio", L.ratio_meaning(F.col("median_ratio")).alias("meaning"))
+    by = _as_list(by)
+    p = _zip_parcels(parcels.where(_valued()), zip_pattern, "just", by=by)
+    s = trailing(sales, "sale_date", as_of, 365).select(*by, "account_key", "sale_price")
+    r = group_medians(join_on_account(s, p, by=by), [*by, "zip"], {"med_ratio": F.col("sale_price") / F.col("just")}, {"has_ratio": F.count(F.lit(1))})
+    return ratio_of(r, by=by, median_decimals=median_decimals)
 
 
 def buyer_value_index(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
                       zip_pattern: str = DEFAULT_ZIP_PATTERN, min_sales: int = 20, scale: int | None = None,
-                      median_decimals: int | None = None) -> DataFrame:
+                      median_decimals: int | None = None, by=()) -> DataFrame:
     """M8: trailing-year median sale price and volume per zip (residential parcels,
     at least `min_sales` sales) against the zip's mean assessed value."""
-    p = _zip_parcels(parcels.where((F.col("living") > 0) & (F.col("just") > 0)), zip_pattern, "just")
-    avg = group_mean(p, "zip", "just", out="avg_assessed", scale=scale)
-    s = trailing(sales, "sale_date", as_of, 365).select("account_key", "sale_price")
-    m = join_on_account(s, p.select("account_key", "zip"))
-    med = group_median(m, "zip", "sale_price", out="median_sale_price", count_out="sales_volume")
-    med = med.withColumn("median_sale_price", _round(F.col("median_sale_price"), median_decimals))
-    med = med.where(F.col("sales_volume") >= min_sales)
-    j = med.join(avg, on="zip", how="inner")
-    j = j.withColumn("value_ratio", F.try_divide(F.col("median_sale_price"), F.col("avg_assessed")))
-    return j.select("zip", "median_sale_price", "sales_volume", "avg_assessed", "value_ratio",
-                    L.buyer_signal(F.col("value_ratio")).alias("buyer_signal"))
+    by = _as_list(by)
+    p = _zip_parcels(parcels.where(_home() & _valued()), zip_pattern, "just", by=by)
+    avg = group_mean(p, [*by, "zip"], "just", out="avg_assessed", scale=scale)
+    s = trailing(sales, "sale_date", as_of, 365).select(*by, "account_key", "sale_price")
+    m = join_on_account(s, p.drop("just"), by=by)
+    med = group_medians(m, [*by, "zip"], {"med_value": F.col("sale_price")}, {"n_value": F.count("sale_price")})
+    return value_of(med, avg, by=by, min_sales=min_sales, median_decimals=median_decimals)
 
 
 def investor_activity(sales: DataFrame, parcels: DataFrame, *, as_of: dt.datetime,
-                      zip_pattern: str = DEFAULT_ZIP_PATTERN) -> DataFrame:
+                      zip_pattern: str = DEFAULT_ZIP_PATTERN, by=()) -> DataFrame:
     """Trailing-year sales per zip and the share bought without a homestead
     exemption. Parcels without a `homestead` column give an empty result."""
-    schema = "zip string, total_sales bigint, investor_share double"
+    by = _as_list(by)
     if "homestead" not in parcels.columns:
-        return sales.sparkSession.createDataFrame([], schema)
-    p = _zip_parcels(parcels, zip_pattern, "homestead")
-    s = trailing(sales, "sale_date", as_of, 365).select("account_key")
-    m = join_on_account(s, p)
+        empty = parcels.select(*by, "zip", F.lit(0).cast("bigint").alias("total_sales"), F.lit(0.0).alias("investor_share"))
+        return empty.limit(0)
+    p = _zip_parcels(parcels, zip_pattern, "homestead", by=by)
+    s = trailing(sales, "sale_date", as_of, 365).select(*by, "account_key")
     investor = F.coalesce(strip_ws(F.col("homestead")) != F.lit("X"), F.lit(True))
-    return group_share(m, "zip", investor, count_col="account_key", count_out="total_sales",
-                       share_out="investor_share")
+    m = join_on_account(s, p, by=by).groupBy(*by, "zip").agg(F.count(F.lit(1)).alias("n_sales"), F.count_if(investor).alias("n_investors"))
+    return investors_of(m, by=by)
 
 
 # ---------------------------------------------------------------- M11, M12
@@ -355,9 +461,15 @@ def market_snapshot(price: DataFrame | None, inventory: DataFrame | None, zip_tr
 
 def run_metrics(sources: dict, *, as_of: dt.datetime, region: str = "ALL", min_sale_price: float = 10000.0,
                 zip_pattern: str = DEFAULT_ZIP_PATTERN, city: str = "", materialize: bool = False,
-                **options) -> dict[str, DataFrame]:
+                regions: DataFrame | None = None, **options) -> dict[str, DataFrame]:
     """Every metric from one set of cleaned sources, snapshot last.
 
+    With `regions` (`region`, `zip_pattern`, optionally `city`, `state`) one run covers them
+    all: sales, parcels and series carry `region`, each region's zips are those of its
+    pattern, every result is keyed by region, and the snapshot has a row for each. Without,
+    everything is the one `region` named. The zip metrics come from one joined base
+    (:func:`zip_metrics`), which is written when this is called.
+
     `sources` may hold: sales, parcels, price, ratio, supply, listings, sold,
     value_wide, rent_wide. Missing sources skip their metrics (no exception is
     swallowed for present ones); the snapshot is built from whatever there is. Sales below `min_sale_price` are dropped first.
@@ -371,8 +483,13 @@ def run_metrics(sources: dict, *, as_of: dt.datetime, region: str = "ALL", min_s
     sales, parcels = sources.get("sales"), sources.get("parcels")
     if sales is not None:
         sales = sales.where(F.col("sale_price") > min_sale_price)
+    by = [] if regions is None else ["region"]
+    if regions is not None:
+        listed = regions.select("region")
+        sources = {k: df if df is None or k == "parcels" else df.join(listed, "region", "left_semi") for k, df in sources.items()}
+        sales = None if sales is None else sales.join(listed, "region", "left_semi")
+        parcels = None if parcels is None else in_regions(parcels, regions, "loccity" if "loccity" in parcels.columns else None)
     if materialize:
-        from homestat.session import checkpoint_dir
         spark = (sales if sales is not None else parcels).sparkSession
         checkpoint_dir(spark)
         sales = sales.checkpoint(eager=True) if sales is not None else None
@@ -381,31 +498,27 @@ def run_metrics(sources: dict, *, as_of: dt.datetime, region: str = "ALL", min_s
         out["price_pressure"] = price_pressure(sources["price"], sources["ratio"])
     if all(sources.get(k) is not None for k in ("supply", "listings", "sold")):
         out["inventory_absorption"] = inventory_absorption(sources["supply"], sources["listings"], sources["sold"])
-    if sales is not None and parcels is not None:
-        out["buyer_value_index"] = buyer_value_index(sales, parcels, as_of=as_of, zip_pattern=zip_pattern, **options)
     if sources.get("value_wide") is not None and sources.get("rent_wide") is not None:
         out["trend_lines"] = trend_lines(sources["value_wide"], sources["rent_wide"], parcels)
     if sales is not None and parcels is not None:
-        out["zip_price_trends"] = trailing_year_trend(sales, parcels, as_of=as_of, zip_pattern=zip_pattern, **options)
-        out["assessment_ratio"] = assessment_ratio(sales, parcels, as_of=as_of, zip_pattern=zip_pattern, **options)
-        out["investor_activity"] = investor_activity(sales, parcels, as_of=as_of, zip_pattern=zip_pattern)
+        out |= zip_metrics(sales, parcels, as_of=as_of, by=by, zip_pattern=zip_pattern, **options)
     if sales is not None:
-        out["flip_detector"] = resale_flips(sales, parcels, as_of=as_of, city=city)
+        out["flip_detector"] = resale_flips(sales, parcels, as_of=as_of, city=city, by=by)
     if not out:
         return out
-    tag = lambda df: None if df is None else df.withColumn("region", F.lit(region))
+    tag = lambda df: df if df is None or by else df.withColumn("region", F.lit(region))
     if "flip_detector" in out:
-        out["flip_summary"] = flip_summary(out["flip_detector"])
+        out["flip_summary"] = flip_summary(out["flip_detector"], by=by)
     spark = next(iter(out.values())).sparkSession
     out["market_snapshot"] = market_snapshot(
         out.get("price_pressure"), out.get("inventory_absorption"), tag(out.get("zip_price_trends")),
         tag(out.get("buyer_value_index")), tag(out.get("flip_detector")),
-        regions=spark.range(1).select(F.lit(region).alias("region")))
+        regions=spark.range(1).select(F.lit(region).alias("region")) if regions is None else regions)
     return out
 
 
-def flip_summary(flips: DataFrame) -> DataFrame:
-    """The one-line summary of all flips (one row)."""
+def flip_summary(flips: DataFrame, *, by=()) -> DataFrame:
+    """The one-line summary of all flips (one row; with `by`, one for each group that has any)."""
     n = F.count(F.lit(1))
-    return flips.agg(L.flip_summary(n, F.count_if(F.col("outcome") == L.OUTCOME_PROFIT),
+    return (flips.groupBy(*by) if by else flips).agg(L.flip_summary(n, F.count_if(F.col("outcome") == L.OUTCOME_PROFIT),
                                     F.count_if(F.col("outcome") != L.OUTCOME_PROFIT)).alias("flip_summary"))

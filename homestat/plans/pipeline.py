@@ -65,24 +65,28 @@ def weekly_run(spark: SparkSession, *, out_dir: str, as_of: dt.datetime, weekly_
 
     What is not there is tolerated: a source that was expected (its path was given) and
     not found is reported FAILED in the health table, and its metrics are skipped. With
-    `materialize` the cleaned tables and the metrics are written under `out_dir` and read
-    back, so that each is computed once. Runs older than `retention_days` leave the
+    `materialize` the cleaned tables and the metrics are written under `out_dir`, each as the
+    partition of `region`, and read back, so that each is computed once; runs of other
+    regions into the same folder leave it as it is, in the tables, sections and history. Runs older than `retention_days` leave the
     history. Returns {"results", "health", "rejected" (rows whose week did not parse, by
     source), "expired_runs" (their dates), "has_metrics"}."""
     run_date = as_of.date()
 
-    def kept(df: DataFrame, name: str, partition_by=()) -> DataFrame:
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """The table written as the region's partition, and read back."""
         if not materialize:
             return df
-        R.write_table(df, f"{out_dir}/{name}", partition_by=partition_by)
-        return spark.read.schema(df.schema).parquet(f"{out_dir}/{name}")
+        R.write_partition(df, f"{out_dir}/{name}", {"region": region})
+        own = df if "region" in df.columns else df.withColumn("region", F.lit(region))
+        back = spark.read.schema(own.schema).parquet(f"{out_dir}/{name}").where(F.col("region") == region)
+        return back.select(*df.columns)
 
     sources: dict = {}
     health_in: dict = {}
     rejected = None
     if weekly_dir:
         weekly, paths = weekly_sources(spark, weekly_dir, as_of, region=region)
-        sources.update({k: kept(df, f"clean/{k}", ("region",)) for k, df in weekly.items()})
+        sources.update({k: kept(df, f"clean/{k}") for k, df in weekly.items()})
         for k in WEEKLY_INPUTS.values():
             health_in[f"weekly:{k}"] = (sources[k], "period_end") if k in sources else None
         bad = [R.rejected_weeks(spark, p).agg(F.count(F.lit(1)).alias("rejected")).select(F.lit(k).alias("source"), "rejected")
@@ -109,8 +113,8 @@ def weekly_run(spark: SparkSession, *, out_dir: str, as_of: dt.datetime, weekly_
     results = M.run_metrics(sources, as_of=as_of, region=region, zip_pattern=zip_pattern, city=city or "")
     results = {k: kept(df, f"metrics/{k}") for k, df in results.items()}
     health = kept(source_health(health_in, as_of, spark=spark), "health") if health_in else None
-    R.archive_sections(report_sections(results, health), f"{out_dir}/sections", run_date)
-    H.record_run(H.run_counts(spark, results, run_date), f"{out_dir}/history")
+    R.archive_sections(report_sections(results, health), f"{out_dir}/sections", run_date, region)
+    H.record_run(H.run_counts(spark, results, run_date), f"{out_dir}/history", region)
     expired = H.drop_expired(spark, f"{out_dir}/history", run_date, days=retention_days)
     return {"results": results, "health": health, "rejected": rejected, "expired_runs": expired, "has_metrics": bool(results)}
 

@@ -1,7 +1,8 @@
 """Run history: per-metric row counts per run, retention, run-over-run change.
 
-The history is a table `(run_date DATE, metric STRING, n BIGINT)` partitioned
-by `run_date`; writing one run replaces only that run's partition.
+The history is a table `(run_date DATE, region STRING, metric STRING, n BIGINT)`
+partitioned by `run_date` and `region`; writing a region's run replaces only that
+partition, so runs of several regions share a folder.
 """
 
 from __future__ import annotations
@@ -23,18 +24,30 @@ RUN_RESULTS = ("price_pressure", "inventory_absorption", "buyer_value_index", "t
 NOT_TABLES = ("flip_summary", "market_snapshot")
 
 
-def run_counts(spark: SparkSession, results: dict, run_date: dt.date) -> DataFrame:
+ALL_REGIONS = "ALL"
+
+
+def run_counts(spark: SparkSession, results: dict, run_date: dt.date, regions: DataFrame | None = None) -> DataFrame:
     """K2: the counts of a weekly run: every result of `RUN_RESULTS`, 0 where it is
-    missing or not a table."""
+    missing or not a table. With `regions` (a column `region`), for each of them."""
     tables = {name: results.get(name) if name not in NOT_TABLES else None for name in RUN_RESULTS}
-    return metric_counts(spark, tables, run_date)
+    return metric_counts(spark, tables, run_date, regions)
 
 
-def metric_counts(spark: SparkSession, results: dict, run_date: dt.date) -> DataFrame:
+def metric_counts(spark: SparkSession, results: dict, run_date: dt.date, regions: DataFrame | None = None) -> DataFrame:
     """One row per result — its row count, 0 for non-table results.
 
-    The counts are aggregates unioned into one plan: one job, nothing collected."""
+    With `regions`, one row per region and result: the rows that carry the region. The
+    counts are aggregates unioned into one plan: one job, nothing collected."""
     parts = []
+    if regions is not None:
+        expected = regions.select("region").distinct().select("region", F.explode(F.array(*map(F.lit, results))).alias("metric"))
+        tables = {k: v for k, v in results.items() if isinstance(v, DataFrame)}
+        rows = [v.groupBy("region").agg(F.count(F.lit(1)).alias("n")).select("region", F.lit(k).alias("metric"), "n") for k, v in tables.items()]
+        out = expected.withColumn("n", F.lit(0).cast("bigint"))
+        if rows:
+            out = expected.join(reduce(DataFrame.unionByName, rows), ["region", "metric"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+        return out.select(F.lit(run_date.isoformat()).cast("date").alias("run_date"), "region", "metric", "n")
     for name, value in results.items():
         if isinstance(value, DataFrame):
             parts.append(value.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), "n"))
@@ -47,19 +60,23 @@ def metric_counts(spark: SparkSession, results: dict, run_date: dt.date) -> Data
 
 
 def has_metrics(counts: DataFrame) -> DataFrame:
-    """One row telling whether the run produced any metric at all."""
-    return counts.agg((F.count(F.lit(1)) > 0).alias("has_metrics"))
+    """One row telling whether the run produced any metric at all (a row in any result)."""
+    return counts.agg((F.coalesce(F.sum("n"), F.lit(0)) > 0).alias("has_metrics"))
+
 
+def record_run(counts: DataFrame, path: str, region: str = ALL_REGIONS) -> None:
+    """K2: write the run's counts, replacing only its own (`run_date`, `region`) partitions.
 
-def record_run(counts: DataFrame, path: str) -> None:
-    """K2: write the run's counts, replacing only its own `run_date` partition."""
+    Counts without a region column are those of `region`."""
+    counts = counts if "region" in counts.columns else counts.withColumn("region", F.lit(region))
     (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_date").parquet(path))
+     .partitionBy("run_date", "region").parquet(path))
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The recorded history table (partition column restored as DATE)."""
-    return spark.read.parquet(path).select(F.col("run_date").cast("date").alias("run_date"), "metric", "n")
+    """The recorded history table (partition columns restored as DATE and text)."""
+    rows = spark.read.parquet(path)
+    return rows.select(F.col("run_date").cast("date").alias("run_date"), F.col("region").cast("string").alias("region"), "metric", "n")
 
 
 def read_history_json(spark: SparkSession, pattern: str) -> DataFrame:
@@ -107,13 +124,17 @@ def drop_expired(spark: SparkSession, path: str, as_of: dt.date, days: int = 28)
 
 
 def metric_trend(history: DataFrame) -> DataFrame:
-    """Change of each metric's count vs its previous run."""
-    w = Window.partitionBy("metric").orderBy("run_date")
+    """Change of each metric's count vs its previous run (of its region, where runs have one)."""
+    w = Window.partitionBy(*[c for c in ("region", "metric") if c in history.columns]).orderBy("run_date")
     return (history.withColumn("prev_n", F.lag("n").over(w))
             .withColumn("delta", F.col("n") - F.col("prev_n")))
 
 
 def latest_run(history: DataFrame) -> DataFrame:
-    """The newest run's rows ('latest' is a view over the table, not a second copy)."""
+    """The newest run's rows ('latest' is a view over the table, not a second copy); of each
+    region its newest, where runs have one."""
+    if "region" in history.columns:
+        newest = history.groupBy(F.col("region").alias("_r")).agg(F.max("run_date").alias("_d"))
+        return history.join(newest, F.col("region").eqNullSafe(F.col("_r")) & (F.col("run_date") == F.col("_d"))).drop("_d", "_r")
     newest = history.agg(F.max("run_date").alias("_d"))
     return history.join(F.broadcast(newest), F.col("run_date") == F.col("_d")).drop("_d")

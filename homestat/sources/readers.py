@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -245,8 +246,21 @@ def write_table(df: DataFrame, path: str, *, partition_by=("region",), mode: str
     (w.partitionBy(*cols) if cols else w).parquet(path)
 
 
-def archive_sections(sections: dict, root: str, run_date: dt.date) -> None:
-    """K4: every report section table under `root/<name>/run_date=…` (never expired)."""
+def write_partition(df: DataFrame, root: str, keys: dict[str, str]) -> None:
+    """K1/K4: `df` as the one partition of the table at `root` that `keys` name, replacing it whole.
+
+    Rows are not looked at for their keys, so a partition that has become empty is emptied."""
+    folder = "/".join(f"{k}={quote(v, safe=' ')}" for k, v in keys.items())
+    df.drop(*keys).hint("rebalance").write.mode("overwrite").parquet(f"{root}/{folder}")
+
+
+def archive_sections(sections: dict, root: str, run_date: dt.date, region: str | None = None) -> None:
+    """K4: every report section table under `root/<name>/run_date=…` (never expired).
+
+    With `region`, the sections are those of one region: each (run, region) is a folder of
+    its own, and another region's run on the same day leaves it as it is."""
     for name, df in sections.items():
-        write_table(df.withColumn("run_date", F.lit(run_date.isoformat()).cast("date")), f"{root}/{name}",
-                    partition_by=("run_date",))
+        if region is not None:
+            write_partition(df, f"{root}/{name}", {"run_date": run_date.isoformat(), "region": region})
+        else:
+            write_table(df.withColumn("run_date", F.lit(run_date.isoformat()).cast("date")), f"{root}/{name}", partition_by=("run_date",))
