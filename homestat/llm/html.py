@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as _html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -36,6 +37,9 @@ NOISE_WORDS = frozenset(
     "breadcrumb breadcrumbs footer header masthead sidebar aside widget cookie cookies consent gdpr notice notices alert "
     "popup modal overlay comment comments reply replies disqus respond share sharing social related recommended newsletter "
     "subscribe subscription signup login search form toolbar pagination pager copyright complementary contentinfo".split())
+#: Words that say little inside an article, unless they are a whole name there; and those that mark readers' comments anywhere.
+AMBIGUOUS = frozenset("form search social alert menu notice notices header login related recommended".split())
+COMMENTS = frozenset("comment comments reply replies disqus".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
@@ -50,10 +54,10 @@ PRIORS = {"noise": 0.02, "p": 0.9, "pre": 0.8, "blockquote": 0.8, "li": 0.6, "td
 class Block:
     """Text between the tags of two blocks: where it stands, and the tags before it."""
 
-    __slots__ = ("tag", "noise", "link", "main", "parts", "tags", "linked")
+    __slots__ = ("tag", "noise", "main", "parts", "tags", "linked", "doubt")
 
-    def __init__(self, tag: str, noise: bool, main: bool):
-        self.tag, self.noise, self.main = tag, noise, main
+    def __init__(self, tag: str, noise: bool, main: bool, doubt: int = -1):
+        self.tag, self.noise, self.main, self.doubt = tag, noise, main, doubt
         self.parts: list[str] = []
         self.tags: list[str] = []
         self.linked = 0  # words inside links
@@ -65,19 +69,75 @@ class Block:
         return "noise" if self.noise else self.tag + ("/a" if self.linked * 2 > words else "")
 
 
-def _is_noise(name: str, attrs: str, inside_main: bool) -> bool:
+def _is_noise(name: str, attrs: str, inside_main: bool) -> tuple[bool, bool]:
+    """Whether an element is noise, and whether only its names say so, which its text may refute."""
     if name in MAIN or name in ("body", "html"):
-        return name in MAIN and any(w in ("comment", "comments", "reply") for w in _names(attrs))
-    return name in NOISE or bool(attrs) and (bool(HIDDEN.search(attrs)) or any(w in NOISE_WORDS for w in _names(attrs)))
-
-
-def _names(attrs: str) -> list[str]:
-    return [w.lower() for m in NAMED.finditer(attrs) for v in m.groups() if v for w in PART.findall(v)]
+        return name in MAIN and any(w in ("comment", "comments", "reply") for t in _names(attrs) for w in t[1]), False
+    if name in NOISE or bool(attrs) and bool(HIDDEN.search(attrs)):
+        return True, False
+    names = _names(attrs) if attrs else []
+    if any(w in COMMENTS for _, words in names for w in words):
+        return True, False
+    if inside_main:  # a whole name, or the end of one where that is clear
+        return any(t in NOISE_WORDS or words[-1] in NOISE_WORDS - AMBIGUOUS for t, words in names), True
+    return any(w in NOISE_WORDS for _, words in names for w in words), True
+
+
+def _names(attrs: str) -> list[tuple[str, list[str]]]:
+    """The names in class, id, role and label, each whole and in its words."""
+    tokens = [t for m in NAMED.finditer(attrs) for v in m.groups() if v for t in v.split()]
+    return [(t.lower(), words) for t in tokens if (words := [w.lower() for w in PART.findall(t)])]
+
+
+class Open:
+    """The open elements of a page. What holds for all of them is kept with the last one, so each step looks at few."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        # nearest element that is no inline one, place of the first noise, whether all noise is headers, number of the doubtful element
+        self.state: list[tuple[str, int, bool, int]] = []
+        self.count: Counter[str] = Counter()
+        self.doubtful = 0
+
+    def top(self) -> tuple[str, int, bool, int]:
+        return self.state[-1] if self.state else ("body", -1, True, -1)
+
+    def main(self) -> bool:
+        return any(self.count[n] for n in MAIN)
+
+    def push(self, name: str, noise: bool, doubt: bool) -> None:
+        holder, first, headers, number = self.top()
+        if noise and first < 0:
+            first = len(self.names)
+            if doubt:
+                number, self.doubtful = self.doubtful, self.doubtful + 1
+        elif noise and not doubt:
+            number = -1  # surely noise, whatever holds it
+        self.state.append((holder if name in INLINE else name, first, headers and (not noise or name == "header"), number))
+        self.names.append(name)
+        self.count[name] += 1
+
+    def cut(self, at: int) -> int:
+        """Closes all from place ``at``; returns how many links that were."""
+        gone = self.names[at:]
+        del self.names[at:], self.state[at:]
+        self.count.subtract(gone)
+        return gone.count("a")
+
+    def last(self, names) -> int:
+        """Place of the innermost open element of these names, or -1."""
+        if not any(self.count[n] for n in names):
+            return -1
+        return next(i for i in range(len(self.names) - 1, -1, -1) if self.names[i] in names)
 
 
 def parse(page: str | None) -> list[Block]:
-    """The blocks of a page in order, each with the tags that come before its text."""
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each is noise
+    """The blocks of a page in order, each with the tags that come before its text.
+
+    An element that only its class, id, role or label calls noise is none if it holds most
+    words of the page's (or, in an article, the article's) and most of them are no links.
+    """
+    stack = Open()
     block = Block("body", False, False)
     out = [block]
     links = 0
@@ -91,20 +151,18 @@ def parse(page: str | None) -> list[Block]:
 
     def renew() -> None:
         nonlocal block
-        inside = [n for n, _ in stack]
-        holder = next((n for n in reversed(inside) if n not in INLINE), "body")
-        noise = any(x for _, x in stack)
-        if noise and holder in HEADINGS and any(n in MAIN for n in inside) and all(n == "header" for n, x in stack if x):
+        holder, first, headers, doubt = stack.top()
+        noise, main = first >= 0, stack.main()
+        if noise and holder in HEADINGS and main and headers:
             noise = False  # a heading in an article's own header
-        block = Block(holder, noise, any(n in MAIN for n in inside))
+        block = Block(holder, noise, main, doubt if noise else -1)
         out.append(block)
 
     def close(names) -> None:
         nonlocal links
-        at = max((i for i, (n, _) in enumerate(stack) if n in names), default=-1)
+        at = stack.last(names)
         if at >= 0:
-            links -= sum(n == "a" for n, _ in stack[at:])
-            del stack[at:]
+            links -= stack.cut(at)
 
     at = 0
     page = page or ""
@@ -126,8 +184,8 @@ def parse(page: str | None) -> list[Block]:
                 if name == "a":
                     close({"a"})
                     links += 1
-                noise = bool(attrs) and _is_noise(name, attrs, True)
-                stack.append((name, noise))
+                noise, doubt = _is_noise(name, attrs, True) if attrs else (False, False)
+                stack.push(name, noise, doubt)
                 if noise:
                     renew()
             if ends and block.noise:
@@ -136,27 +194,40 @@ def parse(page: str | None) -> list[Block]:
         if ends:
             close({name})
         else:
-            if name in MAIN and not any(n in MAIN for n, _ in stack):
-                first = next((i for i, (_, x) in enumerate(stack) if x), len(stack))
-                links -= sum(n == "a" for n, _ in stack[first:])
-                del stack[first:]  # an article begins where a menu was left open
-            if name in CLOSES:
-                outer = max((i for i, (n, _) in enumerate(stack) if n in ("ul", "ol", "dl", "table", "select")), default=-1)
-                inner = next((n for n, _ in stack[outer + 1:] if n in CLOSES[name]), None)
-                if inner:
-                    where = next(i for i, (n, _) in enumerate(stack) if i > outer and n == inner)
-                    links -= sum(n == "a" for n, _ in stack[where:])
-                    del stack[where:]
-            if stack and name not in VOID:
-                close({"p"} if any(n == "p" for n, _ in stack) else ())
+            if name in MAIN and not stack.main() and stack.top()[1] >= 0:
+                links -= stack.cut(stack.top()[1])  # an article begins where a menu was left open
+            if name in CLOSES and any(stack.count[n] for n in CLOSES[name]):
+                outer = stack.last(("ul", "ol", "dl", "table", "select"))
+                inner = next((i for i in range(outer + 1, len(stack.names)) if stack.names[i] in CLOSES[name]), None)
+                if inner is not None:
+                    links -= stack.cut(inner)
             if name not in VOID:
-                stack.append((name, _is_noise(name, attrs, any(n in MAIN for n, _ in stack))))
+                close({"p"})
+                stack.push(name, *_is_noise(name, attrs, stack.main()))
         renew()
         block.tags.append(name)
     text(page[at:])
+    _clear_doubts(out)
     return out
 
 
+def _clear_doubts(blocks: list[Block]) -> None:
+    if all(b.doubt < 0 for b in blocks):
+        return
+    held: Counter[int] = Counter()
+    linked: Counter[int] = Counter()
+    whole: Counter[bool] = Counter()
+    for b in blocks:
+        n = len(b.text().split())
+        whole[False] += n
+        whole[b.main] += n if b.main else 0
+        held[b.doubt] += n
+        linked[b.doubt] += b.linked
+    for b in blocks:
+        if b.doubt >= 0 and 2 * held[b.doubt] > whole[b.main] and 2 * linked[b.doubt] <= held[b.doubt]:
+            b.noise = False
+
+
 def _prior(kind: str) -> float:
     p = PRIORS.get(kind.removesuffix("/a"), 0.6)
     return p if not kind.endswith("/a") else p / 4
@@ -228,7 +299,7 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             for b, n in zip(blocks, sizes, strict=True):
                 for kind, k in [(b.kind(n), n), *((f"<{x}>", 1) for x in b.tags if x not in MAIN)]:
-                    c = total.setdefault(kind[:20], [0, 0])
+                    c = total.setdefault(kind, [0, 0])
                     c[0] += k * b.main
                     c[1] += k
         yield pd.DataFrame([(k, float(a), float(n)) for k, (a, n) in total.items()], columns=["kind", "inside", "n"])
@@ -244,7 +315,7 @@ def learn_weights(pages: DataFrame, id_col: str, html_col: str, sample: int = SA
     keys = own.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
     some = own.join(F.broadcast(staged(keys)), "id")  # at most ``sample`` ids
     rows = some.select("html").mapInPandas(_counts, "kind string, inside double, n double").groupBy("kind").agg(
-        F.sum("inside").alias("inside"), F.sum("n").alias("n")).orderBy(F.desc("n"), "kind").limit(2_000).collect()
+        F.sum("inside").alias("inside"), F.sum("n").alias("n")).collect()  # as many as the sample's pages have kinds of elements
     return weights_of({r["kind"]: (r["inside"], r["n"]) for r in rows})
 
 
@@ -256,7 +327,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     label their content with an article or main element. One linear scan finds the
     contiguous run of highest sum; its blocks are the text, in page order, joined by
     line feeds, without blocks inside menus, headers, footers, sidebars, notices,
-    adverts, forms, comments or hidden elements (by element, class, id or role).
+    adverts, forms, comments or hidden elements (by element, class, id or role; see
+    :func:`parse` and :func:`_is_noise` for when a name is not believed).
     Character references are decoded, white space in a block becomes one space, its ends
     are trimmed. In an article or main element, words score more, and words outside less,
     by as much as the element holds of the page's text: the weights still decide where
@@ -274,5 +346,5 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
         for batch in batches:
             yield pd.Series([main_text(p, weights) for _, part in text_chunks(batch) for p in part], index=batch.index, dtype=object)
 
-    own = [F.col(f"`{c}`") for c in pages.columns if c not in ("text", "n_chars")]
+    own = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("text", "n_chars")]
     return pages.select(*own, text_of(F.col(f"`{html_col}`")).alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -89,7 +89,8 @@ class Search:
         if self.exact:
             return (self.q[qs] @ self.r[rs].T).astype(np.int64)
         as_int = lambda m: np.array([[int(x) for x in row] for row in m], dtype=object)
-        return as_int(self.q[qs]).dot(as_int(self.r[rs]).T).astype(np.int64)
+        out = as_int(self.q[qs]).dot(as_int(self.r[rs]).T)
+        return np.clip(out, -(2**63), 2**63 - 1).astype(np.int64)
 
     def bound(self, a: Node, b: Node) -> float:
         """No inner product between the balls is higher."""
@@ -146,7 +147,7 @@ def exact_topk(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     Both tables have ``id`` (long) and ``v`` (doubles that are whole numbers); a query is
     not compared with rows of its own id; a shorter vector counts as filled up with
     zeros. Returns ``query_id``, ``rank`` from 1, ``vec_id`` and ``score`` (long). Fewer
-    than ``k`` rows: all of them. Rows repeated with their id are results each. Empty
+    than ``k`` rows: all of them. A product beyond a long's range counts as its nearest end. Rows repeated with their id are results each. Empty
     tables give an empty table.
 
     Both sides are dealt to blocks by a hash of the id, so no region of space is hot; each

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from homestat.llm.common import staged
+from homestat.llm.common import free_names, staged
 
 ORDER = 3  # characters of context at most
 WEIGHT = 2.0  # pseudo-count given to the next shorter context
@@ -86,7 +86,7 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]], url_col: str
     above it says allow. If a class has no url, or both score alike, the threshold is 0.
 
     Adds ``host``, ``path``, ``rule``, ``verdict`` and ``score`` to all columns of
-    ``pages`` (a column of such a name is replaced). Null urls and ones without ``://``
+    ``pages`` (a column of such a name, in any case, is replaced). Null urls and ones without ``://``
     have empty host and path, no rule, and are scored as the empty text. Repeated urls
     share a score; an empty table gives an empty table.
 
@@ -97,10 +97,11 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]], url_col: str
     spark = pages.sparkSession
     url = F.col(f"`{url_col}`")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score")]
+    own = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict", "score")]
+    s_host, s_path = free_names(pages.columns, "_uf_host", "_uf_path")
     keep = [F.col(f"`{c}`") for c in own]
     rows = pages.select(*keep, host(url).alias("host"), path(url).alias("path"))
-    strings = (rows.groupBy(F.col("host").alias("h"), F.col("path").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    strings = (rows.select("host", "path").groupBy(F.col("host").alias("h"), F.col("path").alias("p")).agg(F.count(F.lit(1)).alias("n"))
                .select("h", "p", F.concat("h", "p").alias("s"), "n"))
     says = rule_of(F.col("h"), F.col("p"), rules)[1]
     strings = staged(strings.select("h", "p", "s", F.when(says == "allow", F.col("n")).otherwise(0).alias("accepted"),
@@ -110,7 +111,8 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]], url_col: str
                     .groupBy("h", "p").agg(F.avg("ratio").alias("score"), F.max("accepted").alias("accepted"),
                                            F.max("rejected").alias("rejected")))
     limit = threshold(scored)
-    judged = rows.join(scored.select("h", "p", "score"), (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left")
+    found = scored.select(F.col("h").alias(s_host), F.col("p").alias(s_path), "score")
+    judged = rows.join(found, (F.col("host") == F.col(s_host)) & (F.col("path") == F.col(s_path)), "left")
     judged = judged.select(*keep, "host", "path", "score")
     return judged.select(*keep, "host", "path", rule.alias("rule"),
                          F.coalesce(verdict, F.when(F.col("score") >= F.lit(limit), "allow").otherwise("block")).alias("verdict"),

@@ -485,3 +485,51 @@ def test_pages_with_an_empty_or_small_main_element_are_no_labels(spark):
     page = "<main></main><article><p>teaser</p></article><div><p>" + "word " * 60 + "</p></div>"
     df = spark.createDataFrame([(i, page) for i in range(5)], "page_id long, html string")
     assert pages_.learn_weights(df, "page_id", "html") == {}
+
+
+# --- names that clash, article text under noisy names, deep pages -------------------------
+
+
+def test_article_text_under_names_that_look_like_noise():
+    from homestat.llm.html import main_text
+    para = "<p>" + "These are many plain words of the story itself. " * 6 + "</p>"
+    lead = "<p>" + "The lead of the story has some words. " * 3 + "</p>"
+    for inner in ("<section class='social-history'>{}</section>", "<div class='long-form'>{}</div>", "<div id='search-engines'>{}</div>",
+                  "<div class='content form-group'>{}</div>"):
+        for page in (f"<article>{lead}{inner.format(para)}</article>", f"<html><body><nav>menu words</nav><article>{inner.format(para)}</article></body></html>"):
+            assert "many plain words" in main_text(page, {}), page[:60]
+    assert "many plain words" in main_text(f"<main><div class='alert-levels'>{para}</div></main>", {})
+    gone = f"<article>{para}<div class='ad'>buy this now</div><div class='comment-list'><p>{'reader says. ' * 90}</p></div><div class='post-newsletter'>join us</div></article>"
+    assert not {"buy", "reader", "join"} & set(main_text(gone, {}).split())
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    from homestat.llm.html import parse
+    t = time.perf_counter()
+    assert len(parse("<div>" * 20_000 + "deep" + "</div>" * 20_000 + "</b>" * 20_000 + "<li>" * 200)) > 40_000
+    assert time.perf_counter() - t < 4
+
+
+def test_clashing_column_names(spark):
+    from homestat.llm.html import extract_text
+    from homestat.llm.lines import line_dedup
+    from homestat.llm.urls import url_filter
+    text = "a\nb\nc\nd"
+    docs = spark.createDataFrame([(1, text, 7, "x", 1, 2, 3), (2, text, 8, "y", 1, 2, 3)],
+                                 "doc_id long, text string, starts int, _ld_id string, _LD_kept int, N_LINES int, pos int")
+    out = {r.doc_id: r for r in line_dedup(docs).collect()}
+    assert (out[1].text, out[2].text) == (text, "") and out[2].n_removed == 4 and out[2].starts == 8 and "N_LINES" not in out[1].asDict()
+    pages = spark.createDataFrame([(1, "http://a.com/x", "<article><p>some words here</p></article>", "h", "p", "H", "T", 5)],
+                                  "page_id long, url string, html string, h string, p string, Host string, Text string, score int")
+    judged = url_filter(pages, [("com/", "allow")]).first()
+    assert (judged.host, judged.path, judged.rule, judged.verdict, judged.h, judged.p) == ("a.com", "/x", "com/", "allow", "h", "p")
+    assert extract_text(pages).first().text == "some words here"
+
+
+def test_products_beyond_a_long(spark):
+    from homestat.llm.topk import exact_topk
+    rows = spark.createDataFrame([(1, [3e9, 3e9]), (2, [3e9, 3e9]), (3, [-4e9, -4e9])], "id long, v array<double>")
+    got = [(r.query_id, r.vec_id, r.score) for r in exact_topk(rows.where("id = 1"), rows, 2).collect()]
+    assert sorted(got) == [(1, 2, 2**63 - 1), (1, 3, -(2**63))]
