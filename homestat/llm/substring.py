@@ -1,4 +1,4 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against an indexed corpus."""
+"""Substring deduplication by winnowed blocks and window hashes, in place of relative Lempel-Ziv parsing."""
 
 from __future__ import annotations
 
@@ -101,12 +101,12 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     """Window starts (``lo`` to ``hi``) of each document that also start in a smaller ``_id``.
 
     ``docs``: ``_id``, ``_th`` and ``_text``. The corpus is indexed in blocks
-    (:func:`reference_blocks`) under their anchors' hashes. Every document is parsed
-    against all blocks of other documents under its anchors: a block that an earlier
-    document has word for word is a factor, duplicate as a whole, and factors that follow
-    one another join. Where a factor ends, and the text goes on with a block that no
-    earlier document has as a whole although others share its anchor, its windows are
-    checked one by one against those of the other such blocks. That is exact: the
+    (:func:`reference_blocks`) under their anchors' hashes. Every document is compared
+    with all blocks of other documents under its anchors: a block that an earlier
+    document has word for word is a duplicate as a whole, and such blocks that follow one
+    another join. Where the text goes on with a block that no earlier document has as a
+    whole although others share its anchor, its windows are checked one by one against
+    those of the other such blocks. That is exact: the
     earliest document with a window has it in a block that no earlier one has.
     """
     kind = dict(docs.dtypes)["_id"]
@@ -134,8 +134,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Remove every word that lies in ``window`` words which also start in a document of smaller id.
 
     Words are runs of bytes without white space (bytes 32 and 9 to 13), unchanged. Windows are
-    judged on the input, by :func:`duplicate_spans`: relative Lempel-Ziv parsing against
-    the corpus, indexed in blocks. Words are compared by 64-bit hashes, windows by two
+    judged on the input, by :func:`duplicate_spans`, which finds shared blocks
+    by their hashes (nothing is factored: the README says why). Words are compared by 64-bit hashes, windows by two
     independent 64-bit sums of them, blocks by such a sum and their anchor's hash.
 
     Returns the id, ``n_words``, ``n_removed``, ``kept_sha256`` (lower-case hex of the kept
