@@ -131,3 +131,12 @@ def test_minimal_hash_numbers_every_key_once():
     at, held = find(other), np.empty(len(keys), np.int64)
     held[find(keys)] = keys
     assert not (held[np.maximum(at, 0)] == other)[at >= 0].any() and len(MinimalHash([])(keys)) == len(keys)
+
+
+def test_every_token_encodes_to_itself_by_rank(tokenizers):
+    """So that merging by rank takes the very merges of the tokenizer's own list."""
+    a = aligner()
+    quick = a.quick._core_bpe
+    assert all(quick.encode_single_piece(t) == [i] for i, t in a.a_bytes.items() if i != 50256)
+    words = ["the", "Onatorsh", "re's", "1234,5", "été", "x×÷y", "don't--", "ÀÉǅǈ", "a'll'd"]
+    assert [a.quick.encode_ordinary(" " + w) for w in words] == [tokenizers[0].encode(" " + w, add_special_tokens=False).ids for w in words]
