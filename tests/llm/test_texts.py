@@ -67,6 +67,35 @@ def test_banded_alignment_against_the_full_table():
         assert [minhash.within(x, y, n) for n in (0, 1, 2, 5, 9)] == [d <= n for n in (0, 1, 2, 5, 9)]
 
 
+@pytest.mark.parametrize("small", [4096, 3])
+def test_wide_bands_by_columns_against_the_full_table(small, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL", small)
+    monkeypatch.setattr(minhash, "KINDS", 4)
+    rng = np.random.default_rng(7)
+    for _ in range(400):
+        a = rng.integers(0, rng.integers(2, 30), rng.integers(1, 40)).tolist()
+        b = list(a)
+        for _ in range(rng.integers(0, 16)):
+            at = int(rng.integers(0, len(b) + 1))
+            b[at:at + int(rng.integers(0, 2))] = rng.integers(0, 30, rng.integers(0, 2)).tolist()
+        b = b or [1]
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        x, y = (minhash.Aligned(np.array(t, dtype=np.uint64)) for t in (a, b))
+        for limit in range(abs(len(a) - len(b)), 18):
+            assert minhash._aligns(x, y, limit) == minhash.within(x, y, limit) == (row[-1] <= limit)
+
+
+def test_word_counts_of_many_tasks_are_added_up(spark):
+    texts = spark.range(0, 3000, 1, 70).selectExpr("id as node", "concat('a b w', id % 7) as text")
+    counts = minhash._word_counts(texts)
+    assert sorted(counts[counts > 0].tolist()) == [428] * 3 + [429] * 4 + [3000] * 2
+    assert not minhash._word_counts(texts.limit(0)).any()
+
+
 def test_order_minhash_sees_order():
     odds = minhash.sketch_odds(64, 0)
     rng = random.Random(2)
