@@ -86,17 +86,21 @@ def n_words(text) -> F.Column:
 # --- words and their hashes, over the bytes of a whole batch ----------------------
 
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # odd
+_M1, _M2 = np.uint64(0x7FB5D329728EA185), np.uint64(0x81DADEF4BC2DD44D)  # odd
+_SHIFTS = np.uint64(31), np.uint64(27), np.uint64(33)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer (xor-shift and multiply), elementwise."""
-    x = x ^ (x >> np.uint64(31))
-    x = x * np.uint64(0x7FB5D329728EA185)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
+    y = x >> _SHIFTS[0]
+    y ^= x
+    y *= _M1
+    y ^= y >> _SHIFTS[1]
+    y *= _M2
+    y ^= y >> _SHIFTS[2]
+    return y
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
