@@ -15,7 +15,7 @@ from homestat.llm.common import chunks, mix64, staged
 
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-CUT = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")  # one space between characters that are surely no white space
+CUT = re.compile(" (?<=[!-~À-ɏ] )(?=[!-~À-ɏ])")  # one space between characters that are surely no white space
 PLAIN = re.compile("[!-~À-ɏ]+")  # a word of such characters only
 # Fixed value: how a byte-level vocabulary of this kind parts a text before it merges.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -95,6 +95,19 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Numbered(dict):
+    """Words by number: an unknown one that is looked up gets the next, and is listed as new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Aligner:
     """Aligns texts under a byte-level BPE (A) and a piece model (B), remembering the words seen.
 
@@ -132,7 +145,7 @@ class Aligner:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbered()
         self.numbers = np.empty((0, 6), np.int64)  # tokens of A, of B, groups, whether bytes differ; best links, sum of counts
         self.links, self.at = np.empty(0, np.int64), np.zeros(1, np.int64)
         self.codes, self.code_at = np.empty(0, np.int32), np.zeros(1, np.int64)
@@ -187,8 +200,6 @@ class Aligner:
                 b + 2 * self.n_a + np.where(both[group_b] == end_b, self.n_b, 0) if len(b) else b)
             self.codes = np.concatenate([self.codes, codes])
             self.code_at = np.concatenate([self.code_at, self.code_at[-1] + np.cumsum(n_a + n_b)])
-        for w in words:
-            self.known[w] = len(self.known)
         self.numbers = np.concatenate([self.numbers, fresh])
         self.links, self.at = np.concatenate([self.links, links]), np.concatenate([self.at, self.at[-1] + ends[1:]])
 
@@ -196,14 +207,20 @@ class Aligner:
         """Numbers of the words of all texts one after another, and where each text's begin and end."""
         if len(self.links) > KEPT_LINKS:
             self._forget()
-        lists = [CUT.split(t) if t else [] for t in texts]
-        new = list(set().union(*lists).difference(self.known)) if lists else []
-        plain = [w for w in new if PLAIN.fullmatch(w)]
-        if plain:
-            self._learn(plain, True)
-        if len(new) > len(plain):
-            self._learn([w for w in new if w not in self.known], False)
+        lists, first = [CUT.split(t) if t else [] for t in texts], len(self.known)
         flat = np.fromiter(map(self.known.__getitem__, chain.from_iterable(lists)), np.int64)
+        if self.known.new:
+            new, self.known.new = self.known.new, []
+            plain = np.array([PLAIN.fullmatch(w) is not None for w in new])
+            order = np.argsort(~plain, kind="stable")
+            new, n = [new[i] for i in order.tolist()], int(plain.sum())
+            self.known.update(zip(new, range(first, first + len(new)), strict=True))
+            at = np.arange(first + len(new))
+            at[first + order] = np.arange(first, first + len(new))
+            flat = at[flat]
+            for words, kind in ((new[:n], True), (new[n:], False)):
+                if words:
+                    self._learn(words, kind)
         return flat, np.cumsum([0] + [len(x) for x in lists])
 
     def aligned(self, texts: Sequence[str | None]) -> tuple[np.ndarray, list[str]]:
@@ -235,6 +252,17 @@ class Aligner:
         return _distinct(_distinct(np.repeat(of, n) * span + link)[0] % span)
 
 
+_last: tuple | None = None  # a worker's aligner, and what it is for
+
+
+def kept_aligner(files: tuple[str, bytes], table=None) -> Aligner:
+    """The worker's aligner of these vocabularies (and look-up table): one task's words help the next one's."""
+    global _last
+    if _last is None or _last[0] != files or _last[1] is not table:
+        _last = (files, table, Aligner(*files))
+    return _last[2]
+
+
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different values, ascending, and how often each is there."""
     values = np.sort(values)
@@ -314,7 +342,7 @@ class Alignment:
         files = self.files
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            aligner, held = Aligner(*files.value), []
+            aligner, held = kept_aligner(files.value), []
             for batch in batches:
                 for _, texts in slices(batch, "text"):
                     held.append(aligner.pairs(texts))
@@ -446,7 +474,7 @@ class Alignment:
         schema = schema.add("groups", "string")
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            aligner = Aligner(*files.value)
+            aligner = kept_aligner(files.value, table.value)
             find, keys, counts, top = table.value
 
             def weigh(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
