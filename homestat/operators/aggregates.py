@@ -29,11 +29,11 @@ def _bucket(v: Column) -> Column:
             .when(v > 0, step(v)).when(v < 0, -step(-v)).otherwise(F.lit(0).cast("long")))
 
 
-def _brackets(df: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+def _brackets(df: DataFrame, by: list[str], values: list[str], weight: Column) -> DataFrame:
     """Per group with a very long column the buckets around its middle: `_b`, a map of the
     column's number to (`lo`, `hi`). A row per such group, at most a millionth of the input."""
-    long = df.select(*by, F.posexplode(F.array(*values)).alias("_i", "_v")).where(F.col("_v").isNotNull())
-    counted = long.groupBy(*by, "_i", _bucket(F.col("_v")).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    long = df.select(*by, weight.alias("_w"), F.posexplode(F.array(*values)).alias("_i", "_v")).where(F.col("_v").isNotNull())
+    counted = long.groupBy(*by, "_i", _bucket(F.col("_v")).alias("_k")).agg(F.sum("_w").alias("_n"))
     near = 2.0 / splits.HOT_ROWS  # two ranks at least, in a column of more than HOT_ROWS values
     around = F.expr(f"percentile(_k, array({max(0.0, 0.5 - near)}D, {min(1.0, 0.5 + near)}D), _n)")
     hot = counted.groupBy(*by, "_i").agg(F.sum("_n").alias("_all"), around.alias("_q")).where(F.col("_all") > splits.HOT_ROWS)
@@ -41,11 +41,13 @@ def _brackets(df: DataFrame, by: list[str], values: list[str]) -> DataFrame:
     return hot.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_i", bracket))).alias("_b"))
 
 
-def group_medians(df: DataFrame, by, values: dict[str, Column], others: dict[str, Column] | None = None) -> DataFrame:
+def group_medians(df: DataFrame, by, values: dict[str, Column], others: dict[str, Column] | None = None, *,
+                  weight: str | None = None) -> DataFrame:
     """Exact interpolated medians of several columns per group (NULLs ignored) in one aggregation.
 
     `values` maps output names to columns, `others` to further aggregates of the same rows.
-    A group without a value keeps its row, with a NULL median.
+    A group without a value keeps its row, with a NULL median. With `weight`, a whole number
+    above zero, a row stands for as many equal rows.
 
     Spark's `median` keeps a group's different values, so columns of more than
     `splits.HOT_ROWS` values in a group are narrowed first: values are counted by bucket (an
@@ -57,7 +59,7 @@ def group_medians(df: DataFrame, by, values: dict[str, Column], others: dict[str
     by = _as_list(by)
     names = [f"_v{i}" for i in range(len(values))]
     base = df.withColumns({n: v.cast("double") for n, v in zip(names, values.values(), strict=True)})
-    found = _brackets(base, by, names)
+    found = _brackets(base, by, names, F.col(weight) if weight else F.lit(1).cast("bigint"))
     if by:
         rows = null_safe_join(base, F.broadcast(found), by, "left")  # a row per very large group
     else:
@@ -66,7 +68,8 @@ def group_medians(df: DataFrame, by, values: dict[str, Column], others: dict[str
         v, bracket = F.col(f"_v{i}"), F.try_element_at("_b", F.lit(i))
         return (F.when(bracket.isNull() | v.isNull(), v).when(_bucket(v) < bracket["lo"], F.lit(float("-inf")))
                 .when(_bucket(v) > bracket["hi"], F.lit(float("inf"))).otherwise(v))
-    aggs = [F.median(clamped(i)).alias(out) for i, out in enumerate(values)]
+    middle = (lambda v: F.percentile(v, 0.5, F.col(weight))) if weight else F.median
+    aggs = [middle(clamped(i)).alias(out) for i, out in enumerate(values)]
     return rows.groupBy(*by).agg(*aggs, *[a.alias(n) for n, a in (others or {}).items()])
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from homestat.plans import report as X
 from homestat.sources import history as H
 from homestat.sources import readers as R
 from homestat.sources.health import source_health
+from homestat.sources.versions import VersionStore
 
 
 # The weekly inputs by discovered file.
@@ -119,6 +121,37 @@ def weekly_run(spark: SparkSession, *, out_dir: str, as_of: dt.datetime, weekly_
     return {"results": results, "health": health, "rejected": rejected, "expired_runs": expired, "has_metrics": bool(results)}
 
 
+# The tables of a published run that only its successors' readers need; sections and history stay.
+RUN_TABLES = ("clean", "metrics", "health")
+
+
+def run_store(spark: SparkSession, out_dir: str, region: str = "ALL") -> VersionStore:
+    """The published runs of a region."""
+    return VersionStore(spark, f"{out_dir}/{quote(region, safe=' ')}")
+
+
+def published_run(spark: SparkSession, *, out_dir: str, as_of: dt.datetime, region: str = "ALL", retention_days: int = 28,
+                  keep: int = 2, **given) -> dict:
+    """:func:`weekly_run` that is seen whole or not at all.
+
+    Everything is written into a version of its own and published by one marker at the end; a
+    run that stops midway is not seen, and the next one deletes what it left. `run_store(…)`
+    reads: `table("metrics/flip_detector")` of the newest run date, `archive("sections/prices")`
+    and `archive("history")` over all dates (the last run of each). Tables of older runs go,
+    but for the `keep` newest; their sections stay, and their history for `retention_days`.
+    The result adds `version`.
+    """
+    store = run_store(spark, out_dir, region)
+    name = store.begin()
+    result = weekly_run(spark, out_dir=store.folder(name), as_of=as_of, region=region, retention_days=retention_days, **given)
+    version = store.publish(name, as_of.date().isoformat())
+    store.vacuum(RUN_TABLES, keep=keep)
+    expired = [v for v in store.published() if (as_of.date() - dt.date.fromisoformat(v.label)).days > retention_days]
+    for v in expired:
+        store.remove(v.name, "history")
+    return result | {"version": version, "expired_runs": sorted({dt.date.fromisoformat(v.label) for v in expired})}
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(description="weekly housing-market run")
     ap.add_argument("--out", required=True)
@@ -126,10 +159,12 @@ def main(argv: list[str] | None = None) -> int:
     for opt in ("weekly-dir", "value-index", "rent-index", "parcels", "sales", "state", "region-name", "city"):
         ap.add_argument(f"--{opt}")
     ap.add_argument("--region", default="ALL")
+    ap.add_argument("--publish", action="store_true", help="write a version of its own, seen whole or not at all")
     a = ap.parse_args(argv)
     from homestat.session import build_session
     spark = build_session()
-    res = weekly_run(spark, out_dir=a.out, as_of=dt.datetime.fromisoformat(a.as_of), weekly_dir=a.weekly_dir,
+    res = (published_run if a.publish else weekly_run)(
+                     spark, out_dir=a.out, as_of=dt.datetime.fromisoformat(a.as_of), weekly_dir=a.weekly_dir,
                      value_index=a.value_index, rent_index=a.rent_index, parcels=a.parcels, sales=a.sales,
                      region=a.region, state=a.state, region_name=a.region_name, city=a.city)
     if not res["has_metrics"]:  # L16

@@ -987,4 +987,4 @@ def q_history_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_history_json(spark, f"{path}/*/*.json")
 
 
-from homestat.plans import cases, regions  # noqa: E402,F401  (they register their queries)
+from homestat.plans import cases, regions, upkeep  # noqa: E402,F401  (they register their queries)
