@@ -20,7 +20,7 @@ TAKEN = 3  # k-mers taken by each hash function, where ``MOST`` of them allow it
 RECALL = 0.995  # share of the least similar pairs that become candidates, wherever their edits are
 MOST = 128  # hash functions at most
 SHORT = {2: 24, 1: 6}  # k-mers also taken, of texts that have so many k-mers at most
-FULL = 16  # classes from which on a bucket is divided by its texts' rarest words
+FULL = 16  # texts of a bucket outside its main class from which on it is divided by its rarest words
 FAN = 32  # tasks' counts that are added at a time
 RARITY = 18  # bits of a word's hash under which its documents are counted
 BITS = 2048  # of the set that tells most texts apart without an alignment
@@ -362,16 +362,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Inside a bucket of equal sketches no list of all pairs is made: every text is compared
     with the bucket's first (by a number given to each different text), and no more with
-    those of its other buckets that are in its class by then. Then, as long as
-    that finds links, the classes that a bucket still holds are compared by two of their
-    texts, the first and the last. A large group of near copies thus costs a few comparisons a text. Pairs whose
-    lengths or sets of words alone differ too much are left out (exactly: :func:`word_bits`).
-    A bucket that still holds more than ``FULL`` classes, as of unlike texts around one
-    passage, is divided by the texts' rarest words (:func:`_rarest`): similar texts share
-    one of them, so this loses no pair. A link can be missed if no sketch agrees (at most
-    1 - ``RECALL`` of the links of least similarity are expected to), or if in every bucket that holds both
-    texts they are neither the first nor the last of their classes while the texts
-    that are have no link.
+    those of its other buckets that are in its class by then. Then all texts of a bucket
+    that are of different classes by then are compared, those outside its largest class
+    with all others. A large group of near copies thus costs a few comparisons a text.
+    Pairs whose lengths or sets of words alone differ too much are left out (exactly:
+    :func:`word_bits`). A bucket with more than ``FULL`` texts outside its largest class,
+    as of unlike texts around one passage, is divided by the texts' rarest words
+    (:func:`_rarest`): similar texts share one of them, so this loses no pair. A link can
+    be missed only if no sketch agrees (about 1 - ``RECALL`` of the links of least
+    similarity are expected to).
     """
     kind = dict(docs.dtypes)[id_col]
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -386,9 +385,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = staged(firsts.sortWithinPartitions("t1", "t2").select(
         F.monotonically_increasing_id().alias("node"), "t1", "t2", "at.*", "n", "bits", "sketch"))
     bands = firsts.select("node", F.posexplode("sketch").alias("band", "value"))
-    buckets = bands.groupBy("band", "value").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    buckets = bands.groupBy("band", "value").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("size"))
     # a table of its own, so that the join with it can split the rows of a full bucket
-    buckets = staged(buckets.where("leader < last").drop("last"))
+    buckets = staged(buckets.where("size > 1"))
     members = staged(bands.join(buckets, ["band", "value"]))
     needed = members.select("node").distinct().join(firsts.select("node", F.col("rep").alias("id"), "h"), "node")
     store = staged(texts.join(needed, ["id", "h"]).groupBy("node").agg(F.min("text").alias("text")))
@@ -420,45 +419,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         both = pairs.join(right, "b").join(left, "a")
         return both.mapInPandas(_verified(similarity), "a long, b long")
 
+    def classed(nodes: DataFrame, classes: DataFrame, node: str, name: str) -> DataFrame:
+        known = classes.select(F.col("id").alias("_id"), F.col("class").alias("_of"))
+        return nodes.join(known, F.col(node) == F.col("_id"), "left").withColumn(name, F.coalesce("_of", node)).drop("_id", "_of")
+
+    def linked(pairs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+        """The classes after all links among ``pairs``: each text with one other, then with those not in its class by then."""
+        first = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        links = verify(first)
+        classes = components(links.unionByName(twice)) if classes is None else joined(classes, staged(links))
+        rest = classed(classed(pairs.join(first, ["a", "b"], "left_anti"), classes, "a", "_a"), classes, "b", "_b")
+        rest = staged(verify(rest.where("_a <> _b").select("a", "b")))
+        return joined(classes, rest) if rest.limit(1).count() else classes
+
+    def mixed(rows: DataFrame, by: list[str]) -> DataFrame:
+        """The rows of groups of several classes, with the class that most are of (``main``) and the number of others (``strays``)."""
+        sizes = rows.groupBy(*by, "class").agg(F.count(F.lit(1)).alias("size"))
+        groups = sizes.groupBy(*by).agg(F.count(F.lit(1)).alias("classes"), F.sum("size").alias("size"), F.max(F.struct("size", "class")).alias("main"))
+        groups = staged(groups.where("classes > 1").select(*by, F.col("main.class").alias("main"), (F.col("size") - F.col("main.size")).alias("strays")))
+        return staged(rows.join(groups, by).join(marks.select("node", "n", folded.alias("few")), "node"))
+
+    def across(rows: DataFrame, by: list[str]) -> DataFrame:
+        """The pairs of a group's texts that are of two classes and can be alike: strays with all, so the main class has no pairs of its own."""
+        other = rows.select(*by, *[F.col(c).alias(f"_{c}") for c in ("node", "class", "n", "few")])
+        pairs = rows.where("class <> main").join(other, by).where("class <> _class and (_class = main or class < _class)")
+        pairs = pairs.where(can_be_alike("", "_", "few", few))
+        return pairs.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
+
+    folded = F.array(*[F.get("bits", F.lit(i)).bitwiseOR(F.get("bits", F.lit(i + few))).bitwiseOR(
+        F.get("bits", F.lit(i + 2 * few))).bitwiseOR(F.get("bits", F.lit(i + 3 * few))) for i in range(few)])
     tried = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     tried = staged(alike(tried))
-    # each text with one leader, then with its others as far as their classes still differ
-    first = staged(tried.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    classes = components(verify(first).unionByName(twice))
-    x, y = (classes.select(F.col("id").alias(end), F.col("class").alias(f"_{end}")) for end in ("a", "b"))
-    rest = tried.join(first, ["a", "b"], "left_anti").join(x, "a", "left").join(y, "b", "left")
-    rest = staged(verify(rest.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")))
-    if rest.limit(1).count():
-        classes = joined(classes, rest)
-    changed = None  # classes that the last round made
-    while True:
-        held = members.join(classes, members["node"] == classes["id"], "left").select(
-            "band", "value", "node", F.coalesce("class", "node").alias("class"))
-        heads = held.groupBy("band", "value", "class").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        mixed = heads.groupBy("band", "value").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-        heads = heads.join(mixed, ["band", "value"]).select(
-            "band", "value", "class", (F.col("classes") > FULL).alias("full"), F.explode(F.array_distinct(F.array("low", "high"))).alias("node"))
-        folded = F.array(*[F.get("bits", F.lit(i)).bitwiseOR(F.get("bits", F.lit(i + few))).bitwiseOR(
-            F.get("bits", F.lit(i + 2 * few))).bitwiseOR(F.get("bits", F.lit(i + 3 * few))) for i in range(few)])
-        heads = staged(heads.join(marks.select("node", "n", folded.alias("few")), "node"))
+    classes = linked(tried)
+    # whatever else shares a bucket and is of another class by then
+    buckets = mixed(classed(members.where("size > 2 and node <> leader").select("band", "value", "node"), classes, "node", "class"), ["band", "value"])
+    pairs = across(buckets.where(F.col("strays") <= FULL), ["band", "value"])
+    crowd = staged(store.join(buckets.where(F.col("strays") > FULL).select("node").distinct(), "node", "left_semi"))
+    if crowd.limit(1).count():
         # the texts of full buckets meet under their rarest words, whichever buckets they share
-        divided = heads.where("full").drop("band", "value").dropDuplicates(["node"])
-        crowd = staged(store.join(divided.select("node"), "node", "left_semi"))
-        count = _word_counts(crowd)
-        divided = divided.join(crowd.mapInPandas(_rarest(count, similarity), "node long, rare array<bigint>"), "node")
-        divided = divided.select("node", "class", "n", "few", F.lit(-1).alias("band"), F.lit(0).cast("long").alias("value"), F.explode("rare").alias("key"))
-        heads = divided.unionByName(heads.where("not full").drop("full").withColumn("key", F.lit(0).cast("long")))
-        other = heads.withColumnsRenamed({"class": "_class", "node": "_node", "n": "_n", "few": "_few"})
-        if changed is not None:
-            heads = heads.join(changed, "class", "left_semi")
-        pairs = heads.join(other, ["band", "value", "key"]).where("class <> _class" if changed is not None else "class < _class")
-        pairs = pairs.where(can_be_alike("", "_", "few", few)).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
-        pairs = staged(alike(pairs.join(tried, ["a", "b"], "left_anti")))
-        more = staged(verify(pairs))
-        if not more.limit(1).count():
-            break
-        tried, classes = staged(tried.unionByName(pairs)), joined(classes, more)
-        changed = classes.join(more.select(F.col("a").alias("id")), "id", "left_semi").select("class").distinct()
+        rare = crowd.mapInPandas(_rarest(_word_counts(crowd), similarity), "node long, rare array<bigint>")
+        rare = staged(classed(rare, classes, "node", "class").select("node", "class", F.explode("rare").alias("key")))
+        pairs = pairs.unionByName(across(mixed(rare, ["key"]), ["key"]))
+    pairs = staged(alike(pairs.distinct().join(tried, ["a", "b"], "left_anti")))
+    classes = linked(pairs, classes)
     smallest = classes.join(firsts.select(F.col("node").alias("id"), "rep"), "id").groupBy("class").agg(F.min("rep").alias("smallest"))
     named = classes.join(smallest, "class").select(F.col("id").alias("node"), "smallest")
     found = marked.join(firsts.select("t1", "t2", "node", "rep"), ["t1", "t2"]).join(named, "node", "left").groupBy("id").agg(

@@ -157,6 +157,35 @@ def replaced(rng, w, at):
     return w
 
 
+def two_groups_with_one_link(rng, k, size=15):
+    """Near copies of ``x`` and of ``y``; ``x`` and ``y`` are 20 edits apart, all other texts of the two groups more."""
+    x = words(rng, 100, 10**6)
+    y = replaced(rng, x, rng.sample(range(0, 100, 2), 20))
+    odd = list(range(1, 100, 2))
+    return [(100 * k + j, " ".join(w)) for j, w in enumerate(
+        [x, y] + [replaced(rng, w, rng.sample(odd, 2)) for w in (x, y) for _ in range(size)])]
+
+
+def test_a_link_amid_two_groups_joins_them(spark):
+    rng = random.Random(31)
+    docs = [row for k in range(8) for row in two_groups_with_one_link(rng, k)]
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(got) == len(docs) and {r.doc_id: r.class_id for r in got} == {i: i // 100 * 100 for i, _ in docs}
+
+
+@pytest.mark.parametrize("full", [1, 10**6])
+def test_links_inside_full_buckets_are_found(spark, monkeypatch, full):
+    """The same classes whether texts of one bucket meet in it or under their rarest words."""
+    monkeypatch.setattr(minhash, "FULL", full)
+    rng = random.Random(32)
+    docs, passage = [], words(rng, 40, 10**6)
+    for k in range(12):  # most of the texts is one passage: no links but to own near copies
+        own = words(rng, 20, 10**6) + passage
+        docs += [(10 * k + j, " ".join(w)) for j, w in enumerate([own] + [replaced(rng, own, rng.sample(range(20), 3)) for _ in range(4)])]
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i // 10 * 10 for i, _ in docs}
+
+
 def test_sketches_needed_for_a_similarity():
     assert minhash.functions(0.8) == (65, 3) and minhash.functions(0.95)[0] < 20
     assert minhash.functions(0.7)[1] == 2 and minhash.functions(0.5) == (minhash.MOST, 1)
