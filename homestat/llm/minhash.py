@@ -20,7 +20,7 @@ TAKEN = 3  # k-mers taken by each hash function, where ``MOST`` of them allow it
 RECALL = 0.995  # share of the least similar pairs that become candidates, wherever their edits are
 MOST = 128  # hash functions at most
 SHORT = {2: 24, 1: 6}  # k-mers also taken, of texts that have so many k-mers at most
-FULL = 16  # texts of a bucket outside its main class from which on it is divided by its rarest words
+FULL = 1024  # texts outside a bucket's largest class above which it is divided by rarest words; up to that many, comparing sets of words costs less
 FAN = 32  # tasks' counts that are added at a time
 RARITY = 18  # bits of a word's hash under which its documents are counted
 BITS = 2048  # of the set that tells most texts apart without an alignment

@@ -186,6 +186,19 @@ def test_links_inside_full_buckets_are_found(spark, monkeypatch, full):
     assert {r.doc_id: r.class_id for r in got} == {i: i // 10 * 10 for i, _ in docs}
 
 
+def test_moderate_buckets_of_unlike_texts_are_not_divided(spark, monkeypatch):
+    """Forty texts around a passage are told apart by their sets of words, without a row for each rare word."""
+    def divided(*_):
+        raise AssertionError("divided by rarest words")
+
+    monkeypatch.setattr(minhash, "_rarest", divided)
+    rng = random.Random(33)
+    passage = words(rng, 60, 10**6)
+    docs = [(2 * k + j, " ".join(w)) for k in range(40) for own in [words(rng, 40, 10**6) + passage] for j, w in enumerate([own, edited(rng, own, 3)])]
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i, _ in docs}
+
+
 def test_sketches_needed_for_a_similarity():
     assert minhash.functions(0.8) == (65, 3) and minhash.functions(0.95)[0] < 20
     assert minhash.functions(0.7)[1] == 2 and minhash.functions(0.5) == (minhash.MOST, 1)
