@@ -1,5 +1,7 @@
 """The corpus pipeline, stage by stage, against what its operators decide."""
 
+import random
+
 import corpus_pipeline as C
 from homestat.llm import queries as Q
 from homestat.llm.common import table
@@ -29,6 +31,27 @@ def test_stages_follow_one_another(spark):
     assert sorted(map(str, C.run(spark, SF).collect())) == sorted(map(str, tokens))
 
 
+def test_two_groups_of_near_copies_with_one_link_leave_one_document(spark):
+    """The link is between two texts amid their groups; every other text of one group is too far from the other's."""
+    rng, rows = random.Random(41), []
+
+    def replaced(text, places, n):
+        text = list(text)
+        for i in rng.sample(places, n):
+            text[i] = f"new{rng.randrange(10**6)}"
+        return text
+
+    even, odd = range(0, 100, 2), range(1, 100, 2)
+    for k in range(6):
+        x = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        y = replaced(x, even, 20)
+        texts = [x, y] + [replaced(t, odd, 2) for t in (x, y) for _ in range(15)]
+        rows += [(100 * k + j, " ".join(t), "en", "src1", len(" ".join(t))) for j, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = C.drop_near_copies(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in kept) == [100 * k for k in range(6)]
+
+
 def test_stages_of_odd_and_empty_tables(spark):
     schema = table(spark, SF, "documents").schema
     odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "src1", 0), (None, "a b c", "en", "src1", 5),
