@@ -19,6 +19,7 @@ SHINGLE = 2  # words of a k-mer: few, as an edit touches that many
 TAKEN = 3  # k-mers taken by each hash function, where ``MOST`` of them allow it
 RECALL = 0.995  # share of the least similar pairs that become candidates, wherever their edits are
 MOST = 128  # hash functions at most
+LONG = 4096  # words from which on a text's length makes no difference to the hash functions it needs
 SHORT = {2: 24, 1: 6}  # k-mers also taken, of texts that have so many k-mers at most
 FULL = 1024  # texts outside a bucket's largest class above which it is divided by rarest words; up to that many, comparing sets of words costs less
 FAN = 32  # tasks' counts that are added at a time
@@ -88,6 +89,27 @@ def functions(similarity: float, k: int = SHINGLE, taken: int = TAKEN) -> tuple[
     return MOST, 1
 
 
+def functions_by_words(similarity: float, enough: int, taken: int, k: int = SHINGLE) -> np.ndarray:
+    """How many hash functions a text of so many words (the place) has: ``enough`` if long, more if short.
+
+    A hash function takes several of a text's k-mers, never one twice, so it agrees less
+    often where there are few. Two texts have the functions of the longer one in common, so
+    no text has fewer than a longer one. ``MOST`` at most; the shortest texts have their
+    own numbers (``SHORT``) and need no more than the longer texts that they may be like.
+    """
+    words = np.arange(LONG)
+    grams = words - k + 1
+    same = grams - k * np.floor((1 - similarity) * words + 1e-9)
+    agree = np.ones(LONG)
+    for i in range(taken):
+        agree *= np.clip((same - i) / np.maximum(2 * grams - same - i, 1), 0, RECALL)
+    with np.errstate(divide="ignore"):
+        number = np.clip(np.ceil(np.log(1 - RECALL) / np.log1p(-agree)), enough, max(enough, MOST))
+    short = SHORT[2] + k if taken > 2 else 0
+    number[:short] = enough
+    return np.maximum.accumulate(number[::-1])[::-1].astype(int)
+
+
 def word_bits(words: np.ndarray) -> np.ndarray:
     """The words, each told from its earlier copies, as a set of `BITS` bits in 64-bit numbers.
 
@@ -258,7 +280,7 @@ def within(a: Aligned, b: Aligned, limit: int) -> bool:
     return limit > NARROW and _aligns(a, b, limit)
 
 
-def _sketches(odds: np.ndarray, taken: int):
+def _sketches(odds: np.ndarray, taken: int, number: np.ndarray):
     def sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for a, part in text_chunks(pdf["text"], 2_000_000):
@@ -269,7 +291,8 @@ def _sketches(odds: np.ndarray, taken: int):
                     if len(own):
                         t = [int(signed(mix64((own * powers(base, len(own))).sum(keepdims=True) + np.uint64(len(own))))[0])
                              for base in (SECOND_BASE, np.uint64(3))]
-                        rows.append((pdf["id"].iat[a + i], pdf["h"].iat[a + i], *t, len(own), signed(word_bits(own)), signed(order_minhash(own, odds, taken=taken))))
+                        rows.append((pdf["id"].iat[a + i], pdf["h"].iat[a + i], *t, len(own), signed(word_bits(own)),
+                                     signed(order_minhash(own, odds[: number[min(len(own), len(number) - 1)]], taken=taken))))
                 yield pd.DataFrame(rows, columns=["id", "h", "t1", "t2", "n", "bits", "sketch"])
     return sketches
 
@@ -377,7 +400,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # with the id, a hash of the text tells which of the id's texts is meant
     texts = own.where("id is not null and text is not null").withColumn("h", F.xxhash64("text"))
     enough, taken = functions(similarity)
-    marked = staged(texts.mapInPandas(_sketches(sketch_odds(sketches or enough, seed), taken),
+    number = np.array([sketches]) if sketches else functions_by_words(similarity, enough, taken)
+    marked = staged(texts.mapInPandas(_sketches(sketch_odds(int(number.max()), seed), taken, number),
                                       f"id {kind}, h long, t1 long, t2 long, n int, bits array<bigint>, sketch array<bigint>"))
     # each different text has a number, and stands for all its ids until the classes are read off
     firsts = marked.groupBy("t1", "t2").agg(
