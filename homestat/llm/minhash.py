@@ -111,14 +111,15 @@ def functions_by_words(similarity: float, enough: int, taken: int, k: int = SHIN
 
 
 def word_bits(words: np.ndarray) -> np.ndarray:
-    """The words, each told from its earlier copies, as a set of `BITS` bits in 64-bit numbers.
+    """The words, each told from its earlier copies, on `BITS` bits in 64-bit numbers: whether an odd number of them is at a place.
 
-    An edit changes at most two members of that set, so texts whose bits differ in more
-    than twice as many places as edits are allowed need no alignment.
+    A word taken away or added changes one bit, one put in another's place two. So texts need
+    no alignment whose bits differ in more places than twice the edits that are allowed, less
+    the difference of their lengths. Unlike bits that say whether any word is there, these
+    tell full sets apart too.
     """
     place = labelled_words(words) >> np.uint64(64 - BITS.bit_length() + 1)
-    bits = np.zeros(BITS, dtype=np.uint8)
-    bits[place] = 1
+    bits = np.bincount(place.astype(np.int64), minlength=BITS).astype(np.uint8) & 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
@@ -418,19 +419,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     marks = firsts.select("node", "n", "bits")
 
-    few = BITS // 64 // 4  # the set folded to a quarter says less, but is short enough to travel with a text's words
-
-    def can_be_alike(x: str, y: str, bits: str, size: int):
+    def can_be_alike(x: str, y: str):
         """What the lengths and sets of words of two such similar texts fulfil."""
         n, m = F.col(f"{x}n"), F.col(f"{y}n")
-        apart = sum((F.bit_count(F.get(F.col(f"{x}{bits}"), F.lit(i)).bitwiseXOR(F.get(F.col(f"{y}{bits}"), F.lit(i))))
-                     for i in range(size)), F.lit(0))
-        return (F.greatest(n, m) * similarity <= F.least(n, m) + 1e-6) & (apart <= 2 * (1 - similarity) * F.greatest(n, m) + 1e-6)
+        apart = sum((F.bit_count(F.get(F.col(f"{x}bits"), F.lit(i)).bitwiseXOR(F.get(F.col(f"{y}bits"), F.lit(i))))
+                     for i in range(BITS // 64)), F.lit(0))
+        return (F.greatest(n, m) * similarity <= F.least(n, m) + 1e-6) & (
+            apart + F.abs(n - m) <= 2 * (1 - similarity) * F.greatest(n, m) + 1e-6)
 
     def alike(pairs: DataFrame) -> DataFrame:
         x, y = (marks.select(F.col("node").alias(end), F.col("n").alias(f"{p}n"), F.col("bits").alias(f"{p}bits"))
                 for end, p in (("a", "x_"), ("b", "y_")))
-        return pairs.join(x, "a").join(y, "b").where(can_be_alike("x_", "y_", "bits", BITS // 64)).select("a", "b")
+        return pairs.join(x, "a").join(y, "b").where(can_be_alike("x_", "y_")).select("a", "b")
 
     # texts that share an id are linked without a comparison
     several = marked.groupBy("id").agg(F.countDistinct("t1", "t2").alias("n")).where("n > 1").select("id")
@@ -461,17 +461,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sizes = rows.groupBy(*by, "class").agg(F.count(F.lit(1)).alias("size"))
         groups = sizes.groupBy(*by).agg(F.count(F.lit(1)).alias("classes"), F.sum("size").alias("size"), F.max(F.struct("size", "class")).alias("main"))
         groups = staged(groups.where("classes > 1").select(*by, F.col("main.class").alias("main"), (F.col("size") - F.col("main.size")).alias("strays")))
-        return staged(rows.join(groups, by).join(marks.select("node", "n", folded.alias("few")), "node"))
+        return staged(rows.join(groups, by).join(marks, "node"))
 
     def across(rows: DataFrame, by: list[str]) -> DataFrame:
         """The pairs of a group's texts that are of two classes and can be alike: strays with all, so the main class has no pairs of its own."""
-        other = rows.select(*by, *[F.col(c).alias(f"_{c}") for c in ("node", "class", "n", "few")])
+        other = rows.select(*by, *[F.col(c).alias(f"_{c}") for c in ("node", "class", "n", "bits")])
         pairs = rows.where("class <> main").join(other, by).where("class <> _class and (_class = main or class < _class)")
-        pairs = pairs.where(can_be_alike("", "_", "few", few))
+        pairs = pairs.where(can_be_alike("", "_"))  # within the join, so that no other pair leaves it
         return pairs.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
 
-    folded = F.array(*[F.get("bits", F.lit(i)).bitwiseOR(F.get("bits", F.lit(i + few))).bitwiseOR(
-        F.get("bits", F.lit(i + 2 * few))).bitwiseOR(F.get("bits", F.lit(i + 3 * few))) for i in range(few)])
     tried = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     tried = staged(alike(tried))
     classes = linked(tried)
@@ -484,7 +482,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rare = crowd.mapInPandas(_rarest(_word_counts(crowd), similarity), "node long, rare array<bigint>")
         rare = staged(classed(rare, classes, "node", "class").select("node", "class", F.explode("rare").alias("key")))
         pairs = pairs.unionByName(across(mixed(rare, ["key"]), ["key"]))
-    pairs = staged(alike(pairs.distinct().join(tried, ["a", "b"], "left_anti")))
+    pairs = staged(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
     classes = linked(pairs, classes)
     smallest = classes.join(firsts.select(F.col("node").alias("id"), "rep"), "id").groupBy("class").agg(F.min("rep").alias("smallest"))
     named = classes.join(smallest, "class").select(F.col("id").alias("node"), "smallest")

@@ -199,6 +199,40 @@ def test_moderate_buckets_of_unlike_texts_are_not_divided(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i, _ in docs}
 
 
+def test_pairs_of_unlike_near_copies_are_not_listed(spark, monkeypatch):
+    """Longer copies of a text that are too far from its others: told apart by words and lengths, not listed as pairs."""
+    listed, staged = [], minhash.staged
+
+    def counted(df):
+        out = staged(df)
+        listed.extend([out.count()] if out.columns == ["a", "b"] else [])
+        return out
+
+    monkeypatch.setattr(minhash, "staged", counted)
+    rng = random.Random(34)
+    base = words(rng, 700, 10**6)
+    near = [replaced(rng, base, rng.sample(range(700), 35)) for _ in range(25)]
+    far = [replaced(rng, base, rng.sample(range(700), 56)) for _ in range(25)]
+    for w in far:
+        for x in words(rng, 160, 10**6):
+            w.insert(rng.randrange(len(w)), x)
+    docs = [(i, " ".join(w)) for i, w in enumerate(near + far)]
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: 0 if i < 25 else i for i in range(50)}
+    assert sum(listed[2:]) <= 100  # beside those with a bucket's first text
+
+
+def test_word_bits_bound_the_edits():
+    rng = random.Random(35)
+    bits = lambda w: np.unpackbits(minhash.word_bits(common.word_hashes([" ".join(w)])[0]).view(np.uint8))
+    for n, kinds in ((40, 10), (40, 10**6), (900, 50), (3000, 10**6)):
+        for _ in range(15):
+            a = words(rng, n, kinds)
+            b = edited(rng, a, rng.randrange(1, 12))
+            edits = edit_distance(a, b) if n < 100 else 11
+            assert (bits(a) != bits(b)).sum() + abs(len(a) - len(b)) <= 2 * edits
+
+
 def test_links_of_short_texts_are_found_as_often_as_those_of_long_ones(spark):
     """Texts of 30 words with every fifth replaced: 0.005 of them may be missed (0.014 with as many sketches as long texts)."""
     rng, n = random.Random(36), 2000
