@@ -464,10 +464,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return staged(rows.join(groups, by).join(marks, "node"))
 
     def across(rows: DataFrame, by: list[str]) -> DataFrame:
-        """The pairs of a group's texts that are of two classes and can be alike: strays with all, so the main class has no pairs of its own."""
-        other = rows.select(*by, *[F.col(c).alias(f"_{c}") for c in ("node", "class", "n", "bits")])
+        """The pairs of a group's texts that are of two classes and can be alike: strays with all, so the main class has no pairs of its own.
+
+        Where rows say which buckets they were in before (``before``), a pair is listed in its first alone.
+        """
+        own = [c for c in rows.columns if c in ("node", "class", "n", "bits", "before")]
+        other = rows.select(*by, *[F.col(c).alias(f"_{c}") for c in own])
         pairs = rows.where("class <> main").join(other, by).where("class <> _class and (_class = main or class < _class)")
         pairs = pairs.where(can_be_alike("", "_"))  # within the join, so that no other pair leaves it
+        pairs = pairs.where(~F.arrays_overlap("before", "_before")) if "before" in own else pairs
         return pairs.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
 
     tried = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
@@ -475,7 +480,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = linked(tried)
     # whatever else shares a bucket and is of another class by then
     buckets = mixed(classed(members.where("size > 2 and node <> leader").select("band", "value", "node"), classes, "node", "class"), ["band", "value"])
-    pairs = across(buckets.where(F.col("strays") <= FULL), ["band", "value"])
+    # a bucket's texts of two classes meet in it, below under rarest words, or one of them is its first and they were tried
+    before = F.slice(F.transform("sketch", lambda value, band: F.xxhash64(band, value)), 1, F.col("band")).alias("before")
+    listed = buckets.where(F.col("strays") <= FULL).join(firsts.select("node", "sketch"), "node").select(*buckets.columns, before)
+    pairs = across(staged(listed), ["band", "value"])
     crowd = staged(store.join(buckets.where(F.col("strays") > FULL).select("node").distinct(), "node", "left_semi"))
     if crowd.limit(1).count():
         # the texts of full buckets meet under their rarest words, whichever buckets they share
